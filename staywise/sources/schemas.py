@@ -7,8 +7,20 @@ from dataclasses import dataclass, field
 from pyspark.sql import types as T
 
 
+TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+}
+
+
 def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """Schema from ``name type, ...`` without needing a running session."""
+    columns = [part.split() for part in spec.split(",")]
+    return T.StructType([T.StructField(name, TYPES[kind]) for name, kind in columns])
 
 
 MEMBERS = _struct(

@@ -6,6 +6,7 @@ moving events in time. User ``user_id`` of the events is customer ``c_custkey``.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -242,5 +243,19 @@ RAW_BUILDERS = {
 }
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: build(spark, sf_dir) for name, build in RAW_BUILDERS.items()}
+class RawTables(Mapping):
+    """The raw tables by name, each built when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._sf_dir, self._built = spark, sf_dir, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = RAW_BUILDERS[name](self._spark, self._sf_dir)
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(RAW_BUILDERS)
+
+    def __len__(self) -> int:
+        return len(RAW_BUILDERS)
