@@ -495,6 +495,339 @@ JOIN (SELECT msno, intervention_type,
   ON i.msno = o.msno AND i.intervention_type = o.intervention_type
 JOIN churn_mart m ON m.msno = o.msno AND m.is_churn IS NOT NULL"""
 
+# ---- scoring ---------------------------------------------------------------------------
+
+WEIGHTS = {
+    "usage_decay_30d": "1.2",
+    "sessions_last_30d": "-0.08",
+    "ticket_count_30d": "0.35",
+    "login_days_last_30d": "-0.05",
+    "pct_negative_sentiment": "0.7",
+    "has_cancellation_inquiry": "0.9",
+    "payment_failure_count_90d": "0.6",
+    "days_since_last_txn": "0.01",
+    "tenure_days": "-0.0001",
+}
+
+BLOCKS["matrix"] = (
+    "SELECT msno, is_churn, "
+    + ", ".join(f"coalesce(CAST({c} AS DOUBLE), 0) AS {c}" for c in WEIGHTS)
+    + " FROM churn_mart"
+)
+
+BLOCKS["linear_attributions"] = f"""
+SELECT msno, churn_prob, CAST(churn_prob >= 0.65 AS INTEGER) AS churn_flag,
+       CASE WHEN churn_prob >= 0.65 THEN (CAST(msno AS BIGINT) % 17 - 4) / 100 END
+           AS uplift_score,
+       {', '.join(f'''CASE WHEN churn_prob >= 0.65
+            THEN round(({c} - mean_{c}) * {w}::DOUBLE, 6) + 0.0 END AS shap_{c}'''
+            for c, w in WEIGHTS.items())}
+FROM (SELECT *, round(1 / (1 + exp(-(-0.3::DOUBLE + {' + '.join(f'{c} * {w}::DOUBLE' for c, w in WEIGHTS.items())}))), 6) AS churn_prob
+      FROM matrix)
+CROSS JOIN (SELECT {', '.join(f'avg({c}) AS mean_{c}' for c in WEIGHTS)} FROM matrix)"""
+
+BLOCKS["scored_linear"] = "SELECT msno, churn_prob, churn_flag FROM linear_attributions"
+
+BLOCKS["long_factors"] = (
+    "SELECT msno, feature, value, row_number() OVER (PARTITION BY msno "
+    "ORDER BY abs(value) DESC, place) AS position FROM ("
+    + " UNION ALL ".join(
+        f"SELECT msno, '{c}' AS feature, {i} AS place, shap_{c} AS value FROM linear_attributions"
+        for i, c in enumerate(WEIGHTS)
+    )
+    + ") WHERE value IS NOT NULL"
+)
+
+BLOCKS["top_factors"] = """
+SELECT msno, CAST(position AS INTEGER) AS position, feature,
+       round(value, 4) + 0.0 AS shap_value,
+       CASE WHEN value > 0 THEN 'risk_increase' ELSE 'risk_decrease' END AS direction
+FROM long_factors WHERE position <= 5"""
+
+BLOCKS["labelled_factors"] = """
+SELECT msno, CAST(position AS INTEGER) AS position, feature,
+       CASE feature WHEN 'usage_decay_30d' THEN '30-day usage decay'
+            WHEN 'ticket_count_30d' THEN 'support tickets (last 30 days)'
+            WHEN 'login_days_last_30d' THEN 'login days (last 30 days)'
+            WHEN 'pct_negative_sentiment' THEN '% negative support sentiment'
+            WHEN 'has_cancellation_inquiry' THEN 'cancellation inquiry ticket'
+            WHEN 'payment_failure_count_90d' THEN 'payment failures (90 days)'
+            ELSE replace(feature, '_', ' ') END AS label,
+       CASE WHEN value > 0 THEN 'increases' ELSE 'decreases' END || ' churn risk' AS impact,
+       abs(value) AS magnitude
+FROM long_factors WHERE position <= 5"""
+
+BLOCKS["narration_candidates"] = """
+SELECT msno, churn_prob FROM scored_linear WHERE churn_flag = 1
+ORDER BY churn_prob DESC, msno LIMIT 200"""
+
+
+def whole_percent(share: str) -> str:
+    return f"CAST(CAST(round_even({share} * 100, 0) AS INTEGER) AS VARCHAR) || '%'"
+
+
+BLOCKS["prompts"] = f"""
+SELECT n.msno, 'The churn model flagged this subscriber as high risk.' || chr(10)
+    || 'Churn probability: ' || {whole_percent('n.churn_prob')} || chr(10)
+    || 'Strongest factors behind the score:' || chr(10) || f.lines || chr(10)
+    || coalesce(CASE WHEN c.change_point_detected THEN
+           '- A significant behavioral shift was detected ' || c.days_since_change_point
+           || ' days ago (around ' || CAST(c.change_point_date AS VARCHAR)
+           || '), with usage changing by ' || {whole_percent('c.pct_usage_change')}
+           || ' after that point.' || chr(10) END, '')
+    || 'What else is known:' || chr(10)
+    || '- Tenure: ' || coalesce(CAST(m.tenure_days AS VARCHAR), 'unknown') || ' days' || chr(10)
+    || '- Plan downgrade: ' || m.plan_downgrade_flag || chr(10)
+    || '- Open unresolved support tickets: ' || m.unresolved_ticket_count || chr(10)
+    || '- Last campaign mail: opened=' || CASE WHEN e.email_opened THEN 'True' ELSE 'False' END
+    || ', clicked=' || CASE WHEN e.email_clicked THEN 'True' ELSE 'False' END || chr(10)
+    || 'Explain in two or three plain sentences why this user may leave,' || chr(10)
+    || 'choose one action of [discount_offer, feature_highlight_email, personal_outreach, '
+    || 're_onboarding_flow, no_action]' || chr(10)
+    || 'and justify it in one sentence. Answer with bare JSON holding the fields' || chr(10)
+    || 'explanation, recommended_action and action_justification.' AS prompt
+FROM narration_candidates n
+JOIN (SELECT msno, string_agg('- ' || label || ': ' || impact || ' (magnitude: '
+             || printf('%.3f', round_even(magnitude * 1000, 0) / 1000) || ')', chr(10)
+             ORDER BY position) AS lines
+      FROM labelled_factors GROUP BY msno) f ON f.msno = n.msno
+JOIN churn_mart m ON m.msno = n.msno
+LEFT JOIN change_point_stats c ON c.msno = n.msno
+LEFT JOIN intervention_engagement e ON e.msno = n.msno"""
+
+BLOCKS["template_narrative"] = f"""
+SELECT s.msno,
+       CASE WHEN churn_flag = 1 THEN 'Risk is driven mainly by ' || replace(f.feature, '_', ' ')
+                || '. Estimated churn probability is ' || {whole_percent('churn_prob')} || '.'
+                || CASE WHEN c.change_point_detected THEN
+                       ' A behavioral shift was flagged around '
+                       || CAST(c.change_point_date AS VARCHAR) || '.' ELSE '' END
+            ELSE 'This user is not currently flagged as high-risk.' END AS explanation,
+       CASE WHEN churn_flag = 1 THEN 'personal_outreach' ELSE 'no_action' END
+           AS recommended_action,
+       CASE WHEN churn_flag = 1
+            THEN 'Template narrative: a personal contact is the default offer.'
+            ELSE 'Churn probability is below the risk threshold.' END AS action_justification
+FROM scored_linear s
+LEFT JOIN long_factors f ON f.msno = s.msno AND f.position = 1
+LEFT JOIN change_point_stats c ON c.msno = s.msno"""
+
+BLOCKS["parsed_replies"] = """
+SELECT msno,
+       CASE WHEN readable THEN 'User ' || msno || ' may leave.'
+            ELSE 'Unable to generate explanation.' END AS explanation,
+       CASE WHEN readable THEN ['discount_offer', 'feature_highlight_email', 'personal_outreach',
+                 're_onboarding_flow', 'call_a_friend'][CAST(msno AS BIGINT) % 5 + 1]
+            ELSE 'no_action' END AS recommended_action,
+       CASE WHEN readable THEN 'Segment ' || registered_via || '.' ELSE 'LLM unavailable.' END
+           AS action_justification
+FROM (SELECT *, CAST(msno AS BIGINT) % 4 <> 3 AS readable FROM raw_members)"""
+
+BLOCKS["action_plan"] = """
+SELECT s.msno, s.churn_prob, s.uplift_score,
+       CASE WHEN s.uplift_score >= 0.05 AND r.recommended_action IN
+                 ('discount_offer', 'feature_highlight_email', 'personal_outreach',
+                  're_onboarding_flow')
+            THEN r.recommended_action ELSE 'no_action' END AS final_action,
+       r.explanation, r.action_justification
+FROM linear_attributions s LEFT JOIN parsed_replies r ON r.msno = s.msno
+WHERE s.churn_flag = 1"""
+
+BLOCKS["plan_kpis"] = """
+SELECT count(*) AS high_risk_users,
+       count(*) FILTER (WHERE final_action <> 'no_action') AS actionable_users,
+       round(count(*) FILTER (WHERE final_action <> 'no_action') * 100::DOUBLE / count(*), 1)
+           AS intervention_rate
+FROM action_plan"""
+
+BLOCKS["top_plan"] = "SELECT * FROM action_plan ORDER BY churn_prob DESC, msno LIMIT 200"
+
+
+def segment_sql(segment: str) -> str:
+    return f"""
+SELECT {segment}, count(DISTINCT p.msno) AS high_risk_users,
+       round(avg(churn_prob), 8) AS avg_churn_prob,
+       round(avg(CASE WHEN final_action = 'no_action' THEN 0.0 ELSE 1.0 END::DOUBLE) * 100, 1)
+           AS intervention_rate
+FROM action_plan p JOIN churn_mart m ON m.msno = p.msno GROUP BY {segment}"""
+
+
+BLOCKS["risk_lookup"] = """
+SELECT s.msno, s.churn_prob AS churn_probability, s.churn_flag = 1 AS churn_flag,
+       coalesce((SELECT string_agg(feature || ':' || direction, ',' ORDER BY position)
+                 FROM top_factors t WHERE t.msno = s.msno), '') AS top_risk_factors,
+       s.uplift_score, n.explanation, n.recommended_action, n.action_justification,
+       coalesce(c.change_point_detected, false) AS change_point_detected,
+       CAST(c.change_point_date AS VARCHAR) AS change_point_date
+FROM linear_attributions s
+JOIN template_narrative n ON n.msno = s.msno
+LEFT JOIN change_point_stats c ON c.msno = s.msno
+WHERE s.msno IN (SELECT msno FROM raw_user_logs)"""
+
+# ---- measurement and profiles ----------------------------------------------------------
+
+BLOCKS["save_rate"] = """
+SELECT treated AS treated_save_rate, control AS control_save_rate,
+       treated - control AS save_rate_lift
+FROM (SELECT avg(CAST(was_saved AS INTEGER)) FILTER (WHERE intervention_type <> 'no_treatment')
+                 AS treated,
+             avg(CAST(was_saved AS INTEGER)) FILTER (WHERE intervention_type = 'no_treatment')
+                 AS control
+      FROM stg_outcomes)"""
+
+BLOCKS["churn_rate"] = (
+    "SELECT avg(is_churn) AS churn_rate, count(is_churn) AS labelled_users FROM churn_mart"
+)
+
+BLOCKS["target_distribution"] = """
+SELECT is_churn, count(*) AS users,
+       CAST(count(*) AS DOUBLE) / (SELECT count(is_churn) FROM churn_mart) AS proportion
+FROM churn_mart WHERE is_churn IS NOT NULL GROUP BY is_churn"""
+
+BLOCKS["churn_by_tier"] = """
+SELECT risk_tier, avg(is_churn) AS churn_rate, count(*) AS users
+FROM churn_mart WHERE is_churn IS NOT NULL GROUP BY risk_tier"""
+
+PROFILED = (
+    "usage_decay_30d sessions_last_30d login_gap_days_avg ticket_count_90d "
+    "payment_failure_count_90d"
+).split()
+
+BLOCKS["profiled"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, is_churn, CAST({c} AS DOUBLE) AS value FROM churn_mart"
+    for c in PROFILED
+)
+
+BLOCKS["feature_summary"] = """
+SELECT feature, count(*) AS count, round(avg(value), 5) + 0.0 AS mean,
+       round(stddev_samp(value), 5) AS std, min(value) AS min, max(value) AS max,
+       round(quantile_cont(value, 0.25), 5) + 0.0 AS p25,
+       round(quantile_cont(value, 0.5), 5) + 0.0 AS p50,
+       round(quantile_cont(value, 0.75), 5) + 0.0 AS p75
+FROM profiled GROUP BY feature"""
+
+BLOCKS["feature_histogram"] = """
+SELECT feature, is_churn, CAST(bin AS INTEGER) AS bin,
+       round(lo + bin * ((hi - lo) / 20), 6) + 0.0 AS bin_start, count(*) AS users
+FROM (SELECT p.feature, is_churn, lo, hi,
+             len(list_filter(range(1, 20), lambda i: value >= i * ((hi - lo) / 20) + lo)) AS bin
+      FROM profiled p
+      JOIN (SELECT feature, min(value) - CASE WHEN min(value) = max(value) THEN 0.5 ELSE 0 END AS lo,
+                   max(value) + CASE WHEN min(value) = max(value) THEN 0.5 ELSE 0 END AS hi
+            FROM profiled WHERE is_churn IS NOT NULL GROUP BY feature) r ON r.feature = p.feature
+      WHERE is_churn IS NOT NULL)
+GROUP BY feature, is_churn, bin, lo, hi"""
+
+# ---- model evaluation ------------------------------------------------------------------
+
+BLOCKS["class_weight"] = """
+SELECT greatest(1.0::DOUBLE, CAST(count(*) FILTER (WHERE is_churn = 0) AS DOUBLE)
+                / count(*) FILTER (WHERE is_churn = 1)) AS positive_weight
+FROM churn_mart"""
+
+BLOCKS["stratified_split"] = """
+SELECT msno, is_churn,
+       row_number() OVER (PARTITION BY is_churn
+                          ORDER BY (CAST(msno AS BIGINT) * 7919 + 42) % 1009, msno)
+           <= ceil(count(*) OVER (PARTITION BY is_churn) * 0.2::DOUBLE) AS is_validation
+FROM churn_mart WHERE is_churn IS NOT NULL"""
+
+BLOCKS["at_score"] = """
+SELECT churn_prob AS threshold, CAST(sum(is_churn) AS BIGINT) AS pos,
+       CAST(sum(1 - is_churn) AS BIGINT) AS neg
+FROM scored_linear JOIN churn_mart USING (msno) WHERE is_churn IS NOT NULL
+GROUP BY churn_prob"""
+
+BLOCKS["ranked_scores"] = """
+SELECT *, CAST(sum(pos) OVER above AS DOUBLE) AS tp, CAST(sum(neg) OVER above AS DOUBLE) AS fp,
+       CAST(sum(pos) OVER () AS DOUBLE) AS p, CAST(sum(neg) OVER () AS DOUBLE) AS n
+FROM at_score WINDOW above AS (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING)"""
+
+BLOCKS["auc_roc"] = """
+SELECT round(sum(CASE WHEN a.churn_prob > b.churn_prob THEN 1.0
+                      WHEN a.churn_prob = b.churn_prob THEN 0.5 ELSE 0.0 END::DOUBLE)
+             / count(*), 9) AS auc_roc
+FROM (SELECT churn_prob FROM scored_linear JOIN churn_mart USING (msno) WHERE is_churn = 1) a,
+     (SELECT churn_prob FROM scored_linear JOIN churn_mart USING (msno) WHERE is_churn = 0) b"""
+
+BLOCKS["average_precision"] = (
+    "SELECT round(sum(pos * (tp / (tp + fp))) / sum(pos), 9) AS average_precision "
+    "FROM ranked_scores"
+)
+BLOCKS["roc_points"] = "SELECT threshold, fp / n AS fpr, tp / p AS tpr FROM ranked_scores"
+BLOCKS["pr_points"] = (
+    'SELECT threshold, tp / (tp + fp) AS "precision", tp / p AS recall FROM ranked_scores'
+)
+
+# ---- drift -----------------------------------------------------------------------------
+
+COMPARED = """usage_decay_30d usage_decay_60d usage_decay_90d sessions_last_30d
+sessions_last_60d sessions_last_90d avg_session_duration_30d completion_rate_avg_30d
+skip_rate_avg_30d login_days_last_30d login_gap_days_avg login_gap_days_max login_streak_max
+login_streak_current days_since_last_login ticket_count_30d ticket_count_90d ticket_velocity
+pct_negative_sentiment unresolved_ticket_count has_cancellation_inquiry
+cancellation_inquiry_30d auto_renew_flag plan_downgrade_flag payment_failure_count_90d
+days_since_last_txn membership_expire_days avg_discount_rate cancellation_count
+unique_features_used_30d feature_diversity_score days_since_last_feature_use
+change_point_detected days_since_change_point usage_slope_post_change pct_usage_change
+gender_male_flag city_encoded age_bucket_encoded tenure_days""".split()
+
+
+def _number(column: str) -> str:
+    value = f"CAST({column} AS INTEGER)" if column == "change_point_detected" else column
+    return f"coalesce(CAST({value} AS DOUBLE), 0) AS {column}"
+
+
+BLOCKS["compared"] = f"""
+SELECT feature, value, is_train
+FROM (SELECT split = 'train' AS is_train, {', '.join(map(_number, COMPARED))} FROM churn_mart)
+UNPIVOT (value FOR feature IN ({', '.join(COMPARED)}))"""
+
+BLOCKS["bin_shares"] = """
+SELECT f.feature, f.b,
+       greatest(coalesce(r, 0) / ref_rows, 1e-6) AS r, greatest(coalesce(c, 0) / cur_rows, 1e-6) AS c
+FROM (SELECT feature, count(*) FILTER (WHERE is_train) AS ref_rows, count(*) AS cur_rows,
+             unnest(range(10)) AS b
+      FROM compared GROUP BY feature) f
+LEFT JOIN (SELECT feature, bin, CAST(count(*) FILTER (WHERE is_train) AS DOUBLE) AS r,
+                  CAST(count(*) AS DOUBLE) AS c
+           FROM (SELECT x.feature, is_train, CASE WHEN value >= lo AND value <= hi THEN
+                        len(list_filter(range(1, 10), lambda i: value >= i * ((hi - lo) / 10) + lo))
+                        END AS bin
+                 FROM compared x
+                 JOIN (SELECT feature,
+                              min(value) - CASE WHEN min(value) = max(value) THEN 0.5 ELSE 0 END AS lo,
+                              max(value) + CASE WHEN min(value) = max(value) THEN 0.5 ELSE 0 END AS hi
+                       FROM compared WHERE is_train GROUP BY feature) e ON e.feature = x.feature)
+           GROUP BY feature, bin) h ON h.feature = f.feature AND h.bin = f.b"""
+
+BLOCKS["psi_by_feature"] = """
+SELECT feature, round(sum((c - r) * ln(c / r)), 9) + 0.0 AS psi,
+       sum((c - r) * ln(c / r)) > 0.2 AS drifted
+FROM bin_shares GROUP BY feature"""
+
+BLOCKS["ks_by_feature"] = """
+SELECT feature, round(max(abs(cr / n - cc / m)), 9) AS ks_statistic,
+       max(abs(cr / n - cc / m))
+           > 1.358 * sqrt((max(n) + max(m)) / (max(n) * max(m))) AS drifted
+FROM (SELECT feature, value,
+             CAST(sum(r) OVER (PARTITION BY feature ORDER BY value) AS DOUBLE) AS cr,
+             CAST(sum(c) OVER (PARTITION BY feature ORDER BY value) AS DOUBLE) AS cc,
+             CAST(sum(r) OVER (PARTITION BY feature) AS DOUBLE) AS n,
+             CAST(sum(c) OVER (PARTITION BY feature) AS DOUBLE) AS m
+      FROM (SELECT feature, value, count(*) FILTER (WHERE is_train) AS r, count(*) AS c
+            FROM compared GROUP BY feature, value))
+GROUP BY feature"""
+
+BLOCKS["drift_summary"] = """
+SELECT share > 0.2 AS dataset_drift_detected, drifted_features, total_features,
+       round(share, 4) AS drift_share, share > 0.2 AS retraining_recommended
+FROM (SELECT count(*) FILTER (WHERE drifted) AS drifted_features, count(*) AS total_features,
+             CAST(count(*) FILTER (WHERE drifted) AS DOUBLE) / count(*) AS share
+      FROM psi_by_feature)"""
+
+BLOCKS["retrain_decision"] = "SELECT retraining_recommended AS retrain FROM drift_summary"
+
 
 def compose(final: str) -> str:
     """``final`` preceded by every block it reads, in dependency order."""

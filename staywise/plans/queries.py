@@ -6,8 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from staywise.config import INTERVENTION_TYPES
 from staywise.functions.columns import round_to
-from staywise.operators import changepoint, features, sessions
+from staywise.operators import (
+    actions,
+    changepoint,
+    drift,
+    evaluation,
+    explain,
+    features,
+    profile,
+    scoring,
+    sessions,
+)
 from staywise.plans import oracle
 from staywise.plans.tables import Tables
 from staywise.sources import readers, testdata
@@ -104,3 +115,221 @@ register("change_points")(lambda t: changepoint.detect_change_points(t.rollup, C
 register("change_point_share")(
     lambda t: changepoint.detected_share(changepoint.detect_change_points(t.rollup, CFG))
 )
+
+
+# ---- scoring with fixed coefficients ---------------------------------------------------
+
+WEIGHTS = {
+    "usage_decay_30d": 1.2,
+    "sessions_last_30d": -0.08,
+    "ticket_count_30d": 0.35,
+    "login_days_last_30d": -0.05,
+    "pct_negative_sentiment": 0.7,
+    "has_cancellation_inquiry": 0.9,
+    "payment_failure_count_90d": 0.6,
+    "days_since_last_txn": 0.01,
+    "tenure_days": -0.0001,
+}
+INTERCEPT = -0.3
+
+
+def scored(t: Tables) -> DataFrame:
+    """Every member scored; attributions and uplift for the high-risk ones only."""
+    names = tuple(WEIGHTS)
+    matrix = t.mart.select("msno", *scoring.feature_columns(t.mart, names))
+    probability = round_to(scoring.linear_score(WEIGHTS, INTERCEPT), 6)
+    flagged = matrix.withColumn("churn_prob", probability).withColumn(
+        "churn_flag", scoring.churn_flag(F.col("churn_prob"), CFG)
+    )
+    high = F.col("churn_flag") == 1
+    explained = scoring.linear_attributions(flagged, WEIGHTS, high)
+    uplift = (F.pmod(F.col("msno").cast("long"), F.lit(17)) - 4) / 100.0
+    return explained.select(
+        "msno",
+        "churn_prob",
+        "churn_flag",
+        *[round_to(F.col(f"shap_{c}"), 6).alias(f"shap_{c}") for c in names],
+        F.when(high, uplift).alias("uplift_score"),
+    )
+
+
+def replies(t: Tables) -> DataFrame:
+    """Model replies of every kind: tagged fence, bare JSON, plain fence, no JSON at all."""
+    kind = F.pmod(F.col("msno").cast("long"), F.lit(4))
+    actions = F.array(*[F.lit(a) for a in (*INTERVENTION_TYPES, "call_a_friend")])
+    body = F.concat(
+        F.lit('{"explanation": "User '),
+        F.col("msno"),
+        F.lit(' may leave.", "recommended_action": "'),
+        F.get(actions, F.pmod(F.col("msno").cast("long"), F.lit(5)).cast("int")),
+        F.lit('", "action_justification": "Segment '),
+        F.col("registered_via").cast("string"),
+        F.lit('."}'),
+    )
+    text = (
+        F.when(kind == 0, F.concat(F.lit("```json\n"), body, F.lit("\n```")))
+        .when(kind == 1, F.concat(F.lit("  "), body))
+        .when(kind == 2, F.concat(F.lit("```\n"), body, F.lit("\n```")))
+        .otherwise(F.concat(F.lit("Sorry, user "), F.col("msno"), F.lit(" is unclear")))
+    )
+    return t.raw["raw_members"].select("msno", text.alias("reply"))
+
+
+def plan(t: Tables) -> DataFrame:
+    return actions.select_interventions(scored(t), explain.parse_replies(replies(t)), CFG)
+
+
+register("scored_linear")(lambda t: scored(t).select("msno", "churn_prob", "churn_flag"))
+register("linear_attributions")(scored)
+register(
+    "high_risk_summary",
+    "SELECT count(*) AS scored_users, CAST(sum(churn_flag) AS BIGINT) AS high_risk_users, "
+    "CAST(sum(churn_flag) AS DOUBLE) / count(*) AS high_risk_share FROM scored_linear",
+)(lambda t: scoring.high_risk_summary(scored(t)))
+
+
+def _flat(frame: DataFrame, factors) -> DataFrame:
+    """One row per user and factor, numbered from 1."""
+    listed = frame.select("msno", F.posexplode(factors).alias("i", "f"))
+    return listed.select("msno", (F.col("i") + 1).alias("position"), "f.*")
+
+
+@register("top_factors")
+def top_factors(t: Tables) -> DataFrame:
+    frame = scored(t)
+    return _flat(frame, explain.top_factors(frame, CFG.top_factors))
+
+
+@register("labelled_factors")
+def labelled_factors(t: Tables) -> DataFrame:
+    frame = scored(t)
+    return _flat(frame, explain.labelled_factors(frame, CFG.top_factors))
+
+
+register("narration_candidates")(
+    lambda t: explain.narration_candidates(scored(t), CFG).select("msno", "churn_prob")
+)
+
+
+@register("prompts")
+def prompts(t: Tables) -> DataFrame:
+    engagement = features.intervention_engagement(t.interventions)
+    context = t.mart.join(engagement, "msno", "left")
+    chosen = explain.narration_candidates(scored(t), CFG)
+    return explain.prompts(chosen, t.change_points, context, CFG)
+
+
+register("template_narrative")(lambda t: explain.template_narrative(scored(t), t.change_points))
+register("parsed_replies")(lambda t: explain.parse_replies(replies(t)))
+register("action_plan")(plan)
+register("plan_kpis")(lambda t: actions.plan_kpis(plan(t)))
+register("top_plan")(lambda t: actions.top_plan(plan(t)))
+
+
+def _segments(t: Tables, segment: str) -> DataFrame:
+    summary = actions.segment_summary(plan(t), t.mart, segment)
+    return summary.withColumn("avg_churn_prob", round_to(F.col("avg_churn_prob"), 8))
+
+
+register("segment_by_tier", oracle.segment_sql("risk_tier"))(lambda t: _segments(t, "risk_tier"))
+register("segment_by_cohort", oracle.segment_sql("behavioral_cohort"))(
+    lambda t: _segments(t, "behavioral_cohort")
+)
+
+
+@register("risk_lookup")
+def risk_lookup(t: Tables) -> DataFrame:
+    """Records for every log user plus keys nobody has."""
+    users = t.raw["raw_user_logs"].select("msno")
+    unknown = users.select(F.concat(F.lit("x"), "msno").alias("msno"))
+    blank = users.select(F.lit(" ").alias("msno"))
+    frame = scored(t)
+    found = actions.risk_lookup(
+        users.unionByName(unknown).unionByName(blank),
+        frame,
+        explain.template_narrative(frame, t.change_points),
+        t.change_points,
+    )
+    named = F.transform("top_risk_factors", lambda f: F.concat(f["feature"], F.lit(":"), f["direction"]))
+    return found.withColumn("top_risk_factors", F.array_join(named, ","))
+
+
+# ---- measurement and profiles ----------------------------------------------------------
+
+register("save_rate")(lambda t: actions.save_rate(t.outcomes))
+register("churn_rate")(lambda t: profile.churn_rate(t.mart))
+register("target_distribution")(lambda t: profile.target_distribution(t.mart))
+register("churn_by_tier")(lambda t: profile.churn_by_tier(t.mart))
+
+
+@register("feature_summary")
+def feature_summary(t: Tables) -> DataFrame:
+    rounded = ("mean", "std", "p25", "p50", "p75")
+    summary = profile.feature_summary(t.mart)
+    return summary.withColumns({c: round_to(F.col(c), 5) for c in rounded})
+
+
+@register("feature_histogram")
+def feature_histogram(t: Tables) -> DataFrame:
+    return profile.feature_histogram(t.mart).withColumn(
+        "bin_start", round_to(F.col("bin_start"), 6)
+    )
+
+
+# ---- model evaluation ------------------------------------------------------------------
+
+
+def labelled_scores(t: Tables) -> DataFrame:
+    labels = t.mart.select("msno", "is_churn").filter(F.col("is_churn").isNotNull())
+    return scored(t).select("msno", "churn_prob").join(labels, "msno")
+
+
+register("class_weight")(lambda t: evaluation.class_weight(t.mart))
+
+
+@register("stratified_split")
+def stratified_split(t: Tables) -> DataFrame:
+    labelled = t.mart.filter(F.col("is_churn").isNotNull())
+    draw = F.pmod(F.col("msno").cast("long") * 7919 + 42, F.lit(1009))
+    return evaluation.stratified_split(labelled, draw)
+
+
+def _rounded(frame: DataFrame, *columns: str) -> DataFrame:
+    return frame.withColumns({c: round_to(F.col(c), 9) for c in columns})
+
+
+register("auc_roc")(lambda t: _rounded(evaluation.auc_roc(labelled_scores(t)), "auc_roc"))
+register("average_precision")(
+    lambda t: _rounded(evaluation.average_precision(labelled_scores(t)), "average_precision")
+)
+register("roc_points")(lambda t: evaluation.roc_points(labelled_scores(t)))
+register("pr_points")(lambda t: evaluation.pr_points(labelled_scores(t)))
+
+# ---- drift -----------------------------------------------------------------------------
+
+
+def train_and_score(t: Tables) -> tuple[DataFrame, DataFrame]:
+    return t.mart.filter(F.col("split") == "train"), t.mart
+
+
+@register("psi_by_feature")
+def psi_by_feature(t: Tables) -> DataFrame:
+    return drift.psi_by_feature(*train_and_score(t), CFG).withColumn(
+        "psi", round_to(F.col("psi"), 9)
+    )
+
+
+@register("ks_by_feature")
+def ks_by_feature(t: Tables) -> DataFrame:
+    return _rounded(drift.ks_by_feature(*train_and_score(t)), "ks_statistic")
+
+
+register("drift_summary")(
+    lambda t: drift.drift_summary(drift.psi_by_feature(*train_and_score(t), CFG), CFG)
+)
+
+
+@register("retrain_decision")
+def retrain_decision(t: Tables) -> DataFrame:
+    report = drift.drift_summary(drift.psi_by_feature(*train_and_score(t), CFG), CFG)
+    return report.select(F.col("retraining_recommended").alias("retrain"))
