@@ -2,50 +2,47 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from staywise.config import INTERVENTION_TYPES, EngineConfig
-from staywise.functions.columns import round_to
+from staywise.functions.columns import columns, round_to
 from staywise.operators.explain import top_factors
 from staywise.sources.readers import usable_key
 
 
-def final_action(cfg: EngineConfig) -> Column:
+def final_action(cfg: EngineConfig) -> str:
     """The recommendation, if the user is persuadable and the action is an offered one."""
-    persuadable = F.col("uplift_score") >= cfg.uplift_min
-    offered = F.col("recommended_action").isin(*INTERVENTION_TYPES)
-    return F.when(persuadable & offered, F.col("recommended_action")).otherwise("no_action")
+    offered = ", ".join(f"'{a}'" for a in INTERVENTION_TYPES)
+    return f"""CASE WHEN uplift_score >= {cfg.uplift_min}D AND recommended_action IN ({offered})
+                    THEN recommended_action ELSE 'no_action' END"""
 
 
 def select_interventions(scored: DataFrame, narratives: DataFrame, cfg: EngineConfig) -> DataFrame:
     """Action plan of the high-risk users."""
     told = narratives.select("msno", "recommended_action", "explanation", "action_justification")
     return (
-        scored.filter(F.col("churn_flag") == 1)
+        scored.filter("churn_flag = 1")
         .select("msno", "churn_prob", "uplift_score")
         .join(told, "msno", "left")
-        .select(
+        .selectExpr(
             "msno",
             "churn_prob",
             "uplift_score",
-            final_action(cfg).alias("final_action"),
+            f"{final_action(cfg)} AS final_action",
             "explanation",
             "action_justification",
         )
     )
 
 
-def _acts() -> Column:
-    return F.col("final_action") != "no_action"
-
-
 def plan_kpis(plan: DataFrame) -> DataFrame:
-    users, acted = F.count(F.lit(1)), F.count(F.when(_acts(), 1))
-    return plan.agg(
-        users.alias("high_risk_users"),
-        acted.alias("actionable_users"),
-        round_to(F.try_divide(acted * 100.0, users), 1).alias("intervention_rate"),
-    )
+    acted = "count_if(final_action <> 'no_action')"
+    metrics = {
+        "high_risk_users": "count(*)",
+        "actionable_users": acted,
+        "intervention_rate": round_to(f"try_divide({acted} * 100D, count(*))", 1),
+    }
+    return plan.agg(*columns(metrics))
 
 
 def top_plan(plan: DataFrame, n: int = 200) -> DataFrame:
@@ -55,17 +52,17 @@ def top_plan(plan: DataFrame, n: int = 200) -> DataFrame:
 
 def segment_summary(plan: DataFrame, mart: DataFrame, segment: str) -> DataFrame:
     """Users, mean risk and intervention share per segment; users without one are left out."""
-    tagged = plan.join(mart.select("msno", segment), "msno", "left")
+    acted = "avg(CASE WHEN final_action <> 'no_action' THEN 1D ELSE 0D END) * 100D"
+    metrics = {
+        "high_risk_users": "count(DISTINCT msno)",
+        "avg_churn_prob": "avg(churn_prob)",
+        "intervention_rate": round_to(acted, 1),
+    }
     return (
-        tagged.filter(F.col(segment).isNotNull())
+        plan.join(mart.select("msno", segment), "msno", "left")
+        .filter(f"{segment} IS NOT NULL")
         .groupBy(segment)
-        .agg(
-            F.count_distinct("msno").alias("high_risk_users"),
-            F.avg("churn_prob").alias("avg_churn_prob"),
-            round_to(F.avg(F.when(_acts(), 1.0).otherwise(0.0)) * 100.0, 1).alias(
-                "intervention_rate"
-            ),
-        )
+        .agg(*columns(metrics))
         .orderBy(F.desc("avg_churn_prob"))
     )
 
@@ -76,32 +73,32 @@ def risk_lookup(
     """Risk record of each requested user; unknown keys give no row."""
     wanted = keys.filter(usable_key()).select("msno").distinct()
     shifts = change_points.select("msno", "change_point_detected", "change_point_date")
-    record = scored.join(wanted, "msno", "left_semi").select(
+    record = scored.join(wanted, "msno", "left_semi").selectExpr(
         "msno",
-        F.col("churn_prob").alias("churn_probability"),
-        (F.col("churn_flag") == 1).alias("churn_flag"),
-        top_factors(scored, n).alias("top_risk_factors"),
+        "churn_prob AS churn_probability",
+        "churn_flag = 1 AS churn_flag",
+        f"{top_factors(scored, n)} AS top_risk_factors",
         "uplift_score",
     )
-    return (
-        record.join(narratives, "msno", "left")
-        .join(shifts, "msno", "left")
-        .withColumns(
-            {
-                "change_point_detected": F.coalesce("change_point_detected", F.lit(False)),
-                "change_point_date": F.col("change_point_date").cast("string"),
-            }
-        )
+    joined = record.join(narratives, "msno", "left").join(shifts, "msno", "left")
+    return joined.selectExpr(
+        *record.columns,
+        *[c for c in narratives.columns if c != "msno"],
+        "coalesce(change_point_detected, false) AS change_point_detected",
+        "CAST(change_point_date AS STRING) AS change_point_date",
     )
 
 
 def save_rate(outcomes: DataFrame) -> DataFrame:
     """Share of saved churners among treated and untreated users, and the difference."""
-    saved = F.col("was_saved").cast("int")
-    treated = F.avg(F.when(F.col("intervention_type") != "no_treatment", saved))
-    control = F.avg(F.when(F.col("intervention_type") == "no_treatment", saved))
-    return outcomes.agg(
-        treated.alias("treated_save_rate"),
-        control.alias("control_save_rate"),
-        (treated - control).alias("save_rate_lift"),
-    )
+
+    def rate(condition: str) -> str:
+        return f"avg(CASE WHEN intervention_type {condition} 'no_treatment' THEN CAST(was_saved AS INT) END)"
+
+    treated, control = rate("<>"), rate("=")
+    metrics = {
+        "treated_save_rate": treated,
+        "control_save_rate": control,
+        "save_rate_lift": f"{treated} - {control}",
+    }
+    return outcomes.agg(*columns(metrics))

@@ -8,9 +8,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from staywise.config import EngineConfig
+from staywise.functions.columns import columns
 
 # Kernel distances are kept inside this range.
 DISTANCE_RANGE = (1e-2, 1e2)
@@ -105,79 +106,88 @@ def change_index(values: np.ndarray, cfg: EngineConfig) -> int | None:
     return None
 
 
-def breakpoints(rollup: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """Change index per user, NULL when there is none or the history is too short."""
+def user_series(rollup: DataFrame) -> DataFrame:
+    """One row per user: active days in order and the seconds of each.
+
+    An array holds at most one entry per calendar day.
+    """
+    pairs = "array_sort(collect_list(struct(log_date, day_secs)))"
+    return (
+        rollup.groupBy("msno")
+        .agg(*columns({"series": pairs}))
+        .selectExpr("msno", "series.log_date AS days", "series.day_secs AS secs")
+    )
+
+
+def with_breakpoints(series: DataFrame, cfg: EngineConfig) -> DataFrame:
+    """Add ``cp_idx``: the change index, NULL when there is none.
+
+    Histories below the minimum are not sent to Python.
+    """
 
     @F.pandas_udf("int")
-    def locate(series: pd.Series) -> pd.Series:
-        found = [None if v is None else change_index(np.asarray(v), cfg) for v in series]
+    def locate(batch: pd.Series) -> pd.Series:
+        found = [None if v is None else change_index(np.asarray(v), cfg) for v in batch]
         return pd.Series(found, dtype="Int32")
 
-    per_user = rollup.groupBy("msno").agg(
-        F.collect_list(F.struct("log_date", "day_secs")).alias("days")
-    )
-    long_enough = F.when(
-        F.size("days") >= cfg.cp_min_days,
-        F.transform(F.array_sort("days"), lambda day: day["day_secs"]),
-    )
-    return per_user.select("msno", locate(long_enough).alias("cp_idx"))
+    long_enough = F.expr(f"CASE WHEN size(secs) >= {cfg.cp_min_days} THEN secs END")
+    return series.withColumn("cp_idx", locate(long_enough))
 
 
-def change_point_stats(rollup: DataFrame, points: DataFrame) -> DataFrame:
-    """Date, slope, means and relative change around each user's change index."""
-    days = Window.partitionBy("msno").orderBy("log_date")
-    shifted = (
-        rollup.select("msno", "log_date", "day_secs")
-        .withColumn("i", F.row_number().over(days) - 1)
-        .join(points.filter(F.col("cp_idx").isNotNull()), "msno")
-        .withColumn("after", F.col("i") - F.col("cp_idx"))
-    )
-    before, after = F.col("after") < 0, F.col("after") >= 0
-
-    def mean(condition: Column) -> Column:
-        total = F.sum(F.when(condition, F.col("day_secs")))
-        return total / F.nullif(F.count(F.when(condition, 1)), F.lit(0))
-
-    sums = shifted.groupBy("msno").agg(
-        F.max("log_date").alias("last_day"),
-        F.max(F.when(F.col("after") == 0, F.col("log_date"))).alias("change_point_date"),
-        mean(before).alias("pre_change_daily_mean"),
-        mean(after).alias("post_change_daily_mean"),
-        F.count(F.when(after, 1)).cast("double").alias("n"),
-        F.sum(F.when(after, F.col("day_secs"))).alias("sum_y"),
-        F.sum(F.when(after, F.col("after") * F.col("day_secs"))).alias("sum_xy"),
-    )
-    n = F.col("n")
-    # Least squares on 0..n-1, whose mean and scatter have closed forms.
-    slope = (F.col("sum_xy") - (n - 1.0) / 2.0 * F.col("sum_y")) / F.nullif(
-        n * (n * n - 1.0) / 12.0, F.lit(0.0)
+def change_point_stats(series: DataFrame) -> DataFrame:
+    """Date, slope, means and relative change around each user's ``cp_idx``.
+
+    Works on the arrays of ``user_series``: no join and no further shuffle. The slope is
+    least squares on 0..n-1, whose mean and scatter have closed forms.
+    """
+    halves = series.selectExpr(
+        "msno",
+        "days",
+        "cp_idx",
+        "slice(secs, 1, cp_idx) AS pre",
+        "slice(secs, cp_idx + 1, size(secs)) AS post",
     )
-    pre, post = F.col("pre_change_daily_mean"), F.col("post_change_daily_mean")
-    stats = sums.select(
+    total = "aggregate({}, 0D, (acc, y) -> acc + y)"
+    sums = halves.selectExpr(
         "msno",
-        "change_point_date",
-        F.datediff("last_day", "change_point_date").alias("days_since_change_point"),
-        F.when(n < 3, 0.0).otherwise(slope).alias("usage_slope_post_change"),
-        "pre_change_daily_mean",
-        "post_change_daily_mean",
-        ((post - pre) / (pre + 1e-9)).alias("pct_usage_change"),
+        "days",
+        "cp_idx",
+        "CAST(size(post) AS DOUBLE) AS n",
+        f"{total.format('pre')} AS sum_pre",
+        f"{total.format('post')} AS sum_post",
+        f"{total.format('transform(post, (y, i) -> i * y)')} AS sum_xy",
     )
-    return points.join(stats, "msno", "left").select(
+    stats = sums.selectExpr(
         "msno",
-        F.col("cp_idx").isNotNull().alias("change_point_detected"),
-        *[c for c in stats.columns if c != "msno"],
+        "cp_idx IS NOT NULL AS change_point_detected",
+        "days[cp_idx] AS change_point_date",
+        "datediff(element_at(days, -1), days[cp_idx]) AS days_since_change_point",
+        """CASE WHEN cp_idx IS NULL THEN NULL WHEN n < 3 THEN 0D
+                ELSE (sum_xy - (n - 1D) / 2D * sum_post) / (n * (n * n - 1D) / 12D)
+           END AS usage_slope_post_change""",
+        "sum_pre / nullif(cp_idx, 0) AS pre_change_daily_mean",
+        "sum_post / nullif(n, 0D) AS post_change_daily_mean",
+    )
+    return stats.selectExpr(
+        "*",
+        """(post_change_daily_mean - pre_change_daily_mean) / (pre_change_daily_mean + 1e-9D)
+           AS pct_usage_change""",
     )
 
 
 def detect_change_points(rollup: DataFrame, cfg: EngineConfig) -> DataFrame:
     """One row per user of the log; NULL statistics where nothing changed."""
-    return change_point_stats(rollup, breakpoints(rollup, cfg))
+    return change_point_stats(with_breakpoints(user_series(rollup), cfg))
 
 
 def detected_share(change_points: DataFrame) -> DataFrame:
-    found = F.count(F.when(F.col("change_point_detected"), 1))
+    found = "count_if(change_point_detected)"
     return change_points.agg(
-        found.alias("detected_users"),
-        F.count(F.lit(1)).alias("users"),
-        F.try_divide(found, F.count(F.lit(1))).alias("detected_share"),
+        *columns(
+            {
+                "detected_users": found,
+                "users": "count(*)",
+                "detected_share": f"try_divide({found}, count(*))",
+            }
+        )
     )

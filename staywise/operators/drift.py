@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from staywise.config import DRIFT_EXCLUDED, EngineConfig
+from staywise.functions.columns import columns, round_to
 from staywise.operators.ranking import running_totals
 
 
@@ -19,54 +20,58 @@ def drift_columns(reference: DataFrame, current: DataFrame) -> tuple[list[str],
     return numeric, [c for c in common if c not in numeric]
 
 
-def as_number(frame: DataFrame, column: str) -> Column:
+def as_number(frame: DataFrame, column: str) -> str:
     """Value as a double, NULL as 0, booleans as 0 and 1."""
-    c = F.col(column)
-    if isinstance(frame.schema[column].dataType, T.BooleanType):
-        c = c.cast("int")
-    return F.coalesce(c.cast("double"), F.lit(0.0)).alias(column)
+    boolean = isinstance(frame.schema[column].dataType, T.BooleanType)
+    inner = f"CAST({column} AS INT)" if boolean else column
+    return f"coalesce(CAST({inner} AS DOUBLE), 0D)"
 
 
-def long_values(frame: DataFrame, columns: list[str], *keep: str) -> DataFrame:
+def long_values(frame: DataFrame, names: list[str], *keep: str) -> DataFrame:
     """(feature, value) rows; nothing is shuffled before they are counted."""
-    numbers = frame.select(*keep, *[as_number(frame, c) for c in columns])
-    return numbers.unpivot(list(keep), columns, "feature", "value")
+    pairs = ", ".join(f"'{c}', {as_number(frame, c)}" for c in names)
+    return frame.selectExpr(*keep, f"stack({len(names)}, {pairs}) AS (feature, value)")
 
 
-def feature_ranges(frame: DataFrame, columns: list[str]) -> DataFrame:
+def feature_ranges(frame: DataFrame, names: list[str]) -> DataFrame:
     """Minimum and maximum per feature: one aggregate row turned into one row per column.
 
     A constant column gets half a unit on either side.
     """
-    numbers = frame.select(*[as_number(frame, c) for c in columns])
-    row = numbers.agg(*[F.struct(F.min(c).alias("lo"), F.max(c).alias("hi")).alias(c) for c in columns])
-    ends = row.unpivot([], columns, "feature", "range").select(
-        "feature", F.col("range.lo").alias("lo"), F.col("range.hi").alias("hi")
+    ends = {}
+    for c in names:
+        ends[f"lo_{c}"] = f"min({as_number(frame, c)})"
+        ends[f"hi_{c}"] = f"max({as_number(frame, c)})"
+    rows = ", ".join(f"'{c}', lo_{c}, hi_{c}" for c in names)
+    listed = frame.agg(*columns(ends)).selectExpr(
+        f"stack({len(names)}, {rows}) AS (feature, low, high)"
     )
-    flat = F.when(F.col("lo") == F.col("hi"), 0.5).otherwise(0.0)
-    return ends.select("feature", (F.col("lo") - flat).alias("lo"), (F.col("hi") + flat).alias("hi"))
+    flat = "CASE WHEN low = high THEN 0.5D ELSE 0D END"
+    return listed.selectExpr("feature", f"low - {flat} AS lo", f"high + {flat} AS hi")
 
 
-def bin_of(bins: int) -> Column:
+def bin_of(bins: int) -> str:
     """Equal-width bin of ``value`` within [lo, hi], NULL outside; the last bin is closed."""
-    value, lo, hi = F.col("value"), F.col("lo"), F.col("hi")
-    step = (hi - lo) / float(bins)
-    passed = sum(((value >= i * step + lo).cast("int") for i in range(1, bins)), F.lit(0))
-    return F.when(value.between(lo, hi), passed)
+    passed = " + ".join(
+        f"CAST(value >= {i} * ((hi - lo) / {bins}D) + lo AS INT)" for i in range(1, bins)
+    )
+    return f"CASE WHEN value BETWEEN lo AND hi THEN {passed} END"
 
 
 def bin_counts(reference: DataFrame, current: DataFrame, numeric: list[str], bins: int) -> DataFrame:
     """Counts per (feature, side, bin); partial counts leave each task, not values."""
-    sides = long_values(reference, numeric).withColumn("is_ref", F.lit(True)).unionByName(
-        long_values(current, numeric).withColumn("is_ref", F.lit(False))
+    sides = (
+        long_values(reference, numeric)
+        .selectExpr("*", "true AS is_ref")
+        .unionByName(long_values(current, numeric).selectExpr("*", "false AS is_ref"))
     )
     # As many rows as the table has columns.
     ranges = F.broadcast(feature_ranges(reference, numeric))
     return (
         sides.join(ranges, "feature")
-        .select("feature", "is_ref", bin_of(bins).alias("bin"))
+        .selectExpr("feature", "is_ref", f"{bin_of(bins)} AS bin")
         .groupBy("feature", "is_ref", "bin")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(*columns({"n": "count(*)"}))
     )
 
 
@@ -78,29 +83,30 @@ def psi_by_feature(reference: DataFrame, current: DataFrame, cfg: EngineConfig)
     """
     numeric, text = drift_columns(reference, current)
     counts = bin_counts(reference, current, numeric, cfg.psi_bins)
-    feature_rows = counts.groupBy("feature").agg(
-        F.sum(F.when(F.col("is_ref"), F.col("n")).otherwise(0)).alias("ref_rows"),
-        F.sum(F.when(~F.col("is_ref"), F.col("n")).otherwise(0)).alias("cur_rows"),
-        *[
-            F.sum(F.when((F.col("is_ref") == side) & (F.col("bin") == b), F.col("n")).otherwise(0)).alias(
-                f"{name}{b}"
-            )
-            for b in range(cfg.psi_bins)
-            for side, name in ((True, "r"), (False, "c"))
-        ],
-    )
-    floor = F.lit(cfg.psi_floor)
-    index = F.lit(0.0)
-    for b in range(cfg.psi_bins):
-        r = F.greatest(F.try_divide(f"r{b}", "ref_rows"), floor)
-        c = F.greatest(F.coalesce(F.try_divide(f"c{b}", "cur_rows"), F.lit(0.0)), floor)
-        index = index + (c - r) * F.log(c / r)
-    result = feature_rows.select(
-        "feature", index.alias("psi"), (index > cfg.psi_threshold).alias("drifted")
+    bins = range(cfg.psi_bins)
+
+    def rows(condition: str) -> str:
+        return f"sum(CASE WHEN {condition} THEN n ELSE 0 END)"
+
+    sums = {"ref_rows": rows("is_ref"), "cur_rows": rows("NOT is_ref")}
+    for b in bins:
+        sums[f"r{b}"] = rows(f"is_ref AND bin = {b}")
+        sums[f"c{b}"] = rows(f"NOT is_ref AND bin = {b}")
+    shares = {
+        f"{side}{b}": f"greatest(coalesce(try_divide({side}{b}, {whole}), 0D), {cfg.psi_floor}D)"
+        for b in bins
+        for side, whole in (("r", "ref_rows"), ("c", "cur_rows"))
+    }
+    index = " + ".join(f"(c{b} - r{b}) * ln(c{b} / r{b})" for b in bins)
+    result = (
+        counts.groupBy("feature")
+        .agg(*columns(sums))
+        .select("feature", *columns(shares))
+        .selectExpr("feature", f"{index} AS psi")
+        .selectExpr("*", f"psi > {cfg.psi_threshold}D AS drifted")
     )
     if text:
-        spark = reference.sparkSession
-        listed = spark.createDataFrame(
+        listed = reference.sparkSession.createDataFrame(
             [(c, None, False) for c in text], "feature string, psi double, drifted boolean"
         )
         result = result.unionByName(listed)
@@ -113,33 +119,33 @@ def ks_by_feature(reference: DataFrame, current: DataFrame) -> DataFrame:
     Drift is called beyond the asymptotic 5 % critical value.
     """
     numeric, _ = drift_columns(reference, current)
-    sides = long_values(reference, numeric).select("*", F.lit(1).alias("r"), F.lit(0).alias("c")).unionByName(
-        long_values(current, numeric).select("*", F.lit(0).alias("r"), F.lit(1).alias("c"))
+    sides = (
+        long_values(reference, numeric)
+        .selectExpr("*", "1 AS r", "0 AS c")
+        .unionByName(long_values(current, numeric).selectExpr("*", "0 AS r", "1 AS c"))
     )
-    counts = sides.groupBy("feature", "value").agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
+    sums = columns({"r": "sum(r)", "c": "sum(c)"})
+    counts = sides.groupBy("feature", "value").agg(*sums)
     ranked = running_totals(counts, "value", ["r", "c"], "feature")
-    distance = F.abs(F.col("cum_r") / F.col("all_r") - F.col("cum_c") / F.col("all_c"))
-    n, m = F.max("all_r").cast("double"), F.max("all_c").cast("double")
-    critical = 1.358 * F.sqrt((n + m) / (n * m))
+    statistic = "max(abs(cum_r / all_r - cum_c / all_c))"
+    n, m = "CAST(max(all_r) AS DOUBLE)", "CAST(max(all_c) AS DOUBLE)"
+    critical = f"1.358D * sqrt(({n} + {m}) / ({n} * {m}))"
     return ranked.groupBy("feature").agg(
-        F.max(distance).alias("ks_statistic"),
-        (F.max(distance) > critical).alias("drifted"),
+        *columns({"ks_statistic": statistic, "drifted": f"{statistic} > {critical}"})
     )
 
 
 def drift_summary(by_feature: DataFrame, cfg: EngineConfig) -> DataFrame:
     """One-row report; drift of the data set means that too large a share of columns drifted."""
-    drifted = F.count(F.when(F.col("drifted"), 1))
-    total = F.count(F.lit(1))
-    share = F.coalesce(F.try_divide(drifted, total), F.lit(0.0))
-    rounded = F.floor(share * 10000.0 + 0.5) / 10000.0
-    return by_feature.agg(
-        (share > cfg.drift_share).alias("dataset_drift_detected"),
-        drifted.alias("drifted_features"),
-        total.alias("total_features"),
-        rounded.alias("drift_share"),
-        (share > cfg.drift_share).alias("retraining_recommended"),
-    )
+    share = "coalesce(try_divide(count_if(drifted), count(*)), 0D)"
+    metrics = {
+        "dataset_drift_detected": f"{share} > {cfg.drift_share}D",
+        "drifted_features": "count_if(drifted)",
+        "total_features": "count(*)",
+        "drift_share": round_to(share, 4),
+        "retraining_recommended": f"{share} > {cfg.drift_share}D",
+    }
+    return by_feature.agg(*columns(metrics))
 
 
 def should_retrain(report: Callable[[], DataFrame], force: bool = False) -> bool:

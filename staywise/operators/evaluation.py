@@ -2,58 +2,51 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from staywise.functions.columns import columns
 from staywise.operators.ranking import running_totals
 
 
 def class_weight(labelled: DataFrame, label: str = "is_churn") -> DataFrame:
     """Weight of the positive class: negatives per positive, at least 1."""
-    positives = F.sum(F.col(label).cast("long"))
-    negatives = F.count(label) - positives
-    return labelled.agg(
-        F.greatest(F.lit(1.0), F.try_divide(negatives, positives)).alias("positive_weight")
-    )
+    weight = f"greatest(1D, try_divide(count({label}) - sum({label}), sum({label})))"
+    return labelled.agg(*columns({"positive_weight": weight}))
 
 
 def stratified_split(
-    labelled: DataFrame, draw, label: str = "is_churn", key: str = "msno", share: float = 0.2
+    labelled: DataFrame, draw: str, label: str = "is_churn", key: str = "msno", share: float = 0.2
 ) -> DataFrame:
     """Tag an exact share of each class as validation rows (``is_validation``).
 
     ``draw`` is a deterministic per-row number. The cut is the exact order statistic of
     the draw within each class, taken from distributed running counts.
     """
-    drawn = labelled.select(key, F.col(label).alias("__class"), draw.alias("__draw"))
-    counts = drawn.groupBy("__class", "__draw").agg(F.count(F.lit(1)).alias("n"))
-    ranked = running_totals(counts, "__draw", ["n"], "__class")
-    wanted = F.ceil(F.col("all_n") * share)
+    drawn = labelled.selectExpr(key, label, f"{draw} AS __draw")
+    counts = drawn.groupBy(label, "__draw").agg(*columns({"n": "count(*)"}))
+    ranked = running_totals(counts, "__draw", ["n"], label)
+    wanted = f"ceil(all_n * {share}D)"
     # One row per class: the draw at the cut and how many of its rows still fit.
     cut = F.broadcast(
-        ranked.filter((F.col("cum_n") >= wanted) & (F.col("cum_n") - F.col("n") < wanted)).select(
-            "__class",
-            F.col("__draw").alias("__cut"),
-            (wanted - F.col("cum_n") + F.col("n")).alias("__room"),
+        ranked.filter(f"cum_n >= {wanted} AND cum_n - n < {wanted}").selectExpr(
+            label, "__draw AS __cut", f"{wanted} - cum_n + n AS __room"
         )
     )
-    placed = drawn.join(cut, "__class")
-    clear = placed.filter(F.col("__draw") != F.col("__cut")).withColumn(
-        "is_validation", F.col("__draw") < F.col("__cut")
+    placed = drawn.join(cut, label)
+    clear = placed.filter("__draw <> __cut").selectExpr(
+        key, label, "__draw < __cut AS is_validation"
     )
     # Rows sharing the draw value at the cut are told apart by their key.
-    ties = Window.partitionBy("__class").orderBy(key)
-    tied = placed.filter(F.col("__draw") == F.col("__cut")).withColumn(
-        "is_validation", F.row_number().over(ties) <= F.col("__room")
+    order = f"row_number() OVER (PARTITION BY {label} ORDER BY {key})"
+    tied = placed.filter("__draw = __cut").selectExpr(
+        key, label, f"{order} <= __room AS is_validation"
     )
-    columns = [key, F.col("__class").alias(label), "is_validation"]
-    return clear.select(*columns).unionByName(tied.select(*columns))
+    return clear.unionByName(tied)
 
 
 def score_counts(scored: DataFrame, score: str, label: str) -> DataFrame:
-    hit = F.col(label).cast("long")
-    return scored.groupBy(F.col(score).alias("threshold")).agg(
-        F.sum(hit).alias("pos"), F.sum(1 - hit).alias("neg")
-    )
+    sums = {"pos": f"sum(CAST({label} AS BIGINT))", "neg": f"sum(CAST(1 - {label} AS BIGINT))"}
+    return scored.withColumnRenamed(score, "threshold").groupBy("threshold").agg(*columns(sums))
 
 
 def _ranked(scored: DataFrame, score: str, label: str) -> DataFrame:
@@ -64,37 +57,32 @@ def _ranked(scored: DataFrame, score: str, label: str) -> DataFrame:
 
 def auc_roc(scored: DataFrame, score: str = "churn_prob", label: str = "is_churn") -> DataFrame:
     """Area under the ROC curve; tied scores count half."""
-    above = F.col("cum_pos") - F.col("pos")
-    pairs = F.sum(F.col("neg") * (2 * above + F.col("pos"))).cast("double")
-    both = (F.sum("pos") * F.sum("neg")).cast("double")
-    return _ranked(scored, score, label).agg(
-        (pairs / 2.0 / F.nullif(both, F.lit(0.0))).alias("auc_roc")
-    )
+    wins = "CAST(sum(neg * (2 * (cum_pos - pos) + pos)) AS DOUBLE) / 2D"
+    area = f"try_divide({wins}, CAST(sum(pos) * sum(neg) AS DOUBLE))"
+    return _ranked(scored, score, label).agg(*columns({"auc_roc": area}))
 
 
 def average_precision(
     scored: DataFrame, score: str = "churn_prob", label: str = "is_churn"
 ) -> DataFrame:
     """Recall-weighted mean of the precision at each distinct score."""
-    precision = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
-    gained = F.sum(F.col("pos") * precision)
+    gained = "sum(pos * (cum_pos / (cum_pos + cum_neg)))"
     return _ranked(scored, score, label).agg(
-        F.try_divide(gained, F.sum("pos")).alias("average_precision")
+        *columns({"average_precision": f"try_divide({gained}, sum(pos))"})
     )
 
 
 def roc_points(scored: DataFrame, score: str = "churn_prob", label: str = "is_churn") -> DataFrame:
-    return _ranked(scored, score, label).select(
+    return _ranked(scored, score, label).selectExpr(
         "threshold",
-        F.try_divide("cum_neg", "all_neg").alias("fpr"),
-        F.try_divide("cum_pos", "all_pos").alias("tpr"),
+        "try_divide(cum_neg, all_neg) AS fpr",
+        "try_divide(cum_pos, all_pos) AS tpr",
     )
 
 
 def pr_points(scored: DataFrame, score: str = "churn_prob", label: str = "is_churn") -> DataFrame:
-    flagged = F.col("cum_pos") + F.col("cum_neg")
-    return _ranked(scored, score, label).select(
+    return _ranked(scored, score, label).selectExpr(
         "threshold",
-        (F.col("cum_pos") / flagged).alias("precision"),
-        F.try_divide("cum_pos", "all_pos").alias("recall"),
+        "cum_pos / (cum_pos + cum_neg) AS precision",
+        "try_divide(cum_pos, all_pos) AS recall",
     )

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from staywise.config import EngineConfig
 from staywise.functions.columns import (
-    count_where,
+    columns,
+    day,
+    day_from_int,
     days_ago,
     flag,
     from_units,
@@ -17,55 +19,42 @@ from staywise.functions.columns import (
 
 
 def support_signals(tickets: DataFrame, cfg: EngineConfig) -> DataFrame:
-    d = days_ago(cfg.ref_date, "ticket_date")
-    cancels = F.col("is_cancellation") == 1
-    billing = F.col("category") == "billing"
-    last_30, last_90 = count_where(d <= 30), count_where(d <= 90)
-    return tickets.groupBy("msno").agg(
-        last_30.alias("ticket_count_30d"),
-        last_90.alias("ticket_count_90d"),
-        F.count(F.lit(1)).alias("ticket_count_all"),
-        round_to(ratio(last_30 * 3.0, last_90), 4).alias("ticket_velocity"),
-        round_to(ratio(F.sum("is_negative"), F.count("is_negative")), 4).alias(
-            "pct_negative_sentiment"
-        ),
-        count_where(F.col("is_negative") == 1).alias("negative_ticket_count"),
-        count_where(F.col("is_unresolved") == 1).alias("unresolved_ticket_count"),
-        round_to(F.avg("time_to_fix_hours"), 2).alias("avg_time_to_fix_hours"),
-        F.max("is_cancellation").alias("has_cancellation_inquiry"),
-        F.max(flag(cancels & (d <= 30))).alias("cancellation_inquiry_30d"),
-        count_where(billing).alias("billing_ticket_count"),
-        count_where(billing & (d <= 30)).alias("billing_ticket_30d"),
-    )
-
-
-# Payment fields carried by the latest transaction of a user.
-LATEST_FIELDS = (
-    "transaction_date",
-    "membership_expire_date",
-    "is_auto_renew",
-    "is_cancel",
-    "plan_list_price",
-)
-
-
-def _latest_payment() -> Column:
-    """The user's newest dated payment as one struct-valued aggregate (no self-join)."""
-    recency = F.struct(F.col("transaction_date"), F.col("txn_key"))
-    return F.max(F.struct(recency.alias("recency"), F.struct(*LATEST_FIELDS).alias("row")))
+    age = days_ago(cfg.ref_date, "ticket_date")
+    last_30, last_90 = f"count_if({age} <= 30)", f"count_if({age} <= 90)"
+    negative_share = ratio("sum(is_negative)", "count(is_negative)")
+    metrics = {
+        "ticket_count_30d": last_30,
+        "ticket_count_90d": last_90,
+        "ticket_count_all": "count(*)",
+        "ticket_velocity": round_to(ratio(f"{last_30} * 3D", last_90), 4),
+        "pct_negative_sentiment": round_to(negative_share, 4),
+        "negative_ticket_count": "count_if(is_negative = 1)",
+        "unresolved_ticket_count": "count_if(is_unresolved = 1)",
+        "avg_time_to_fix_hours": round_to("avg(time_to_fix_hours)", 2),
+        "has_cancellation_inquiry": "max(is_cancellation)",
+        "cancellation_inquiry_30d": f"max({flag(f'is_cancellation = 1 AND {age} <= 30')})",
+        "billing_ticket_count": "count_if(category = 'billing')",
+        "billing_ticket_30d": f"count_if(category = 'billing' AND {age} <= 30)",
+    }
+    return tickets.groupBy("msno").agg(*columns(metrics))
+
+
+# The user's newest dated payment as one struct-valued aggregate (no self-join).
+LATEST_PAYMENT = """max(struct(transaction_date, txn_key, membership_expire_date,
+                               is_auto_renew, is_cancel, plan_list_price))"""
 
 
 def latest_transaction(transactions: DataFrame) -> DataFrame:
     return (
         transactions.groupBy("msno")
-        .agg(_latest_payment().alias("last"))
-        .select(
+        .agg(*columns({"last": LATEST_PAYMENT}))
+        .selectExpr(
             "msno",
-            F.col("last.row.transaction_date").alias("last_txn_date"),
-            F.col("last.row.membership_expire_date").alias("membership_expire_date"),
-            F.col("last.row.is_auto_renew").alias("auto_renew_flag"),
-            F.col("last.row.is_cancel").alias("is_cancel_flag"),
-            F.col("last.row.plan_list_price").alias("current_plan_price"),
+            "last.transaction_date AS last_txn_date",
+            "last.membership_expire_date AS membership_expire_date",
+            "last.is_auto_renew AS auto_renew_flag",
+            "last.is_cancel AS is_cancel_flag",
+            "last.plan_list_price AS current_plan_price",
         )
     )
 
@@ -76,46 +65,30 @@ def transaction_signals(transactions: DataFrame, cfg: EngineConfig) -> DataFrame
     The distinct counts first group by (user, value), so even a user with a third of all
     payments is combined before and spread across the shuffle.
     """
-    d = days_ago(cfg.ref_date, "transaction_date")
-    in_90 = d <= 90
-    discount = F.col("discount_rate")
-    mean_discount = ratio(
-        from_units(F.sum(to_units(discount, 4)), 4), F.count("discount_rate")
-    )
-    last = F.col("last.row")
+    recent = f"{days_ago(cfg.ref_date, 'transaction_date')} <= 90"
+    discount_sum = from_units(f"sum({to_units('discount_rate', 4)})", 4)
+    metrics = {
+        "last": LATEST_PAYMENT,
+        "plan_downgrade_flag": "max(plan_downgrade_flag)",
+        "payment_failure_count_90d": f"count_if(payment_failure_flag = 1 AND {recent})",
+        "avg_discount_rate": round_to(ratio(discount_sum, "count(discount_rate)"), 4),
+        "received_discount_90d": f"max({flag(f'discount_rate > 0 AND {recent}')})",
+        "payment_method_changes": "count(DISTINCT payment_method_id)",
+        "total_paid_90d": f"sum(CASE WHEN {recent} THEN actual_amount_paid ELSE 0D END)",
+        "distinct_plan_count": "count(DISTINCT plan_list_price)",
+        "cancellation_count": "count_if(is_cancel = 1)",
+    }
     return (
         transactions.groupBy("msno")
-        .agg(
-            _latest_payment().alias("last"),
-            F.max("plan_downgrade_flag").alias("plan_downgrade_flag"),
-            count_where((F.col("payment_failure_flag") == 1) & in_90).alias(
-                "payment_failure_count_90d"
-            ),
-            round_to(mean_discount, 4).alias("avg_discount_rate"),
-            F.max(flag((discount > 0) & in_90)).alias("received_discount_90d"),
-            F.count_distinct("payment_method_id").alias("payment_method_changes"),
-            F.sum(F.when(in_90, F.col("actual_amount_paid")).otherwise(0.0)).alias(
-                "total_paid_90d"
-            ),
-            F.count_distinct("plan_list_price").alias("distinct_plan_count"),
-            count_where(F.col("is_cancel") == 1).alias("cancellation_count"),
-        )
-        .select(
+        .agg(*columns(metrics))
+        .selectExpr(
             "msno",
-            last["is_auto_renew"].alias("auto_renew_flag"),
-            last["is_cancel"].alias("is_cancel_flag"),
-            days_ago(cfg.ref_date, last["transaction_date"]).alias("days_since_last_txn"),
-            F.datediff(last["membership_expire_date"], F.lit(cfg.ref_date)).alias(
-                "membership_expire_days"
-            ),
-            "plan_downgrade_flag",
-            "payment_failure_count_90d",
-            "avg_discount_rate",
-            "received_discount_90d",
-            "payment_method_changes",
-            "total_paid_90d",
-            "distinct_plan_count",
-            "cancellation_count",
+            "last.is_auto_renew AS auto_renew_flag",
+            "last.is_cancel AS is_cancel_flag",
+            f"{days_ago(cfg.ref_date, 'last.transaction_date')} AS days_since_last_txn",
+            f"datediff(last.membership_expire_date, {day(cfg.ref_date)}) "
+            "AS membership_expire_days",
+            *[m for m in metrics if m != "last"],
         )
     )
 
@@ -126,115 +99,118 @@ def feature_adoption(events: DataFrame, cfg: EngineConfig) -> DataFrame:
     Grouping by (user, feature) first makes the distinct counts plain counts: a feature
     was used in the window exactly when its smallest age is inside the window.
     """
-    d = days_ago(cfg.ref_date, "event_date")
-    secs = F.col("session_duration_sec").cast("long")
+    age = days_ago(cfg.ref_date, "event_date")
     per_feature = events.groupBy("msno", "feature_name").agg(
-        F.min(d).alias("newest"),
-        F.min(F.when(d >= 0, d)).alias("newest_past"),
-        F.sum(F.when(d <= 30, secs).otherwise(0)).alias("secs_30"),
-        count_where(d <= 30).alias("events_30"),
-    )
-    used_30 = count_where((F.col("newest") <= 30) & F.col("feature_name").isNotNull())
-    return per_feature.groupBy("msno").agg(
-        used_30.alias("unique_features_used_30d"),
-        F.count("feature_name").alias("unique_features_used_all"),
-        round_to(used_30 / float(cfg.product_feature_count), 4).alias("feature_diversity_score"),
-        F.min("newest_past").alias("days_since_last_feature_use"),
-        ratio(F.sum("secs_30"), F.sum("events_30")).alias("avg_session_duration_30d"),
-        F.sum("secs_30").alias("total_session_sec_30d"),
+        *columns(
+            {
+                "newest": f"min({age})",
+                "newest_past": f"min(CASE WHEN {age} >= 0 THEN {age} END)",
+                "secs_30": f"sum(CASE WHEN {age} <= 30 "
+                "THEN CAST(session_duration_sec AS BIGINT) ELSE 0 END)",
+                "events_30": f"count_if({age} <= 30)",
+            }
+        )
     )
+    used_30 = "count_if(newest <= 30 AND feature_name IS NOT NULL)"
+    metrics = {
+        "unique_features_used_30d": used_30,
+        "unique_features_used_all": "count(feature_name)",
+        "feature_diversity_score": round_to(f"{used_30} / {cfg.product_feature_count}D", 4),
+        "days_since_last_feature_use": "min(newest_past)",
+        "avg_session_duration_30d": ratio("sum(secs_30)", "sum(events_30)"),
+        "total_session_sec_30d": "sum(secs_30)",
+    }
+    return per_feature.groupBy("msno").agg(*columns(metrics))
 
 
 def intervention_engagement(interventions: DataFrame) -> DataFrame:
     """Latest intervention of each user, so the master table keeps one row per user."""
-    newest = F.max(
-        F.struct("intervention_date", "intervention_type", "email_opened", "email_clicked")
-    )
+    newest = "max(struct(intervention_date, intervention_type, email_opened, email_clicked))"
     return (
         interventions.groupBy("msno")
-        .agg(newest.alias("last"))
-        .select(
+        .agg(*columns({"last": newest}))
+        .selectExpr(
             "msno",
-            F.col("last.intervention_type").alias("last_intervention_type"),
-            F.col("last.email_opened").alias("email_opened"),
-            F.col("last.email_clicked").alias("email_clicked"),
+            "last.intervention_type AS last_intervention_type",
+            "last.email_opened AS email_opened",
+            "last.email_clicked AS email_clicked",
         )
     )
 
 
 def activity_stats(raw_logs: DataFrame) -> DataFrame:
     """Mean, spread and span of a user's activity, straight from the raw log."""
-    day = F.try_to_date(F.col("date").cast("string"), "yyyyMMdd")
-    span = F.greatest(F.datediff(F.col("last_log"), F.col("first_log")), F.lit(1))
+    log_day = day_from_int("date")
+    metrics = {
+        "total_seconds_mean": "avg(total_secs)",
+        "total_seconds_std": "coalesce(stddev_samp(total_secs), 50D)",
+        "num_25_mean": "avg(num_25)",
+        "active_days": f"count({log_day})",
+        "first_log": f"min({log_day})",
+        "last_log": f"max({log_day})",
+    }
     return (
         raw_logs.groupBy("msno")
-        .agg(
-            F.avg("total_secs").alias("total_seconds_mean"),
-            F.coalesce(F.stddev_samp("total_secs"), F.lit(50.0)).alias("total_seconds_std"),
-            F.avg("num_25").alias("num_25_mean"),
-            F.count(day).alias("active_days"),
-            F.min(day).alias("first_log"),
-            F.max(day).alias("last_log"),
-        )
-        .withColumn("tenure_days", span)
+        .agg(*columns(metrics))
+        .selectExpr("*", "greatest(datediff(last_log, first_log), 1) AS tenure_days")
     )
 
 
 def last_transaction_date(raw_transactions: DataFrame) -> DataFrame:
-    day = F.try_to_date(F.col("transaction_date").cast("string"), "yyyyMMdd")
-    return raw_transactions.groupBy("msno").agg(F.max(day).alias("last_transaction_date"))
+    newest = f"max({day_from_int('transaction_date')})"
+    return raw_transactions.groupBy("msno").agg(*columns({"last_transaction_date": newest}))
 
 
 # Defaults of the wide table for users without rows in a feature family;
 # None keeps the column as it is.
 MASTER_DEFAULTS = {
-    "sessions_last_30d": 0,
-    "sessions_last_60d": 0,
-    "sessions_last_90d": 0,
-    "hours_last_30d": 0.0,
-    "avg_session_duration_30d": 0.0,
+    "sessions_last_30d": "0",
+    "sessions_last_60d": "0",
+    "sessions_last_90d": "0",
+    "hours_last_30d": "0D",
+    "avg_session_duration_30d": "0D",
     "usage_decay_30d": None,
     "usage_decay_60d": None,
     "usage_decay_90d": None,
-    "completion_rate_avg_30d": 0.0,
-    "skip_rate_avg_30d": 0.0,
-    "login_days_last_30d": 0,
-    "login_days_last_60d": 0,
-    "login_gap_days_avg": 0.0,
-    "login_gap_days_max": 0,
-    "login_gap_days_recent": 0,
-    "login_streak_max": 0,
-    "login_streak_current": 0,
-    "days_since_last_login": 999,
-    "ticket_count_30d": 0,
-    "ticket_count_90d": 0,
-    "ticket_velocity": 0.0,
-    "pct_negative_sentiment": 0.0,
-    "unresolved_ticket_count": 0,
-    "has_cancellation_inquiry": 0,
-    "cancellation_inquiry_30d": 0,
-    "billing_ticket_count": 0,
-    "auto_renew_flag": 0,
-    "is_cancel_flag": 0,
-    "plan_downgrade_flag": 0,
-    "payment_failure_count_90d": 0,
-    "days_since_last_txn": 999,
-    "membership_expire_days": 0,
-    "avg_discount_rate": 0.0,
-    "payment_method_changes": 1,
-    "total_paid_90d": 0.0,
-    "cancellation_count": 0,
-    "unique_features_used_30d": 0,
-    "feature_diversity_score": 0.0,
-    "days_since_last_feature_use": 999,
-    "change_point_detected": False,
+    "completion_rate_avg_30d": "0D",
+    "skip_rate_avg_30d": "0D",
+    "login_days_last_30d": "0",
+    "login_days_last_60d": "0",
+    "login_gap_days_avg": "0D",
+    "login_gap_days_max": "0",
+    "login_gap_days_recent": "0",
+    "login_streak_max": "0",
+    "login_streak_current": "0",
+    "days_since_last_login": "999",
+    "ticket_count_30d": "0",
+    "ticket_count_90d": "0",
+    "ticket_velocity": "0D",
+    "pct_negative_sentiment": "0D",
+    "unresolved_ticket_count": "0",
+    "has_cancellation_inquiry": "0",
+    "cancellation_inquiry_30d": "0",
+    "billing_ticket_count": "0",
+    "auto_renew_flag": "0",
+    "is_cancel_flag": "0",
+    "plan_downgrade_flag": "0",
+    "payment_failure_count_90d": "0",
+    "days_since_last_txn": "999",
+    "membership_expire_days": "0",
+    "avg_discount_rate": "0D",
+    "payment_method_changes": "1",
+    "total_paid_90d": "0D",
+    "cancellation_count": "0",
+    "unique_features_used_30d": "0",
+    "feature_diversity_score": "0D",
+    "days_since_last_feature_use": "999",
+    "change_point_detected": "false",
     "change_point_date": None,
-    "days_since_change_point": 999,
-    "usage_slope_post_change": 0.0,
-    "pct_usage_change": 0.0,
+    "days_since_change_point": "999",
+    "usage_slope_post_change": "0D",
+    "pct_usage_change": "0D",
     "last_intervention_type": None,
-    "email_opened": False,
-    "email_clicked": False,
+    "email_opened": "false",
+    "email_clicked": "false",
 }
 
 
@@ -263,18 +239,14 @@ def feature_master(
     wide = members.join(labels.select("msno", "is_churn"), "msno", "inner" if labelled_only else "left")
     for part in (activity, support, payments, adoption, change_points, engagement):
         wide = wide.join(part, "msno", "left")
-    features = [
-        (F.col(n) if v is None else F.coalesce(F.col(n), F.lit(v))).alias(n)
-        for n, v in MASTER_DEFAULTS.items()
-    ]
-    return wide.select(
+    return wide.selectExpr(
         "msno",
         "is_churn",
         "gender_male_flag",
-        F.col("city").alias("city_encoded"),
+        "city AS city_encoded",
         "registered_via",
         "age",
-        F.col("age_bucket").alias("age_bucket_encoded"),
+        "age_bucket AS age_bucket_encoded",
         "tenure_days",
-        *features,
+        *[n if v is None else f"coalesce({n}, {v}) AS {n}" for n, v in MASTER_DEFAULTS.items()],
     )

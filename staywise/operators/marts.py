@@ -2,50 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from staywise.config import TREATMENT_CODES, EngineConfig
+from staywise.functions.columns import columns
 
 # Ordinal codes of the age buckets; unknown is 0.
 AGE_CODES = {"10-19": 1, "20-29": 2, "30-39": 3, "40-49": 4, "50+": 5}
 
 
-def code_of(column: str, codes: dict[str, int]) -> Column:
+def code_of(column: str, codes: dict[str, int]) -> str:
     """Integer code of a label, 0 when it is unknown or NULL."""
-    chain = None
-    for label, code in codes.items():
-        hit = F.col(column) == label
-        chain = F.when(hit, code) if chain is None else chain.when(hit, code)
-    return chain.otherwise(0)
+    cases = " ".join(f"WHEN '{label}' THEN {code}" for label, code in codes.items())
+    return f"CASE {column} {cases} ELSE 0 END"
 
 
-def clip_decay(column: str) -> Column:
-    return F.greatest(F.lit(-2.0), F.least(F.lit(2.0), F.coalesce(F.col(column), F.lit(0.0))))
+def clip_decay(column: str) -> str:
+    return f"greatest(-2D, least(2D, coalesce({column}, 0D)))"
 
 
-def cap_days(column: str) -> Column:
-    return F.least(F.lit(180), F.col(column))
+def cap_days(column: str) -> str:
+    return f"least(180, {column})"
 
 
-def behavioral_cohort(decay: Column) -> Column:
-    active = F.col("sessions_last_30d")
-    return (
-        F.when((active >= 20) & (decay > -0.2), "power_user")
-        .when(active >= 10, "regular")
-        .when(active >= 1, "casual")
-        .when(F.col("days_since_last_login") <= 30, "recently_inactive")
-        .otherwise("dormant")
-    )
+def behavioral_cohort(decay: str) -> str:
+    return f"""CASE WHEN sessions_last_30d >= 20 AND {decay} > -0.2D THEN 'power_user'
+                    WHEN sessions_last_30d >= 10 THEN 'regular'
+                    WHEN sessions_last_30d >= 1 THEN 'casual'
+                    WHEN days_since_last_login <= 30 THEN 'recently_inactive'
+                    ELSE 'dormant' END"""
 
 
-def risk_tier(decay: Column) -> Column:
-    idle = (F.col("sessions_last_30d") < 5) & (F.col("days_since_last_login") > 14)
-    return (
-        F.when((decay > 0.3) & (F.col("ticket_count_30d") >= 2), "critical")
-        .when((decay > 0.2) | (F.col("has_cancellation_inquiry") == 1), "high")
-        .when(idle, "medium")
-        .otherwise("low")
-    )
+def risk_tier(decay: str) -> str:
+    return f"""CASE WHEN {decay} > 0.3D AND ticket_count_30d >= 2 THEN 'critical'
+                    WHEN {decay} > 0.2D OR has_cancellation_inquiry = 1 THEN 'high'
+                    WHEN sessions_last_30d < 5 AND days_since_last_login > 14 THEN 'medium'
+                    ELSE 'low' END"""
 
 
 # Columns of the churn mart in order.
@@ -80,9 +72,11 @@ def churn_mart(master: DataFrame, cfg: EngineConfig) -> DataFrame:
         "age_bucket_encoded": code_of("age_bucket_encoded", AGE_CODES),
         "behavioral_cohort": behavioral_cohort(decay),
         "risk_tier": risk_tier(decay),
-        "split": F.when(F.col("is_churn").isNotNull(), "train").otherwise("score"),
+        "split": "CASE WHEN is_churn IS NOT NULL THEN 'train' ELSE 'score' END",
     }
-    return master.select(*[shaped.get(c, F.col(c)).alias(c) for c in CHURN_MART_COLUMNS])
+    return master.selectExpr(
+        *[f"{shaped[c]} AS {c}" if c in shaped else c for c in CHURN_MART_COLUMNS]
+    )
 
 
 # Mart columns carried into the treatment results, in order.
@@ -100,10 +94,10 @@ TREATMENT_FEATURES = (
 
 
 def latest_per_treatment(interventions: DataFrame) -> DataFrame:
-    newest = F.max(F.struct("intervention_date", "email_opened", "email_clicked"))
+    newest = "max(struct(intervention_date, email_opened, email_clicked))"
     return (
         interventions.groupBy("msno", "intervention_type")
-        .agg(newest.alias("last"))
+        .agg(*columns({"last": newest}))
         .select("msno", "intervention_type", "last.email_opened", "last.email_clicked")
     )
 
@@ -114,15 +108,15 @@ def intervention_mart(mart: DataFrame, interventions: DataFrame, outcomes: DataF
     Repeated sends of one treatment count once (the latest), so a user with many of them
     does not multiply rows.
     """
-    labelled = mart.filter(F.col("is_churn").isNotNull())
+    labelled = mart.filter("is_churn IS NOT NULL")
     joined = (
         outcomes.join(latest_per_treatment(interventions), ["msno", "intervention_type"])
         .join(labelled.select("msno", *TREATMENT_FEATURES), "msno")
     )
-    return joined.select(
+    return joined.selectExpr(
         "msno",
         "intervention_type",
-        code_of("intervention_type", TREATMENT_CODES).alias("intervention_type_encoded"),
+        f"{code_of('intervention_type', TREATMENT_CODES)} AS intervention_type_encoded",
         "email_opened",
         "email_clicked",
         "observed_churn",

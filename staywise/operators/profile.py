@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from staywise.functions.columns import columns
 from staywise.operators.drift import bin_of, feature_ranges, long_values
 from staywise.operators.ranking import exact_quantiles
 
@@ -18,56 +19,60 @@ PROFILE_FEATURES = (
 
 
 def churn_rate(mart: DataFrame) -> DataFrame:
-    return mart.agg(F.avg("is_churn").alias("churn_rate"), F.count("is_churn").alias("labelled_users"))
+    return mart.agg(
+        *columns({"churn_rate": "avg(is_churn)", "labelled_users": "count(is_churn)"})
+    )
 
 
 def target_distribution(mart: DataFrame) -> DataFrame:
-    classes = mart.filter(F.col("is_churn").isNotNull()).groupBy("is_churn").agg(F.count(F.lit(1)).alias("users"))
-    everyone = F.sum("users").over(Window.partitionBy())  # two rows
-    return classes.withColumn("proportion", F.col("users") / everyone)
+    classes = mart.filter("is_churn IS NOT NULL").groupBy("is_churn")
+    # The window runs over the two class rows.
+    return classes.agg(*columns({"users": "count(*)"})).selectExpr(
+        "*", "users / sum(users) OVER () AS proportion"
+    )
 
 
 def feature_summary(mart: DataFrame, features: tuple[str, ...] = PROFILE_FEATURES) -> DataFrame:
     """Count, mean, deviation, extremes and quartiles per feature."""
     values = long_values(mart, list(features))
     moments = values.groupBy("feature").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+        *columns(
+            {
+                "count": "count(value)",
+                "mean": "avg(value)",
+                "std": "stddev_samp(value)",
+                "min": "min(value)",
+                "max": "max(value)",
+            }
+        )
     )
-    quartiles = exact_quantiles(values, "feature", "value", [0.25, 0.5, 0.75]).toDF(
-        "feature", "p25", "p50", "p75"
+    quartiles = exact_quantiles(values, "feature", "value", [0.25, 0.5, 0.75])
+    return moments.join(quartiles, "feature").withColumnsRenamed(
+        {"q0": "p25", "q1": "p50", "q2": "p75"}
     )
-    return moments.join(quartiles, "feature")
 
 
-def feature_histogram(mart: DataFrame, features: tuple[str, ...] = PROFILE_FEATURES, bins: int = 20) -> DataFrame:
+def feature_histogram(
+    mart: DataFrame, features: tuple[str, ...] = PROFILE_FEATURES, bins: int = 20
+) -> DataFrame:
     """Counts per feature, class and equal-width bin: the data behind a density plot."""
-    labelled = mart.filter(F.col("is_churn").isNotNull())
+    labelled = mart.filter("is_churn IS NOT NULL")
     ranges = F.broadcast(feature_ranges(labelled, list(features)))
-    step = (F.col("hi") - F.col("lo")) / float(bins)
+    counted = ("feature", "is_churn", "bin", "lo", "hi")
     return (
         long_values(labelled, list(features), "is_churn")
         .join(ranges, "feature")
-        .select("feature", "is_churn", bin_of(bins).alias("bin"), "lo", step.alias("step"))
-        .groupBy("feature", "is_churn", "bin", "lo", "step")
-        .agg(F.count(F.lit(1)).alias("users"))
-        .select(
-            "feature",
-            "is_churn",
-            "bin",
-            (F.col("lo") + F.col("bin") * F.col("step")).alias("bin_start"),
-            "users",
+        .selectExpr("*", f"{bin_of(bins)} AS bin")
+        .groupBy(*counted)
+        .agg(*columns({"users": "count(*)"}))
+        .selectExpr(
+            *counted[:3], f"lo + bin * ((hi - lo) / {bins}D) AS bin_start", "users"
         )
     )
 
 
 def churn_by_tier(mart: DataFrame) -> DataFrame:
-    return (
-        mart.filter(F.col("is_churn").isNotNull())
-        .groupBy("risk_tier")
-        .agg(F.avg("is_churn").alias("churn_rate"), F.count(F.lit(1)).alias("users"))
-        .orderBy(F.desc("churn_rate"))
+    tiers = mart.filter("is_churn IS NOT NULL").groupBy("risk_tier")
+    return tiers.agg(*columns({"churn_rate": "avg(is_churn)", "users": "count(*)"})).orderBy(
+        F.desc("churn_rate")
     )

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
+
+from staywise.functions.columns import columns
 
 
 def running_totals(
@@ -21,38 +23,31 @@ def running_totals(
     slices before it. Where the cuts fall changes only the balance, never the result.
     """
     key = group or "__all"
-    rows = df if group else df.withColumn(key, F.lit(0))
-    shares = [i / slices for i in range(1, slices)]
-    cuts = rows.groupBy(key).agg(F.percentile_approx(order, shares, 100 * slices).alias("__cuts"))
-    x = F.col(order)
+    rows = df if group else df.selectExpr("*", "0 AS __all")
+    shares = ", ".join(f"{i / slices}D" for i in range(1, slices))
+    cut_points = f"percentile_approx({order}, array({shares}), {100 * slices})"
+    cuts = rows.groupBy(key).agg(*columns({"__cuts": cut_points}))
+    sign = "-" if descending else ""
     # One row of cuts per group and one row of totals per slice: sizes fixed by the caller.
-    placed = rows.join(F.broadcast(cuts), key).withColumn(
-        "__slice", F.size(F.filter("__cuts", lambda c: c < x))
-    ).drop("__cuts")
-    if descending:
-        placed = placed.withColumn("__slice", -F.col("__slice"))
-
-    in_order = F.col(order).desc() if descending else F.col(order).asc()
-    inside = (
-        Window.partitionBy(key, "__slice")
-        .orderBy(in_order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = rows.join(F.broadcast(cuts), key).selectExpr(
+        *rows.columns, f"{sign}size(filter(__cuts, c -> c < {order})) AS __slice"
     )
-    before = (
-        Window.partitionBy(key).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    per_slice = placed.groupBy(key, "__slice").agg(*[F.sum(s).alias(s) for s in sums])
-    offsets = per_slice.select(
+
+    inside = f"""(PARTITION BY {key}, __slice ORDER BY {order} {'DESC' if descending else 'ASC'}
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+    before = f"""(PARTITION BY {key} ORDER BY __slice
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
+    per_slice = placed.groupBy(key, "__slice").agg(*columns({s: f"sum({s})" for s in sums}))
+    offsets = per_slice.selectExpr(
         key,
         "__slice",
-        *[F.coalesce(F.sum(s).over(before), F.lit(0)).alias(f"__before_{s}") for s in sums],
-        *[F.sum(s).over(Window.partitionBy(key)).alias(f"all_{s}") for s in sums],
+        *[f"coalesce(sum({s}) OVER {before}, 0) AS __before_{s}" for s in sums],
+        *[f"sum({s}) OVER (PARTITION BY {key}) AS all_{s}" for s in sums],
     )
-    totals = placed.withColumns({f"cum_{s}": F.sum(s).over(inside) for s in sums})
-    joined = totals.join(F.broadcast(offsets), [key, "__slice"])
-    return joined.select(
+    totals = placed.selectExpr("*", *[f"sum({s}) OVER {inside} AS __cum_{s}" for s in sums])
+    return totals.join(F.broadcast(offsets), [key, "__slice"]).selectExpr(
         *df.columns,
-        *[(F.col(f"cum_{s}") + F.col(f"__before_{s}")).alias(f"cum_{s}") for s in sums],
+        *[f"__cum_{s} + __before_{s} AS cum_{s}" for s in sums],
         *[f"all_{s}" for s in sums],
     )
 
@@ -62,21 +57,14 @@ def exact_quantiles(values: DataFrame, group: str, value: str, shares: list[floa
 
     Ranks come from running counts of distinct values, so no task holds a whole group.
     """
-    counts = values.groupBy(group, value).agg(F.count(F.lit(1)).alias("n"))
+    counts = values.groupBy(group, value).agg(*columns({"n": "count(*)"}))
     ranked = running_totals(counts, value, ["n"], group)
-    first, last = F.col("cum_n") - F.col("n"), F.col("cum_n") - 1
-    picks = []
+    picks, blends = {}, {}
     for i, share in enumerate(shares):
-        rank = F.lit(share) * (F.col("all_n") - 1)
-        lower, upper = F.floor(rank), F.ceil(rank)
-        picks += [
-            F.max(F.when(lower.between(first, last), F.col(value))).alias(f"lo{i}"),
-            F.max(F.when(upper.between(first, last), F.col(value))).alias(f"hi{i}"),
-            F.max(rank - lower).alias(f"w{i}"),
-        ]
-    picked = ranked.groupBy(group).agg(*picks)
-    blend = [
-        (F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * F.col(f"w{i}")).alias(f"q{i}")
-        for i in range(len(shares))
-    ]
-    return picked.select(group, *blend)
+        rank = f"{share}D * (all_n - 1)"
+        for side, whole in (("lo", f"floor({rank})"), ("hi", f"ceil({rank})")):
+            covered = f"{whole} BETWEEN cum_n - n AND cum_n - 1"
+            picks[f"{side}{i}"] = f"max(CASE WHEN {covered} THEN {value} END)"
+        picks[f"w{i}"] = f"max({rank} - floor({rank}))"
+        blends[f"q{i}"] = f"lo{i} + (hi{i} - lo{i}) * w{i}"
+    return ranked.groupBy(group).agg(*columns(picks)).select(group, *columns(blends))

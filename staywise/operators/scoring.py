@@ -2,58 +2,59 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, types as T
 
 from staywise.config import CHURN_FEATURES, EngineConfig
+from staywise.functions.columns import columns
 
 
-def feature_columns(frame: DataFrame, features: tuple[str, ...] = CHURN_FEATURES) -> list[Column]:
+def feature_columns(frame: DataFrame, features: tuple[str, ...] = CHURN_FEATURES) -> list[str]:
     """The model features as doubles; NULL and columns the frame lacks become 0."""
     kinds = {f.name: f.dataType for f in frame.schema.fields}
-    out = []
-    for name in features:
+
+    def number(name: str) -> str:
         if name not in kinds:
-            out.append(F.lit(0.0).alias(name))
-            continue
-        value = F.col(name)
-        if isinstance(kinds[name], T.BooleanType):
-            value = value.cast("int")
-        out.append(F.coalesce(value.cast("double"), F.lit(0.0)).alias(name))
-    return out
+            return f"0D AS {name}"
+        inner = f"CAST({name} AS INT)" if isinstance(kinds[name], T.BooleanType) else name
+        return f"coalesce(CAST({inner} AS DOUBLE), 0D) AS {name}"
+
+    return [number(name) for name in features]
 
 
-def churn_flag(probability: Column, cfg: EngineConfig) -> Column:
-    return F.when(probability >= cfg.churn_threshold, 1).otherwise(0)
+def churn_flag(probability: str, cfg: EngineConfig) -> str:
+    return f"CASE WHEN {probability} >= {cfg.churn_threshold}D THEN 1 ELSE 0 END"
 
 
-def linear_score(coefficients: dict[str, float], intercept: float) -> Column:
+def linear_score(coefficients: dict[str, float], intercept: float) -> str:
     """Logistic probability of a linear model over feature columns."""
-    z = F.lit(intercept)
-    for name, weight in coefficients.items():
-        z = z + F.col(name) * weight
-    return 1.0 / (1.0 + F.exp(-z))
+    terms = "".join(f" + {name} * ({weight}D)" for name, weight in coefficients.items())
+    return f"(1D / (1D + exp(-({intercept}D{terms}))))"
 
 
-def linear_attributions(
-    frame: DataFrame, coefficients: dict[str, float], only_if: Column
-) -> DataFrame:
+def linear_attributions(frame: DataFrame, coefficients: dict[str, float], only_if: str) -> DataFrame:
     """``shap_<feature>`` = weight * (value - population mean), NULL where not wanted.
 
     The means are one row, read by the plan as a scalar subquery.
     """
-    means = frame.agg(F.struct(*[F.avg(c).alias(c) for c in coefficients]).alias("m")).scalar()
-    with_means = frame.withColumn("__means", means)
+    means = frame.agg(*columns({"m": f"named_struct({_pairs(coefficients)})"})).scalar()
     parts = {
-        f"shap_{c}": F.when(only_if, (F.col(c) - F.col("__means")[c]) * w)
+        f"shap_{c}": f"CASE WHEN {only_if} THEN ({c} - __means.{c}) * ({w}D) END"
         for c, w in coefficients.items()
     }
-    return with_means.withColumns(parts).drop("__means")
+    return frame.withColumn("__means", means).select("*", *columns(parts)).drop("__means")
+
+
+def _pairs(names) -> str:
+    return ", ".join(f"'{c}', avg({c})" for c in names)
 
 
 def high_risk_summary(scored: DataFrame) -> DataFrame:
-    flagged = F.count(F.when(F.col("churn_flag") == 1, 1))
     return scored.agg(
-        F.count(F.lit(1)).alias("scored_users"),
-        flagged.alias("high_risk_users"),
-        F.try_divide(flagged, F.count(F.lit(1))).alias("high_risk_share"),
+        *columns(
+            {
+                "scored_users": "count(*)",
+                "high_risk_users": "count_if(churn_flag = 1)",
+                "high_risk_share": "try_divide(count_if(churn_flag = 1), count(*))",
+            }
+        )
     )

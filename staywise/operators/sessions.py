@@ -7,11 +7,12 @@ which bounds every per-user window below.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame
 
 from staywise.config import EngineConfig
 from staywise.functions.columns import (
-    count_where,
+    columns,
+    day,
     days_ago,
     flag,
     from_units,
@@ -27,150 +28,138 @@ def daily_rollup(logs: DataFrame) -> DataFrame:
     Four-decimal columns are summed as whole ten-thousandths, so sums and the averages
     taken from them are exact and independent of partitioning.
     """
-    return logs.groupBy("msno", "log_date").agg(
-        F.sum("total_secs").alias("day_secs"),
-        F.sum(F.col("total_tracks").cast("long")).alias("day_tracks"),
-        F.sum(to_units(F.col("listening_hours"), 4)).alias("hours_units"),
-        F.count(F.lit(1)).alias("log_rows"),
-        F.sum(to_units(F.col("completion_rate"), 4)).alias("completion_units"),
-        F.sum(to_units(F.col("skip_rate"), 4)).alias("skip_units"),
-        F.count("completion_rate").alias("rated_rows"),
-    )
+    sums = {
+        "day_secs": "sum(total_secs)",
+        "day_tracks": "sum(CAST(total_tracks AS BIGINT))",
+        "hours_units": f"sum({to_units('listening_hours', 4)})",
+        "log_rows": "count(*)",
+        "completion_units": f"sum({to_units('completion_rate', 4)})",
+        "skip_units": f"sum({to_units('skip_rate', 4)})",
+        "rated_rows": "count(completion_rate)",
+    }
+    return logs.groupBy("msno", "log_date").agg(*columns(sums))
 
 
 def daily_activity(rollup: DataFrame) -> DataFrame:
-    return rollup.select(
+    return rollup.selectExpr(
         "msno",
         "log_date",
-        from_units(F.col("hours_units"), 4).alias("daily_hours"),
-        F.col("day_tracks").alias("daily_tracks"),
+        f"{from_units('hours_units', 4)} AS daily_hours",
+        "day_tracks AS daily_tracks",
     )
 
 
 def with_session_ids(rollup: DataFrame) -> DataFrame:
     """Tag each active day with its session: a gap of more than one day starts a new one."""
-    days = Window.partitionBy("msno").orderBy("log_date")
-    previous = F.col("prev_log_date")
-    starts = flag(previous.isNull() | (F.datediff("log_date", previous) > 1))
-    so_far = days.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    starts = flag("prev_log_date IS NULL OR datediff(log_date, prev_log_date) > 1")
     return (
-        rollup.withColumn("prev_log_date", F.lag("log_date").over(days))
-        .withColumn("is_session_start", starts)
-        .withColumn("session_id", F.sum("is_session_start").over(so_far))
+        rollup.selectExpr(
+            "*", "lag(log_date) OVER (PARTITION BY msno ORDER BY log_date) AS prev_log_date"
+        )
+        .selectExpr("*", f"{starts} AS is_session_start")
+        .selectExpr(
+            "*",
+            """sum(is_session_start) OVER (PARTITION BY msno ORDER BY log_date
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS session_id""",
+        )
     )
 
 
-def _session_columns() -> list[Column]:
-    return [
-        F.min("log_date").alias("session_start"),
-        F.max("log_date").alias("session_end"),
-        F.count(F.lit(1)).alias("session_length_days"),
-        from_units(F.sum("hours_units"), 4).alias("session_total_hours"),
-        ratio(F.sum("day_tracks"), F.count(F.lit(1))).alias("session_avg_daily_tracks"),
-        F.sum("day_tracks").alias("session_total_tracks"),
-    ]
-
-
 def sessions(rollup: DataFrame) -> DataFrame:
-    return with_session_ids(rollup).groupBy("msno", "session_id").agg(*_session_columns())
+    metrics = {
+        "session_start": "min(log_date)",
+        "session_end": "max(log_date)",
+        "session_length_days": "count(*)",
+        "session_total_hours": from_units("sum(hours_units)", 4),
+        "session_avg_daily_tracks": ratio("sum(day_tracks)", "count(*)"),
+        "session_total_tracks": "sum(day_tracks)",
+    }
+    return with_session_ids(rollup).groupBy("msno", "session_id").agg(*columns(metrics))
 
 
 def session_gaps(session_rows: DataFrame) -> DataFrame:
     """Idle days between a session and the one before it; NULL for the first."""
-    by_session = Window.partitionBy("msno").orderBy("session_id")
-    return session_rows.withColumn(
-        "gap_before_session",
-        F.datediff("session_start", F.lag("session_end").over(by_session)),
+    return session_rows.selectExpr(
+        "*",
+        """datediff(session_start, lag(session_end) OVER
+               (PARTITION BY msno ORDER BY session_id)) AS gap_before_session""",
     )
 
 
-def _days_within(cfg: EngineConfig, days: int) -> Column:
-    return count_where(days_ago(cfg.ref_date, "log_date") <= days)
-
-
-def _cadence_columns(cfg: EngineConfig) -> dict[str, Column]:
+def _cadence(cfg: EngineConfig) -> dict[str, str]:
     """Login cadence of a user as aggregates over sessions, the latest one included."""
-    latest_end = F.max("session_end")
-    latest_length = F.max_by("session_length_days", "session_id")
-    idle_now = days_ago(cfg.ref_date, latest_end)
-    mean_gap = ratio(F.sum("gap_before_session"), F.count("gap_before_session"))
+    idle_now = days_ago(cfg.ref_date, "max(session_end)")
+    mean_gap = ratio("sum(gap_before_session)", "count(gap_before_session)")
     return {
-        "login_days_last_30d": F.sum("days_30"),
-        "login_days_last_60d": F.sum("days_60"),
-        "login_gap_days_avg": round_to(F.coalesce(mean_gap, F.lit(0.0)), 2),
-        "login_gap_days_max": F.coalesce(F.max("gap_before_session"), F.lit(0)),
-        "login_gap_days_recent": F.coalesce(
-            F.max_by("gap_before_session", "session_id"), F.lit(0)
-        ),
-        "login_streak_max": F.max("session_length_days"),
-        "login_streak_current": F.when(idle_now <= 3, latest_length).otherwise(0),
+        "login_days_last_30d": "sum(days_30)",
+        "login_days_last_60d": "sum(days_60)",
+        "login_gap_days_avg": round_to(f"coalesce({mean_gap}, 0D)", 2),
+        "login_gap_days_max": "coalesce(max(gap_before_session), 0)",
+        "login_gap_days_recent": "coalesce(max_by(gap_before_session, session_id), 0)",
+        "login_streak_max": "max(session_length_days)",
+        "login_streak_current": f"CASE WHEN {idle_now} <= 3 "
+        "THEN max_by(session_length_days, session_id) ELSE 0 END",
         "days_since_last_login": idle_now,
     }
 
 
-def _sessions_with(rollup: DataFrame, cfg: EngineConfig, extra: list[Column]) -> DataFrame:
+def _sessions_with(rollup: DataFrame, cfg: EngineConfig, extra: dict[str, str]) -> DataFrame:
+    age = days_ago(cfg.ref_date, "log_date")
+    metrics = {
+        "session_start": "min(log_date)",
+        "session_end": "max(log_date)",
+        "session_length_days": "count(*)",
+        "days_30": f"count_if({age} <= 30)",
+        "days_60": f"count_if({age} <= 60)",
+        **extra,
+    }
     tagged = with_session_ids(rollup)
-    grouped = tagged.groupBy("msno", "session_id").agg(
-        F.min("log_date").alias("session_start"),
-        F.max("log_date").alias("session_end"),
-        F.count(F.lit(1)).alias("session_length_days"),
-        _days_within(cfg, 30).alias("days_30"),
-        _days_within(cfg, 60).alias("days_60"),
-        *extra,
-    )
-    return session_gaps(grouped)
+    return session_gaps(tagged.groupBy("msno", "session_id").agg(*columns(metrics)))
 
 
 def login_frequency(rollup: DataFrame, cfg: EngineConfig) -> DataFrame:
     """Login cadence per user in one pass: windows and both aggregates share one exchange."""
-    metrics = _cadence_columns(cfg)
-    return (
-        _sessions_with(rollup, cfg, [])
-        .groupBy("msno")
-        .agg(*[c.alias(name) for name, c in metrics.items()])
-    )
+    return _sessions_with(rollup, cfg, {}).groupBy("msno").agg(*columns(_cadence(cfg)))
 
 
 # ---- usage decay -----------------------------------------------------------------------
 
 
-def _window_sums(cfg: EngineConfig) -> dict[str, Column]:
+def _window_sums(cfg: EngineConfig) -> dict[str, str]:
     """Additive day-level pieces from which all usage windows are computed."""
-    d = days_ago(cfg.ref_date, "log_date")
+    age = days_ago(cfg.ref_date, "log_date")
 
-    def total(condition: Column, column: str) -> Column:
-        return F.sum(F.when(condition, F.col(column)).otherwise(0))
+    def total(condition: str, column: str) -> str:
+        return f"sum(CASE WHEN {condition} THEN {column} ELSE 0 END)"
 
-    pieces: dict[str, Column] = {}
+    pieces: dict[str, str] = {}
     for length, recent in cfg.windows:
-        inside = d <= length
-        pieces[f"w{length}_days"] = count_where(inside)
+        inside = f"{age} <= {length}"
+        pieces[f"w{length}_days"] = f"count_if({inside})"
         pieces[f"w{length}_hours"] = total(inside, "hours_units")
         pieces[f"w{length}_tracks"] = total(inside, "day_tracks")
         pieces[f"w{length}_rows"] = total(inside, "log_rows")
-        for half, condition in (
-            ("old", d.between(recent + 1, length)),
-            ("new", d.between(1, recent)),
-        ):
+        for half, lo, hi in (("old", recent + 1, length), ("new", 1, recent)):
+            condition = f"{age} BETWEEN {lo} AND {hi}"
             pieces[f"w{length}_{half}_hours"] = total(condition, "hours_units")
             pieces[f"w{length}_{half}_rows"] = total(condition, "log_rows")
-    shortest = d <= cfg.windows[0][0]
+    shortest = f"{age} <= {cfg.windows[0][0]}"
     pieces["rated_rows_30"] = total(shortest, "rated_rows")
     pieces["completion_30"] = total(shortest, "completion_units")
     pieces["skip_30"] = total(shortest, "skip_units")
     return pieces
 
 
-def _usage_columns(cfg: EngineConfig) -> dict[str, Column]:
-    def mean(units: str, rows: str) -> Column:
-        return ratio(from_units(F.col(units), 4), F.col(rows))
+def _usage(cfg: EngineConfig) -> dict[str, str]:
+    def mean(units: str, rows: str) -> str:
+        return ratio(from_units(units, 4), rows)
 
-    out: dict[str, Column] = {}
+    out: dict[str, str] = {}
     for length, _ in cfg.windows:
         w = f"w{length}"
-        out[f"sessions_last_{length}d"] = F.col(f"{w}_days")
-        out[f"hours_last_{length}d"] = from_units(F.col(f"{w}_hours"), 4)
-        out[f"tracks_last_{length}d"] = F.col(f"{w}_tracks")
+        out[f"sessions_last_{length}d"] = f"{w}_days"
+        out[f"hours_last_{length}d"] = from_units(f"{w}_hours", 4)
+        out[f"tracks_last_{length}d"] = f"{w}_tracks"
         out[f"avg_daily_hours_last_{length}d"] = mean(f"{w}_hours", f"{w}_rows")
     out["completion_rate_avg_30d"] = mean("completion_30", "rated_rows_30")
     out["skip_rate_avg_30d"] = mean("skip_30", "rated_rows_30")
@@ -178,7 +167,7 @@ def _usage_columns(cfg: EngineConfig) -> dict[str, Column]:
         w = f"w{length}"
         older = mean(f"{w}_old_hours", f"{w}_old_rows")
         recent = mean(f"{w}_new_hours", f"{w}_new_rows")
-        out[f"usage_decay_{length}d"] = round_to(ratio(older - recent, older), 4)
+        out[f"usage_decay_{length}d"] = round_to(ratio(f"({older} - {recent})", older), 4)
     return out
 
 
@@ -189,9 +178,9 @@ def usage_decay(rollup: DataFrame, cfg: EngineConfig) -> DataFrame:
     that aggregate to the log scan.
     """
     longest = cfg.windows[-1][0]
-    recent = rollup.filter(F.col("log_date") >= F.date_sub(F.lit(cfg.ref_date), longest))
-    sums = recent.groupBy("msno").agg(*[c.alias(n) for n, c in _window_sums(cfg).items()])
-    return sums.select("msno", *[c.alias(n) for n, c in _usage_columns(cfg).items()])
+    recent = rollup.filter(f"log_date >= date_sub({day(cfg.ref_date)}, {longest})")
+    sums = recent.groupBy("msno").agg(*columns(_window_sums(cfg)))
+    return sums.select("msno", *columns(_usage(cfg)))
 
 
 def activity_features(rollup: DataFrame, cfg: EngineConfig) -> DataFrame:
@@ -201,16 +190,12 @@ def activity_features(rollup: DataFrame, cfg: EngineConfig) -> DataFrame:
     scans and shuffles the log once instead of once per feature family. Users without
     activity in the longest window have NULL usage columns, as a left join would give.
     """
-    pieces = _window_sums(cfg)
-    cadence = _cadence_columns(cfg)
+    pieces, cadence = _window_sums(cfg), _cadence(cfg)
     per_user = (
-        _sessions_with(rollup, cfg, [c.alias(n) for n, c in pieces.items()])
+        _sessions_with(rollup, cfg, pieces)
         .groupBy("msno")
-        .agg(
-            *[c.alias(n) for n, c in cadence.items()],
-            *[F.sum(n).alias(n) for n in pieces],
-        )
+        .agg(*columns({**cadence, **{n: f"sum({n})" for n in pieces}}))
     )
-    active = F.col(f"w{cfg.windows[-1][0]}_days") > 0
-    usage = {n: F.when(active, c).alias(n) for n, c in _usage_columns(cfg).items()}
-    return per_user.select("msno", *cadence, *usage.values())
+    active = f"w{cfg.windows[-1][0]}_days > 0"
+    usage = {n: f"CASE WHEN {active} THEN {sql} END" for n, sql in _usage(cfg).items()}
+    return per_user.select("msno", *cadence, *columns(usage))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from staywise.sources.writers import settle
 
@@ -28,28 +28,28 @@ def crowded_keys(df: DataFrame, key: str, max_group_rows: int) -> tuple[DataFram
 def previous_value(
     df: DataFrame,
     key: str,
-    order: list[Column],
+    order: list[str],
     value: str,
     out: str,
     max_group_rows: int,
 ) -> DataFrame:
-    """``lag(value)`` within ``key`` by ``order`` (ascending, NULL first).
+    """``lag(value)`` within ``key`` by the ``order`` expressions (ascending, NULL first).
 
     Ordinary keys use a plain window. A crowded key is cut into range slices of its own
     order: each slice is ordered in its own task and takes over the last value of the
     slice before it, so no task ever sees the whole key.
     """
-    plain = Window.partitionBy(key).orderBy(*order)
+    plain = f"lag({value}) OVER (PARTITION BY {key} ORDER BY {', '.join(order)}) AS {out}"
     crowded, crowded_rows = crowded_keys(df, key, max_group_rows)
     if crowded is None:
-        return df.withColumn(out, F.lag(value).over(plain))
+        return df.selectExpr("*", plain)
 
     small = F.broadcast(crowded)  # at most MAX_CROWDED keys
-    rest = df.join(small, key, "left_anti").withColumn(out, F.lag(value).over(plain))
+    rest = df.join(small, key, "left_anti").selectExpr("*", plain)
 
     names = [f"__o{i}" for i in range(len(order))]
     salted = df.join(small, key, "left_semi").select(
-        "*", *[c.alias(n) for c, n in zip(order, names)], F.rand(7).alias("__salt")
+        "*", *[F.expr(c).alias(n) for c, n in zip(order, names)], F.rand(7).alias("__salt")
     )
     # The salt only spreads rows that are equal in every order column; it is written out
     # before anything is partitioned by it.

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from staywise.config import EngineConfig
 from staywise.functions.columns import (
     clean_text,
+    columns,
     day_from_int,
     day_from_text,
     days_ago,
@@ -16,42 +17,24 @@ from staywise.functions.columns import (
 from staywise.operators.skew import previous_value
 
 
-def gender_flag(gender: str = "gender") -> Column:
-    return F.when(F.col(gender) == "male", 1).when(F.col(gender) == "female", 0)
-
-
-def plausible_age(age: str = "bd") -> Column:
-    return F.when(F.col(age).between(10, 75), F.col(age))
-
-
-def age_bucket(age: str = "age") -> Column:
-    a = F.col(age)
-    return (
-        F.when(a.isNull(), "unknown")
-        .when(a >= 50, "50+")
-        .when(a >= 40, "40-49")
-        .when(a >= 30, "30-39")
-        .when(a >= 20, "20-29")
-        .otherwise("10-19")
-    )
-
-
 def stage_members(raw: DataFrame, cfg: EngineConfig) -> DataFrame:
+    """Gender flag, plausible age with its bucket, and tenure at the reference date."""
     return (
-        raw.filter(F.col("msno").isNotNull())
-        .select(
+        raw.filter("msno IS NOT NULL")
+        .selectExpr(
             "msno",
-            gender_flag().alias("gender_male_flag"),
+            "CASE gender WHEN 'male' THEN 1 WHEN 'female' THEN 0 END AS gender_male_flag",
             "city",
             "registered_via",
-            day_from_int("registration_init_time").alias("registration_date"),
-            plausible_age().alias("age"),
+            f"{day_from_int('registration_init_time')} AS registration_date",
+            "CASE WHEN bd BETWEEN 10 AND 75 THEN bd END AS age",
         )
-        .withColumns(
-            {
-                "age_bucket": age_bucket(),
-                "tenure_days": days_ago(cfg.ref_date, "registration_date"),
-            }
+        .selectExpr(
+            "*",
+            """CASE WHEN age IS NULL THEN 'unknown' WHEN age >= 50 THEN '50+'
+                    WHEN age >= 40 THEN '40-49' WHEN age >= 30 THEN '30-39'
+                    WHEN age >= 20 THEN '20-29' ELSE '10-19' END AS age_bucket""",
+            f"{days_ago(cfg.ref_date, 'registration_date')} AS tenure_days",
         )
     )
 
@@ -61,45 +44,28 @@ PLAY_COUNTERS = ("num_25", "num_50", "num_75", "num_985", "num_100")
 
 def stage_user_logs(raw: DataFrame) -> DataFrame:
     """One row per log line with a valid day, plus play totals and play-through rates."""
-    counters = [
-        F.coalesce(F.col(c), F.lit(0)).alias(c) for c in (*PLAY_COUNTERS, "num_unq")
-    ]
-    plays = F.col("total_tracks")
-
-    def share(counter: str) -> Column:
-        part = F.col(counter).cast("double") / F.nullif(plays.cast("double"), F.lit(0.0))
-        return F.when(plays > 0, round_to(part, 4))
-
+    share = "CAST({} AS DOUBLE) / nullif(CAST(total_tracks AS DOUBLE), 0D)"
     return (
-        raw.filter(F.col("msno").isNotNull())
-        .select(
+        raw.filter("msno IS NOT NULL")
+        .selectExpr(
             "msno",
-            day_from_int("date").alias("log_date"),
-            *counters,
-            F.coalesce(F.col("total_secs"), F.lit(0.0)).alias("total_secs"),
+            f"{day_from_int('date')} AS log_date",
+            *[f"coalesce({c}, 0) AS {c}" for c in (*PLAY_COUNTERS, "num_unq")],
+            "coalesce(total_secs, 0D) AS total_secs",
         )
-        .filter(F.col("log_date").isNotNull())
-        .withColumn("total_tracks", sum((F.col(c) for c in PLAY_COUNTERS[1:]), F.col("num_25")))
-        .withColumns(
-            {
-                "listening_hours": round_to(F.col("total_secs") / 3600.0, 4),
-                "completion_rate": share("num_100"),
-                "skip_rate": share("num_25"),
-            }
+        .filter("log_date IS NOT NULL")
+        .selectExpr("*", f"{' + '.join(PLAY_COUNTERS)} AS total_tracks")
+        .selectExpr(
+            "*",
+            f"{round_to('total_secs / 3600D', 4)} AS listening_hours",
+            f"CASE WHEN total_tracks > 0 THEN {round_to(share.format('num_100'), 4)} END "
+            "AS completion_rate",
+            f"CASE WHEN total_tracks > 0 THEN {round_to(share.format('num_25'), 4)} END "
+            "AS skip_rate",
         )
     )
 
 
-def payment_failed() -> Column:
-    return flag((F.col("actual_amount_paid") == 0) & (F.col("plan_list_price") > 0))
-
-
-def discount_rate() -> Column:
-    listed = F.col("plan_list_price").cast("double")
-    paid_share = F.col("actual_amount_paid") / F.nullif(listed, F.lit(0.0))
-    return F.when(listed > 0, round_to(1.0 - paid_share, 4)).otherwise(0.0)
-
-
 def stage_transactions(raw: DataFrame, cfg: EngineConfig) -> DataFrame:
     """Payments with failure, discount and downgrade flags.
 
@@ -109,9 +75,10 @@ def stage_transactions(raw: DataFrame, cfg: EngineConfig) -> DataFrame:
     """
     if "txn_key" not in raw.columns:
         raw = raw.withColumn("txn_key", F.xxhash64(*[F.col(c) for c in raw.columns]))
+    discount = round_to("1D - actual_amount_paid / nullif(CAST(plan_list_price AS DOUBLE), 0D)", 4)
     parsed = (
-        raw.filter(F.col("msno").isNotNull())
-        .select(
+        raw.filter("msno IS NOT NULL")
+        .selectExpr(
             "msno",
             "txn_key",
             "payment_method_id",
@@ -120,84 +87,74 @@ def stage_transactions(raw: DataFrame, cfg: EngineConfig) -> DataFrame:
             "actual_amount_paid",
             "is_auto_renew",
             "is_cancel",
-            day_from_int("transaction_date").alias("transaction_date"),
-            day_from_int("membership_expire_date").alias("membership_expire_date"),
+            f"{day_from_int('transaction_date')} AS transaction_date",
+            f"{day_from_int('membership_expire_date')} AS membership_expire_date",
         )
-        .withColumns(
-            {
-                "days_until_expiry": F.datediff("membership_expire_date", "transaction_date"),
-                "payment_failure_flag": payment_failed(),
-                "discount_rate": discount_rate(),
-            }
+        .selectExpr(
+            "*",
+            "datediff(membership_expire_date, transaction_date) AS days_until_expiry",
+            f"{flag('actual_amount_paid = 0 AND plan_list_price > 0')} AS payment_failure_flag",
+            f"CASE WHEN plan_list_price > 0 THEN {discount} ELSE 0D END AS discount_rate",
         )
     )
     with_previous = previous_value(
         parsed,
         key="msno",
-        order=[
-            F.col("transaction_date").isNull(),
-            F.col("transaction_date"),
-            F.col("txn_key"),
-        ],
+        order=["transaction_date IS NULL", "transaction_date", "txn_key"],
         value="plan_list_price",
         out="prev_plan_list_price",
         max_group_rows=cfg.max_group_rows,
     )
-    return with_previous.withColumn(
-        "plan_downgrade_flag", flag(F.col("plan_list_price") < F.col("prev_plan_list_price"))
+    return with_previous.selectExpr(
+        "*", f"{flag('plan_list_price < prev_plan_list_price')} AS plan_downgrade_flag"
     )
 
 
 def stage_feature_events(raw: DataFrame) -> DataFrame:
-    return raw.filter(F.col("msno").isNotNull() & F.col("event_date").isNotNull()).select(
+    return raw.filter("msno IS NOT NULL AND event_date IS NOT NULL").selectExpr(
         "msno",
-        day_from_text("event_date").alias("event_date"),
-        clean_text("feature_name").alias("feature_name"),
-        F.coalesce(F.col("session_duration_sec"), F.lit(0)).alias("session_duration_sec"),
+        f"{day_from_text('event_date')} AS event_date",
+        f"{clean_text('feature_name')} AS feature_name",
+        "coalesce(session_duration_sec, 0) AS session_duration_sec",
     )
 
 
 def stage_support_tickets(raw: DataFrame) -> DataFrame:
     return (
-        raw.filter(F.col("msno").isNotNull() & F.col("ticket_date").isNotNull())
-        .select(
+        raw.filter("msno IS NOT NULL AND ticket_date IS NOT NULL")
+        .selectExpr(
             "ticket_id",
             "msno",
-            day_from_text("ticket_date").alias("ticket_date"),
-            clean_text("category").alias("category"),
-            clean_text("sentiment").alias("sentiment"),
-            clean_text("resolution_status").alias("resolution_status"),
+            f"{day_from_text('ticket_date')} AS ticket_date",
+            *[f"{clean_text(c)} AS {c}" for c in ("category", "sentiment", "resolution_status")],
             "time_to_fix_hours",
         )
-        .withColumns(
-            {
-                "is_negative": flag(F.col("sentiment") == "negative"),
-                "is_unresolved": flag(F.col("resolution_status") == "unresolved"),
-                "is_cancellation": flag(F.col("category") == "cancellation_inquiry"),
-            }
+        .select(
+            "*",
+            *columns(
+                {
+                    "is_negative": flag("sentiment = 'negative'"),
+                    "is_unresolved": flag("resolution_status = 'unresolved'"),
+                    "is_cancellation": flag("category = 'cancellation_inquiry'"),
+                }
+            ),
         )
     )
 
 
-def _false_if_null(column: str) -> Column:
-    return F.coalesce(F.col(column), F.lit(False)).alias(column)
-
-
 def stage_interventions(raw: DataFrame) -> DataFrame:
-    return raw.filter(F.col("msno").isNotNull()).select(
+    return raw.filter("msno IS NOT NULL").selectExpr(
         "msno",
-        clean_text("intervention_type").alias("intervention_type"),
-        day_from_text("intervention_date").alias("intervention_date"),
-        _false_if_null("email_opened"),
-        _false_if_null("email_clicked"),
+        f"{clean_text('intervention_type')} AS intervention_type",
+        f"{day_from_text('intervention_date')} AS intervention_date",
+        "coalesce(email_opened, false) AS email_opened",
+        "coalesce(email_clicked, false) AS email_clicked",
     )
 
 
 def stage_outcomes(raw: DataFrame) -> DataFrame:
-    return raw.filter(F.col("msno").isNotNull()).select(
+    return raw.filter("msno IS NOT NULL").selectExpr(
         "msno",
-        clean_text("intervention_type").alias("intervention_type"),
-        _false_if_null("renewed"),
-        _false_if_null("was_saved"),
-        _false_if_null("observed_churn"),
+        f"{clean_text('intervention_type')} AS intervention_type",
+        *[f"coalesce({c}, false) AS {c}" for c in ("renewed", "was_saved", "observed_churn")],
     )

@@ -29,24 +29,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def fixed_breakpoints(rollup: DataFrame) -> DataFrame:
-    """A change in the middle of every history of 16 days or more.
+def fixed_change_points(t: Tables) -> DataFrame:
+    """Statistics around a change in the middle of every history of 16 days or more.
 
     Stands in for detection where everything after it must be comparable with SQL.
     """
-    n = F.count(F.lit(1))
-    half = F.floor(n / 2).cast("int")
-    return rollup.groupBy("msno").agg(F.when(n >= 16, half).alias("cp_idx"))
-
-
-def fixed_change_points(tables: Tables) -> DataFrame:
-    return changepoint.change_point_stats(tables.rollup, fixed_breakpoints(tables.rollup))
+    series = changepoint.user_series(t.rollup)
+    halfway = "CASE WHEN size(secs) >= 16 THEN size(secs) DIV 2 END"
+    return changepoint.change_point_stats(
+        series.selectExpr("*", f"CAST({halfway} AS INT) AS cp_idx")
+    )
 
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
     return Tables(testdata.RawTables(spark, sf_dir), CFG, change_points=fixed_change_points)
 
 
+def _rounded(frame: DataFrame, digits: int, *names: str) -> DataFrame:
+    """Results of order-dependent float sums, cut to the digits both engines agree on."""
+    return frame.withColumns({c: F.expr(round_to(c, digits)) for c in names})
+
+
 def register(name: str, sql: str | None = None):
     """Add a query; ``sql`` is its oracle, by default the block of the same name."""
 
@@ -103,8 +106,7 @@ register("last_transaction_date")(
 
 @register("activity_stats")
 def activity_stats(t: Tables) -> DataFrame:
-    stats = features.activity_stats(t.raw["raw_user_logs"])
-    return stats.withColumn("total_seconds_std", round_to(F.col("total_seconds_std"), 3))
+    return _rounded(features.activity_stats(t.raw["raw_user_logs"]), 3, "total_seconds_std")
 
 
 register("feature_master")(lambda t: t.feature_master)
@@ -136,43 +138,34 @@ INTERCEPT = -0.3
 def scored(t: Tables) -> DataFrame:
     """Every member scored; attributions and uplift for the high-risk ones only."""
     names = tuple(WEIGHTS)
-    matrix = t.mart.select("msno", *scoring.feature_columns(t.mart, names))
     probability = round_to(scoring.linear_score(WEIGHTS, INTERCEPT), 6)
-    flagged = matrix.withColumn("churn_prob", probability).withColumn(
-        "churn_flag", scoring.churn_flag(F.col("churn_prob"), CFG)
+    flagged = (
+        t.mart.selectExpr("msno", *scoring.feature_columns(t.mart, names))
+        .selectExpr("*", f"{probability} AS churn_prob")
+        .selectExpr("*", f"{scoring.churn_flag('churn_prob', CFG)} AS churn_flag")
     )
-    high = F.col("churn_flag") == 1
-    explained = scoring.linear_attributions(flagged, WEIGHTS, high)
-    uplift = (F.pmod(F.col("msno").cast("long"), F.lit(17)) - 4) / 100.0
-    return explained.select(
+    explained = scoring.linear_attributions(flagged, WEIGHTS, "churn_flag = 1")
+    return explained.selectExpr(
         "msno",
         "churn_prob",
         "churn_flag",
-        *[round_to(F.col(f"shap_{c}"), 6).alias(f"shap_{c}") for c in names],
-        F.when(high, uplift).alias("uplift_score"),
+        *[f"{round_to(f'shap_{c}', 6)} AS shap_{c}" for c in names],
+        "CASE WHEN churn_flag = 1 THEN (CAST(msno AS BIGINT) % 17 - 4) / 100D END AS uplift_score",
     )
 
 
 def replies(t: Tables) -> DataFrame:
     """Model replies of every kind: tagged fence, bare JSON, plain fence, no JSON at all."""
-    kind = F.pmod(F.col("msno").cast("long"), F.lit(4))
-    actions = F.array(*[F.lit(a) for a in (*INTERVENTION_TYPES, "call_a_friend")])
-    body = F.concat(
-        F.lit('{"explanation": "User '),
-        F.col("msno"),
-        F.lit(' may leave.", "recommended_action": "'),
-        F.get(actions, F.pmod(F.col("msno").cast("long"), F.lit(5)).cast("int")),
-        F.lit('", "action_justification": "Segment '),
-        F.col("registered_via").cast("string"),
-        F.lit('."}'),
-    )
-    text = (
-        F.when(kind == 0, F.concat(F.lit("```json\n"), body, F.lit("\n```")))
-        .when(kind == 1, F.concat(F.lit("  "), body))
-        .when(kind == 2, F.concat(F.lit("```\n"), body, F.lit("\n```")))
-        .otherwise(F.concat(F.lit("Sorry, user "), F.col("msno"), F.lit(" is unclear")))
-    )
-    return t.raw["raw_members"].select("msno", text.alias("reply"))
+    names = ", ".join(f"'{a}'" for a in (*INTERVENTION_TYPES, "call_a_friend"))
+    body = f"""'{{"explanation": "User ' || msno || ' may leave.", "recommended_action": "'
+        || elt(CAST(CAST(msno AS BIGINT) % 5 AS INT) + 1, {names})
+        || '", "action_justification": "Segment ' || registered_via || '."}}'"""
+    text = f"""CASE CAST(msno AS BIGINT) % 4
+        WHEN 0 THEN '```json\\n' || {body} || '\\n```'
+        WHEN 1 THEN '  ' || {body}
+        WHEN 2 THEN '```\\n' || {body} || '\\n```'
+        ELSE 'Sorry, user ' || msno || ' is unclear' END"""
+    return t.raw["raw_members"].selectExpr("msno", f"{text} AS reply")
 
 
 def plan(t: Tables) -> DataFrame:
@@ -188,10 +181,10 @@ register(
 )(lambda t: scoring.high_risk_summary(scored(t)))
 
 
-def _flat(frame: DataFrame, factors) -> DataFrame:
+def _flat(frame: DataFrame, factors: str) -> DataFrame:
     """One row per user and factor, numbered from 1."""
-    listed = frame.select("msno", F.posexplode(factors).alias("i", "f"))
-    return listed.select("msno", (F.col("i") + 1).alias("position"), "f.*")
+    listed = frame.selectExpr("msno", f"posexplode({factors}) AS (i, f)")
+    return listed.selectExpr("msno", "i + 1 AS position", "f.*")
 
 
 @register("top_factors")
@@ -227,8 +220,7 @@ register("top_plan")(lambda t: actions.top_plan(plan(t)))
 
 
 def _segments(t: Tables, segment: str) -> DataFrame:
-    summary = actions.segment_summary(plan(t), t.mart, segment)
-    return summary.withColumn("avg_churn_prob", round_to(F.col("avg_churn_prob"), 8))
+    return _rounded(actions.segment_summary(plan(t), t.mart, segment), 8, "avg_churn_prob")
 
 
 register("segment_by_tier", oracle.segment_sql("risk_tier"))(lambda t: _segments(t, "risk_tier"))
@@ -250,8 +242,8 @@ def risk_lookup(t: Tables) -> DataFrame:
         explain.template_narrative(frame, t.change_points),
         t.change_points,
     )
-    named = F.transform("top_risk_factors", lambda f: F.concat(f["feature"], F.lit(":"), f["direction"]))
-    return found.withColumn("top_risk_factors", F.array_join(named, ","))
+    named = "transform(top_risk_factors, f -> f.feature || ':' || f.direction)"
+    return found.withColumn("top_risk_factors", F.expr(f"array_join({named}, ',')"))
 
 
 # ---- measurement and profiles ----------------------------------------------------------
@@ -264,16 +256,12 @@ register("churn_by_tier")(lambda t: profile.churn_by_tier(t.mart))
 
 @register("feature_summary")
 def feature_summary(t: Tables) -> DataFrame:
-    rounded = ("mean", "std", "p25", "p50", "p75")
-    summary = profile.feature_summary(t.mart)
-    return summary.withColumns({c: round_to(F.col(c), 5) for c in rounded})
+    return _rounded(profile.feature_summary(t.mart), 5, "mean", "std", "p25", "p50", "p75")
 
 
 @register("feature_histogram")
 def feature_histogram(t: Tables) -> DataFrame:
-    return profile.feature_histogram(t.mart).withColumn(
-        "bin_start", round_to(F.col("bin_start"), 6)
-    )
+    return _rounded(profile.feature_histogram(t.mart), 6, "bin_start")
 
 
 # ---- model evaluation ------------------------------------------------------------------
@@ -290,17 +278,13 @@ register("class_weight")(lambda t: evaluation.class_weight(t.mart))
 @register("stratified_split")
 def stratified_split(t: Tables) -> DataFrame:
     labelled = t.mart.filter(F.col("is_churn").isNotNull())
-    draw = F.pmod(F.col("msno").cast("long") * 7919 + 42, F.lit(1009))
+    draw = "(CAST(msno AS BIGINT) * 7919 + 42) % 1009"
     return evaluation.stratified_split(labelled, draw)
 
 
-def _rounded(frame: DataFrame, *columns: str) -> DataFrame:
-    return frame.withColumns({c: round_to(F.col(c), 9) for c in columns})
-
-
-register("auc_roc")(lambda t: _rounded(evaluation.auc_roc(labelled_scores(t)), "auc_roc"))
+register("auc_roc")(lambda t: _rounded(evaluation.auc_roc(labelled_scores(t)), 9, "auc_roc"))
 register("average_precision")(
-    lambda t: _rounded(evaluation.average_precision(labelled_scores(t)), "average_precision")
+    lambda t: _rounded(evaluation.average_precision(labelled_scores(t)), 9, "average_precision")
 )
 register("roc_points")(lambda t: evaluation.roc_points(labelled_scores(t)))
 register("pr_points")(lambda t: evaluation.pr_points(labelled_scores(t)))
@@ -314,14 +298,12 @@ def train_and_score(t: Tables) -> tuple[DataFrame, DataFrame]:
 
 @register("psi_by_feature")
 def psi_by_feature(t: Tables) -> DataFrame:
-    return drift.psi_by_feature(*train_and_score(t), CFG).withColumn(
-        "psi", round_to(F.col("psi"), 9)
-    )
+    return _rounded(drift.psi_by_feature(*train_and_score(t), CFG), 9, "psi")
 
 
 @register("ks_by_feature")
 def ks_by_feature(t: Tables) -> DataFrame:
-    return _rounded(drift.ks_by_feature(*train_and_score(t)), "ks_statistic")
+    return _rounded(drift.ks_by_feature(*train_and_score(t)), 9, "ks_statistic")
 
 
 register("drift_summary")(

@@ -9,26 +9,40 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from staywise.config import EngineConfig
+from staywise.functions.columns import columns, day
 
 TEST_CONFIG = EngineConfig(ref_date=date(2024, 1, 31))
 
+# Known schemas spare the driver one footer-reading job per table.
+SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+}
+
 # Brings the last order (2001-08-01) to the day before the reference date.
 ORDER_SHIFT = 8217
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spark.read.schema(SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
-def key(column: str) -> Column:
-    return F.col(column).cast("string").alias("msno")
+def key(column: str) -> str:
+    return f"CAST({column} AS STRING) AS msno"
 
 
-def as_int_day(day: Column) -> Column:
-    return (F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)).cast("int")
+def as_int_day(value: str) -> str:
+    return f"year({value}) * 10000 + month({value}) * 100 + day({value})"
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,147 +51,118 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     By ``user_id % 5``: 0 mostly this month, 1 spread over three months, 2 fading out,
     3 spread thin over a year, 4 gone for at least 45 days.
     """
-    user, event = F.col("user_id"), F.col("event_id")
-    day = F.to_date("ts")
-    fading = F.when((event % 4 == 0) & (F.dayofmonth(day) > 15) & (event % 3 > 0), 15).otherwise(
-        F.when(event % 4 == 0, 0).when(event % 4 == 3, 60).otherwise(30)
-    )
-    back = (
-        F.when(user % 5 == 0, F.when(event % 4 == 3, 30).otherwise(0))
-        .when(user % 5 == 1, 30 * (event % 3))
-        .when(user % 5 == 2, fading)
-        .when(user % 5 == 3, 30 * (event % 12))
-        .otherwise(45 + 30 * (event % 4))
-    )
-    return read(spark, sf_dir, "events").select(
+    back = """CASE user_id % 5
+        WHEN 0 THEN if(event_id % 4 = 3, 30, 0)
+        WHEN 1 THEN event_id % 3 * 30
+        WHEN 2 THEN CASE WHEN event_id % 4 = 0 AND day(ts) > 15 AND event_id % 3 > 0 THEN 15
+                         WHEN event_id % 4 = 0 THEN 0
+                         WHEN event_id % 4 = 3 THEN 60
+                         ELSE 30 END
+        WHEN 3 THEN event_id % 12 * 30
+        ELSE event_id % 4 * 30 + 45 END"""
+    return read(spark, sf_dir, "events").selectExpr(
         "event_id",
         "user_id",
         "event_type",
         "value",
-        F.date_sub(day, back.cast("int")).alias("day"),
-        F.regexp_extract("props", "([0-9]+)", 1).cast("int").alias("k"),
+        f"date_sub(CAST(ts AS DATE), CAST({back} AS INT)) AS day",
+        "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k",
     )
 
 
 def raw_user_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def of_type(event_type: str, name: str) -> Column:
-        return F.count(F.when(F.col("event_type") == event_type, 1)).cast("int").alias(name)
-
+    kinds = {
+        "num_25": "click",
+        "num_50": "error",
+        "num_75": "signup",
+        "num_985": "view",
+        "num_100": "purchase",
+    }
+    sums = {
+        **{n: f"CAST(count_if(event_type = '{kind}') AS INT)" for n, kind in kinds.items()},
+        "num_unq": "CAST(count(DISTINCT k) AS INT)",
+        "total_secs": "CAST(sum(floor(value * 60)) AS DOUBLE)",
+    }
     return (
         events(spark, sf_dir)
         .groupBy("user_id", "day")
-        .agg(
-            of_type("click", "num_25"),
-            of_type("error", "num_50"),
-            of_type("signup", "num_75"),
-            of_type("view", "num_985"),
-            of_type("purchase", "num_100"),
-            F.count_distinct("k").cast("int").alias("num_unq"),
-            F.sum(F.floor(F.col("value") * 60)).cast("double").alias("total_secs"),
-        )
-        .select(
-            key("user_id"),
-            as_int_day(F.col("day")).alias("date"),
-            "num_25",
-            "num_50",
-            "num_75",
-            "num_985",
-            "num_100",
-            "num_unq",
-            "total_secs",
-        )
+        .agg(*columns(sums))
+        .selectExpr(key("user_id"), f"{as_int_day('day')} AS date", *sums)
     )
 
 
 def raw_feature_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events(spark, sf_dir).select(
+    return events(spark, sf_dir).selectExpr(
         key("user_id"),
-        F.col("day").cast("string").alias("event_date"),
-        F.concat(F.lit(" "), F.upper("event_type"), F.lit(" ")).alias("feature_name"),
-        F.floor("value").cast("int").alias("session_duration_sec"),
+        "CAST(day AS STRING) AS event_date",
+        "' ' || upper(event_type) || ' ' AS feature_name",
+        "CAST(floor(value) AS INT) AS session_duration_sec",
     )
 
 
 def raw_support_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("k")
-    category = (
-        F.when(k < 3, " Cancellation_Inquiry")
-        .when(k < 25, "BILLING")
-        .when(k < 50, "technical")
-        .when(k < 75, "account ")
-        .otherwise("feature_request")
-    )
-    sentiment = F.when(k % 3 == 0, "Negative").when(k % 3 == 1, "neutral").otherwise("positive")
-    status = (
-        F.when(F.col("event_id") % 3 == 0, "resolved")
-        .when(F.col("event_id") % 3 == 1, "unresolved ")
-        .otherwise("escalated")
-    )
     return (
         events(spark, sf_dir)
-        .filter(F.col("event_type") == "error")
-        .select(
-            F.col("event_id").alias("ticket_id"),
+        .filter("event_type = 'error'")
+        .selectExpr(
+            "event_id AS ticket_id",
             key("user_id"),
-            F.col("day").cast("string").alias("ticket_date"),
-            category.alias("category"),
-            sentiment.alias("sentiment"),
-            status.alias("resolution_status"),
-            F.when(F.col("event_id") % 3 == 0, F.floor("value").cast("double")).alias(
-                "time_to_fix_hours"
-            ),
+            "CAST(day AS STRING) AS ticket_date",
+            """CASE WHEN k < 3 THEN ' Cancellation_Inquiry' WHEN k < 25 THEN 'BILLING'
+                    WHEN k < 50 THEN 'technical' WHEN k < 75 THEN 'account '
+                    ELSE 'feature_request' END AS category""",
+            "elt(k % 3 + 1, 'Negative', 'neutral', 'positive') AS sentiment",
+            """elt(CAST(event_id % 3 AS INT) + 1, 'resolved', 'unresolved ', 'escalated')
+               AS resolution_status""",
+            "if(event_id % 3 = 0, CAST(floor(value) AS DOUBLE), NULL) AS time_to_fix_hours",
         )
     )
 
 
 def shifted_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "orders").select(
+    return read(spark, sf_dir, "orders").selectExpr(
         "o_orderkey",
         "o_custkey",
         "o_orderstatus",
-        "o_orderpriority",
-        F.date_add(F.to_date("o_orderdate"), ORDER_SHIFT).alias("day"),
+        "CAST(left(o_orderpriority, 1) AS INT) AS method",
+        f"date_add(CAST(o_orderdate AS DATE), {ORDER_SHIFT}) AS day",
     )
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One payment per order; orders without lines are unpriced plans."""
-    price = F.floor("l_extendedprice")
-    paid = F.floor(F.col("l_extendedprice") * (1 - F.col("l_discount")))
-    lines = read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
-        F.sum(price).alias("list_price"),
-        F.sum(F.when(F.col("l_returnflag") != "R", paid).otherwise(0)).alias("paid"),
-    )
+    amounts = {
+        "listed": "sum(floor(l_extendedprice))",
+        "paid": "sum(if(l_returnflag <> 'R', floor(l_extendedprice * (1 - l_discount)), 0))",
+    }
+    lines = read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(*columns(amounts))
     orders = shifted_orders(spark, sf_dir)
-    method = F.substring("o_orderpriority", 1, 1).cast("int")
-    return orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left").select(
+    return orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left").selectExpr(
         key("o_custkey"),
-        F.col("o_orderkey").alias("txn_key"),
-        method.alias("payment_method_id"),
-        (method * 30).alias("payment_plan_days"),
-        F.coalesce(F.col("list_price"), F.lit(0)).cast("double").alias("plan_list_price"),
-        F.coalesce(F.col("paid"), F.lit(0)).cast("double").alias("actual_amount_paid"),
-        (F.col("o_orderstatus") == "F").cast("int").alias("is_auto_renew"),
-        (F.col("o_orderstatus") == "P").cast("int").alias("is_cancel"),
-        as_int_day(F.col("day")).alias("transaction_date"),
-        as_int_day(F.date_add("day", method * 30)).alias("membership_expire_date"),
+        "o_orderkey AS txn_key",
+        "method AS payment_method_id",
+        "method * 30 AS payment_plan_days",
+        "CAST(coalesce(listed, 0) AS DOUBLE) AS plan_list_price",
+        "CAST(coalesce(paid, 0) AS DOUBLE) AS actual_amount_paid",
+        "if(o_orderstatus = 'F', 1, 0) AS is_auto_renew",
+        "if(o_orderstatus = 'P', 1, 0) AS is_cancel",
+        f"{as_int_day('day')} AS transaction_date",
+        f"{as_int_day('date_add(day, method * 30)')} AS membership_expire_date",
     )
 
 
 def raw_members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = shifted_orders(spark, sf_dir).groupBy("o_custkey").agg(F.min("day").alias("first_day"))
+    orders = shifted_orders(spark, sf_dir)
+    joined = orders.groupBy("o_custkey").agg(*columns({"first_day": "min(day)"}))
     customers = read(spark, sf_dir, "customer")
-    segment = F.col("c_mktsegment")
-    gender = F.when(segment.isin("AUTOMOBILE", "MACHINERY"), "male").when(
-        segment.isin("BUILDING", "HOUSEHOLD"), "female"
-    )
-    return customers.join(joined, customers.c_custkey == joined.o_custkey, "left").select(
+    return customers.join(joined, customers.c_custkey == joined.o_custkey, "left").selectExpr(
         key("c_custkey"),
-        gender.alias("gender"),
-        F.col("c_nationkey").cast("int").alias("city"),
-        (F.col("c_nationkey") % 5).cast("int").alias("registered_via"),
-        as_int_day(F.col("first_day")).alias("registration_init_time"),
-        F.floor(F.col("c_acctbal") / 100).cast("int").alias("bd"),
+        """CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'MACHINERY') THEN 'male'
+                WHEN c_mktsegment IN ('BUILDING', 'HOUSEHOLD') THEN 'female' END AS gender""",
+        "c_nationkey AS city",
+        "c_nationkey % 5 AS registered_via",
+        f"{as_int_day('first_day')} AS registration_init_time",
+        "CAST(floor(c_acctbal / 100) AS INT) AS bd",
     )
 
 
@@ -186,48 +171,45 @@ def raw_train(spark: SparkSession, sf_dir: str, cfg: EngineConfig = TEST_CONFIG)
     return (
         shifted_orders(spark, sf_dir)
         .groupBy("o_custkey")
-        .agg(F.max(F.struct("day", "o_orderkey", "o_orderstatus")).alias("last"))
-        .filter(F.col("last.o_orderstatus") != "P")
-        .select(
-            key("o_custkey"),
-            (F.datediff(F.lit(cfg.ref_date), F.col("last.day")) > 540)
-            .cast("int")
-            .alias("is_churn"),
+        .agg(*columns({"last": "max(struct(day, o_orderkey, o_orderstatus))"}))
+        .filter("last.o_orderstatus <> 'P'")
+        .selectExpr(
+            key("o_custkey"), f"if(datediff({day(cfg.ref_date)}, last.day) > 540, 1, 0) AS is_churn"
         )
     )
 
 
 def raw_interventions(spark: SparkSession, sf_dir: str, cfg: EngineConfig = TEST_CONFIG) -> DataFrame:
-    c = F.col("c_custkey")
-    treatment = (
-        F.when(c % 5 == 0, "no_treatment")
-        .when(c % 5 == 1, " Discount_Offer")
-        .when(c % 5 == 2, "feature_highlight_email")
-        .when(c % 5 == 3, "personal_outreach ")
-        .otherwise("re_onboarding_flow")
-    )
-    opened = F.when((c % 5).isin(1, 2, 4), c % 3 == 0)
-    day = F.date_sub(F.lit(cfg.ref_date), (7 + c % 15).cast("int"))
-    return read(spark, sf_dir, "customer").select(
+    return read(spark, sf_dir, "customer").selectExpr(
         key("c_custkey"),
-        treatment.alias("intervention_type"),
-        day.cast("string").alias("intervention_date"),
-        opened.alias("email_opened"),
-        (opened & (c % 2 == 0)).alias("email_clicked"),
+        """elt(CAST(c_custkey % 5 AS INT) + 1, 'no_treatment', ' Discount_Offer',
+               'feature_highlight_email', 'personal_outreach ', 're_onboarding_flow')
+           AS intervention_type""",
+        f"""CAST(date_sub({day(cfg.ref_date)}, CAST(7 + c_custkey % 15 AS INT)) AS STRING)
+            AS intervention_date""",
+        "if(c_custkey % 5 IN (1, 2, 4), c_custkey % 3 = 0, NULL) AS email_opened",
+        """if(c_custkey % 5 IN (1, 2, 4), c_custkey % 3 = 0 AND c_custkey % 2 = 0, NULL)
+           AS email_clicked""",
     )
 
 
 def raw_outcomes(spark: SparkSession, sf_dir: str, cfg: EngineConfig = TEST_CONFIG) -> DataFrame:
     treated = raw_interventions(spark, sf_dir, cfg)
-    number = F.col("msno").cast("long")
-    churner = F.coalesce(F.col("is_churn") == 1, F.lit(False))
-    saved = churner & (number % 7 < number % 5)
-    return treated.join(raw_train(spark, sf_dir, cfg), "msno", "left").select(
-        "msno",
-        "intervention_type",
-        (~churner | saved).alias("renewed"),
-        saved.alias("was_saved"),
-        (churner & ~saved).alias("observed_churn"),
+    return (
+        treated.join(raw_train(spark, sf_dir, cfg), "msno", "left")
+        .selectExpr(
+            "msno",
+            "intervention_type",
+            "coalesce(is_churn = 1, false) AS churner",
+            "CAST(msno AS BIGINT) % 7 < CAST(msno AS BIGINT) % 5 AS persuaded",
+        )
+        .selectExpr(
+            "msno",
+            "intervention_type",
+            "NOT churner OR persuaded AS renewed",
+            "churner AND persuaded AS was_saved",
+            "churner AND NOT persuaded AS observed_churn",
+        )
     )
 
 
