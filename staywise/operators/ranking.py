@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from staywise.functions.columns import columns
+from staywise.sources.writers import settle
 
 
 def running_totals(
@@ -21,7 +22,9 @@ def running_totals(
     are few groups (columns of a table), or none. The ordering is cut at approximate
     quantiles: each slice is summed by its own task and starts from the totals of the
     slices before it. Where the cuts fall changes only the balance, never the result.
+    The rows are written once, because finding the cuts and summing both read them.
     """
+    df = settle(df)
     key = group or "__all"
     rows = df if group else df.selectExpr("*", "0 AS __all")
     shares = ", ".join(f"{i / slices}D" for i in range(1, slices))

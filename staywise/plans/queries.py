@@ -15,6 +15,7 @@ from staywise.operators import (
     evaluation,
     explain,
     features,
+    models,
     profile,
     scoring,
     sessions,
@@ -22,6 +23,7 @@ from staywise.operators import (
 from staywise.plans import oracle
 from staywise.plans.tables import Tables
 from staywise.sources import readers, testdata
+from staywise.sources.writers import settle
 
 CFG = testdata.TEST_CONFIG
 
@@ -41,8 +43,19 @@ def fixed_change_points(t: Tables) -> DataFrame:
     )
 
 
-def tables(spark: SparkSession, sf_dir: str) -> Tables:
-    return Tables(testdata.RawTables(spark, sf_dir), CFG, change_points=fixed_change_points)
+def keep_mart(name: str, frame: DataFrame) -> DataFrame:
+    """Write the mart, as a pipeline run does; what follows reads it more than once."""
+    return settle(frame) if name == "mart_churn_features" else frame
+
+
+def keep_marts(name: str, frame: DataFrame) -> DataFrame:
+    """Write both marts: training passes over them many times."""
+    return settle(frame) if name.startswith("mart_") else frame
+
+
+def tables(spark: SparkSession, sf_dir: str, stage=None) -> Tables:
+    raw = testdata.RawTables(spark, sf_dir)
+    return Tables(raw, CFG, stage=stage, change_points=fixed_change_points)
 
 
 def _rounded(frame: DataFrame, digits: int, *names: str) -> DataFrame:
@@ -50,11 +63,11 @@ def _rounded(frame: DataFrame, digits: int, *names: str) -> DataFrame:
     return frame.withColumns({c: F.expr(round_to(c, digits)) for c in names})
 
 
-def register(name: str, sql: str | None = None):
+def register(name: str, sql: str | None = None, stage=None):
     """Add a query; ``sql`` is its oracle, by default the block of the same name."""
 
     def add(build: Callable[[Tables], DataFrame]):
-        QUERIES[name] = lambda spark, sf_dir: build(tables(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: build(tables(spark, sf_dir, stage))
         if sql is not None:
             ORACLE[name] = oracle.compose(sql)
         elif name in oracle.BLOCKS:
@@ -172,12 +185,13 @@ def plan(t: Tables) -> DataFrame:
     return actions.select_interventions(scored(t), explain.parse_replies(replies(t)), CFG)
 
 
-register("scored_linear")(lambda t: scored(t).select("msno", "churn_prob", "churn_flag"))
-register("linear_attributions")(scored)
+register("scored_linear", stage=keep_mart)(lambda t: scored(t).select("msno", "churn_prob", "churn_flag"))
+register("linear_attributions", stage=keep_mart)(scored)
 register(
     "high_risk_summary",
     "SELECT count(*) AS scored_users, CAST(sum(churn_flag) AS BIGINT) AS high_risk_users, "
     "CAST(sum(churn_flag) AS DOUBLE) / count(*) AS high_risk_share FROM scored_linear",
+    stage=keep_mart,
 )(lambda t: scoring.high_risk_summary(scored(t)))
 
 
@@ -187,24 +201,24 @@ def _flat(frame: DataFrame, factors: str) -> DataFrame:
     return listed.selectExpr("msno", "i + 1 AS position", "f.*")
 
 
-@register("top_factors")
+@register("top_factors", stage=keep_mart)
 def top_factors(t: Tables) -> DataFrame:
     frame = scored(t)
     return _flat(frame, explain.top_factors(frame, CFG.top_factors))
 
 
-@register("labelled_factors")
+@register("labelled_factors", stage=keep_mart)
 def labelled_factors(t: Tables) -> DataFrame:
     frame = scored(t)
     return _flat(frame, explain.labelled_factors(frame, CFG.top_factors))
 
 
-register("narration_candidates")(
+register("narration_candidates", stage=keep_mart)(
     lambda t: explain.narration_candidates(scored(t), CFG).select("msno", "churn_prob")
 )
 
 
-@register("prompts")
+@register("prompts", stage=keep_mart)
 def prompts(t: Tables) -> DataFrame:
     engagement = features.intervention_engagement(t.interventions)
     context = t.mart.join(engagement, "msno", "left")
@@ -212,24 +226,24 @@ def prompts(t: Tables) -> DataFrame:
     return explain.prompts(chosen, t.change_points, context, CFG)
 
 
-register("template_narrative")(lambda t: explain.template_narrative(scored(t), t.change_points))
+register("template_narrative", stage=keep_mart)(lambda t: explain.template_narrative(scored(t), t.change_points))
 register("parsed_replies")(lambda t: explain.parse_replies(replies(t)))
-register("action_plan")(plan)
-register("plan_kpis")(lambda t: actions.plan_kpis(plan(t)))
-register("top_plan")(lambda t: actions.top_plan(plan(t)))
+register("action_plan", stage=keep_mart)(plan)
+register("plan_kpis", stage=keep_mart)(lambda t: actions.plan_kpis(plan(t)))
+register("top_plan", stage=keep_mart)(lambda t: actions.top_plan(plan(t)))
 
 
 def _segments(t: Tables, segment: str) -> DataFrame:
     return _rounded(actions.segment_summary(plan(t), t.mart, segment), 8, "avg_churn_prob")
 
 
-register("segment_by_tier", oracle.segment_sql("risk_tier"))(lambda t: _segments(t, "risk_tier"))
-register("segment_by_cohort", oracle.segment_sql("behavioral_cohort"))(
-    lambda t: _segments(t, "behavioral_cohort")
-)
+for _name, _segment in (("segment_by_tier", "risk_tier"), ("segment_by_cohort", "behavioral_cohort")):
+    register(_name, oracle.segment_sql(_segment), stage=keep_mart)(
+        lambda t, segment=_segment: _segments(t, segment)
+    )
 
 
-@register("risk_lookup")
+@register("risk_lookup", stage=keep_mart)
 def risk_lookup(t: Tables) -> DataFrame:
     """Records for every log user plus keys nobody has."""
     users = t.raw["raw_user_logs"].select("msno")
@@ -254,12 +268,12 @@ register("target_distribution")(lambda t: profile.target_distribution(t.mart))
 register("churn_by_tier")(lambda t: profile.churn_by_tier(t.mart))
 
 
-@register("feature_summary")
+@register("feature_summary", stage=keep_mart)
 def feature_summary(t: Tables) -> DataFrame:
     return _rounded(profile.feature_summary(t.mart), 5, "mean", "std", "p25", "p50", "p75")
 
 
-@register("feature_histogram")
+@register("feature_histogram", stage=keep_mart)
 def feature_histogram(t: Tables) -> DataFrame:
     return _rounded(profile.feature_histogram(t.mart), 6, "bin_start")
 
@@ -275,19 +289,19 @@ def labelled_scores(t: Tables) -> DataFrame:
 register("class_weight")(lambda t: evaluation.class_weight(t.mart))
 
 
-@register("stratified_split")
+@register("stratified_split", stage=keep_mart)
 def stratified_split(t: Tables) -> DataFrame:
     labelled = t.mart.filter(F.col("is_churn").isNotNull())
     draw = "(CAST(msno AS BIGINT) * 7919 + 42) % 1009"
     return evaluation.stratified_split(labelled, draw)
 
 
-register("auc_roc")(lambda t: _rounded(evaluation.auc_roc(labelled_scores(t)), 9, "auc_roc"))
-register("average_precision")(
+register("auc_roc", stage=keep_mart)(lambda t: _rounded(evaluation.auc_roc(labelled_scores(t)), 9, "auc_roc"))
+register("average_precision", stage=keep_mart)(
     lambda t: _rounded(evaluation.average_precision(labelled_scores(t)), 9, "average_precision")
 )
-register("roc_points")(lambda t: evaluation.roc_points(labelled_scores(t)))
-register("pr_points")(lambda t: evaluation.pr_points(labelled_scores(t)))
+register("roc_points", stage=keep_mart)(lambda t: evaluation.roc_points(labelled_scores(t)))
+register("pr_points", stage=keep_mart)(lambda t: evaluation.pr_points(labelled_scores(t)))
 
 # ---- drift -----------------------------------------------------------------------------
 
@@ -296,22 +310,62 @@ def train_and_score(t: Tables) -> tuple[DataFrame, DataFrame]:
     return t.mart.filter(F.col("split") == "train"), t.mart
 
 
-@register("psi_by_feature")
+@register("psi_by_feature", stage=keep_mart)
 def psi_by_feature(t: Tables) -> DataFrame:
     return _rounded(drift.psi_by_feature(*train_and_score(t), CFG), 9, "psi")
 
 
-@register("ks_by_feature")
+@register("ks_by_feature", stage=keep_mart)
 def ks_by_feature(t: Tables) -> DataFrame:
     return _rounded(drift.ks_by_feature(*train_and_score(t)), 9, "ks_statistic")
 
 
-register("drift_summary")(
+register("drift_summary", stage=keep_mart)(
     lambda t: drift.drift_summary(drift.psi_by_feature(*train_and_score(t), CFG), CFG)
 )
 
 
-@register("retrain_decision")
+@register("retrain_decision", stage=keep_mart)
 def retrain_decision(t: Tables) -> DataFrame:
     report = drift.drift_summary(drift.psi_by_feature(*train_and_score(t), CFG), CFG)
     return report.select(F.col("retraining_recommended").alias("retrain"))
+
+
+# ---- learned models (no oracle: rows and invariants only) ------------------------------
+
+# Small boosters keep the training of these queries short; all rows are used.
+QUICK = models.BoostingParams(trees=5, depth=3, rate=0.3)
+
+
+def _scored_by_booster(t: Tables) -> tuple[models.TrainedModel, DataFrame]:
+    model = models.train_churn(t.mart, QUICK)
+    return model, models.score_users(t.mart, model, CFG)
+
+
+register("churn_gbt_scores", stage=keep_marts)(lambda t: _scored_by_booster(t)[1])
+register("cv_metrics", stage=keep_marts)(
+    lambda t: models.cross_validate(t.mart, models.BoostingParams(trees=3, depth=3, rate=0.3))
+)
+
+
+@register("feature_importance", stage=keep_marts)
+def feature_importance(t: Tables) -> DataFrame:
+    model = models.train_churn(t.mart, QUICK)
+    return models.feature_importance(t.mart.sparkSession, model)
+
+
+@register("tree_attributions", stage=keep_marts)
+def tree_attributions(t: Tables) -> DataFrame:
+    model, frame = _scored_by_booster(t)
+    return models.add_attributions(frame, t.mart, model)
+
+
+def _with_uplift(t: Tables) -> DataFrame:
+    _, frame = _scored_by_booster(t)
+    return models.add_uplift(frame, t.mart, models.train_uplift(t.intervention_mart, QUICK))
+
+
+register("uplift_scores", stage=keep_marts)(_with_uplift)
+register("uplift_summary", stage=keep_marts)(
+    lambda t: models.uplift_summary(_with_uplift(t), CFG)
+)
