@@ -80,23 +80,34 @@ def empty_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.createDataFrame([], RAW_TABLES[table].schema)
 
 
-def load_change_points(spark: SparkSession, path: str | None) -> DataFrame:
+def read_export(
+    spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None
+) -> DataFrame:
+    """A table written by ``export``; CSV needs its schema, Parquet carries it."""
+    if not path_exists(spark, path):
+        raise FileNotFoundError(f"{path}: run the pipeline that exports it first")
+    if fmt == "csv":
+        return read_csv(spark, path, schema)
+    return spark.read.parquet(path)
+
+
+def load_change_points(spark: SparkSession, path: str | None, fmt: str = "parquet") -> DataFrame:
     """Exported change points, or an empty typed frame when there is no export yet."""
     if path is None or not path_exists(spark, path):
         return spark.createDataFrame([], CHANGE_POINTS)
-    return spark.read.parquet(path)
+    return read_export(spark, path, fmt, CHANGE_POINTS)
 
 
-def load_features(spark: SparkSession, path: str) -> tuple[DataFrame, Observation]:
+def load_features(
+    spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None
+) -> tuple[DataFrame, Observation]:
     """Feature export for scoring without unusable keys.
 
     The observation holds ``rows_read`` and ``rows_dropped`` once an action has run, so
     the report costs no pass of its own.
     """
-    if not path_exists(spark, path):
-        raise FileNotFoundError(f"{path}: run the feature pipeline first")
     seen = Observation("feature_load")
-    rows = spark.read.parquet(path).observe(
+    rows = read_export(spark, path, fmt, schema).observe(
         seen,
         F.count(F.lit(1)).alias("rows_read"),
         F.count(F.when(usable_key(), None).otherwise(1)).alias("rows_dropped"),
