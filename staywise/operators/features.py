@@ -60,10 +60,12 @@ def latest_transaction(transactions: DataFrame) -> DataFrame:
 
 
 def transaction_signals(transactions: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """Payment features in one aggregate.
+    """Payment features per user.
 
-    The distinct counts first group by (user, value), so even a user with a third of all
-    payments is combined before and spread across the shuffle.
+    The distinct counts run apart from the rest: they first group by (user, value), so
+    even a user with a third of all payments is combined before and spread across the
+    shuffle, and only their two columns are multiplied for it. Both results are
+    partitioned by user, so joining them moves nothing.
     """
     recent = f"{days_ago(cfg.ref_date, 'transaction_date')} <= 90"
     discount_sum = from_units(f"sum({to_units('discount_rate', 4)})", 4)
@@ -73,14 +75,17 @@ def transaction_signals(transactions: DataFrame, cfg: EngineConfig) -> DataFrame
         "payment_failure_count_90d": f"count_if(payment_failure_flag = 1 AND {recent})",
         "avg_discount_rate": round_to(ratio(discount_sum, "count(discount_rate)"), 4),
         "received_discount_90d": f"max({flag(f'discount_rate > 0 AND {recent}')})",
-        "payment_method_changes": "count(DISTINCT payment_method_id)",
         "total_paid_90d": f"sum(CASE WHEN {recent} THEN actual_amount_paid ELSE 0D END)",
-        "distinct_plan_count": "count(DISTINCT plan_list_price)",
         "cancellation_count": "count_if(is_cancel = 1)",
     }
+    variety = {
+        "payment_method_changes": "count(DISTINCT payment_method_id)",
+        "distinct_plan_count": "count(DISTINCT plan_list_price)",
+    }
     return (
         transactions.groupBy("msno")
         .agg(*columns(metrics))
+        .join(transactions.groupBy("msno").agg(*columns(variety)), "msno")
         .selectExpr(
             "msno",
             "last.is_auto_renew AS auto_renew_flag",
@@ -89,6 +94,7 @@ def transaction_signals(transactions: DataFrame, cfg: EngineConfig) -> DataFrame
             f"datediff(last.membership_expire_date, {day(cfg.ref_date)}) "
             "AS membership_expire_days",
             *[m for m in metrics if m != "last"],
+            *variety,
         )
     )
 

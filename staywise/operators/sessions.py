@@ -103,17 +103,20 @@ def _cadence(cfg: EngineConfig) -> dict[str, str]:
     }
 
 
+def _age(cfg: EngineConfig) -> str:
+    return f"{days_ago(cfg.ref_date, 'log_date')} AS age"
+
+
 def _sessions_with(rollup: DataFrame, cfg: EngineConfig, extra: dict[str, str]) -> DataFrame:
-    age = days_ago(cfg.ref_date, "log_date")
     metrics = {
         "session_start": "min(log_date)",
         "session_end": "max(log_date)",
         "session_length_days": "count(*)",
-        "days_30": f"count_if({age} <= 30)",
-        "days_60": f"count_if({age} <= 60)",
+        "days_30": "count_if(age <= 30)",
+        "days_60": "count_if(age <= 60)",
         **extra,
     }
-    tagged = with_session_ids(rollup)
+    tagged = with_session_ids(rollup.selectExpr("*", _age(cfg)))
     return session_gaps(tagged.groupBy("msno", "session_id").agg(*columns(metrics)))
 
 
@@ -126,24 +129,23 @@ def login_frequency(rollup: DataFrame, cfg: EngineConfig) -> DataFrame:
 
 
 def _window_sums(cfg: EngineConfig) -> dict[str, str]:
-    """Additive day-level pieces from which all usage windows are computed."""
-    age = days_ago(cfg.ref_date, "log_date")
+    """Additive day-level pieces (over ``age``) from which all usage windows are computed."""
 
     def total(condition: str, column: str) -> str:
         return f"sum(CASE WHEN {condition} THEN {column} ELSE 0 END)"
 
     pieces: dict[str, str] = {}
     for length, recent in cfg.windows:
-        inside = f"{age} <= {length}"
+        inside = f"age <= {length}"
         pieces[f"w{length}_days"] = f"count_if({inside})"
         pieces[f"w{length}_hours"] = total(inside, "hours_units")
         pieces[f"w{length}_tracks"] = total(inside, "day_tracks")
         pieces[f"w{length}_rows"] = total(inside, "log_rows")
         for half, lo, hi in (("old", recent + 1, length), ("new", 1, recent)):
-            condition = f"{age} BETWEEN {lo} AND {hi}"
+            condition = f"age BETWEEN {lo} AND {hi}"
             pieces[f"w{length}_{half}_hours"] = total(condition, "hours_units")
             pieces[f"w{length}_{half}_rows"] = total(condition, "log_rows")
-    shortest = f"{age} <= {cfg.windows[0][0]}"
+    shortest = f"age <= {cfg.windows[0][0]}"
     pieces["rated_rows_30"] = total(shortest, "rated_rows")
     pieces["completion_30"] = total(shortest, "completion_units")
     pieces["skip_30"] = total(shortest, "skip_units")
@@ -179,7 +181,8 @@ def usage_decay(rollup: DataFrame, cfg: EngineConfig) -> DataFrame:
     """
     longest = cfg.windows[-1][0]
     recent = rollup.filter(f"log_date >= date_sub({day(cfg.ref_date)}, {longest})")
-    sums = recent.groupBy("msno").agg(*columns(_window_sums(cfg)))
+    aged = recent.selectExpr("*", _age(cfg))
+    sums = aged.groupBy("msno").agg(*columns(_window_sums(cfg)))
     return sums.select("msno", *columns(_usage(cfg)))
 
 

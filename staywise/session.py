@@ -32,6 +32,9 @@ def local_session(cores: str | int | None = None, partitions: int = 8) -> SparkS
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Small local shuffles are CPU-bound: keep them on all cores instead of merging
+        # partitions up to the default of 1 MB.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )
     spark = apply_settings(builder.getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
