@@ -134,14 +134,16 @@ def with_breakpoints(series: DataFrame, cfg: EngineConfig) -> DataFrame:
     return series.withColumn("cp_idx", locate(long_enough))
 
 
-def change_point_stats(series: DataFrame) -> DataFrame:
+def change_point_stats(series: DataFrame, *keep: str) -> DataFrame:
     """Date, slope, means and relative change around each user's ``cp_idx``.
 
-    Works on the arrays of ``user_series``: no join and no further shuffle. The slope is
-    least squares on 0..n-1, whose mean and scatter have closed forms.
+    Works on the arrays ``days`` and ``secs``: no join and no further shuffle. The slope
+    is least squares on 0..n-1, whose mean and scatter have closed forms. ``keep`` columns
+    are passed on.
     """
     halves = series.selectExpr(
         "msno",
+        *keep,
         "days",
         "cp_idx",
         "slice(secs, 1, cp_idx) AS pre",
@@ -150,6 +152,7 @@ def change_point_stats(series: DataFrame) -> DataFrame:
     total = "aggregate({}, 0D, (acc, y) -> acc + y)"
     sums = halves.selectExpr(
         "msno",
+        *keep,
         "days",
         "cp_idx",
         "CAST(size(post) AS DOUBLE) AS n",
@@ -159,6 +162,7 @@ def change_point_stats(series: DataFrame) -> DataFrame:
     )
     stats = sums.selectExpr(
         "msno",
+        *keep,
         "cp_idx IS NOT NULL AS change_point_detected",
         "days[cp_idx] AS change_point_date",
         "datediff(element_at(days, -1), days[cp_idx]) AS days_since_change_point",

@@ -227,12 +227,13 @@ def feature_master(
     support: DataFrame,
     payments: DataFrame,
     adoption: DataFrame,
-    change_points: DataFrame,
+    change_points: DataFrame | None,
     engagement: DataFrame,
     labelled_only: bool = True,
 ) -> DataFrame:
     """Wide per-user feature table.
 
+    ``change_points`` is None when ``activity`` already carries the change-point columns.
     Every input is already one row per user and hash-partitioned by ``msno``, so the
     chain of left joins adds no exchange for them. ``labelled_only=False`` keeps members
     without a label for scoring.
@@ -242,9 +243,11 @@ def feature_master(
     activity = activity.withColumnRenamed("avg_daily_hours_last_30d", "avg_session_duration_30d")
     adoption = adoption.drop("avg_session_duration_30d")
 
-    wide = members.join(labels.select("msno", "is_churn"), "msno", "inner" if labelled_only else "left")
+    how = "inner" if labelled_only else "left"
+    wide = members.join(labels.select("msno", "is_churn"), "msno", how)
     for part in (activity, support, payments, adoption, change_points, engagement):
-        wide = wide.join(part, "msno", "left")
+        if part is not None:
+            wide = wide.join(part, "msno", "left")
     return wide.selectExpr(
         "msno",
         "is_churn",

@@ -113,7 +113,7 @@ def cross_validate(
 
 
 def probabilities(frame: DataFrame, model: TrainedModel, *keep: str) -> DataFrame:
-    """``keep`` columns, the feature vector and ``prob``; no shuffle."""
+    """``keep`` columns and ``prob``; no shuffle."""
     named = [f"__{k}" for k in keep]
     rows = frame.selectExpr(
         *[f"{k} AS {n}" for k, n in zip(keep, named)], *feature_columns(frame, model.features)
@@ -121,7 +121,6 @@ def probabilities(frame: DataFrame, model: TrainedModel, *keep: str) -> DataFram
     scored = model.pipeline.transform(rows)
     return scored.select(
         *[F.col(n).alias(k) for k, n in zip(keep, named)],
-        "features",
         vector_to_array("probability")[1].alias("prob"),
     )
 
@@ -133,16 +132,6 @@ def score_users(mart: DataFrame, model: TrainedModel, cfg: EngineConfig) -> Data
     )
 
 
-def add_attributions(scored: DataFrame, mart: DataFrame, model: TrainedModel) -> DataFrame:
-    """Attach ``shap_*`` of the high-risk users; NULL for everyone else.
-
-    Only flagged rows reach the Python stage.
-    """
-    flagged = scored.filter("churn_flag = 1").select("msno")
-    rows = probabilities(mart.join(flagged, "msno", "left_semi"), model, "msno")
-    return scored.join(tree_attributions(rows, model.booster, list(model.features)), "msno", "left")
-
-
 def train_uplift(
     treatments: DataFrame,
     params: BoostingParams = BoostingParams(),
@@ -155,24 +144,56 @@ def train_uplift(
     return TrainedModel(pipeline.fit(treated), features), TrainedModel(pipeline.fit(control), features)
 
 
-def uplift_scores(frame: DataFrame, treated: TrainedModel, control: TrainedModel) -> DataFrame:
-    """Churn probability untreated minus treated: two transforms of one scan, no join."""
-    names = dict.fromkeys((*treated.features, *control.features))
-    kept = ["msno", *[c for c in names if c in frame.columns]]
+def uplift_scores(
+    frame: DataFrame, treated: TrainedModel, control: TrainedModel, *keep: str
+) -> DataFrame:
+    """``keep`` columns and ``uplift_score``: churn probability untreated minus treated.
+
+    Two transforms of one scan, no join.
+    """
+    wanted = dict.fromkeys((*keep, *control.features))
+    kept = [c for c in wanted if c in frame.columns]
     with_treated = probabilities(frame, treated, *kept).withColumnRenamed("prob", "p_treated")
-    both = probabilities(with_treated.drop("features"), control, "msno", "p_treated")
-    return both.selectExpr("msno", "prob - p_treated AS uplift_score")
+    both = probabilities(with_treated, control, *keep, "p_treated")
+    return both.selectExpr(*keep, "prob - p_treated AS uplift_score")
 
 
-def add_uplift(
-    scored: DataFrame, mart: DataFrame, models: tuple[TrainedModel, TrainedModel] | None
+def score_and_explain(
+    mart: DataFrame,
+    churn: TrainedModel,
+    cfg: EngineConfig,
+    uplift: tuple[TrainedModel, TrainedModel] | None = None,
 ) -> DataFrame:
-    """Attach the uplift of the high-risk users; all NULL when there are no models yet."""
-    if models is None:
-        return scored.withColumn("uplift_score", F.lit(None).cast("double"))
-    flagged = scored.filter("churn_flag = 1").select("msno")
-    uplift = uplift_scores(mart.join(flagged, "msno", "left_semi"), *models)
-    return scored.join(uplift, "msno", "left")
+    """Probability and flag of everyone; attributions and uplift of the high-risk users.
+
+    Flagged and other rows take two branches of the same scan that are put together by a
+    union, so scoring shuffles nothing and only flagged rows reach Python. Uplift is NULL
+    when there are no uplift models.
+    """
+    matrix = mart.selectExpr("msno", *feature_columns(mart, _all_features(churn, uplift)))
+    inputs = [c for c in matrix.columns if c != "msno"]
+    scored = probabilities(matrix, churn, "msno", *inputs).selectExpr(
+        "msno", "prob AS churn_prob", f"{churn_flag('prob', cfg)} AS churn_flag", *inputs
+    )
+    head = ("msno", "churn_prob", "churn_flag", "uplift_score")
+    flagged = scored.filter("churn_flag = 1")
+    if uplift is None:
+        flagged = flagged.selectExpr("*", "CAST(NULL AS DOUBLE) AS uplift_score")
+    else:
+        flagged = uplift_scores(flagged, *uplift, *head[:3], *inputs)
+    explained = tree_attributions(flagged, churn.booster, churn.features, *head)
+    others = scored.filter("churn_flag = 0").selectExpr(
+        *head[:3],
+        *[f"CAST(NULL AS DOUBLE) AS {c}" for c in explained.columns if c not in head[:3]],
+    )
+    return explained.unionByName(others)
+
+
+def _all_features(
+    churn: TrainedModel, uplift: tuple[TrainedModel, TrainedModel] | None
+) -> tuple[str, ...]:
+    models = (churn, *(uplift or ()))
+    return tuple(dict.fromkeys(f for m in models for f in m.features))
 
 
 def uplift_summary(scored: DataFrame, cfg: EngineConfig) -> DataFrame:

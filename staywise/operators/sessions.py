@@ -186,19 +186,29 @@ def usage_decay(rollup: DataFrame, cfg: EngineConfig) -> DataFrame:
     return sums.select("msno", *columns(_usage(cfg)))
 
 
-def activity_features(rollup: DataFrame, cfg: EngineConfig) -> DataFrame:
+def activity_features(
+    rollup: DataFrame, cfg: EngineConfig, with_series: bool = False
+) -> DataFrame:
     """Login cadence and usage decay of every user from a single pass over the roll-up.
 
     The usage sums ride along through the session aggregate, so the wide feature table
     scans and shuffles the log once instead of once per feature family. Users without
     activity in the longest window have NULL usage columns, as a left join would give.
+    ``with_series`` also carries the user's ordered ``days`` and ``secs``, from which the
+    change point is found without another shuffle.
     """
     pieces, cadence = _window_sums(cfg), _cadence(cfg)
+    extra = {"series": "collect_list(struct(log_date, day_secs))"} if with_series else {}
+    merged = {n: f"sum({n})" for n in pieces}
+    if with_series:
+        merged["series"] = "array_sort(flatten(collect_list(series)))"
     per_user = (
-        _sessions_with(rollup, cfg, pieces)
+        _sessions_with(rollup, cfg, {**pieces, **extra})
         .groupBy("msno")
-        .agg(*columns({**cadence, **{n: f"sum({n})" for n in pieces}}))
+        .agg(*columns({**cadence, **merged}))
     )
     active = f"w{cfg.windows[-1][0]}_days > 0"
     usage = {n: f"CASE WHEN {active} THEN {sql} END" for n, sql in _usage(cfg).items()}
+    if with_series:
+        usage |= {"days": "series.log_date", "secs": "series.day_secs"}
     return per_user.select("msno", *cadence, *columns(usage))

@@ -16,8 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.ml.classification import GBTClassificationModel
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, types as T
 
 
 @dataclass(frozen=True)
@@ -93,19 +92,19 @@ def base_value(leaves: list[Leaf]) -> float:
 
 
 def tree_attributions(
-    high_risk: DataFrame, model: GBTClassificationModel, features: list[str], vector: str = "features"
+    rows: DataFrame, model: GBTClassificationModel, features: tuple[str, ...], *keep: str
 ) -> DataFrame:
-    """``shap_<feature>`` columns for the given rows, keyed by ``msno``."""
-    leaves = high_risk.sparkSession.sparkContext.broadcast(leaves_of(model))
+    """``keep`` columns and ``shap_<feature>`` for rows with the model's feature columns."""
+    leaves = rows.sparkSession.sparkContext.broadcast(leaves_of(model))
     names = [f"shap_{f}" for f in features]
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            matrix = np.vstack(batch["x"].to_numpy()) if len(batch) else np.zeros((0, len(names)))
-            result = pd.DataFrame(attributions(matrix, leaves.value), columns=names)
-            result.insert(0, "msno", batch["msno"].to_numpy())
-            yield result
-
-    schema = "msno string, " + ", ".join(f"{n} double" for n in names)
-    rows = high_risk.select("msno", vector_to_array(F.col(vector)).alias("x"))
-    return rows.mapInPandas(explain, schema)
+            matrix = batch[list(features)].to_numpy(dtype=float)
+            shares = pd.DataFrame(attributions(matrix, leaves.value), columns=names)
+            kept = batch[list(keep)].reset_index(drop=True)
+            yield pd.concat([kept, shares], axis=1)
+
+    kept = rows.select(*keep).schema
+    schema = T.StructType([*kept.fields, *[T.StructField(n, T.DoubleType()) for n in names]])
+    return rows.select(*keep, *features).mapInPandas(explain, schema)

@@ -97,21 +97,15 @@ def score(spark: SparkSession, job: Job) -> DataFrame:
     churn = models.load_model(job.model_dir, "churn_classifier")
     if churn is None:
         raise FileNotFoundError(f"{job.model_dir}: train the churn classifier first")
-    features, seen = readers.load_features(spark, job.path("features_score"))
-    scored = replace_stage(
-        models.score_users(features, churn, job.cfg), job.path("stages/scored")
-    )
-    if seen.get["rows_dropped"]:
-        log.warning("dropped %s of %s rows without a key", seen.get["rows_dropped"], seen.get["rows_read"])
-
-    users = readers.read_export(spark, job.path("features_score"))
-    explained = models.add_attributions(scored, users, churn)
     treated = models.load_model(job.model_dir, "uplift_treatment")
     control = models.load_model(job.model_dir, "uplift_control")
     pair = (treated, control) if treated and control else None
     if pair is None:
         log.warning("no uplift models, uplift stays NULL")
-    export(models.add_uplift(explained, users, pair), job.path("scored_users"))
+    features, seen = readers.load_features(spark, job.path("features_score"))
+    export(models.score_and_explain(features, churn, job.cfg, pair), job.path("scored_users"))
+    if seen.get["rows_dropped"]:
+        log.warning("left out rows without a key: %s", seen.get)
     return readers.read_export(spark, job.path("scored_users"))
 
 

@@ -31,16 +31,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def fixed_change_points(t: Tables) -> DataFrame:
-    """Statistics around a change in the middle of every history of 16 days or more.
+def halfway(series: DataFrame) -> DataFrame:
+    """A change in the middle of every history of 16 days or more.
 
     Stands in for detection where everything after it must be comparable with SQL.
     """
-    series = changepoint.user_series(t.rollup)
-    halfway = "CASE WHEN size(secs) >= 16 THEN size(secs) DIV 2 END"
-    return changepoint.change_point_stats(
-        series.selectExpr("*", f"CAST({halfway} AS INT) AS cp_idx")
-    )
+    rule = "CASE WHEN size(secs) >= 16 THEN size(secs) DIV 2 END"
+    return series.selectExpr("*", f"CAST({rule} AS INT) AS cp_idx")
 
 
 def keep_mart(name: str, frame: DataFrame) -> DataFrame:
@@ -55,7 +52,7 @@ def keep_marts(name: str, frame: DataFrame) -> DataFrame:
 
 def tables(spark: SparkSession, sf_dir: str, stage=None) -> Tables:
     raw = testdata.RawTables(spark, sf_dir)
-    return Tables(raw, CFG, stage=stage, change_points=fixed_change_points)
+    return Tables(raw, CFG, stage=stage, locate=halfway)
 
 
 def _rounded(frame: DataFrame, digits: int, *names: str) -> DataFrame:
@@ -125,7 +122,9 @@ def activity_stats(t: Tables) -> DataFrame:
 register("feature_master")(lambda t: t.feature_master)
 register("churn_mart")(lambda t: t.mart)
 register("intervention_mart")(lambda t: t.intervention_mart)
-register("change_point_stats")(fixed_change_points)
+register("change_point_stats")(
+    lambda t: changepoint.change_point_stats(halfway(changepoint.user_series(t.rollup)))
+)
 register("change_points")(lambda t: changepoint.detect_change_points(t.rollup, CFG))
 register("change_point_share")(
     lambda t: changepoint.detected_share(changepoint.detect_change_points(t.rollup, CFG))
@@ -337,12 +336,9 @@ def retrain_decision(t: Tables) -> DataFrame:
 QUICK = models.BoostingParams(trees=5, depth=3, rate=0.3)
 
 
-def _scored_by_booster(t: Tables) -> tuple[models.TrainedModel, DataFrame]:
-    model = models.train_churn(t.mart, QUICK)
-    return model, models.score_users(t.mart, model, CFG)
-
-
-register("churn_gbt_scores", stage=keep_marts)(lambda t: _scored_by_booster(t)[1])
+register("churn_gbt_scores", stage=keep_marts)(
+    lambda t: models.score_users(t.mart, models.train_churn(t.mart, QUICK), CFG)
+)
 register("cv_metrics", stage=keep_marts)(
     lambda t: models.cross_validate(t.mart, models.BoostingParams(trees=3, depth=3, rate=0.3))
 )
@@ -356,16 +352,17 @@ def feature_importance(t: Tables) -> DataFrame:
 
 @register("tree_attributions", stage=keep_marts)
 def tree_attributions(t: Tables) -> DataFrame:
-    model, frame = _scored_by_booster(t)
-    return models.add_attributions(frame, t.mart, model)
+    return models.score_and_explain(t.mart, models.train_churn(t.mart, QUICK), CFG)
 
 
 def _with_uplift(t: Tables) -> DataFrame:
-    _, frame = _scored_by_booster(t)
-    return models.add_uplift(frame, t.mart, models.train_uplift(t.intervention_mart, QUICK))
+    pair = models.train_uplift(t.intervention_mart, QUICK)
+    return models.score_and_explain(t.mart, models.train_churn(t.mart, QUICK), CFG, pair)
 
 
-register("uplift_scores", stage=keep_marts)(_with_uplift)
+register("uplift_scores", stage=keep_marts)(
+    lambda t: _with_uplift(t).select("msno", "churn_prob", "churn_flag", "uplift_score")
+)
 register("uplift_summary", stage=keep_marts)(
     lambda t: models.uplift_summary(_with_uplift(t), CFG)
 )

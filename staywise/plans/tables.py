@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 
 from staywise.config import EngineConfig
 from staywise.operators import changepoint, features, marts, sessions, staging
+from staywise.sources.schemas import CHANGE_POINTS
 
 
 class Tables:
@@ -16,13 +17,14 @@ class Tables:
 
     ``stage`` is applied to the tables that several later stages read. The default keeps
     them lazy; a pipeline passes a function that writes the table and reads it back.
+    ``locate`` adds the change index ``cp_idx`` to users' ``days`` and ``secs``.
     """
 
-    def __init__(self, raw: Mapping[str, DataFrame], cfg: EngineConfig, stage=None, change_points=None):
+    def __init__(self, raw: Mapping[str, DataFrame], cfg: EngineConfig, stage=None, locate=None):
         self.raw = raw
         self.cfg = cfg
         self._stage = stage or (lambda name, frame: frame)
-        self._change_points = change_points
+        self._locate = locate or (lambda series: changepoint.with_breakpoints(series, cfg))
 
     @cached_property
     def members(self) -> DataFrame:
@@ -60,25 +62,29 @@ class Tables:
 
     @cached_property
     def rollup(self) -> DataFrame:
-        return self._stage("daily_rollup", sessions.daily_rollup(self.user_logs))
+        return sessions.daily_rollup(self.user_logs)
+
+    @cached_property
+    def log_features(self) -> DataFrame:
+        """Cadence, usage and change point of every log user from one pass over the log."""
+        fused = sessions.activity_features(self.rollup, self.cfg, with_series=True)
+        kept = [c for c in fused.columns if c not in ("msno", "days", "secs")]
+        found = changepoint.change_point_stats(self._locate(fused), *kept)
+        return self._stage("log_features", found)
 
     @cached_property
     def change_points(self) -> DataFrame:
-        if self._change_points is not None:
-            return self._change_points(self)
-        return self._stage(
-            "change_points", changepoint.detect_change_points(self.rollup, self.cfg)
-        )
+        return self.log_features.select(*CHANGE_POINTS.names)
 
     def _master(self, labelled_only: bool) -> DataFrame:
         return features.feature_master(
             members=self.members,
             labels=self.labels,
-            activity=sessions.activity_features(self.rollup, self.cfg),
+            activity=self.log_features,
             support=features.support_signals(self.support_tickets, self.cfg),
             payments=features.transaction_signals(self.transactions, self.cfg),
             adoption=features.feature_adoption(self.feature_events, self.cfg),
-            change_points=self.change_points,
+            change_points=None,
             engagement=features.intervention_engagement(self.interventions),
             labelled_only=labelled_only,
         )

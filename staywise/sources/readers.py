@@ -31,25 +31,23 @@ def usable_key(column: str = "msno") -> Column:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Typed CSV scan that skips malformed lines.
+    """Typed CSV scan that skips lines holding a value of the wrong type.
 
-    Columns are taken by header name when the header differs in order or has extra
-    columns; the schema's types are kept and columns missing in the file are NULL.
+    Columns are found by header name; those missing in the file are NULL, further ones are
+    ignored. The check is a filter over all schema columns, so which lines are skipped does
+    not depend on the columns a query happens to read.
     """
-    header = spark.read.option("header", True).option("inferSchema", False).csv(path).columns
-    types = {f.name: f.dataType for f in schema.fields}
-    on_disk = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in header])
-    rows = (
-        spark.read.schema(on_disk)
-        .option("header", True)
-        .option("mode", "DROPMALFORMED")
-        .option("enforceSchema", True)
-        .csv(path)
-    )
-    present = set(header)
-    return rows.select(
+    header = spark.read.option("header", True).csv(path).columns
+    text = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    lines = spark.read.schema(text).option("header", True).option("mode", "DROPMALFORMED").csv(path)
+    present = [f for f in schema.fields if f.name in header]
+    typed = {f.name: f"try_cast({f.name} AS {f.dataType.simpleString()})" for f in present}
+    for f in present:
+        if not isinstance(f.dataType, T.StringType):
+            lines = lines.filter(f"{f.name} IS NULL OR {typed[f.name]} IS NOT NULL")
+    return lines.selectExpr(
         *[
-            F.col(f.name) if f.name in present else F.lit(None).cast(f.dataType).alias(f.name)
+            f"{typed.get(f.name, f'CAST(NULL AS {f.dataType.simpleString()})')} AS {f.name}"
             for f in schema.fields
         ]
     )

@@ -64,6 +64,7 @@ def test_one_pass_equals_separate_features(spark):
     apart = sessions.login_frequency(rollup, cfg).join(
         sessions.usage_decay(rollup, cfg), "msno", "left"
     )
+    assert sessions.activity_features(rollup, cfg, with_series=True).drop("days", "secs").exceptAll(fused).isEmpty()
     assert sorted(map(repr, fused.collect())) == sorted(map(repr, apart.select(fused.columns).collect()))
 
 

@@ -69,7 +69,9 @@ def test_attributions_equal_the_definition(mart, model):
 
 def test_scores_flags_and_explained_rows(mart, model):
     scored = models.score_users(mart, model, CFG)
-    rows = models.add_attributions(scored, mart, model).collect()
+    rows = models.score_and_explain(mart, model, CFG).collect()
+    by_user = {r["msno"]: r for r in rows}
+    assert all(by_user[r["msno"]]["churn_prob"] == r["churn_prob"] for r in scored.collect())
     assert len(rows) == 400
     flagged = [r for r in rows if r["churn_flag"] == 1]
     assert 0 < len(flagged) < 400
@@ -90,7 +92,7 @@ def test_uplift_and_storage(mart, model, tmp_path):
         "is_churn = 1 AS observed_churn",
     )
     treated, control = models.train_uplift(treatments, PARAMS, FEATURES)
-    uplift = models.uplift_scores(mart, treated, control)
+    uplift = models.uplift_scores(mart, treated, control, "msno")
     p = {n: {r["msno"]: r["churn_prob"] for r in models.score_users(mart, m, CFG).collect()} for n, m in (("t", treated), ("c", control))}
     for r in uplift.limit(20).collect():
         assert r["uplift_score"] == pytest.approx(p["c"][r["msno"]] - p["t"][r["msno"]])
@@ -102,11 +104,14 @@ def test_uplift_and_storage(mart, model, tmp_path):
     assert models.score_users(mart, loaded, CFG).collect() == models.score_users(mart, treated, CFG).collect()
     assert models.load_model(str(tmp_path), "nothing") is None
 
-    scored = models.score_users(mart, model, CFG)
-    plain = models.add_uplift(scored, mart, None)
+    plain = models.score_and_explain(mart, model, CFG)
     assert plain.filter("uplift_score IS NOT NULL").count() == 0
-    summary = models.uplift_summary(models.add_uplift(scored, mart, (treated, control)), CFG).first()
-    assert summary["scored_users"] == scored.filter("churn_flag = 1").count()
+    full = models.score_and_explain(mart, model, CFG, (treated, control))
+    assert full.filter("(uplift_score IS NULL) = (churn_flag = 1)").count() == 0
+    want = {r["msno"]: r["uplift_score"] for r in uplift.collect()}
+    assert all(r["uplift_score"] == want[r["msno"]] for r in full.filter("churn_flag = 1").collect())
+    summary = models.uplift_summary(full, CFG).first()
+    assert summary["scored_users"] == full.filter("churn_flag = 1").count()
 
 
 def test_importance_and_cross_validation(spark, mart, model):

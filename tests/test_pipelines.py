@@ -26,6 +26,7 @@ def test_csv_by_header_skips_malformed_and_blank_keys(spark, tmp_path):
     out = readers.load_table(spark, str(tmp_path), "raw_members")
     assert out.schema == MEMBERS
     assert sorted(r["msno"] for r in out.collect()) == ["a+/=", "c"]
+    assert out.select("msno").count() == out.filter("gender = 'male' OR gender IS NULL").count() == 2
     assert readers.load_table(spark, str(tmp_path), "raw_train") is None
     (tmp_path / "train.csv").write_text("msno,is_churn\na,1\n")
     assert readers.load_table(spark, str(tmp_path), "raw_train").count() == 1
