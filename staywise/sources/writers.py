@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,11 +18,15 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="staywise-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_dir(context.applicationId)
+
+
+@cache
+def _local_dir(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix=f"staywise-{application_id}-")
 
 
 def settle(df: DataFrame) -> DataFrame:

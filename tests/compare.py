@@ -58,7 +58,7 @@ def differences(spark_table: pa.Table, oracle_table: pa.Table) -> str | None:
 
 def check(spark, con, name: str, sf_dir: str, queries, oracles) -> str | None:
     result = queries[name](spark, sf_dir).toArrow()
-    return differences(result, con.execute(oracles[name]).to_arrow_table())
+    return differences(result, con.sql(oracles[name]).to_arrow_table())
 
 
 def main(argv: list[str]) -> int:

@@ -48,7 +48,14 @@ def test_ad_hoc_sql(spark):
 def test_settled_rows_stay(spark):
     frame = settle(spark.range(100).withColumn("r", F.rand()))
     assert frame.collect() == frame.collect()
-    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_shared_folder_is_the_configured_one(spark, monkeypatch):
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    assert shared_dir(spark) == named or named is None
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, default=None: default)
+    own = shared_dir(spark)
+    assert own == shared_dir(spark) and Path(own).is_dir()
 
 
 def test_change_points_default_to_an_empty_table(spark, tmp_path):
