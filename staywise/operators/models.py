@@ -138,10 +138,13 @@ def train_uplift(
     features: tuple[str, ...] = CHURN_FEATURES,
 ) -> tuple[TrainedModel, TrainedModel]:
     """One model on treated, one on untreated users (T-learner)."""
-    treated = training_rows(treatments.filter("intervention_type <> 'no_treatment'"), "observed_churn", features)
-    control = training_rows(treatments.filter("intervention_type = 'no_treatment'"), "observed_churn", features)
     pipeline = _pipeline(features, params)
-    return TrainedModel(pipeline.fit(treated), features), TrainedModel(pipeline.fit(control), features)
+
+    def fit(condition: str) -> TrainedModel:
+        rows = treatments.filter(f"intervention_type {condition} 'no_treatment'")
+        return TrainedModel(pipeline.fit(training_rows(rows, "observed_churn", features)), features)
+
+    return fit("<>"), fit("=")
 
 
 def uplift_scores(

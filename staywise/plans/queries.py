@@ -236,7 +236,8 @@ def _segments(t: Tables, segment: str) -> DataFrame:
     return _rounded(actions.segment_summary(plan(t), t.mart, segment), 8, "avg_churn_prob")
 
 
-for _name, _segment in (("segment_by_tier", "risk_tier"), ("segment_by_cohort", "behavioral_cohort")):
+SEGMENTS = {"segment_by_tier": "risk_tier", "segment_by_cohort": "behavioral_cohort"}
+for _name, _segment in SEGMENTS.items():
     register(_name, oracle.segment_sql(_segment), stage=keep_mart)(
         lambda t, segment=_segment: _segments(t, segment)
     )
