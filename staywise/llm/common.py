@@ -89,23 +89,20 @@ class WordIds:
     do not depend on it.
     """
 
-    def __init__(self, of_word, width: int, bound: int = 200_000) -> None:
-        self.of_word, self.bound = of_word, bound
+    def __init__(self, of_word, width: int, bound: int = 400_000) -> None:
+        self.of_word, self.width, self.bound = of_word, width, bound
         self.place: dict = {}
         self.ids = np.zeros((1024, width), np.int64)
 
-    def _add(self, found) -> None:
-        for word in found:
-            k = len(self.place)
-            if k == len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            self.ids[k] = self.of_word(word)
-            self.place[word] = k
-
     def rows(self, found: list) -> np.ndarray:
         new = set(found).difference(self.place)
         if len(self.place) + len(new) > self.bound and self.place:
             self.place.clear()
             new = set(found)
-        self._add(new)
+        if new:
+            begin, end = len(self.place), len(self.place) + len(new)
+            if end > len(self.ids):
+                self.ids = np.concatenate([self.ids, np.zeros((max(end, 2 * len(self.ids)) - len(self.ids), self.width), np.int64)])
+            self.ids[begin:end] = np.array([self.of_word(w) for w in new], np.int64)
+            self.place.update(zip(new, range(begin, end), strict=True))
         return self.ids[np.fromiter(map(self.place.__getitem__, found), np.int64, len(found))]

@@ -38,7 +38,7 @@ LEAF_ROWS = 64
 LEAVES = 256
 #: Share of all vectors that a query's leaves hold together, and the least number of them
 #: (smaller tables are opened whole).
-SEARCH_SHARE = 0.45
+SEARCH_SHARE = 0.6
 SEARCH_LEAST = 4_000
 BLOCK = 4_096
 
@@ -228,8 +228,9 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, id_column: str = "v
     most = max(float(t.share.max()) for t in trees)
     parts, query_parts = int(-(-most * total // BLOCK)), int(-(-queries // BLOCK))
     every_part = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = placed.withColumn("part", F.pmod("class", F.lit(parts))).withColumn("qpart", every_part(query_parts))
-    right = wanted.withColumn("qpart", F.pmod("class", F.lit(query_parts))).withColumn("part", every_part(parts))
+    own_part = lambda n: F.pmod(F.col("class"), F.lit(n)).cast("int")  # noqa: E731  both sides need keys of the same types
+    left = placed.withColumn("part", own_part(parts)).withColumn("qpart", every_part(query_parts))
+    right = wanted.withColumn("qpart", own_part(query_parts)).withColumn("part", every_part(parts))
     keys = ["tree", "leaf", "part", "qpart"]
     best = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(lambda a, b: ranked_block(a, b, k + 1), "query long, class long, first long, score double")
 

@@ -38,19 +38,18 @@ WIDTH = 3
 #: Ids of the n-grams "same word again" and "same line again".
 REPEATED_WORD, REPEATED_LINE = 1, 2
 
-_SIGNS = [(re.compile(p), r) for p, r in ((r"[^\W\d_]*[a-zß-öø-ÿ][^\W\d_]*", "a"), (r"[^\W\d_]+", "A"), (r"\d+", "0"), (r"(.)\1+", r"\1\1"))]
+#: Letters to ``a`` (small, or beyond ASCII) and ``A``, digits to ``0``; marks stay.
+_KINDS = bytes(97 if chr(c).islower() or c > 127 else 65 if chr(c).isupper() else 48 if chr(c).isdigit() else c for c in range(256))
+_AGAIN = re.compile(rb"(.)\1+")
 
 
-def shape(word: str) -> str:
-    """A word with its letters and digits reduced to their kind, e.g. ``a,`` or ``A!!``."""
-    for pattern, kind in _SIGNS:
-        word = pattern.sub(kind, word)
-    return word[:12]
+def shape(word: bytes) -> bytes:
+    """A word with runs of a kind of sign reduced to one, e.g. ``Aa,`` or ``A!``."""
+    return _AGAIN.sub(rb"\1", word.translate(_KINDS))[:12]
 
 
-def word_ids(word: bytes) -> list[int]:
-    form = shape(word.decode("utf-8", "replace"))
-    return [zlib.crc32(b"w" + word) % BUCKETS, zlib.crc32(b"f" + form.encode()), zlib.crc32(b"e" + word[-2:]) % BUCKETS]
+def word_ids(word: bytes) -> tuple[int, ...]:
+    return zlib.crc32(word), zlib.crc32(shape(word), 1), zlib.crc32(word[-2:], 2)
 
 
 def indicators(text: bytes | None, ids: WordIds) -> np.ndarray:
@@ -58,7 +57,7 @@ def indicators(text: bytes | None, ids: WordIds) -> np.ndarray:
     found = text.split() if text else []
     if not found:
         return np.zeros(0, np.int32)
-    word, form, end = ids.rows(found).T
+    word, form, end = np.ascontiguousarray(ids.rows(found).T)
     pair = (word[:-1] * 0x9E3779B1 + word[1:] * 0x85EBCA77 + 17) % 0xFFFFFFFB
     form2 = (form[:-1] * 0x9E3779B1 + form[1:] * 0x85EBCA77 + 29) % 0xFFFFFFFB
     form3 = (form2[:-1] * 0x9E3779B1 + form[2:] + 31) % 0xFFFFFFFB if len(form) > 2 else form2[:0]
