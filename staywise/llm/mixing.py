@@ -22,7 +22,7 @@ WEIGHTS = (1, 2, 3)
 #: Most turns of a ring, also the limit of a target against its source's size.
 REPEATS = 3
 #: A shard's documents are put in order in one task: so many on average.
-SHARD_ROWS = 50_000
+SHARD_ROWS = 4_000
 
 
 def apportion(members: DataFrame, group: list[str], member: str, weight: str, seats: str) -> DataFrame:
