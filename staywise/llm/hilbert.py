@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 from .common import written
 
 BITS = 5
-CELL_ROWS = 50_000
+CELL_ROWS = 4_000
 SHARDS = 8
-#: Values sampled per dimension for the string cut points are whole value counts, no sample.
+#: Levels of each dimension.
 LEVELS = 1 << BITS
 
 
@@ -81,7 +81,6 @@ def sharded(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
     row may change places with each other, nothing else is left open. Columns of these names
     are replaced. An empty table gives an empty result.
     """
-    spark = documents.sparkSession
     docs = documents.drop("shard", "slot", "curve")
     axes = ["_lang", "_source", "_size"]
     size = F.least(F.lit(LEVELS - 1), F.floor(F.log2(byte_size(F.col("text"))) * 1.5)).cast("int")
@@ -103,7 +102,7 @@ def sharded(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
     runs = written(runs.select(F.col("curve").alias("_curve"), F.col("_part").alias("_p"), (F.col("_begin") + F.col("_inside")).alias("_first"), "_total"))
 
     rows = docs.withColumns(places | {"_size": size, "_mark": mark}).join(F.broadcast(grid.drop("_count")), axes).withColumn("_part", part).drop("_parts", *axes)
-    order = Window.partitionBy("curve", "_part").orderBy("_mark", *[c for c in ("doc_id", "text", "lang", "source") if c in docs.columns])
+    order = Window.partitionBy("curve", "_part").orderBy("_mark", *[c for c in ("doc_id", "lang", "source")])
     rows = rows.withColumn("_r", F.row_number().over(order) - 1)
     rows = rows.join(runs, (F.col("curve") == F.col("_curve")) & (F.col("_part") == F.col("_p")))
     rank = F.col("_first") + F.col("_r")

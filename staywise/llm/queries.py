@@ -54,11 +54,11 @@ def op6_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return sharded(docs).select(
-        "doc_id", byte_size(F.col("text")).alias("size"), F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
-        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "curve",
-    )
+    size, crc = byte_size(F.col("text")), F.crc32(F.coalesce("text", F.lit("")))
+    # Both are taken ahead, so that no text is shuffled.
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", size.alias("size"), crc.alias("text_crc32"))
+    placed = sharded(docs)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "curve")
 
 
 def op8_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
