@@ -62,6 +62,17 @@ def byte_strings(column) -> list[bytes | None]:
     return column.view(kind).to_pylist()
 
 
+def id_sets(column) -> list[np.ndarray]:
+    """Views of an Arrow binary column of 32-bit integers, without copying it."""
+    sets = []
+    for chunk in column.chunks:
+        _, offsets, data = chunk.buffers()
+        places = np.frombuffer(offsets, np.int32, len(chunk) + 1, 4 * chunk.offset) // 4
+        values = np.frombuffer(data, np.int32) if data is not None and data.size else np.zeros(0, np.int32)
+        sets += [values[a:b] for a, b in zip(places, places[1:], strict=False)]
+    return sets
+
+
 def remainder(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 5: 0 marks the held-out rows."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 5

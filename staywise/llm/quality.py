@@ -25,9 +25,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordIds, byte_strings, labelled_sample
+from .common import WordIds, byte_strings, id_sets, labelled_sample
 
-SAMPLE_ROWS = 10_000
+SAMPLE_ROWS = 8_000
 BUCKETS = 1 << 18
 SMOOTHING = 1.0
 COST = 1.0
@@ -106,18 +106,15 @@ def dual_descent(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, seed:
     sign = np.where(y > 0, 1.0, -1.0)
     share = max(1, int((y > 0).sum())), max(1, int((y <= 0).sum()))
     cost = np.where(y > 0, len(y) / (2 * share[0]), len(y) / (2 * share[1])) * COST
-    values = []
-    for found in rows:
-        x = ratio[found]
-        length = np.sqrt(x @ x)
-        values.append(x / length if length else x)
-    square = np.array([x @ x + 1 for x in values])  # the constant is a feature of value 1
+    scale = np.array([1 / max(1e-12, float(np.linalg.norm(ratio[found]))) for found in rows])
+    square = np.array([2.0 if len(found) else 1.0 for found in rows])  # the constant is a feature of value 1
     w, constant, alpha = np.zeros(BUCKETS), 0.0, np.zeros(len(rows))
     rng = np.random.default_rng(seed)
     for _ in range(ROUNDS):
         moved = 0.0
         for i in rng.permutation(len(rows)):
-            found, x = rows[i], values[i]
+            found = rows[i]
+            x = ratio[found] * scale[i]
             slope = sign[i] * (w[found] @ x + constant) - 1
             new = min(max(alpha[i] - slope / square[i], 0.0), cost[i])
             step = new - alpha[i]
@@ -184,8 +181,8 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "quality", sampl
     # At most sample_rows rows come to the driver; a text met several times counts once.
     found = kept.mapInArrow(run, "h long, ids binary, y long").groupBy("h").agg(F.min("ids").alias("ids"), F.max("y").alias("y")).toArrow()
     order = np.argsort(found.column("h").to_numpy(), kind="stable")
-    sets = found.column("ids").to_pylist()
-    rows = [np.frombuffer(sets[i], np.int32) for i in order]
+    sets = id_sets(found.column("ids"))
+    rows = [sets[i] for i in order]
     return fit(rows, found.column("y").to_numpy()[order], found.column("h").to_numpy()[order] % FOLDS)
 
 

@@ -25,10 +25,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordIds, byte_strings, labelled_sample
+from .common import WordIds, byte_strings, id_sets, labelled_sample
 
 #: Bound on the labelled documents a chain is fitted on.
-SAMPLE_ROWS = 12_000
+SAMPLE_ROWS = 10_000
 BUCKETS = 1 << 18
 SELECT_Z = 3.5
 RIDGE = 0.2
@@ -106,26 +106,25 @@ def log_odds(p: np.ndarray) -> np.ndarray:
     return np.log(p / (1 - p))
 
 
-def selected(x: Matrix, y: np.ndarray) -> np.ndarray:
-    """Features tied to the category, sorted."""
-    on = np.bincount(x.ids, weights=y[x.owner()], minlength=BUCKETS)
-    off = np.bincount(x.ids, minlength=BUCKETS) - on
-    n1, n0 = y.sum(), len(y) - y.sum()
-    a, b, c, d = on + 0.5, n1 - on + 0.5, off + 0.5, n0 - off + 0.5
+def selected(on: np.ndarray, all_: np.ndarray, n1: float, n: float) -> np.ndarray:
+    """Features tied to a category, sorted; ``on`` of their ``all_`` rows are among its n1 of n."""
+    if not 0 < n1 < n:
+        return np.zeros(0, np.int64)
+    off = all_ - on
+    a, b, c, d = on + 0.5, n1 - on + 0.5, off + 0.5, n - n1 - off + 0.5
     z = np.log(a * d / (b * c)) / np.sqrt(1 / a + 1 / b + 1 / c + 1 / d)
     return np.flatnonzero(np.abs(z) >= SELECT_Z)
 
 
-def fit_linear(x: Matrix, y: np.ndarray, earlier: np.ndarray, steps: int = 120) -> Linear:
-    """Ridge logistic regression by accelerated gradient steps of a safe length.
+def fit_linear(x: Matrix, y: np.ndarray, earlier: np.ndarray, features: np.ndarray, steps: int = 80) -> Linear:
+    """Ridge logistic regression on some features by accelerated gradient steps of a safe length.
 
     With a single class present the model is the constant log odds of that class, smoothed.
     """
     share = (y.sum() + 0.5) / (len(y) + 1)
-    features = selected(x, y) if 0 < y.sum() < len(y) else np.zeros(0, np.int64)
     width = earlier.shape[1]
     if not 0 < y.sum() < len(y):
-        return Linear(features, np.zeros(0), np.zeros(width), float(log_odds(np.array([share]))[0]))
+        return Linear(np.zeros(0, np.int64), np.zeros(0), np.zeros(width), float(log_odds(np.array([share]))[0]))
     row, col = x.restricted(features)
     # Columns are scaled so that one step length suits all of them.
     counts = np.bincount(col, minlength=len(features)) + 1.0
@@ -152,18 +151,38 @@ def predict_linear(model: Linear, x: Matrix, earlier: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(score, -30, 30)))
 
 
-def fit_chain(x: Matrix, labels: np.ndarray, folds: np.ndarray) -> list[Linear]:
-    """A model per column of ``labels``, each fed with the earlier ones' out-of-fold results."""
-    chain, earlier = [], np.zeros((x.rows, 0))
+def fit_chain(sets: list[np.ndarray], labels: np.ndarray, folds: np.ndarray) -> list[Linear]:
+    """A model per column of ``labels``, each fed with the earlier ones' out-of-fold results.
+
+    ``sets``: the feature ids of each row. Only selected features are laid out as a matrix, so
+    memory is little more than the sets.
+    """
+    chain, earlier, n = [], np.zeros((len(sets), 0)), len(sets)
+    parts = np.unique(folds)
+    rows_of = {f: np.flatnonzero(folds == f) for f in parts}
+    all_ = {f: np.zeros(BUCKETS) for f in parts}
+    for found, fold in zip(sets, folds, strict=True):
+        all_[fold][found] += 1
+    every = sum(all_.values()) if n else np.zeros(BUCKETS)
     for k in range(labels.shape[1]):
         y = labels[:, k].astype(float)
-        chain.append(fit_linear(x, y, earlier))
-        unseen = np.zeros(x.rows)
-        for fold in np.unique(folds):
-            inside, outside = np.flatnonzero(folds != fold), np.flatnonzero(folds == fold)
-            if len(inside):
-                model = fit_linear(x.take(inside), y[inside], earlier[inside])
-                unseen[outside] = predict_linear(model, x.take(outside), earlier[outside])
+        on = {f: np.zeros(BUCKETS) for f in parts}
+        for i in np.flatnonzero(y):
+            on[folds[i]][sets[i]] += 1
+        whole = sum(on.values()) if n else np.zeros(BUCKETS)
+        chosen = {None: selected(whole, every, y.sum(), n)}
+        for f in parts:
+            chosen[f] = selected(whole - on[f], every - all_[f], y.sum() - y[rows_of[f]].sum(), n - len(rows_of[f]))
+        among = np.zeros(BUCKETS, bool)
+        for features in chosen.values():
+            among[features] = True
+        x = stack([found[among[found]].astype(np.int64) for found in sets])
+        chain.append(fit_linear(x, y, earlier, chosen[None]))
+        unseen = np.zeros(n)
+        for f in parts:
+            inside, outside = np.flatnonzero(folds != f), rows_of[f]
+            model = fit_linear(x.take(inside), y[inside], earlier[inside], chosen[f])
+            unseen[outside] = predict_linear(model, x.take(outside), earlier[outside])
         earlier = np.concatenate([earlier, log_odds(unseen)[:, None]], axis=1)
     return chain
 
@@ -195,10 +214,10 @@ def train(documents: DataFrame, labels: DataFrame, categories: tuple[str, ...],
     features = kept.mapInArrow(run, ", ".join(["h long", "ids binary", *[f"{c} long" for c in names]]))
     # At most sample_rows rows come to the driver; a text met several times counts once.
     found = features.groupBy("h").agg(F.min("ids").alias("ids"), *[F.max(c).alias(c) for c in names]).toArrow()
-    found = found.take(np.argsort(found.column("h").to_numpy(), kind="stable"))
-    x = stack([np.frombuffer(b, np.int32).astype(np.int64) for b in found.column("ids").to_pylist()])
-    y = np.stack([found.column(c).to_numpy() for c in names], axis=1) if len(found) else np.zeros((0, len(names)))
-    return fit_chain(x, y, found.column("h").to_numpy() % FOLDS)
+    order = np.argsort(found.column("h").to_numpy(), kind="stable")
+    sets = id_sets(found.column("ids"))
+    y = np.stack([found.column(c).to_numpy() for c in names], axis=1)
+    return fit_chain([sets[i] for i in order], y[order], found.column("h").to_numpy()[order] % FOLDS)
 
 
 def scored(documents: DataFrame, chain: list[Linear], categories: tuple[str, ...]) -> DataFrame:
