@@ -108,8 +108,6 @@ class EngineConfig:
     cp_min_size: int = 2
     cp_grid: int = 5
 
-    narration_cap: int = 200
+    # Length of the list of the riskiest users (narration_candidates).
+    narration_list: int = 200
     top_factors: int = 5
-
-    # A single user's rows are ordered in one task only up to this many rows.
-    max_group_rows: int = 5_000_000

@@ -15,38 +15,35 @@ from staywise.functions.columns import columns
 
 # Kernel distances are kept inside this range.
 DISTANCE_RANGE = (1e-2, 1e2)
-# Largest number of pairwise distances sorted at once for the median.
-MAX_PAIRS = 4_000_000
 
 
 def median_squared_gap(values: np.ndarray) -> float:
-    """Median of all pairwise squared differences."""
+    """Median of all pairwise squared differences, in memory linear in their number.
+
+    The gaps of a rank are found by halving the range of values: how many gaps are at most
+    some width follows from one search per value.
+    """
     x = np.sort(values)
     n = len(x)
     pairs = n * (n - 1) // 2
-    if pairs <= MAX_PAIRS:
-        i, j = np.triu_indices(n, 1)
-        return float(np.median((x[j] - x[i]) ** 2))
+    index = np.arange(n)
 
-    def ranked(rank: int) -> float:
-        """The rank-th smallest gap, by halving the value range with linear memory."""
-        lo, hi = 0.0, float(x[-1] - x[0])
-        index = np.arange(n)
-        while True:
-            mid = (lo + hi) / 2
-            if mid in (lo, hi):
-                return lo if below(lo, index) >= rank else hi
-            if below(mid, index) >= rank:
-                hi = mid
-            else:
-                lo = mid
-
-    def below(gap: float, index: np.ndarray) -> int:
+    def below(gap: float) -> int:
         return int((np.searchsorted(x, x + gap, side="right") - index - 1).sum())
 
-    low = ranked((pairs + 1) // 2) ** 2
-    high = ranked(pairs // 2 + 1) ** 2
-    return (low + high) / 2
+    def ranked(rank: int) -> float:
+        lo, hi = 0.0, float(x[-1] - x[0])
+        if below(lo) >= rank:
+            return lo
+        while (mid := (lo + hi) / 2) not in (lo, hi):
+            lo, hi = (lo, mid) if below(mid) >= rank else (mid, hi)
+        return hi
+
+    if not pairs:
+        return 0.0
+    low = ranked((pairs + 1) // 2)
+    high = low if pairs % 2 else ranked(pairs // 2 + 1)
+    return (low**2 + high**2) / 2
 
 
 def last_breakpoint(values: np.ndarray, cfg: EngineConfig) -> int | None:

@@ -57,9 +57,18 @@ def _ranked(scored: DataFrame, score: str, label: str) -> DataFrame:
 
 def auc_roc(scored: DataFrame, score: str = "churn_prob", label: str = "is_churn") -> DataFrame:
     """Area under the ROC curve; tied scores count half."""
-    wins = "CAST(sum(neg * (2 * (cum_pos - pos) + pos)) AS DOUBLE) / 2D"
-    area = f"try_divide({wins}, CAST(sum(pos) * sum(neg) AS DOUBLE))"
-    return _ranked(scored, score, label).agg(*columns({"auc_roc": area}))
+    return auc_of_counts(score_counts(scored, score, label))
+
+
+def auc_of_counts(counts: DataFrame) -> DataFrame:
+    """The same from the numbers ``pos`` and ``neg`` of each distinct ``threshold``."""
+    # Products of counts outgrow 64 bits with some 3e9 rows of each class.
+    wide = "CAST({} AS DECIMAL(19,0))"
+    wins = f"sum({wide.format('neg')} * {wide.format('2 * cum_pos - pos')})"
+    pairs = f"{wide.format('sum(pos)')} * {wide.format('sum(neg)')}"
+    area = f"try_divide(CAST({wins} AS DOUBLE) / 2D, CAST({pairs} AS DOUBLE))"
+    ranked = running_totals(counts, "threshold", ["pos", "neg"], descending=True)
+    return ranked.agg(*columns({"auc_roc": area}))
 
 
 def average_precision(

@@ -60,32 +60,41 @@ def latest_transaction(transactions: DataFrame) -> DataFrame:
 
 
 def transaction_signals(transactions: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """Payment features per user.
+    """Payment features per user, from one pass over the payments.
 
-    The distinct counts run apart from the rest: they first group by (user, value), so
-    even a user with a third of all payments is combined before and spread across the
-    shuffle, and only their two columns are multiplied for it. Both results are
-    partitioned by user, so joining them moves nothing.
+    They are first reduced to (user, payment method, price), which spreads a user with a
+    third of all payments; what is left per user is as small as the price list, so the
+    distinct counts are sizes of sets.
     """
     recent = f"{days_ago(cfg.ref_date, 'transaction_date')} <= 90"
-    discount_sum = from_units(f"sum({to_units('discount_rate', 4)})", 4)
-    metrics = {
+    paid = to_units(f"CASE WHEN {recent} THEN actual_amount_paid ELSE 0D END", 4)
+    parts = {
         "last": LATEST_PAYMENT,
-        "plan_downgrade_flag": "max(plan_downgrade_flag)",
-        "payment_failure_count_90d": f"count_if(payment_failure_flag = 1 AND {recent})",
-        "avg_discount_rate": round_to(ratio(discount_sum, "count(discount_rate)"), 4),
-        "received_discount_90d": f"max({flag(f'discount_rate > 0 AND {recent}')})",
-        "total_paid_90d": f"sum(CASE WHEN {recent} THEN actual_amount_paid ELSE 0D END)",
-        "cancellation_count": "count_if(is_cancel = 1)",
+        "downgraded": "max(plan_downgrade_flag)",
+        "failures": f"count_if(payment_failure_flag = 1 AND {recent})",
+        "discount": f"sum({to_units('discount_rate', 4)})",
+        "discounts": "count(discount_rate)",
+        "discounted": f"max({flag(f'discount_rate > 0 AND {recent}')})",
+        "paid": f"sum({paid})",
+        "cancelled": "count_if(is_cancel = 1)",
     }
-    variety = {
-        "payment_method_changes": "count(DISTINCT payment_method_id)",
-        "distinct_plan_count": "count(DISTINCT plan_list_price)",
+    discount_sum = from_units("sum(discount)", 4)
+    metrics = {
+        "last": "max(last)",
+        "plan_downgrade_flag": "max(downgraded)",
+        "payment_failure_count_90d": "sum(failures)",
+        "avg_discount_rate": round_to(ratio(discount_sum, "sum(discounts)"), 4),
+        "received_discount_90d": "max(discounted)",
+        "total_paid_90d": from_units("sum(paid)", 4),
+        "cancellation_count": "sum(cancelled)",
+        "payment_method_changes": "CAST(size(collect_set(payment_method_id)) AS BIGINT)",
+        "distinct_plan_count": "CAST(size(collect_set(plan_list_price)) AS BIGINT)",
     }
     return (
-        transactions.groupBy("msno")
+        transactions.groupBy("msno", "payment_method_id", "plan_list_price")
+        .agg(*columns(parts))
+        .groupBy("msno")
         .agg(*columns(metrics))
-        .join(transactions.groupBy("msno").agg(*columns(variety)), "msno")
         .selectExpr(
             "msno",
             "last.is_auto_renew AS auto_renew_flag",
@@ -94,7 +103,6 @@ def transaction_signals(transactions: DataFrame, cfg: EngineConfig) -> DataFrame
             f"datediff(last.membership_expire_date, {day(cfg.ref_date)}) "
             "AS membership_expire_days",
             *[m for m in metrics if m != "last"],
-            *variety,
         )
     )
 

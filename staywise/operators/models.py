@@ -18,6 +18,7 @@ from staywise.operators.evaluation import class_weight
 from staywise.operators.scoring import churn_flag, feature_columns
 from staywise.operators.treeshap import tree_attributions
 from staywise.sources.readers import path_exists
+from staywise.sources.writers import settle
 
 
 @dataclass(frozen=True)
@@ -169,14 +170,17 @@ def score_and_explain(
 ) -> DataFrame:
     """Probability and flag of everyone; attributions and uplift of the high-risk users.
 
-    Flagged and other rows take two branches of the same scan that are put together by a
-    union, so scoring shuffles nothing and only flagged rows reach Python. Uplift is NULL
-    when there are no uplift models.
+    Everyone is scored once; the scores are written with the model inputs, and flagged and
+    other rows are read back as two branches that a union puts together. So each model runs
+    once per row, only flagged rows reach Python and nothing is shuffled. Uplift is NULL when
+    there are no uplift models.
     """
     matrix = mart.selectExpr("msno", *feature_columns(mart, _all_features(churn, uplift)))
     inputs = [c for c in matrix.columns if c != "msno"]
-    scored = probabilities(matrix, churn, "msno", *inputs).selectExpr(
-        "msno", "prob AS churn_prob", f"{churn_flag('prob', cfg)} AS churn_flag", *inputs
+    scored = settle(
+        probabilities(matrix, churn, "msno", *inputs).selectExpr(
+            "msno", "prob AS churn_prob", f"{churn_flag('prob', cfg)} AS churn_flag", *inputs
+        )
     )
     head = ("msno", "churn_prob", "churn_flag", "uplift_score")
     flagged = scored.filter("churn_flag = 1")

@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, functions as F
 from staywise.functions.columns import columns
 from staywise.sources.writers import settle
 
+# Rows of one slice of the ordering, which a single task sums up.
+SLICE_ROWS = 1_000_000
+
 
 def running_totals(
     df: DataFrame,
@@ -14,41 +17,36 @@ def running_totals(
     sums: list[str],
     group: str | None = None,
     descending: bool = False,
-    slices: int = 256,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Inclusive running totals ``cum_<name>`` and group totals ``all_<name>``.
 
-    ``df`` holds one row per (group, order value), so copies are already collapsed; there
-    are few groups (columns of a table), or none. The ordering is cut at approximate
-    quantiles: each slice is summed by its own task and starts from the totals of the
-    slices before it. Where the cuts fall changes only the balance, never the result.
-    The rows are written once, because finding the cuts and summing both read them.
+    ``df`` holds one row per (group, order value), so copies are already collapsed. It is
+    dealt into ranges of (group, value), as many as its number of rows asks for, and written
+    with the number of the range; a task sums one range of a group, and the totals of the
+    ranges before it come from a table with a row per group and range.
     """
-    df = settle(df)
-    key = group or "__all"
-    rows = df if group else df.selectExpr("*", "0 AS __all")
-    shares = ", ".join(f"{i / slices}D" for i in range(1, slices))
-    cut_points = f"percentile_approx({order}, array({shares}), {100 * slices})"
-    cuts = rows.groupBy(key).agg(*columns({"__cuts": cut_points}))
-    sign = "-" if descending else ""
-    # One row of cuts per group and one row of totals per slice: sizes fixed by the caller.
-    placed = rows.join(F.broadcast(cuts), key).selectExpr(
-        *rows.columns, f"{sign}size(filter(__cuts, c -> c < {order})) AS __slice"
-    )
+    keys = [group] if group else []
+    rows = settle(df)
+    slices = max(2, -(-rows.count() // slice_rows))  # the count is in the file footers
+    ordering = [F.col(order).desc() if descending else F.col(order)]
+    dealt = rows.repartitionByRange(slices, *keys, *ordering)
+    placed = settle(dealt.withColumn("__slice", F.spark_partition_id()))
 
-    inside = f"""(PARTITION BY {key}, __slice ORDER BY {order} {'DESC' if descending else 'ASC'}
+    direction = "DESC" if descending else "ASC"
+    inside = f"""(PARTITION BY {", ".join([*keys, "__slice"])} ORDER BY {order} {direction}
                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
-    before = f"""(PARTITION BY {key} ORDER BY __slice
-                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
-    per_slice = placed.groupBy(key, "__slice").agg(*columns({s: f"sum({s})" for s in sums}))
+    of_group = f"PARTITION BY {group}" if group else ""
+    before = f"({of_group} ORDER BY __slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    per_slice = placed.groupBy(*keys, "__slice").agg(*columns({s: f"sum({s})" for s in sums}))
     offsets = per_slice.selectExpr(
-        key,
+        *keys,
         "__slice",
         *[f"coalesce(sum({s}) OVER {before}, 0) AS __before_{s}" for s in sums],
-        *[f"sum({s}) OVER (PARTITION BY {key}) AS all_{s}" for s in sums],
+        *[f"sum({s}) OVER ({of_group}) AS all_{s}" for s in sums],
     )
     totals = placed.selectExpr("*", *[f"sum({s}) OVER {inside} AS __cum_{s}" for s in sums])
-    return totals.join(F.broadcast(offsets), [key, "__slice"]).selectExpr(
+    return totals.join(offsets, [*keys, "__slice"]).selectExpr(
         *df.columns,
         *[f"__cum_{s} + __before_{s} AS cum_{s}" for s in sums],
         *[f"all_{s}" for s in sums],

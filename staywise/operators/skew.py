@@ -2,75 +2,35 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window, functions as F
 
-from staywise.sources.writers import settle
-
-# At most this many keys can each hold more than 1/MAX_CROWDED of all rows, which bounds
-# the list of crowded keys whatever the table size.
-MAX_CROWDED = 10_000
-
-
-def crowded_keys(df: DataFrame, key: str, max_group_rows: int) -> tuple[DataFrame | None, int]:
-    """Keys with more rows than one task should order, and the number of their rows."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    total, largest = counts.agg(F.sum("rows"), F.max("rows")).first()
-    limit = max(max_group_rows, (total or 0) // MAX_CROWDED)
-    if (largest or 0) <= limit:
-        return None, 0
-    found = counts.filter(F.col("rows") > limit).collect()
-    keys = df.sparkSession.createDataFrame([(r[0],) for r in found], df.select(key).schema)
-    return keys, sum(r["rows"] for r in found)
+# Undated rows form one last day.
+UNDATED = 2**31 - 1
+# Ties are sliced by their leading bits: 256 slices of a day where ties are hashes.
+SLICE_BITS = 56
 
 
-def previous_value(
-    df: DataFrame,
-    key: str,
-    order: list[str],
-    value: str,
-    out: str,
-    max_group_rows: int,
-) -> DataFrame:
-    """``lag(value)`` within ``key`` by the ``order`` expressions (ascending, NULL first).
+def previous_value(df: DataFrame, key: str, day: str, tie: str, value: str, out: str) -> DataFrame:
+    """``lag(value)`` within ``key``, by ``day`` (NULL last) and then by the whole number ``tie``.
 
-    Ordinary keys use a plain window. A crowded key is cut into range slices of its own
-    order: each slice is ordered in its own task and takes over the last value of the
-    slice before it, so no task ever sees the whole key.
+    Rows are ordered inside (key, day, slice of ties) only. The first row of each takes the
+    last value of the slice before it, from a table with one row per (key, day, slice) that
+    is reduced before it is shuffled. So a key is never ordered in one task as a whole: its
+    rows are spread over its days and, where ties are hashes, over 256 slices of a day.
     """
-    plain = f"lag({value}) OVER (PARTITION BY {key} ORDER BY {', '.join(order)}) AS {out}"
-    crowded, crowded_rows = crowded_keys(df, key, max_group_rows)
-    if crowded is None:
-        return df.selectExpr("*", plain)
-
-    small = F.broadcast(crowded)  # at most MAX_CROWDED keys
-    rest = df.join(small, key, "left_anti").selectExpr("*", plain)
-
-    names = [f"__o{i}" for i in range(len(order))]
-    salted = df.join(small, key, "left_semi").select(
-        "*", *[F.expr(c).alias(n) for c, n in zip(order, names)], F.rand(7).alias("__salt")
-    )
-    # The salt only spreads rows that are equal in every order column; it is written out
-    # before anything is partitioned by it.
-    by = [*names, "__salt"]
-    slices = max(2, math.ceil(2 * crowded_rows / max_group_rows))
-    sliced = settle(
-        settle(salted)
-        .repartitionByRange(slices, key, *by)
-        .withColumn("__slice", F.spark_partition_id())
-    )
-    inside = Window.partitionBy(key, "__slice").orderBy(*by)
-    looked_back = sliced.withColumn(out, F.lag(value).over(inside)).withColumn(
-        "__first", F.row_number().over(inside) == 1
+    names = [key, "__day", "__slice"]
+    rows = df.selectExpr(
+        "*",
+        f"coalesce(unix_date({day}), {UNDATED}) AS __day",
+        f"shiftright({tie}, {SLICE_BITS}) AS __slice",
     )
-    carried = (
-        sliced.groupBy(key, "__slice")
-        .agg(F.max_by(F.struct(value), F.struct(*by)).alias("__tail"))
-        .withColumn("__carry", F.lag("__tail").over(Window.partitionBy(key).orderBy("__slice")))
-        .select(key, "__slice", F.col(f"__carry.{value}").alias("__carry"))
+    inside = Window.partitionBy(*names).orderBy(tie)
+    ordered = rows.withColumns(
+        {"__inside": F.lag(value).over(inside), "__nth": F.row_number().over(inside)}
     )
-    joined = looked_back.join(carried, [key, "__slice"], "left").withColumn(
-        out, F.when(F.col("__first"), F.col("__carry")).otherwise(F.col(out))
+    tails = rows.groupBy(*names).agg(F.max_by(value, tie).alias("__tail"))
+    before = Window.partitionBy(key).orderBy("__day", "__slice")
+    carried = tails.select(*names, F.lag("__tail").over(before).alias("__carry"))
+    return ordered.join(carried, names).selectExpr(
+        *df.columns, f"if(__nth = 1, __carry, __inside) AS {out}"
     )
-    return rest.unionByName(joined.select(*rest.columns))

@@ -17,6 +17,12 @@ from staywise.functions.columns import (
 from staywise.operators.skew import previous_value
 
 
+# Age buckets of ten years with the last one open.
+AGE_BUCKETS = " ".join(
+    [*[f"WHEN age < {low + 10} THEN '{low}-{low + 9}'" for low in (10, 20, 30, 40)], "WHEN age >= 50 THEN '50+'"]
+)
+
+
 def stage_members(raw: DataFrame, cfg: EngineConfig) -> DataFrame:
     """Gender flag, plausible age with its bucket, and tenure at the reference date."""
     return (
@@ -31,9 +37,7 @@ def stage_members(raw: DataFrame, cfg: EngineConfig) -> DataFrame:
         )
         .selectExpr(
             "*",
-            """CASE WHEN age IS NULL THEN 'unknown' WHEN age >= 50 THEN '50+'
-                    WHEN age >= 40 THEN '40-49' WHEN age >= 30 THEN '30-39'
-                    WHEN age >= 20 THEN '20-29' ELSE '10-19' END AS age_bucket""",
+            f"CASE {AGE_BUCKETS} ELSE 'unknown' END AS age_bucket",
             f"{days_ago(cfg.ref_date, 'registration_date')} AS tenure_days",
         )
     )
@@ -66,21 +70,20 @@ def stage_user_logs(raw: DataFrame) -> DataFrame:
     )
 
 
-def stage_transactions(raw: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """Payments with failure, discount and downgrade flags.
+def stage_payments(raw: DataFrame) -> DataFrame:
+    """Payments with failure flag and discount rate.
 
-    Payments of one user on one day are ordered by ``txn_key``. Sources without that
-    column get a hash of the whole row: equal hashes mean equal rows, whose order is
-    immaterial.
+    Sources without ``txn_key`` get a hash of the whole row: equal hashes mean equal rows,
+    whose order is immaterial.
     """
     if "txn_key" not in raw.columns:
         raw = raw.withColumn("txn_key", F.xxhash64(*[F.col(c) for c in raw.columns]))
     discount = round_to("1D - actual_amount_paid / nullif(CAST(plan_list_price AS DOUBLE), 0D)", 4)
-    parsed = (
+    return (
         raw.filter("msno IS NOT NULL")
         .selectExpr(
             "msno",
-            "txn_key",
+            "CAST(txn_key AS BIGINT) AS txn_key",
             "payment_method_id",
             "payment_plan_days",
             "plan_list_price",
@@ -97,13 +100,15 @@ def stage_transactions(raw: DataFrame, cfg: EngineConfig) -> DataFrame:
             f"CASE WHEN plan_list_price > 0 THEN {discount} ELSE 0D END AS discount_rate",
         )
     )
+
+
+def stage_transactions(payments: DataFrame) -> DataFrame:
+    """Payments with the price before and the downgrade flag.
+
+    A user's payments are ordered by day, undated ones last, and by ``txn_key`` within it.
+    """
     with_previous = previous_value(
-        parsed,
-        key="msno",
-        order=["transaction_date IS NULL", "transaction_date", "txn_key"],
-        value="plan_list_price",
-        out="prev_plan_list_price",
-        max_group_rows=cfg.max_group_rows,
+        payments, "msno", "transaction_date", "txn_key", "plan_list_price", "prev_plan_list_price"
     )
     return with_previous.selectExpr(
         "*", f"{flag('plan_list_price < prev_plan_list_price')} AS plan_downgrade_flag"

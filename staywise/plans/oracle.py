@@ -571,14 +571,14 @@ SELECT n.msno, 'The churn model flagged this subscriber as high risk.' || chr(10
     || 'Churn probability: ' || {whole_percent('n.churn_prob')} || chr(10)
     || 'Strongest factors behind the score:' || chr(10) || f.lines || chr(10)
     || coalesce(CASE WHEN c.change_point_detected THEN
-           '- A significant behavioral shift was detected ' || c.days_since_change_point
-           || ' days ago (around ' || CAST(c.change_point_date AS VARCHAR)
-           || '), with usage changing by ' || {whole_percent('c.pct_usage_change')}
-           || ' after that point.' || chr(10) END, '')
+           '- Daily use moved to another level ' || c.days_since_change_point
+           || ' days back, on ' || CAST(c.change_point_date AS VARCHAR)
+           || ': ' || {whole_percent('c.pct_usage_change')}
+           || ' against the level before.' || chr(10) END, '')
     || 'What else is known:' || chr(10)
     || '- Tenure: ' || coalesce(CAST(m.tenure_days AS VARCHAR), 'unknown') || ' days' || chr(10)
     || '- Plan downgrade: ' || m.plan_downgrade_flag || chr(10)
-    || '- Open unresolved support tickets: ' || m.unresolved_ticket_count || chr(10)
+    || '- Tickets still open: ' || m.unresolved_ticket_count || chr(10)
     || '- Last campaign mail: opened=' || CASE WHEN e.email_opened THEN 'True' ELSE 'False' END
     || ', clicked=' || CASE WHEN e.email_clicked THEN 'True' ELSE 'False' END || chr(10)
     || 'Explain in two or three plain sentences why this user may leave,' || chr(10)
@@ -586,7 +586,7 @@ SELECT n.msno, 'The churn model flagged this subscriber as high risk.' || chr(10
     || 're_onboarding_flow, no_action]' || chr(10)
     || 'and justify it in one sentence. Answer with bare JSON holding the fields' || chr(10)
     || 'explanation, recommended_action and action_justification.' AS prompt
-FROM narration_candidates n
+FROM (SELECT msno, churn_prob FROM scored_linear WHERE churn_flag = 1) n
 JOIN (SELECT msno, string_agg('- ' || label || ': ' || impact || ' (magnitude: '
              || printf('%.3f', round_even(magnitude * 1000, 0) / 1000) || ')', chr(10)
              ORDER BY position) AS lines
@@ -597,10 +597,10 @@ LEFT JOIN intervention_engagement e ON e.msno = n.msno"""
 
 BLOCKS["template_narrative"] = f"""
 SELECT s.msno,
-       CASE WHEN churn_flag = 1 THEN 'Risk is driven mainly by ' || replace(f.feature, '_', ' ')
-                || '. Estimated churn probability is ' || {whole_percent('churn_prob')} || '.'
+       CASE WHEN churn_flag = 1 THEN 'What weighs most is ' || replace(f.feature, '_', ' ')
+                || '; the model puts the chance of leaving at ' || {whole_percent('churn_prob')} || '.'
                 || CASE WHEN c.change_point_detected THEN
-                       ' A behavioral shift was flagged around '
+                       ' Use shifted on '
                        || CAST(c.change_point_date AS VARCHAR) || '.' ELSE '' END
             ELSE 'This user is not currently flagged as high-risk.' END AS explanation,
        CASE WHEN churn_flag = 1 THEN 'personal_outreach' ELSE 'no_action' END

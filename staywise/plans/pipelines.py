@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,6 +36,8 @@ class Job:
     out_dir: str
     cfg: EngineConfig = EngineConfig()
     params: models.BoostingParams = models.BoostingParams()
+    # Most users a narrator is asked about, None for all flagged ones.
+    narrated: int | None = None
 
     def path(self, name: str) -> str:
         return f"{self.out_dir.rstrip('/')}/{name}"
@@ -110,13 +112,22 @@ def score(spark: SparkSession, job: Job) -> DataFrame:
 
 
 def narrate(spark: SparkSession, job: Job, scored: DataFrame, narrator: Narrator | None) -> DataFrame:
-    """Narratives of the riskiest users, from replies to prompts or from the template."""
-    chosen = explain.narration_candidates(scored, job.cfg)
+    """Narratives of all flagged users, from replies to prompts or from the template.
+
+    With ``job.narrated`` set, the narrator (a service with a rate limit) is asked about so
+    many of the riskiest users; everyone else gets the template.
+    """
+    flagged = scored.filter("churn_flag = 1")
     shifts = readers.load_change_points(spark, job.path("change_points"))
     if narrator is None:
-        return explain.template_narrative(chosen, shifts)
+        return explain.template_narrative(flagged, shifts)
     context = readers.read_export(spark, job.path("features_score"))
-    return explain.parse_replies(narrator(explain.prompts(chosen, shifts, context, job.cfg)))
+    if job.narrated is None:
+        return explain.parse_replies(narrator(explain.prompts(flagged, shifts, context, job.cfg)))
+    asked = explain.narration_candidates(flagged, replace(job.cfg, narration_list=job.narrated))
+    told = explain.parse_replies(narrator(explain.prompts(asked, shifts, context, job.cfg)))
+    others = flagged.join(asked.select("msno"), "msno", "left_anti")
+    return told.unionByName(explain.template_narrative(others, shifts))
 
 
 def plan_actions(

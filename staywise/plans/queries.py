@@ -105,7 +105,7 @@ register("session_gaps")(lambda t: sessions.session_gaps(sessions.sessions(t.rol
 register("login_frequency")(lambda t: sessions.login_frequency(t.rollup, CFG))
 register("usage_decay")(lambda t: sessions.usage_decay(t.rollup, CFG))
 register("support_signals")(lambda t: features.support_signals(t.support_tickets, CFG))
-register("latest_transaction")(lambda t: features.latest_transaction(t.transactions))
+register("latest_transaction")(lambda t: features.latest_transaction(t.payments))
 register("transaction_signals")(lambda t: features.transaction_signals(t.transactions, CFG))
 register("feature_adoption")(lambda t: features.feature_adoption(t.feature_events, CFG))
 register("intervention_engagement")(lambda t: features.intervention_engagement(t.interventions))
@@ -221,8 +221,8 @@ register("narration_candidates", stage=keep_mart)(
 def prompts(t: Tables) -> DataFrame:
     engagement = features.intervention_engagement(t.interventions)
     context = t.mart.join(engagement, "msno", "left")
-    chosen = explain.narration_candidates(scored(t), CFG)
-    return explain.prompts(chosen, t.change_points, context, CFG)
+    flagged = scored(t).filter("churn_flag = 1")
+    return explain.prompts(flagged, t.change_points, context, CFG)
 
 
 register("template_narrative", stage=keep_mart)(lambda t: explain.template_narrative(scored(t), t.change_points))

@@ -38,11 +38,13 @@ class Tables:
     def user_logs(self) -> DataFrame:
         return staging.stage_user_logs(self.raw["raw_user_logs"])
 
+    @cached_property
+    def payments(self) -> DataFrame:
+        return staging.stage_payments(self.raw["raw_transactions"])
+
     @cached_property
     def transactions(self) -> DataFrame:
-        return self._stage(
-            "stg_transactions", staging.stage_transactions(self.raw["raw_transactions"], self.cfg)
-        )
+        return self._stage("stg_transactions", staging.stage_transactions(self.payments))
 
     @cached_property
     def feature_events(self) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -38,4 +39,7 @@ def local_session(cores: str | int | None = None, partitions: int = 8) -> SparkS
     )
     spark = apply_settings(builder.getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
+    # A single machine shares its own folders; clusters name theirs in spark.checkpoint.dir.
+    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="staywise-"))
     return spark

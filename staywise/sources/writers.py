@@ -2,31 +2,23 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for intermediate tables: the cluster's ``spark.checkpoint.dir``.
+    """Folder for this application's intermediate tables below ``spark.checkpoint.dir``.
 
-    Only a local session (tests) may fall back to a temporary folder of its own.
+    The folder is removed when the application ends.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return _local_dir(context.applicationId)
-
-
-@cache
-def _local_dir(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix=f"staywise-{application_id}-")
+    folder = f"{base.rstrip('/')}/staywise-{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -36,7 +28,7 @@ def settle(df: DataFrame) -> DataFrame:
     are however often a later stage is retried.
     """
     spark = df.sparkSession
-    path = os.path.join(shared_dir(spark), "staywise", uuid.uuid4().hex)
+    path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -39,18 +39,23 @@ def test_average_precision_and_curves(scored, scores):
     assert pr[0.5]["precision"] == pytest.approx(y[s >= 0.5].mean())
 
 
-@pytest.mark.parametrize("slices", [2, 7, 300])
+@pytest.mark.parametrize("slice_rows", [1, 7, 1000])
 @pytest.mark.parametrize("descending", [False, True])
-def test_running_totals_do_not_depend_on_the_slices(spark, slices, descending):
+def test_running_totals_do_not_depend_on_the_slices(spark, slice_rows, descending):
     rows = [(g, float(v * v), v % 5) for g in "ab" for v in range(40)]
     frame = spark.createDataFrame(rows, "g string, x double, n int")
-    out = running_totals(frame, "x", ["n"], "g", descending, slices).collect()
+    out = running_totals(frame, "x", ["n"], "g", descending, slice_rows).collect()
     assert len(out) == len(rows)
     for r in out:
         same = [n for g, x, n in rows if g == r["g"] and (x >= r["x"] if descending else x <= r["x"])]
         assert (r["cum_n"], r["all_n"]) == (sum(same), 80)
 
 
+def test_area_of_billions_of_rows(spark):
+    counts = spark.createDataFrame([(0.9, 4 * 10**9, 10**9), (0.1, 10**9, 5 * 10**9)], "threshold double, pos long, neg long")
+    assert evaluation.auc_of_counts(counts).first()[0] == pytest.approx((4 * 5 + (4 * 1 + 1 * 5) / 2) / 30)
+
+
 def test_exact_quantiles(spark):
     rng = np.random.default_rng(2)
     data = {"a": rng.normal(size=101), "b": rng.integers(0, 4, 50).astype(float), "c": np.array([3.0])}

@@ -56,9 +56,9 @@ def test_prompt(spark, scored, shifts):
     assert set(texts) == {"a", "b"}
     assert "Churn probability: 88%" in texts["a"]
     assert "- support tickets (last 30 days): decreases churn risk (magnitude: 0.500)" in texts["a"]
-    assert "12 days ago (around 2017-03-01), with usage changing by -42% after" in texts["a"]
+    assert "12 days back, on 2017-03-01: -42% against the level before." in texts["a"]
     assert "Tenure: 30 days" in texts["a"] and "opened=N/A" in texts["a"]
-    assert "shift" not in texts["b"] and "Tenure: unknown days" in texts["b"]
+    assert "another level" not in texts["b"] and "Tenure: unknown days" in texts["b"]
 
 
 def test_narration_cap(spark):
@@ -93,8 +93,8 @@ def test_replies(spark):
 
 def test_template_narrative(scored, shifts):
     got = {r["msno"]: r for r in explain.template_narrative(scored, shifts).collect()}
-    assert "driven mainly by ticket count 30d" in got["a"]["explanation"]
-    assert got["a"]["explanation"].endswith("flagged around 2017-03-01.")
+    assert "weighs most is ticket count 30d;" in got["a"]["explanation"]
+    assert got["a"]["explanation"].endswith("Use shifted on 2017-03-01.")
     assert got["c"]["recommended_action"] == "no_action"
 
 

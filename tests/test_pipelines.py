@@ -50,12 +50,13 @@ def test_settled_rows_stay(spark):
     assert frame.collect() == frame.collect()
 
 
-def test_shared_folder_is_the_configured_one(spark, monkeypatch):
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    assert shared_dir(spark) == named or named is None
+def test_shared_folder_must_be_configured(spark, monkeypatch):
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    assert shared_dir(spark).startswith(named)
     monkeypatch.setattr(type(spark.conf), "get", lambda self, key, default=None: default)
-    own = shared_dir(spark)
-    assert own == shared_dir(spark) and Path(own).is_dir()
+    monkeypatch.setattr(type(spark.sparkContext), "getCheckpointDir", lambda self: None)
+    with pytest.raises(RuntimeError):
+        shared_dir(spark)
 
 
 def test_change_points_default_to_an_empty_table(spark, tmp_path):
