@@ -12,7 +12,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from staywise.config import CHURN_FEATURES, EngineConfig
+from staywise.config import (
+    CHURN_FEATURES,
+    INTERVENTION_TYPES,
+    TREATMENT_CODES,
+    UPLIFT_FEATURES,
+    EngineConfig,
+)
 from staywise.functions.columns import columns
 from staywise.operators.evaluation import class_weight
 from staywise.operators.scoring import churn_flag, feature_columns
@@ -133,33 +139,60 @@ def score_users(mart: DataFrame, model: TrainedModel, cfg: EngineConfig) -> Data
     )
 
 
+TREATMENT = "intervention_type_encoded"
+
+
 def train_uplift(
     treatments: DataFrame,
     params: BoostingParams = BoostingParams(),
-    features: tuple[str, ...] = CHURN_FEATURES,
+    features: tuple[str, ...] = UPLIFT_FEATURES,
 ) -> tuple[TrainedModel, TrainedModel]:
-    """One model on treated, one on untreated users (T-learner)."""
-    pipeline = _pipeline(features, params)
+    """One model on treated, one on untreated users (T-learner).
+
+    The treated model also sees which treatment it was; among the untreated that is constant.
+    """
 
-    def fit(condition: str) -> TrainedModel:
+    def fit(condition: str, names: tuple[str, ...]) -> TrainedModel:
         rows = treatments.filter(f"intervention_type {condition} 'no_treatment'")
-        return TrainedModel(pipeline.fit(training_rows(rows, "observed_churn", features)), features)
+        fitted = _pipeline(names, params).fit(training_rows(rows, "observed_churn", names))
+        return TrainedModel(fitted, names)
 
-    return fit("<>"), fit("=")
+    return fit("<>", features), fit("=", tuple(f for f in features if f != TREATMENT))
+
+
+def uplift_by_treatment(
+    frame: DataFrame, treated: TrainedModel, control: TrainedModel, *keep: str
+) -> DataFrame:
+    """``keep`` columns and ``uplift_<treatment>`` for each treatment a plan may contain.
+
+    Churn probability untreated minus treated: one run of the control model, one of the
+    treated model per treatment, and no shuffle.
+    """
+    wanted = dict.fromkeys((*keep, *treated.features))
+    kept = [c for c in wanted if c in frame.columns and c != TREATMENT]
+    base = probabilities(frame, control, *kept).withColumnRenamed("prob", "p_control")
+    if TREATMENT not in treated.features:
+        both = probabilities(base, treated, *keep, "p_control")
+        uplift = "p_control - prob"
+        return both.selectExpr(*keep, *[f"{uplift} AS uplift_{t}" for t in INTERVENTION_TYPES])
+    out = base
+    for name in INTERVENTION_TYPES:
+        asked = out.selectExpr("*", f"{TREATMENT_CODES[name]} AS {TREATMENT}")
+        carried = [c for c in out.columns if c != TREATMENT]
+        out = probabilities(asked, treated, *carried).withColumnRenamed("prob", f"p_{name}")
+    return out.selectExpr(*keep, *[f"p_control - p_{t} AS uplift_{t}" for t in INTERVENTION_TYPES])
 
 
 def uplift_scores(
     frame: DataFrame, treated: TrainedModel, control: TrainedModel, *keep: str
 ) -> DataFrame:
-    """``keep`` columns and ``uplift_score``: churn probability untreated minus treated.
+    """``keep`` columns and ``uplift_score``: that of the treatment that helps most.
 
-    Two transforms of one scan, no join.
+    Transforms of one scan, no join.
     """
-    wanted = dict.fromkeys((*keep, *control.features))
-    kept = [c for c in wanted if c in frame.columns]
-    with_treated = probabilities(frame, treated, *kept).withColumnRenamed("prob", "p_treated")
-    both = probabilities(with_treated, control, *keep, "p_treated")
-    return both.selectExpr(*keep, "prob - p_treated AS uplift_score")
+    each = uplift_by_treatment(frame, treated, control, *keep)
+    best = ", ".join(f"uplift_{t}" for t in INTERVENTION_TYPES)
+    return each.selectExpr(*keep, f"greatest({best}) AS uplift_score")
 
 
 def score_and_explain(
@@ -200,7 +233,7 @@ def _all_features(
     churn: TrainedModel, uplift: tuple[TrainedModel, TrainedModel] | None
 ) -> tuple[str, ...]:
     models = (churn, *(uplift or ()))
-    return tuple(dict.fromkeys(f for m in models for f in m.features))
+    return tuple(dict.fromkeys(f for m in models for f in m.features if f != TREATMENT))
 
 
 def uplift_summary(scored: DataFrame, cfg: EngineConfig) -> DataFrame:

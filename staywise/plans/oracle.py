@@ -37,7 +37,10 @@ SELECT CAST(user_id AS VARCHAR) AS msno,
        CAST(count(*) FILTER (WHERE event_type = 'view') AS INTEGER) AS num_985,
        CAST(count(*) FILTER (WHERE event_type = 'purchase') AS INTEGER) AS num_100,
        CAST(count(DISTINCT k) AS INTEGER) AS num_unq,
-       CAST(sum(CAST(floor(value * 60) AS BIGINT)) AS DOUBLE) AS total_secs
+       CAST(sum(CAST(floor(value * 60) AS BIGINT)) AS DOUBLE)
+           + CASE WHEN user_id % 3 = 0 AND d >= CAST(['2024-01-08', '2023-12-16', '2023-12-16',
+                  '2023-08-01', '2023-10-20'][user_id % 5 + 1] AS DATE) THEN 40000 ELSE 0 END
+           AS total_secs
 FROM moved_events GROUP BY user_id, d"""
 
 BLOCKS["raw_feature_events"] = """
@@ -373,7 +376,8 @@ BLOCKS["breakpoints"] = """
 SELECT msno, CASE WHEN n >= 16 THEN n // 2 END AS cp_idx
 FROM (SELECT msno, count(*) AS n FROM daily_units GROUP BY msno)"""
 
-BLOCKS["change_point_stats"] = """
+def _shift_stats(breakpoints: str) -> str:
+    return """
 SELECT b.msno, b.cp_idx IS NOT NULL AS change_point_detected, s.change_point_date,
        CAST(s.last_day - s.change_point_date AS INTEGER) AS days_since_change_point,
        s.slope AS usage_slope_post_change, s.pre AS pre_change_daily_mean,
@@ -396,7 +400,67 @@ LEFT JOIN (SELECT msno, max(log_date) AS last_day,
                  FROM (SELECT msno, log_date, sum(total_secs) AS secs FROM stg_user_logs
                        GROUP BY msno, log_date) d
                  JOIN breakpoints USING (msno))
-           WHERE cp_idx IS NOT NULL GROUP BY msno) s ON s.msno = b.msno"""
+           WHERE cp_idx IS NOT NULL GROUP BY msno) s ON s.msno = b.msno""".replace(
+        "breakpoints", breakpoints
+    )
+
+
+BLOCKS["change_point_stats"] = _shift_stats("breakpoints")
+
+# ---- change points by exact segmentation -------------------------------------------------
+
+BLOCKS["day_series"] = """
+SELECT msno, secs, row_number() OVER (PARTITION BY msno ORDER BY log_date) - 1 AS i,
+       count(*) OVER (PARTITION BY msno) AS n
+FROM (SELECT msno, log_date, sum(total_secs) AS secs FROM stg_user_logs GROUP BY msno, log_date)"""
+
+BLOCKS["kernel_width"] = """
+SELECT a.msno, median((a.secs - b.secs) * (a.secs - b.secs)) AS spread
+FROM day_series a JOIN day_series b ON a.msno = b.msno AND a.i < b.i GROUP BY a.msno"""
+
+BLOCKS["kernel_pairs"] = """
+SELECT a.msno, a.i, b.i AS j,
+       exp(-least(greatest((a.secs - b.secs) * (a.secs - b.secs)
+                           / CASE WHEN spread > 0 THEN spread ELSE 1 END, 0.01), 100)) AS k
+FROM day_series a JOIN day_series b ON a.msno = b.msno AND a.i < b.i
+JOIN kernel_width w ON w.msno = a.msno"""
+
+BLOCKS["segment_ends"] = """
+SELECT msno, n, e, row_number() OVER (PARTITION BY msno ORDER BY e) AS step
+FROM (SELECT msno, max(n) AS n, unnest(list_append(range(5, max(n), 5), max(n))) AS e
+      FROM day_series GROUP BY msno)"""
+
+BLOCKS["segment_costs"] = """
+SELECT b.msno, b.step, b.e, a.s, b.e - a.s
+           - (b.e - a.s + 2 * coalesce(sum(p.k), 0)) / (b.e - a.s) AS cost
+FROM segment_ends b
+JOIN (SELECT msno, e AS s FROM segment_ends WHERE e < n
+      UNION ALL SELECT DISTINCT msno, 0 FROM segment_ends) a ON a.msno = b.msno AND a.s <= b.e - 2
+LEFT JOIN kernel_pairs p ON p.msno = b.msno AND p.i >= a.s AND p.j < b.e
+GROUP BY b.msno, b.step, b.e, a.s"""
+
+BLOCKS["best_segmentations"] = """
+SELECT msno, 0 AS step, [0.0::DOUBLE] AS best, [0::BIGINT] AS ends, 0::BIGINT AS start
+FROM segment_ends GROUP BY msno
+UNION ALL
+SELECT d.msno, d.step + 1,
+       list_append(any_value(d.best), 10 + min(d.best[list_position(d.ends, c.s)] + c.cost)),
+       list_append(any_value(d.ends), any_value(c.e)),
+       arg_min(c.s, d.best[list_position(d.ends, c.s)] + c.cost)
+FROM best_segmentations d JOIN segment_costs c ON c.msno = d.msno AND c.step = d.step + 1
+GROUP BY d.msno, d.step"""
+
+BLOCKS["located"] = """
+SELECT msno, CASE WHEN n >= 14 AND start > 7 AND start < n - 7 THEN start END AS cp_idx
+FROM (SELECT msno, arg_max(start, step) AS start, max(ends[-1]) AS n
+      FROM best_segmentations GROUP BY msno)"""
+
+BLOCKS["change_points"] = _shift_stats("located")
+
+BLOCKS["change_point_share"] = """
+SELECT count(*) FILTER (WHERE change_point_detected) AS detected_users, count(*) AS users,
+       count(*) FILTER (WHERE change_point_detected)::DOUBLE / count(*) AS detected_share
+FROM change_points"""
 
 # ---- wide table and marts --------------------------------------------------------------
 
@@ -844,7 +908,7 @@ def compose(final: str) -> str:
     if not order:
         return final
     ctes = ",\n".join(f"{name} AS ({BLOCKS[name]})" for name in order)
-    return f"WITH {ctes}\n{final.strip()}"
+    return f"WITH RECURSIVE {ctes}\n{final.strip()}"
 
 
 def table(name: str, columns: str = "*") -> str:

@@ -13,7 +13,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession
 
 from staywise.config import EngineConfig
-from staywise.operators import actions, changepoint, drift, explain, models
+from staywise.operators import actions, changepoint, drift, evaluation, explain, models
 from staywise.plans.tables import Tables
 from staywise.sources import readers
 from staywise.sources.schemas import RAW_TABLES
@@ -38,6 +38,10 @@ class Job:
     params: models.BoostingParams = models.BoostingParams()
     # Most users a narrator is asked about, None for all flagged ones.
     narrated: int | None = None
+    # Folds of the cross-validation in training, 0 for none.
+    folds: int = 5
+    # Format of the exports for other tools, next to the Parquet ones: "csv" or None.
+    hand_off: str | None = None
 
     def path(self, name: str) -> str:
         return f"{self.out_dir.rstrip('/')}/{name}"
@@ -60,6 +64,12 @@ def ingest(spark: SparkSession, job: Job) -> dict[str, DataFrame]:
     return raw
 
 
+def hand_off(spark: SparkSession, job: Job, *names: str) -> None:
+    """Write exports once more in the format other tools ask for."""
+    for name in names if job.hand_off else ():
+        export(readers.read_export(spark, job.path(name)), job.path(f"{name}_{job.hand_off}"), job.hand_off)
+
+
 def build_tables(spark: SparkSession, job: Job, raw: dict[str, DataFrame]) -> Tables:
     def stage(name: str, frame: DataFrame) -> DataFrame:
         return replace_stage(frame, job.path(f"stages/{name}"))
@@ -77,16 +87,39 @@ def run_features(spark: SparkSession, job: Job) -> Tables:
     export(tables.mart.filter("split = 'train'"), job.path("features_train"))
     export(tables.mart, job.path("features_score"))
     export(tables.intervention_mart, job.path("intervention_results"))
+    hand_off(spark, job, "change_points", "features_train", "features_score")
     shares = changepoint.detected_share(tables.change_points).first()
     log.info("change points: %s of %s users", shares["detected_users"], shares["users"])
     return tables
 
 
+def measure(mart: DataFrame, job: Job) -> dict[str, float]:
+    """Hold-out AUC and average precision of a model fitted on the rest, and the folds' AUC-PR."""
+    labelled = mart.filter("is_churn IS NOT NULL")
+    marks = evaluation.stratified_split(labelled, "xxhash64(msno, 42)")
+    tagged = replace_stage(
+        labelled.join(marks.select("msno", "is_validation"), "msno"), job.path("stages/split")
+    )
+    model = models.train_churn(tagged.filter("NOT is_validation"), job.params)
+    held_out = models.probabilities(tagged.filter("is_validation"), model, "msno", "is_churn")
+    scores = held_out.withColumnRenamed("prob", "churn_prob")
+    found = {
+        "holdout_auc_roc": evaluation.auc_roc(scores).first()[0],
+        "holdout_average_precision": evaluation.average_precision(scores).first()[0],
+    }
+    if job.folds:
+        folds = models.cross_validate(mart, job.params, folds=job.folds).first()
+        found |= {"cv_mean_auc_pr": folds["mean_auc_pr"], "cv_std_auc_pr": folds["std_auc_pr"]}
+    log.info("model quality: %s", found)
+    return found
+
+
 def train(spark: SparkSession, job: Job) -> None:
-    """Fit and store the churn classifier and both uplift models from the exports."""
+    """Fit, measure and store the churn classifier; fit and store both uplift models."""
     mart = readers.read_export(spark, job.path("features_train"))
+    quality = measure(mart, job)
     churn = models.train_churn(mart, job.params)
-    models.save_model(churn, job.model_dir, "churn_classifier", trees=job.params.trees)
+    models.save_model(churn, job.model_dir, "churn_classifier", trees=job.params.trees, **quality)
     treatments = readers.read_export(spark, job.path("intervention_results"))
     for name, model in zip(
         ("uplift_treatment", "uplift_control"), models.train_uplift(treatments, job.params)
@@ -135,6 +168,7 @@ def plan_actions(
 ) -> DataFrame:
     narratives = narrate(spark, job, scored, narrator)
     export(actions.select_interventions(scored, narratives, job.cfg), job.path("action_plan"))
+    hand_off(spark, job, "action_plan")
     plan = readers.read_export(spark, job.path("action_plan"))
     kpis = actions.plan_kpis(plan).first()
     log.info("%s high-risk users, %s actionable", kpis["high_risk_users"], kpis["actionable_users"])
@@ -148,13 +182,38 @@ def run_full(spark: SparkSession, job: Job, narrator: Narrator | None = None) ->
     return plan_actions(spark, job, score(spark, job), narrator)
 
 
-def drift_report(spark: SparkSession, job: Job) -> DataFrame:
-    """Drift of the scored population against the training population."""
-    reference = readers.read_export(spark, job.path("features_train"))
-    current = readers.read_export(spark, job.path("features_score"))
+def drift_report(
+    spark: SparkSession, job: Job, reference_path: str | None = None, current_path: str | None = None
+) -> DataFrame:
+    """Drift of one export against another, by default of the scored against the training users."""
+    reference = readers.read_export(spark, reference_path or job.path("features_train"))
+    current = readers.read_export(spark, current_path or job.path("features_score"))
     return drift.drift_summary(drift.psi_by_feature(reference, current, job.cfg), job.cfg)
 
 
+def distribution_report(
+    spark: SparkSession, job: Job, reference_path: str | None = None, current_path: str | None = None
+) -> DataFrame:
+    """Largest gap between the distributions of each feature in the same two exports."""
+    reference = readers.read_export(spark, reference_path or job.path("features_train"))
+    current = readers.read_export(spark, current_path or job.path("features_score"))
+    return drift.ks_by_feature(reference, current)
+
+
+def segment_tables(spark: SparkSession, job: Job) -> dict[str, DataFrame]:
+    """Plan summaries by tier and by cohort from a run's exports."""
+    plan = readers.read_export(spark, job.path("action_plan"))
+    mart = readers.read_export(spark, job.path("features_score"))
+    return {s: actions.segment_summary(plan, mart, s) for s in ("risk_tier", "behavioral_cohort")}
+
+
+def lookup(spark: SparkSession, job: Job, users: DataFrame) -> DataFrame:
+    """Risk records for a table of keys (``msno``) from a run's exports."""
+    scored = readers.read_export(spark, job.path("scored_users"))
+    shifts = readers.load_change_points(spark, job.path("change_points"))
+    return actions.risk_lookup(users, scored, explain.template_narrative(scored, shifts), shifts)
+
+
 def run_retraining(spark: SparkSession, job: Job, force: bool = False) -> bool:
     """Rebuild features and models when drift asks for it; tells whether it did."""
     if not drift.should_retrain(lambda: drift_report(spark, job), force):

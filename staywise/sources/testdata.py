@@ -1,7 +1,8 @@
 """The raw tables derived from the TPC-H-like test tables.
 
-Each function reads whole tables; nothing is filtered out, activity patterns come from
-moving events in time. User ``user_id`` of the events is customer ``c_custkey``.
+Each function reads whole tables. Activity patterns come from moving events in time and from
+a step in the level of every third user. Tickets are the error events; customers whose last
+order is pending have no label. User ``user_id`` of the events is customer ``c_custkey``.
 """
 
 from __future__ import annotations
@@ -70,7 +71,13 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The day from which the users of a profile listen more, halfway through their histories.
+STEP_DAYS = ("2024-01-08", "2023-12-16", "2023-12-16", "2023-08-01", "2023-10-20")
+STEP_SECONDS = 40_000
+
+
 def raw_user_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log line per user and day; every third user's level rises for good on some day."""
     kinds = {
         "num_25": "click",
         "num_50": "error",
@@ -87,7 +94,13 @@ def raw_user_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
         events(spark, sf_dir)
         .groupBy("user_id", "day")
         .agg(*columns(sums))
-        .selectExpr(key("user_id"), f"{as_int_day('day')} AS date", *sums)
+        .selectExpr(
+            key("user_id"),
+            f"{as_int_day('day')} AS date",
+            *[n for n in sums if n != "total_secs"],
+            f"""total_secs + if(user_id % 3 = 0 AND day >= CAST(elt(CAST(user_id % 5 AS INT) + 1,
+                {', '.join(f"'{d}'" for d in STEP_DAYS)}) AS DATE), {STEP_SECONDS}D, 0D) AS total_secs""",
+        )
     )
 
 

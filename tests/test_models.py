@@ -4,6 +4,7 @@ from math import factorial
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
 
 from staywise.config import EngineConfig
 from staywise.operators import models, treeshap
@@ -97,6 +98,15 @@ def test_uplift_and_storage(mart, model, tmp_path):
     for r in uplift.limit(20).collect():
         assert r["uplift_score"] == pytest.approx(p["c"][r["msno"]] - p["t"][r["msno"]])
 
+    # A treated model that knows the treatment is asked about each of them.
+    kinds = treatments.withColumn("intervention_type_encoded", F.expr("if(hash(msno) % 2 = 0, 0, 1 + int(b > 0))"))
+    knowing, plain_control = models.train_uplift(kinds, PARAMS, (*FEATURES, models.TREATMENT))
+    assert plain_control.features == FEATURES and models.TREATMENT in knowing.features
+    each = models.uplift_by_treatment(mart, knowing, plain_control, "msno").collect()
+    assert any(r["uplift_discount_offer"] != r["uplift_personal_outreach"] for r in each)
+    best = {r["msno"]: r["uplift_score"] for r in models.uplift_scores(mart, knowing, plain_control, "msno").collect()}
+    assert all(best[r["msno"]] == max(v for k, v in r.asDict().items() if k != "msno") for r in each)
+
     models.save_model(treated, str(tmp_path), "uplift_treatment", trees=4)
     loaded = models.load_model(str(tmp_path), "uplift_treatment")
     assert loaded.features == FEATURES

@@ -1,3 +1,4 @@
+import dataclasses
 import json
 from pathlib import Path
 
@@ -73,7 +74,7 @@ def test_full_run_from_csv(spark, tmp_path):
         export(raw[name].select(*spec.schema.names), str(folder / spec.files[0]), "csv")
     cfg = EngineConfig(ref_date=testdata.TEST_CONFIG.ref_date, churn_threshold=0.3, uplift_min=-1.0)
     params = models.BoostingParams(trees=3, depth=3, rate=0.3, min_rows=2)
-    job = pipelines.Job(str(core), str(saas), str(tmp_path / "out"), cfg, params)
+    job = pipelines.Job(str(core), str(saas), str(tmp_path / "out"), cfg, params, folds=2, hand_off="csv")
 
     assert drift_needed(spark, job)
     plan = pipelines.run_full(spark, job)
@@ -82,6 +83,17 @@ def test_full_run_from_csv(spark, tmp_path):
     assert spark.read.parquet(job.path("features_score")).count() == raw["raw_members"].count()
     assert spark.read.parquet(job.path("features_train")).count() == raw["raw_train"].count()
 
+    facts = models.load_metadata(job.model_dir, "churn_classifier")["facts"]
+    assert {"holdout_auc_roc", "holdout_average_precision", "cv_mean_auc_pr"} <= set(facts)
+    assert all(0 <= float(v) <= 1 for k, v in facts.items() if k != "trees")
+    handed = spark.read.option("header", True).csv(job.path("action_plan_csv"))
+    assert handed.count() == len(rows) and handed.columns == plan.columns
+    tables = pipelines.segment_tables(spark, job)
+    assert sum(r[1] for r in tables["risk_tier"].collect()) == sum(r[1] for r in tables["behavioral_cohort"].collect())
+    keys = plan.select("msno").limit(3).unionByName(spark.createDataFrame([("nobody",)], "msno string"))
+    assert pipelines.lookup(spark, job, keys).count() == 4
+    assert pipelines.distribution_report(spark, job).count() == 40
+
     # Prompts out, replies in.
     def narrator(prompts):
         reply = json.dumps({"explanation": "e", "recommended_action": "discount_offer", "action_justification": "j"})
@@ -91,6 +103,14 @@ def test_full_run_from_csv(spark, tmp_path):
     plan = pipelines.plan_actions(spark, job, scored, narrator)
     assert {r["final_action"] for r in plan.collect()} == {"discount_offer"}
 
+    # A narrator with a limit: everyone else gets the template.
+    few = dataclasses.replace(job, narrated=1)
+    actions_of = [r["final_action"] for r in pipelines.plan_actions(spark, few, scored, narrator).collect()]
+    assert len(actions_of) == len(rows) > 2
+    assert actions_of.count("discount_offer") == 1 and actions_of.count("personal_outreach") == len(rows) - 1
+
+    same = pipelines.drift_report(spark, job, job.path("features_score"), job.path("features_score")).first()
+    assert not same["retraining_recommended"]
     report = pipelines.drift_report(spark, job).first()
     assert report["total_features"] == 40
     assert pipelines.run_retraining(spark, job) == report["retraining_recommended"]
