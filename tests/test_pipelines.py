@@ -91,7 +91,7 @@ def test_full_run_from_csv(spark, tmp_path):
     tables = pipelines.segment_tables(spark, job)
     assert sum(r[1] for r in tables["risk_tier"].collect()) == sum(r[1] for r in tables["behavioral_cohort"].collect())
     keys = plan.select("msno").limit(3).unionByName(spark.createDataFrame([("nobody",)], "msno string"))
-    assert pipelines.lookup(spark, job, keys).count() == 4
+    assert pipelines.lookup(spark, job, keys).count() == 3
     assert pipelines.distribution_report(spark, job).count() == 40
 
     # Prompts out, replies in.
