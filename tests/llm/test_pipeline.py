@@ -2,6 +2,7 @@
 
 from pathlib import Path
 
+import compare
 import pytest
 
 import corpus_pipeline
@@ -45,6 +46,12 @@ def test_all_queries_are_registered(spark):
     assert set(oracle_sql()) <= set(names)
 
 
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_matches_oracle(spark, name):
+    con = compare.connect(SMALL)
+    assert compare.check(spark, con, name, SMALL, queries.QUERIES, queries.ORACLE) is None
+
+
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_query_returns_rows(spark, name):
     out = queries.QUERIES[name](spark, SMALL)
