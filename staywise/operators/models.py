@@ -22,7 +22,7 @@ from staywise.config import (
 from staywise.functions.columns import columns
 from staywise.operators.evaluation import class_weight
 from staywise.operators.scoring import churn_flag, feature_columns
-from staywise.operators.treeshap import tree_attributions
+from staywise.operators.treeshap import leaves_of, tree_attributions
 from staywise.sources.readers import path_exists
 from staywise.sources.writers import settle
 
@@ -221,7 +221,7 @@ def score_and_explain(
         flagged = flagged.selectExpr("*", "CAST(NULL AS DOUBLE) AS uplift_score")
     else:
         flagged = uplift_scores(flagged, *uplift, *head[:3], *inputs)
-    explained = tree_attributions(flagged, churn.booster, churn.features, *head)
+    explained = tree_attributions(flagged, leaves_of(churn.booster), churn.features, *head)
     others = scored.filter("churn_flag = 0").selectExpr(
         *head[:3],
         *[f"CAST(NULL AS DOUBLE) AS {c}" for c in explained.columns if c not in head[:3]],

