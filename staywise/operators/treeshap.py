@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import DataFrame, types as T
 
+from staywise.functions.shipping import shipped
+
 
 @dataclass(frozen=True)
 class Leaf:
@@ -95,13 +97,14 @@ def tree_attributions(
     rows: DataFrame, forest: list[Leaf], features: tuple[str, ...], *keep: str
 ) -> DataFrame:
     """``keep`` columns and ``shap_<feature>`` for rows with the forest's feature columns."""
-    leaves = rows.sparkSession.sparkContext.broadcast(forest)
+    load = shipped(rows.sparkSession, forest)
     names = [f"shap_{f}" for f in features]
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        leaves = load()
         for batch in batches:
             matrix = batch[list(features)].to_numpy(dtype=float)
-            shares = pd.DataFrame(attributions(matrix, leaves.value), columns=names)
+            shares = pd.DataFrame(attributions(matrix, leaves), columns=names)
             kept = batch[list(keep)].reset_index(drop=True)
             yield pd.concat([kept, shares], axis=1)
 
