@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from staywise.functions.shipping import shipped
+
 from .common import written
 
 #: Bound on the vectors the trees are fitted on.
@@ -201,20 +203,22 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, id_column: str = "v
     leaves = max(1, min(total // LEAF_ROWS, LEAVES))
     rng = np.random.default_rng(11)
     trees = [grow(x, -(-len(x) // leaves), rng) for _ in range(TREES)]
-    forest = spark.sparkContext.broadcast(trees)  # about LEAVES nodes a tree
+    load = shipped(spark, trees)  # about LEAVES nodes a tree
     enough = max(SEARCH_SHARE, SEARCH_LEAST / total) if total > SEARCH_LEAST else TREES
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest = load()
         for batch in batches:
             unit = _unit(_matrix(batch.column(1)))
-            for t, tree in enumerate(forest.value):
+            for t, tree in enumerate(forest):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(unit), t, np.int32)), pa.array(tree.leaf_of(unit)), *batch.columns], ["tree", "leaf", "class", "vector", "first"])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest = load()
         for batch in batches:
             unit = _unit(_matrix(batch.column(1)))
             for at in range(0, len(unit), 256):
-                found = [(t, leaf, i) for i in range(at, min(at + 256, len(unit))) for t, leaf in opened(forest.value, unit[i], enough)]
+                found = [(t, leaf, i) for i in range(at, min(at + 256, len(unit))) for t, leaf in opened(forest, unit[i], enough)]
                 index = pa.array([f[2] for f in found], pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int32()), pa.array([f[1] for f in found], pa.int64()), batch.column(0).take(index), batch.column(1).take(index)], ["tree", "leaf", "class", "vector"])
 

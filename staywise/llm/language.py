@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from staywise.functions.shipping import shipped
+
 UNDETERMINED = "und"
 BUCKETS = 1 << 15
 #: Added to each trigram's count, as a share of a language's trigrams.
@@ -160,11 +162,12 @@ def identified(documents: DataFrame, model: Languages) -> DataFrame:
     are ``und`` with score 0, as is every text if nothing was learned. Ties go to the
     language that comes first by code point.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(model)  # BUCKETS values a language
+    load = shipped(documents.sparkSession, model)  # BUCKETS values a language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = load()
         for batch in batches:
-            found = [identify(shared.value, t) for at in range(0, batch.num_rows, 512) for t in batch.column(1).slice(at, 512).to_pylist()]
+            found = [identify(known, t) for at in range(0, batch.num_rows, 512) for t in batch.column(1).slice(at, 512).to_pylist()]
             columns = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()), pa.array([",".join(f"{a}:{s:.3f}" for a, s in f[2]) for f in found], pa.string())]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "lang_pred", "score", "languages"])
 

@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from staywise.functions.shipping import shipped
+
 from .common import WordIds, byte_strings, id_sets, labelled_sample
 
 SAMPLE_ROWS = 8_000
@@ -192,12 +194,12 @@ def scored(documents: DataFrame, model: Model) -> DataFrame:
     Null and empty texts have no n-grams and get the score of the constant alone. Repeated
     rows are scored alike; extra columns are ignored.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(model)  # 2 * BUCKETS numbers
+    load = shipped(documents.sparkSession, model)  # 2 * BUCKETS numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = WordIds(word_ids, WIDTH)
+        ids, fitted = WordIds(word_ids, WIDTH), load()
         for batch in batches:
-            scores = [shared.value.score(indicators(t, ids)) for t in byte_strings(batch.column(1))]
+            scores = [fitted.score(indicators(t, ids)) for t in byte_strings(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
     kind = documents.schema["doc_id"].dataType.simpleString()

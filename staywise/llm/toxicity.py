@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from staywise.functions.shipping import shipped
+
 from .common import WordIds, byte_strings, id_sets, labelled_sample
 
 #: Bound on the labelled documents a chain is fitted on.
@@ -227,17 +229,17 @@ def scored(documents: DataFrame, chain: list[Linear], categories: tuple[str, ...
     the same names are replaced. Repeated rows are scored alike.
     """
     names = [f"p_{c}" for c in categories]
-    model = documents.sparkSession.sparkContext.broadcast(chain)  # bounded by BUCKETS per category
+    load = shipped(documents.sparkSession, chain)  # bounded by BUCKETS per category
     kept = documents.drop(*names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = WordIds(word_ids, WIDTH)
+        ids, model = WordIds(word_ids, WIDTH), load()
         among = np.zeros(BUCKETS, bool)
-        for link in model.value:
+        for link in model:
             among[link.features] = True
         for batch in batches:
             place = batch.schema.get_field_index("text")
-            p = predict_chain(model.value, stack([indicators(t, ids, among) for t in byte_strings(batch.column(place))]))
+            p = predict_chain(model, stack([indicators(t, ids, among) for t in byte_strings(batch.column(place))]))
             columns = [*batch.columns, *[pa.array(p[:, k]) for k in range(len(names))]]
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, *names])
 
