@@ -30,12 +30,12 @@ from staywise.functions.shipping import shipped
 from .common import WordIds, byte_strings, id_sets, labelled_sample
 
 #: Bound on the labelled documents a chain is fitted on.
-SAMPLE_ROWS = 10_000
+SAMPLE_ROWS = 8_000
 BUCKETS = 1 << 18
 SELECT_Z = 3.5
 RIDGE = 0.2
 FOLDS = 3
-THRESHOLD = 0.25
+THRESHOLD = 0.2
 #: Categories in the order of the chain, and how they read from the label table.
 CATEGORIES = ("poor", "toxic")
 WIDTH = 5
@@ -81,26 +81,25 @@ class Matrix:
         return len(self.starts) - 1
 
     def owner(self) -> np.ndarray:
-        return np.repeat(np.arange(self.rows), np.diff(self.starts))
+        return np.repeat(np.arange(self.rows, dtype=np.int32), np.diff(self.starts))
 
     def restricted(self, features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Row and column of each entry among ``features`` (sorted)."""
         if not len(features):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        at = np.minimum(np.searchsorted(features, self.ids), len(features) - 1)
-        hit = features[at] == self.ids
+            return np.zeros(0, np.int32), np.zeros(0, np.int32)
+        place = np.full(BUCKETS, -1, np.int32)
+        place[features] = np.arange(len(features), dtype=np.int32)
+        at = place[self.ids]
+        hit = at >= 0
         return self.owner()[hit], at[hit]
 
     def take(self, rows: np.ndarray) -> Matrix:
-        lengths = np.diff(self.starts)[rows]
-        starts = np.concatenate([[0], np.cumsum(lengths)])
-        offset = np.repeat(self.starts[:-1][rows] - starts[:-1], lengths)
-        return Matrix(self.ids[np.arange(starts[-1]) + offset], starts)
+        return stack([self.ids[self.starts[i] : self.starts[i + 1]] for i in rows])
 
 
 def stack(sets: list[np.ndarray]) -> Matrix:
     starts = np.concatenate([[0], np.cumsum([len(s) for s in sets], dtype=np.int64)]).astype(np.int64)
-    return Matrix(np.concatenate(sets) if sets else np.zeros(0, np.int64), starts)
+    return Matrix(np.concatenate(sets).astype(np.int32, copy=False) if sets else np.zeros(0, np.int32), starts)
 
 
 def log_odds(p: np.ndarray) -> np.ndarray:
@@ -118,7 +117,7 @@ def selected(on: np.ndarray, all_: np.ndarray, n1: float, n: float) -> np.ndarra
     return np.flatnonzero(np.abs(z) >= SELECT_Z)
 
 
-def fit_linear(x: Matrix, y: np.ndarray, earlier: np.ndarray, features: np.ndarray, steps: int = 80) -> Linear:
+def fit_linear(x: Matrix, y: np.ndarray, earlier: np.ndarray, features: np.ndarray, steps: int = 100) -> Linear:
     """Ridge logistic regression on some features by accelerated gradient steps of a safe length.
 
     With a single class present the model is the constant log odds of that class, smoothed.
@@ -178,7 +177,7 @@ def fit_chain(sets: list[np.ndarray], labels: np.ndarray, folds: np.ndarray) ->
         among = np.zeros(BUCKETS, bool)
         for features in chosen.values():
             among[features] = True
-        x = stack([found[among[found]].astype(np.int64) for found in sets])
+        x = stack([found[among[found]] for found in sets])
         chain.append(fit_linear(x, y, earlier, chosen[None]))
         unseen = np.zeros(n)
         for f in parts:
