@@ -208,7 +208,8 @@ def one_of_each(documents: DataFrame) -> DataFrame:
     """The rows of ``documents`` of which one of each group of near duplicates stays.
 
     The row with the smallest doc_id of its component stays; of several rows with that id,
-    one with the smallest values of the other columns. All columns are kept.
+    one with the smallest values of the other columns. All columns are kept. Different texts
+    under one doc_id count as one here; where they do not, take ``near_copies``.
     """
     groups = near_duplicates(documents)
     kept = written(groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count("*").alias("_copies")))
