@@ -1,8 +1,11 @@
 """One row of each group of near copies."""
 
+import itertools
+import random
+
 from test_operators import ODD, documents, prose
 
-from staywise.llm import near_copies
+from staywise.llm import near_copies, simhash
 
 
 def test_rows_are_told_apart_by_text(spark):
@@ -19,3 +22,32 @@ def test_odd_rows(spark):
     assert out.columns == documents(spark, []).columns
     assert sorted(r.doc_id for r in out.collect()) == [1, 3, 6, 8, 9, 10, 10, 11]
     assert near_copies.one_row_of_each(documents(spark, [])).count() == 0
+
+
+def slow_set(text):
+    found = text.encode().lower().split()
+    return {tuple(found[i : i + 5]) for i in range(max(1, len(found) - 4))}
+
+
+def test_groups_by_brute_force(spark):
+    """Pairs near the limit of four fifths, also such that only link through a third text."""
+    rng = random.Random(3)
+    texts = {}
+    for i in range(0, 240, 4):
+        base = prose(500 + i, 60 + i).split()
+        for k in range(4):
+            words = list(base)
+            for _ in range(rng.randrange(1 + len(base) // 40)):
+                words[rng.randrange(len(words))] = "swapped"
+            texts[i + k] = " ".join(words[k:])
+    sets = {i: slow_set(t) for i, t in texts.items()}
+    root, close = {i: i for i in texts}, 0
+    for a, b in itertools.combinations(texts, 2):
+        common = len(sets[a] & sets[b])
+        if 5 * common >= 4 * (len(sets[a]) + len(sets[b]) - common):
+            close += (simhash.fingerprint(texts[a].encode()) ^ simhash.fingerprint(texts[b].encode())).bit_count() > 2
+            low, high = sorted((root[a], root[b]))
+            root = {i: low if r == high else r for i, r in root.items()}
+    assert close > 30  # what the contract of the op10 query does not reach
+    kept = near_copies.one_row_of_each(documents(spark, [(i, t, "s") for i, t in texts.items()])).collect()
+    assert sorted(r.doc_id for r in kept) == sorted(set(root.values()))
