@@ -24,8 +24,6 @@ SHORTEST = 5
 MIN_EQUAL = 10
 #: ... where each equal word scores and each other one costs so much: seven tenths must be equal.
 SCORE, COST = 3, 7
-#: Words compared to either side of a hit.
-REACH = 256
 #: Benchmarks of up to so many words are broadcast (about 8 bytes a word and mask).
 BROADCAST_WORDS = 1_000_000
 
@@ -91,8 +89,8 @@ def overlaps(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
             same = same & (F.get("wh", F.col("pos") - 1 + o) == F.get("ih", F.col("ipos") - 1 + o))
         before = before | ((F.col("mask") == k) & same)
     first = (F.col("pos") == 0) | (F.col("ipos") == 0) | ~before
-    low = -F.least(F.col("pos"), F.col("ipos"), F.lit(REACH))
-    high = F.least(F.size("wh") - F.col("pos"), F.size("ih") - F.col("ipos"), F.lit(REACH)) - 1
+    low = -F.least("pos", "ipos")
+    high = F.least(F.size("wh") - F.col("pos"), F.size("ih") - F.col("ipos")) - 1
     start = F.struct(*[F.lit(0).alias(n) for n in ("score", "equal", "size", "best", "best_equal", "best_size", "end", "at")])
 
     def step(s: Column, o: Column) -> Column:
