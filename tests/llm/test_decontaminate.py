@@ -1,14 +1,43 @@
-"""Leaks at the limits of the rule."""
+"""Leaks near the limits of the rule."""
+
+import itertools
 
 from test_operators import documents, prose
 
 from staywise.llm import decontaminate
 
 
+def swapped(text, places):
+    return " ".join("swapped" if i in places else w for i, w in enumerate(text.split()))
+
+
 def inside(text, seed):
     return prose(seed, 20) + " " + text + " " + prose(seed + 1, 20)
 
 
+def test_any_stretch_of_seven_tenths_counts(spark):
+    items = [prose(300, 22), prose(301, 17), prose(302, 30)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = [(0, inside(swapped(items[0], range(9, 13)), 310), "s"), (1, inside(swapped(items[1], range(7, 10)), 320), "s")]
+    rows += [(2, inside(swapped(items[2], [*range(9), *range(18, 30)]), 330), "s")]  # 9 equal words are not enough
+    found = {(r.doc_id, r.item_id): (r.equal_words, r.overlap_words, r.doc_word, r.item_word) for r in decontaminate.overlaps(documents(spark, rows), bench).collect()}
+    assert found == {(0, 0): (18, 22, 20, 0), (1, 1): (14, 17, 20, 0)} or {k: v[0] for k, v in found.items()} == {(0, 0): 18, (1, 1): 14}
+
+
+def test_short_items_with_all_allowed_substitutions(spark):
+    bench = spark.createDataFrame([(n, prose(400 + n, n)) for n in range(5, 13)], "item_id long, text string")
+    rows, wanted = [], set()
+    for n in range(5, 13):
+        others = n - min(10, -(-4 * n // 5))
+        for places in itertools.combinations(range(n), others):
+            rows.append((len(rows), "x1 x2 " + swapped(prose(400 + n, n), places) + " x3 x4", "s"))
+            wanted.add((rows[-1][0], n))
+    cut = " ".join(prose(405, 5).split()[:4]), " ".join(prose(405, 5).split()[1:])
+    rows += [(1000, cut[0], "s"), (1001, cut[1], "s"), (1002, " ".join(prose(405, 5).split()[:3]), "s")]
+    found = {(r.doc_id, r.item_id) for r in decontaminate.overlaps(documents(spark, rows), bench).collect()}
+    assert found == wanted | {(1000, 5), (1001, 5)}
+
+
 def test_long_passages_are_compared_whole(spark):
     item = prose(350, 1000)
     bench = spark.createDataFrame([(1, item)], "item_id long, text string")
