@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, oracle, quality
+from . import alignment, language, oracle, quality, scoring, whitening
 from .common import remainder, table
 from .decontaminate import overlaps
 from .forest import nearest
@@ -20,6 +20,7 @@ from .toxicity import toxicity
 
 #: Where the tokenizer files lie; a parameter of the deployment.
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def op1_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,6 +78,20 @@ def op10_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_whitened_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op12_log_bilinear_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.scored(table(spark, sf_dir, "documents"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return alignment.alignment(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), public_tokenizers.path(PIECES))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -90,6 +105,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_scores,
         op9_main_text,
         op10_simhash_components,
+        op11_whitened_vectors,
+        op12_log_bilinear_scores,
+        op13_token_alignment,
     )
 }
 
