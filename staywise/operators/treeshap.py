@@ -4,21 +4,30 @@ A leaf contributes to a row like a product game over the features on its path: f
 brings the factor 1 or 0 when known (does the row pass all of its splits on the path?)
 and its share of training rows when unknown. The Shapley value of such a game is an
 integral over [0, 1] of a polynomial, which Gauss-Legendre quadrature evaluates exactly
-with half as many nodes as the path has features. All rows of an Arrow batch are
-evaluated together, leaf by leaf.
+with half as many nodes as the path has features.
+
+A row enters only by which of the path's features it passes. So the values of all patterns
+of a leaf are worked out once, and rows look theirs up: blocks of rows and leaves are
+evaluated together. Paths of more than ``TABLED`` features are integrated for each row.
+
+The leaves come out of the booster's stored node table: Spark joins nodes with their children
+level by level, intersecting the intervals on the way down.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.classification import GBTClassificationModel
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from staywise.functions.shipping import shipped
+from staywise.sources.writers import settle, shared_dir
 
 
 @dataclass(frozen=True)
@@ -32,62 +41,134 @@ class Leaf:
     share: np.ndarray
 
 
+def leaf_table(nodes: DataFrame, weights: DataFrame, scale: float = 2.0) -> DataFrame:
+    """``tree``, ``leaf``, ``value`` and ``path`` of all leaves of a stored node table.
+
+    ``path`` holds (feature, above, upto, share) per feature, by feature: the interval that
+    passes all splits on the way, and the share of the training rows that does at each of them.
+    One join per level of the trees; the tables are as small as the model.
+    """
+    n = nodes.selectExpr("treeID AS tree", "nodeData.*").selectExpr(
+        "tree", "id", "leftChild", "rightChild", "prediction", "split.featureIndex AS feature",
+        "try_element_at(split.leftCategoriesOrThreshold, 1) AS threshold", "impurityStats[0] AS rows",
+    )
+    kind = "map<int, struct<above: double, upto: double, share: double>>"
+    open_ = n.filter("id = 0").selectExpr("*", f"CAST(map() AS {kind}) AS path")
+    leaves = []
+    while True:
+        leaves.append(open_.filter("leftChild < 0").selectExpr("tree", "id AS leaf", "prediction", "path"))
+        split = open_.filter("leftChild >= 0")
+        if split.isEmpty():
+            break
+        sides = split.selectExpr(
+            "tree", "feature AS on", "threshold AS cut", "rows AS total", "path AS before",
+            "inline(array(named_struct('id', leftChild, 'is_left', true), named_struct('id', rightChild, 'is_left', false)))",
+        )
+        low, high = "CAST('-Infinity' AS DOUBLE)", "CAST('Infinity' AS DOUBLE)"
+        old = f"coalesce(try_element_at(before, on), named_struct('above', {low}, 'upto', {high}, 'share', 1D))"
+        narrowed = (
+            "named_struct('above', if(is_left, old.above, greatest(old.above, cut)),"
+            " 'upto', if(is_left, least(old.upto, cut), old.upto), 'share', old.share * rows / total)"
+        )
+        down = sides.join(n, ["tree", "id"]).withColumn("old", F.expr(old))
+        path = f"map_concat(map_filter(before, (k, v) -> k <> on), map(on, {narrowed}))"
+        open_ = settle(down.selectExpr(*n.columns, f"CAST({path} AS {kind}) AS path"))
+    found = reduce(DataFrame.unionByName, leaves)
+    entries = "transform(map_entries(path), e -> named_struct('feature', e.key, 'above', e.value.above, 'upto', e.value.upto, 'share', e.value.share))"
+    return found.join(weights, "tree").selectExpr("tree", "leaf", f"weight * {scale}D * prediction AS value", f"array_sort({entries}) AS path")
+
+
 def leaves_of(model: GBTClassificationModel, scale: float = 2.0) -> list[Leaf]:
-    """Leaves of all trees; the model is small and is read once on the driver.
+    """Leaves of all trees, out of the model's own storage format; a few thousand rows.
 
     MLlib's probability is the logistic of twice the tree sum, so a scale of 2 gives
     attributions in log-odds.
     """
-    leaves: list[Leaf] = []
-    weights = model.treeWeights
-    java_trees = model._java_obj.trees()
-
-    def walk(node, weight: float, path: dict[int, tuple[float, float, float]]) -> None:
-        if node.subtreeDepth() == 0:
-            names = sorted(path)
-            bounds = [path[f] for f in names]
-            leaves.append(
-                Leaf(
-                    value=weight * scale * node.prediction(),
-                    features=np.array(names, dtype=int),
-                    above=np.array([b[0] for b in bounds]),
-                    upto=np.array([b[1] for b in bounds]),
-                    share=np.array([b[2] for b in bounds]),
-                )
-            )
-            return
-        split = node.split()
-        feature, threshold = split.featureIndex(), split.threshold()
-        total = node.impurityStats().count()
-        above, upto, share = path.get(feature, (-np.inf, np.inf, 1.0))
-        left, right = node.leftChild(), node.rightChild()
-        left_share = share * left.impurityStats().count() / total
-        right_share = share * right.impurityStats().count() / total
-        walk(left, weight, {**path, feature: (above, min(upto, threshold), left_share)})
-        walk(right, weight, {**path, feature: (max(above, threshold), upto, right_share)})
-
-    for weight, tree in zip(weights, java_trees):
-        walk(tree.rootNode(), weight, {})
+    spark = SparkSession.active()
+    path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    model.write().save(path)
+    rows = [(k, float(w)) for k, w in enumerate(model.treeWeights)]
+    weights = spark.createDataFrame(rows, "tree int, weight double")
+    table = leaf_table(spark.read.parquet(f"{path}/data"), weights, scale)
+    leaves = []
+    for r in table.orderBy("tree", "leaf").collect():  # as many as the model has leaves
+        names, above, upto, share = ([p[i] for p in r["path"]] for i in range(4))
+        leaves.append(Leaf(r["value"], np.array(names, dtype=int), np.array(above, float), np.array(upto, float), np.array(share, float)))
     return leaves
 
 
-def attributions(rows: np.ndarray, leaves: list[Leaf]) -> np.ndarray:
+#: Longest path whose patterns are tabled: 2**TABLED rows of values per leaf.
+TABLED = 8
+#: Rows and leaves that are evaluated together.
+ROWS, LEAVES = 512, 512
+
+
+def _game(value: np.ndarray, share: np.ndarray, passes: np.ndarray) -> np.ndarray:
+    """Attributions of path features: leaves x patterns x features."""
+    depth = share.shape[-1]
+    nodes, weights = np.polynomial.legendre.leggauss(depth // 2 + 1)
+    out = np.zeros(np.broadcast_shapes(share.shape, passes.shape))
+    for node, weight in zip((nodes + 1) / 2, weights / 2):
+        factors = share * (1 - node) + passes * node
+        out += weight * (factors.prod(axis=-1, keepdims=True) / factors)
+    return value * out * (passes - share)
+
+
+@dataclass(frozen=True)
+class Block:
+    """Leaves of the same path length as arrays, with the values of all patterns if they are tabled."""
+
+    value: np.ndarray  # (leaves,)
+    features: np.ndarray  # (leaves, depth)
+    above: np.ndarray
+    upto: np.ndarray
+    share: np.ndarray
+    table: np.ndarray | None  # (leaves, 2**depth, depth)
+
+
+def blocks_of(leaves: list[Leaf]) -> list[Block]:
+    """Leaves sorted by path length and cut into blocks."""
+    out = []
+    for depth in sorted({len(f.features) for f in leaves} - {0}):
+        same = [f for f in leaves if len(f.features) == depth]
+        for at in range(0, len(same), LEAVES):
+            some = same[at : at + LEAVES]
+            arrays = [np.stack([getattr(f, n) for f in some]) for n in ("features", "above", "upto", "share")]
+            value = np.array([f.value for f in some])
+            table = None
+            if depth <= TABLED:
+                patterns = (np.arange(1 << depth)[:, None] >> np.arange(depth) & 1).astype(float)
+                table = _game(value[:, None, None], arrays[3][:, None, :], patterns)
+            out.append(Block(value, *arrays, table))
+    return out
+
+
+def block_attributions(rows: np.ndarray, blocks: list[Block]) -> np.ndarray:
     """Attribution of every column for every row of a (rows x features) matrix."""
     out = np.zeros_like(rows, dtype=float)
-    for leaf in leaves:
-        depth = len(leaf.features)
-        if depth == 0:
-            continue
-        values = rows[:, leaf.features]
-        passes = ((values > leaf.above) & (values <= leaf.upto)).astype(float)
-        nodes, weights = np.polynomial.legendre.leggauss(depth // 2 + 1)
-        for node, weight in zip((nodes + 1) / 2, weights / 2):
-            factors = leaf.share * (1 - node) + passes * node
-            others = factors.prod(axis=1, keepdims=True) / factors
-            out[:, leaf.features] += leaf.value * weight * (passes - leaf.share) * others
+    for block in blocks:
+        size, depth = block.features.shape
+        # Adds up what the leaves give to each column.
+        collect = np.zeros((size * depth, rows.shape[1]))
+        collect[np.arange(size * depth), block.features.ravel()] = 1.0
+        step = max(1, ROWS * LEAVES // (size * depth)) if block.table is None else ROWS
+        for at in range(0, len(rows), step):
+            values = rows[at : at + step][:, block.features]
+            passes = (values > block.above) & (values <= block.upto)
+            if block.table is None:
+                found = _game(block.value[:, None], block.share, passes.astype(float))
+            else:
+                pattern = passes @ (1 << np.arange(depth))
+                found = block.table[np.arange(size), pattern]
+            out[at : at + step] += found.reshape(len(values), -1) @ collect
     return out
 
 
+def attributions(rows: np.ndarray, leaves: list[Leaf]) -> np.ndarray:
+    """Attribution of every column for every row of a (rows x features) matrix."""
+    return block_attributions(rows, blocks_of(leaves))
+
+
 def base_value(leaves: list[Leaf]) -> float:
     """Expected score over the training rows: attributions add up to score minus this."""
     return float(sum(leaf.value * leaf.share.prod() for leaf in leaves))
@@ -101,10 +182,10 @@ def tree_attributions(
     names = [f"shap_{f}" for f in features]
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        leaves = load()
+        blocks = blocks_of(load())
         for batch in batches:
             matrix = batch[list(features)].to_numpy(dtype=float)
-            shares = pd.DataFrame(attributions(matrix, leaves), columns=names)
+            shares = pd.DataFrame(block_attributions(matrix, blocks), columns=names)
             kept = batch[list(keep)].reset_index(drop=True)
             yield pd.concat([kept, shares], axis=1)
 

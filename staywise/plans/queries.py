@@ -359,34 +359,46 @@ def forest_attributions(t: Tables) -> DataFrame:
 
 # ---- learned models (no oracle: rows and invariants only) ------------------------------
 
-# Small boosters keep the training of these queries short; all rows are used.
-QUICK = models.BoostingParams(trees=5, depth=3, rate=0.3)
+# ``churn_gbt_scores`` and ``cv_metrics`` fit the published model. The queries after them start, as
+# the scoring pipeline does, from stored models: an application fits them once per input.
 
+PARAMS = models.BoostingParams()
+STORED: dict[tuple[str, str], tuple[models.TrainedModel, ...]] = {}
 
 register("churn_gbt_scores", stage=keep_marts)(
-    lambda t: models.score_users(t.mart, models.train_churn(t.mart, QUICK), CFG)
-)
-register("cv_metrics", stage=keep_marts)(
-    lambda t: models.cross_validate(t.mart, models.BoostingParams(trees=3, depth=3, rate=0.3))
+    lambda t: models.score_users(t.mart, models.train_churn(t.mart, PARAMS), CFG)
 )
+register("cv_metrics", stage=keep_marts)(lambda t: models.cross_validate(t.mart, PARAMS))
+
+
+def stored_models(t: Tables) -> tuple[models.TrainedModel, ...]:
+    """Churn, treated and control model of the published size, fitted side by side."""
+    spark = t.mart.sparkSession
+    name = (spark.sparkContext.applicationId, t.raw.sf_dir)
+    if name not in STORED:
+        churn, pair = models.at_once(
+            lambda: models.train_churn(t.mart, PARAMS),
+            lambda: models.train_uplift(t.intervention_mart, PARAMS),
+        )
+        STORED[name] = (churn, *pair)
+    return STORED[name]
 
 
 @register("feature_importance", stage=keep_marts)
 def feature_importance(t: Tables) -> DataFrame:
-    model = models.train_churn(t.mart, QUICK)
-    return models.feature_importance(t.mart.sparkSession, model)
+    return models.feature_importance(t.mart.sparkSession, stored_models(t)[0])
 
 
 @register("tree_attributions", stage=keep_marts)
 def tree_attributions(t: Tables) -> DataFrame:
-    return models.score_and_explain(t.mart, models.train_churn(t.mart, QUICK), CFG)
+    return models.score_and_explain(t.mart, stored_models(t)[0], CFG)
 
 
 @register("booster_invariants", stage=keep_marts)
 def booster_invariants(t: Tables) -> DataFrame:
     """What must hold for every user whatever the booster has learned."""
-    model = models.train_churn(t.mart, QUICK)
-    scored = models.score_and_explain(t.mart, model, CFG, models.train_uplift(t.intervention_mart, QUICK))
+    model, *pair = stored_models(t)
+    scored = models.score_and_explain(t.mart, model, CFG, tuple(pair))
     base = treeshap.base_value(treeshap.leaves_of(model.booster))
     names = explain.attribution_columns(scored)
     gap = f"abs({' + '.join(names)} + {base}D - ln(churn_prob / (1D - churn_prob)))"
@@ -400,8 +412,8 @@ def booster_invariants(t: Tables) -> DataFrame:
 
 
 def _with_uplift(t: Tables) -> DataFrame:
-    pair = models.train_uplift(t.intervention_mart, QUICK)
-    return models.score_and_explain(t.mart, models.train_churn(t.mart, QUICK), CFG, pair)
+    churn, *pair = stored_models(t)
+    return models.score_and_explain(t.mart, churn, CFG, tuple(pair))
 
 
 register("uplift_scores", stage=keep_marts)(

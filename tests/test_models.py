@@ -68,6 +68,70 @@ def test_attributions_equal_the_definition(mart, model):
             assert phi[i] == pytest.approx(want)
 
 
+def leaf_by_leaf(rows, leaves):
+    """Quadrature for each leaf on its own."""
+    out = np.zeros_like(rows)
+    for leaf in leaves:
+        depth = len(leaf.features)
+        passes = ((rows[:, leaf.features] > leaf.above) & (rows[:, leaf.features] <= leaf.upto)).astype(float)
+        nodes, weights = np.polynomial.legendre.leggauss(depth // 2 + 1)
+        for node, weight in zip((nodes + 1) / 2, weights / 2):
+            factors = leaf.share * (1 - node) + passes * node
+            out[:, leaf.features] += leaf.value * weight * (passes - leaf.share) * factors.prod(axis=1, keepdims=True) / factors
+    return out
+
+
+def test_blocks_equal_single_leaves(mart, model, monkeypatch):
+    """Tabled patterns, and integration where paths are longer, agree with leaf by leaf."""
+    x, _ = raw_scores(mart, model)
+    leaves = treeshap.leaves_of(model.booster)
+    want = leaf_by_leaf(x, leaves)
+    assert np.allclose(treeshap.attributions(x, leaves), want, atol=1e-12)
+    monkeypatch.setattr(treeshap, "TABLED", 1)
+    monkeypatch.setattr(treeshap, "LEAVES", 3)
+    monkeypatch.setattr(treeshap, "ROWS", 7)
+    assert np.allclose(treeshap.attributions(x, leaves), want, atol=1e-12)
+    assert treeshap.attributions(x, [treeshap.Leaf(1.0, *[np.zeros(0, int)] + [np.zeros(0)] * 3)]).any() == 0
+
+
+def test_leaves_come_from_the_node_table(model):
+    """Every leaf of the model once, with the interval and shares of its path."""
+    leaves = treeshap.leaves_of(model.booster)
+    assert len(leaves) == sum((t.numNodes + 1) // 2 for t in model.booster.trees)
+    walked = []
+
+    def walk(node, weight, path):
+        if node.subtreeDepth() == 0:
+            walked.append((round(weight * 2 * node.prediction(), 12), tuple(sorted((f, *map(lambda v: round(v, 12), p)) for f, p in path.items()))))
+            return
+        f, cut, total = node.split().featureIndex(), node.split().threshold(), node.impurityStats().count()
+        lo, hi, share = path.get(f, (-np.inf, np.inf, 1.0))
+        walk(node.leftChild(), weight, {**path, f: (lo, min(hi, cut), share * node.leftChild().impurityStats().count() / total)})
+        walk(node.rightChild(), weight, {**path, f: (max(lo, cut), hi, share * node.rightChild().impurityStats().count() / total)})
+
+    for weight, tree in zip(model.booster.treeWeights, model.booster._java_obj.trees()):
+        walk(tree.rootNode(), weight, {})
+    found = [(round(f.value, 12), tuple((int(a), *(round(float(v), 12) for v in rest)) for a, *rest in zip(f.features, f.above, f.upto, f.share))) for f in leaves]
+    assert sorted(found) == sorted(walked)
+
+
+def test_folds_at_once_equal_separate_fits(mart):
+    """The five folds' areas are those of five fits on their own."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    # Without random rows and features, which depend on the partitions.
+    params = models.BoostingParams(trees=3, depth=3, rate=0.3, min_rows=5, subsample=1.0, feature_subset="all")
+    row = models.cross_validate(mart, params, FEATURES).first()
+    rows = models.training_rows(mart, "is_churn", FEATURES).withColumn("fold", F.expr(f"pmod(xxhash64(msno, {params.seed}), 5)"))
+    areas = []
+    for k in range(5):
+        fitted = models._pipeline(FEATURES, params).fit(rows.filter(f"fold <> {k}"))
+        areas.append(BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderPR").evaluate(fitted.transform(rows.filter(f"fold = {k}"))))
+    assert row["folds"] == 5
+    assert row["mean_auc_pr"] == pytest.approx(np.mean(areas), abs=1e-6)
+    assert row["std_auc_pr"] == pytest.approx(np.std(areas), abs=1e-6)
+
+
 def test_scores_flags_and_explained_rows(mart, model):
     scored = models.score_users(mart, model, CFG)
     rows = models.score_and_explain(mart, model, CFG).collect()
