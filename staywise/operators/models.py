@@ -29,7 +29,7 @@ from staywise.operators.evaluation import class_weight
 from staywise.operators.scoring import churn_flag, feature_columns
 from staywise.operators.treeshap import leaves_of, tree_attributions
 from staywise.sources.readers import path_exists
-from staywise.sources.writers import settle
+from staywise.sources.writers import commit, committed, settle
 
 
 @dataclass(frozen=True)
@@ -277,25 +277,44 @@ def feature_importance(spark: SparkSession, model: TrainedModel, n: int = 20) ->
 # ---- storage ---------------------------------------------------------------------------
 
 
-def save_model(model: TrainedModel, folder: str, name: str, **facts) -> None:
-    """Write the pipeline and one JSON row with the feature list and further facts."""
+def save_models(folder: str, models: dict[str, TrainedModel], facts: dict[str, dict] | None = None) -> None:
+    """Store models that belong together as one version, which replaces the set before.
+
+    Each is a pipeline and one JSON row with the feature list and further facts. Readers see the
+    former set until all are written.
+    """
     spark = SparkSession.active()
-    model.pipeline.write().overwrite().save(f"{folder}/{name}/model")
-    row = [(name, list(model.features), {k: str(v) for k, v in facts.items()})]
     schema = "name string, features array<string>, facts map<string,string>"
-    spark.createDataFrame(row, schema).coalesce(1).write.mode("overwrite").json(f"{folder}/{name}/about")
+
+    def write(path: str) -> None:
+        for name, model in models.items():
+            model.pipeline.write().save(f"{path}/{name}/model")
+            known = {k: str(v) for k, v in (facts or {}).get(name, {}).items()}
+            row = [(name, list(model.features), known)]
+            spark.createDataFrame(row, schema).coalesce(1).write.json(f"{path}/{name}/about")
+
+    commit(spark, folder, write)
+
+
+def save_model(model: TrainedModel, folder: str, name: str, **facts) -> None:
+    """Store one model as the whole set of ``folder``."""
+    save_models(folder, {name: model}, {name: facts})
 
 
 def load_model(folder: str, name: str) -> TrainedModel | None:
-    """The stored model, or None when it was never saved."""
+    """The stored model, or None when the current set has none of that name."""
     spark = SparkSession.active()
-    if not path_exists(spark, f"{folder}/{name}/model"):
+    done = committed(spark, folder)
+    if done is None or not path_exists(spark, f"{done[0]}/{name}/model"):
         return None
-    about = load_metadata(folder, name)
-    return TrainedModel(PipelineModel.load(f"{folder}/{name}/model"), tuple(about["features"]))
+    about = _about(f"{done[0]}/{name}")
+    return TrainedModel(PipelineModel.load(f"{done[0]}/{name}/model"), tuple(about["features"]))
 
 
 def load_metadata(folder: str, name: str) -> dict:
-    spark = SparkSession.active()
+    return _about(f"{committed(SparkSession.active(), folder)[0]}/{name}")
+
+
+def _about(path: str) -> dict:
     schema = "name string, features array<string>, facts map<string,string>"
-    return spark.read.schema(schema).json(f"{folder}/{name}/about").first().asDict()
+    return SparkSession.active().read.schema(schema).json(f"{path}/about").first().asDict()

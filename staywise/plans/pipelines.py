@@ -42,6 +42,8 @@ class Job:
     folds: int = 5
     # Format of the exports for other tools, next to the Parquet ones: "csv" or None.
     hand_off: str | None = None
+    # Name of the run: started again under it, a run goes on behind the stages it has committed.
+    run: str = ""
 
     def path(self, name: str) -> str:
         return f"{self.out_dir.rstrip('/')}/{name}"
@@ -72,7 +74,7 @@ def hand_off(spark: SparkSession, job: Job, *names: str) -> None:
 
 def build_tables(spark: SparkSession, job: Job, raw: dict[str, DataFrame]) -> Tables:
     def stage(name: str, frame: DataFrame) -> DataFrame:
-        return replace_stage(frame, job.path(f"stages/{name}"))
+        return replace_stage(frame, job.path(f"stages/{name}"), run=job.run)
 
     return Tables(raw, job.cfg, stage=stage)
 
@@ -119,12 +121,12 @@ def train(spark: SparkSession, job: Job) -> None:
     mart = readers.read_export(spark, job.path("features_train"))
     quality = measure(mart, job)
     churn = models.train_churn(mart, job.params)
-    models.save_model(churn, job.model_dir, "churn_classifier", trees=job.params.trees, **quality)
     treatments = readers.read_export(spark, job.path("intervention_results"))
-    for name, model in zip(
-        ("uplift_treatment", "uplift_control"), models.train_uplift(treatments, job.params)
-    ):
-        models.save_model(model, job.model_dir, name, trees=job.params.trees)
+    treated, control = models.train_uplift(treatments, job.params)
+    fitted = {"churn_classifier": churn, "uplift_treatment": treated, "uplift_control": control}
+    facts = {name: {"trees": job.params.trees} for name in fitted}
+    facts["churn_classifier"] |= quality
+    models.save_models(job.model_dir, fitted, facts)
 
 
 def score(spark: SparkSession, job: Job) -> DataFrame:

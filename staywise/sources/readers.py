@@ -30,37 +30,80 @@ def usable_key(column: str = "msno") -> Column:
     return F.col(column).isNotNull() & (F.trim(F.col(column)) != "")
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Typed CSV scan that skips lines holding a value of the wrong type.
+#: Why a line is left out, in the order they are tested.
+REASONS = ("fields", "type", "key")
+_LINE = "_corrupt_record"
+
+
+def _typed(name: str, kind: T.DataType) -> str:
+    """The text as a value of the kind; whole numbers may be written with a fraction of zero."""
+    text = kind.simpleString()
+    if not isinstance(kind, T.IntegralType):
+        return f"try_cast({name} AS {text})"
+    number = f"try_cast({name} AS DOUBLE)"
+    return f"coalesce(try_cast({name} AS {text}), if({number} = floor({number}), try_cast({number} AS {text}), NULL))"
+
+
+def graded_csv(spark: SparkSession, path: str, schema: T.StructType, key: str | None = None) -> DataFrame:
+    """Typed CSV scan with ``reason`` and ``line`` of lines that are not to be used, else NULL.
 
-    Columns are found by header name; those missing in the file are NULL, further ones are
-    ignored. The check is a filter over all schema columns, so which lines are skipped does
-    not depend on the columns a query happens to read.
+    ``fields``: another number of fields than the header; ``type``: a value of the wrong type;
+    ``key``: a null or blank key. Columns are found by header name; those missing in the file
+    are NULL, further ones are ignored. All schema columns are tested, so the reason does not
+    depend on the columns a query happens to read.
     """
     header = spark.read.option("header", True).csv(path).columns
-    text = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    lines = spark.read.schema(text).option("header", True).option("mode", "DROPMALFORMED").csv(path)
-    present = [f for f in schema.fields if f.name in header]
-    typed = {f.name: f"try_cast({f.name} AS {f.dataType.simpleString()})" for f in present}
-    for f in present:
-        if not isinstance(f.dataType, T.StringType):
-            lines = lines.filter(f"{f.name} IS NULL OR {typed[f.name]} IS NOT NULL")
-    return lines.selectExpr(
-        *[
-            f"{typed.get(f.name, f'CAST(NULL AS {f.dataType.simpleString()})')} AS {f.name}"
-            for f in schema.fields
-        ]
-    )
+    text = T.StructType([T.StructField(c, T.StringType()) for c in (*header, _LINE)])
+    options = {"header": True, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _LINE, "columnPruning": False}
+    lines = spark.read.schema(text).options(**options).csv(path)
+    present = {f.name: f.dataType for f in schema.fields if f.name in header}
+    typed = {name: _typed(name, kind) for name, kind in present.items()}
+    wrong = [f"({n} IS NOT NULL AND {typed[n]} IS NULL)" for n, k in present.items() if not isinstance(k, T.StringType)]
+    blank = f"trim(coalesce({key}, '')) = ''" if key else "false"
+    reason = f"CASE WHEN {_LINE} IS NOT NULL THEN 'fields' WHEN {' OR '.join(wrong) or 'false'} THEN 'type' WHEN {blank} THEN 'key' END"
+    line = f"coalesce({_LINE}, to_csv(struct({', '.join(header)})))"
+    values = [f"{typed.get(f.name, f'CAST(NULL AS {f.dataType.simpleString()})')} AS {f.name}" for f in schema.fields]
+    return lines.selectExpr(*values, f"{reason} AS reason", f"if({reason} IS NULL, NULL, {line}) AS line")
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The lines of a CSV file that have as many fields as the header and values of the right types."""
+    return graded_csv(spark, path, schema).filter("reason IS NULL").select(*schema.names)
 
 
-def load_table(spark: SparkSession, folder: str, table: str) -> DataFrame | None:
-    """One raw table without null or blank keys; None (and a warning) when no file exists."""
+def graded_table(spark: SparkSession, folder: str, table: str) -> DataFrame | None:
+    """``graded_csv`` of a raw table's first existing file; None (and a warning) without one."""
     spec = RAW_TABLES[table]
     path = first_existing(spark, folder, spec.files)
     if path is None:
         log.warning("no file for %s in %s, skipped", table, folder)
         return None
-    return read_csv(spark, path, spec.schema).filter(usable_key())
+    return graded_csv(spark, path, spec.schema, "msno")
+
+
+def load_table(spark: SparkSession, folder: str, table: str, seen: Observation | None = None) -> DataFrame | None:
+    """One raw table without unusable lines; None (and a warning) when no file exists.
+
+    ``seen`` holds ``lines`` and the number of lines left out for each reason once an action has
+    run, counted in the same pass.
+    """
+    graded = graded_table(spark, folder, table)
+    if graded is None:
+        return None
+    if seen is not None:
+        counts = [F.count_if(F.col("reason") == r).alias(r) for r in REASONS]
+        graded = graded.observe(seen, F.count(F.lit(1)).alias("lines"), *counts)
+    return graded.filter("reason IS NULL").select(*RAW_TABLES[table].schema.names)
+
+
+def line_report(graded: DataFrame) -> DataFrame:
+    """Lines by ``reason``; the usable ones count as ``used``."""
+    return graded.groupBy(F.coalesce("reason", F.lit("used")).alias("reason")).agg(F.count("*").alias("lines"))
+
+
+def quarantine(graded: DataFrame) -> DataFrame:
+    """The unusable lines as they were, with their reason, for an export of their own."""
+    return graded.filter("reason IS NOT NULL").select("reason", "line")
 
 
 def load_raw_tables(spark: SparkSession, core_dir: str, saas_dir: str) -> dict[str, DataFrame]:

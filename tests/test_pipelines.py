@@ -3,14 +3,14 @@ import json
 from pathlib import Path
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from staywise.config import EngineConfig
 from staywise.operators import models
 from staywise.plans import pipelines
 from staywise.sources import readers, testdata
 from staywise.sources.schemas import MEMBERS, RAW_TABLES
-from staywise.sources.writers import export, settle, shared_dir
+from staywise.sources.writers import export, read_stage, replace_stage, settle, shared_dir
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -33,6 +33,90 @@ def test_csv_by_header_skips_malformed_and_blank_keys(spark, tmp_path):
     assert readers.load_table(spark, str(tmp_path), "raw_train").count() == 1
 
 
+def test_lines_are_accounted_for(spark, tmp_path):
+    """Counts per reason come with the load; whole numbers may carry a fraction of zero."""
+    (tmp_path / "members_v3.csv").write_text(
+        "msno,city,bd,gender,registered_via,registration_init_time\n"
+        "a,1,20.0,male,3,20170101\n"
+        "b,x,20,male,3,20170101\n"
+        "c,1,20.5,male,3,20170101\n"
+        "d,1,20,male,3\n"
+        "e,1,20,male,3,20170101,9\n"
+        " ,1,20,male,3,20170101\n"
+        ",1,20,male,3,20170101\n"
+        "f,1,,,3,20170101\n"
+    )
+    seen = Observation("members")
+    rows = readers.load_table(spark, str(tmp_path), "raw_members", seen).collect()
+    assert [(r["msno"], r["bd"]) for r in rows] == [("a", 20), ("f", None)]
+    assert seen.get == {"lines": 8, "fields": 2, "type": 2, "key": 2}
+    graded = readers.graded_table(spark, str(tmp_path), "raw_members")
+    assert dict(readers.line_report(graded).collect()) == {"used": 2, "fields": 2, "type": 2, "key": 2}
+    kept = {r["line"]: r["reason"] for r in readers.quarantine(graded).collect()}
+    assert kept["b,x,20,male,3,20170101"] == "type" and kept["e,1,20,male,3,20170101,9"] == "fields"
+
+
+def failing(spark):
+    """A table whose last partition cannot be written."""
+    return spark.range(0, 8, 1, 4).selectExpr("if(id = 7, CAST(raise_error('stop') AS BIGINT), id) AS n")
+
+
+def test_failed_writes_leave_the_old_version(spark, tmp_path):
+    stage, out = str(tmp_path / "stage"), str(tmp_path / "out")
+    replace_stage(spark.range(3).toDF("n"), stage)
+    export(spark.range(3).toDF("n"), out)
+    for write in (lambda f: replace_stage(f, stage), lambda f: export(f, out)):
+        with pytest.raises(Exception, match="stop"):
+            write(failing(spark))
+        assert read_stage(spark, stage).count() == spark.read.parquet(out).count() == 3
+    begun = read_stage(spark, stage)
+    replace_stage(spark.range(5).toDF("n"), stage)
+    export(spark.read.parquet(out).selectExpr("n + 1 AS n"), out)  # may read what it replaces
+    assert begun.count() == 3 and read_stage(spark, stage).count() == 5
+    assert sorted(r["n"] for r in spark.read.parquet(out).collect()) == [1, 2, 3]
+    for k in range(3):
+        replace_stage(spark.range(k).toDF("n"), stage)
+    assert read_stage(spark, stage).count() == 2 and len(list(Path(stage).glob("v-*"))) == 2
+    with pytest.raises(FileNotFoundError):
+        read_stage(spark, str(tmp_path / "none"))
+    assert {p.name for p in tmp_path.iterdir()} == {"stage", "out"}
+
+
+def test_a_run_started_again_goes_on_behind_its_stages(spark, tmp_path):
+    path, calls = str(tmp_path / "stage"), spark.sparkContext.accumulator(0)
+    rows = spark.range(4).rdd.map(lambda r: calls.add(1) or (r[0],)).toDF("n bigint")
+    first = replace_stage(rows, path, run="monday")
+    assert calls.value == 4
+    assert replace_stage(rows, path, run="monday").collect() == first.collect() and calls.value == 4
+    replace_stage(rows, path, run="tuesday")
+    assert calls.value == 8
+
+
+def test_models_are_replaced_as_one_set(spark, tmp_path):
+    """A crash between two models leaves the set of before; names of before do not stay behind."""
+    frame = spark.createDataFrame([(f"u{i}", float(i % 7), i % 2) for i in range(60)], "msno string, a double, is_churn int")
+    old = models.train_churn(frame, models.BoostingParams(trees=1, depth=1, min_rows=1), ("a",))
+    new = models.train_churn(frame, models.BoostingParams(trees=2, depth=1, min_rows=1), ("a",))
+    folder = str(tmp_path / "models")
+    models.save_models(folder, {"churn": old, "uplift": old})
+
+    class Broken(models.TrainedModel):
+        @property
+        def pipeline(self):
+            raise OSError("disk is full")
+
+        @pipeline.setter
+        def pipeline(self, value):
+            pass
+
+    broken = object.__new__(Broken)
+    with pytest.raises(OSError):
+        models.save_models(folder, {"churn": new, "uplift": broken})
+    assert models.load_model(folder, "churn").booster.getNumTrees == models.load_model(folder, "uplift").booster.getNumTrees == 1
+    models.save_models(folder, {"churn": new})
+    assert models.load_model(folder, "churn").booster.getNumTrees == 2 and models.load_model(folder, "uplift") is None
+
+
 def test_samples(spark):
     users = spark.range(1000).selectExpr("CAST(id AS STRING) AS msno")
     picked = readers.sample_users(users, 50)
