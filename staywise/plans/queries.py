@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -22,10 +24,11 @@ from staywise.operators import (
     sessions,
     treeshap,
 )
-from staywise.plans import oracle
+from staywise.plans import oracle, pipelines
 from staywise.plans.tables import Tables
 from staywise.sources import readers, testdata
-from staywise.sources.writers import settle
+from staywise.sources.schemas import RAW_TABLES
+from staywise.sources.writers import export, settle, shared_dir
 
 CFG = testdata.TEST_CONFIG
 
@@ -422,3 +425,130 @@ register("uplift_scores", stage=keep_marts)(
 register("uplift_summary", stage=keep_marts)(
     lambda t: models.uplift_summary(_with_uplift(t), CFG)
 )
+
+
+# ---- sources, exports and pipelines over CSV files of the raw tables --------------------
+
+
+def _spoilt_members(raw: DataFrame) -> DataFrame:
+    """Lines of a members file, six of eleven spoilt in one way or written unusually."""
+    kind = "CAST(msno AS BIGINT) % 11"
+    names = "msno,city,bd,gender,registered_via,registration_init_time"
+    cells = {n: f"coalesce(CAST({n} AS STRING), '')" for n in names.split(",")}
+    cells["msno"] = f"CASE {kind} WHEN 5 THEN '  ' WHEN 6 THEN '' ELSE msno END"
+    cells["city"] = f"if({kind} = 0, 'x', {cells['city']})"
+    cells["bd"] = f"concat({cells['bd']}, CASE {kind} WHEN 1 THEN '.0' WHEN 2 THEN '.5' ELSE '' END)"
+    last = cells.pop("registration_init_time")
+    end = f"CASE {kind} WHEN 3 THEN '' WHEN 4 THEN concat(',', {last}, ',9') ELSE concat(',', {last}) END"
+    return raw.selectExpr(f"concat(concat_ws(',', {', '.join(cells.values())}), {end}) AS `{names}`")
+
+
+def _spoilt_folder(t: Tables) -> str:
+    """A folder with a members file of spoilt lines and labels under their second name."""
+    spark = t.raw.spark
+    folder = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    lines = _spoilt_members(t.raw["raw_members"])
+    # The separator does not occur, so that lines are written as they are.
+    lines.write.option("header", True).option("sep", "\u0001").csv(f"{folder}/members_v3.csv")
+    export(t.raw["raw_train"].select(*RAW_TABLES["raw_train"].schema.names), f"{folder}/train.csv", "csv")
+    return folder
+
+
+@register("loaded_members")
+def loaded_members(t: Tables) -> DataFrame:
+    """Usable lines of a CSV file."""
+    return readers.load_raw_tables(t.raw.spark, *[_spoilt_folder(t)] * 2)["raw_members"]
+
+
+@register("load_report")
+def load_report(t: Tables) -> DataFrame:
+    """Lines by reason of every table that has a file."""
+    spark, folder = t.raw.spark, _spoilt_folder(t)
+    graded = {name: readers.graded_table(spark, folder, name) for name in RAW_TABLES}
+    reports = [
+        readers.line_report(g).select(F.lit(name).alias("table_name"), "reason", "lines")
+        for name, g in graded.items()
+        if g is not None
+    ]
+    return reduce(DataFrame.unionByName, reports)
+
+
+JOBS: dict[tuple[str, str], pipelines.Job] = {}
+
+
+def job_of(t: Tables) -> pipelines.Job:
+    """A feature run over CSV files of the raw tables; an application runs it once per input."""
+    spark = t.raw.spark
+    name = (spark.sparkContext.applicationId, t.raw.sf_dir)
+    if name not in JOBS:
+        folder = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+        for table, spec in RAW_TABLES.items():
+            export(t.raw[table].select(*spec.schema.names), f"{folder}/raw/{spec.files[-1]}", "csv")
+        job = pipelines.Job(f"{folder}/raw", f"{folder}/raw", f"{folder}/out", CFG, PARAMS, run="only")
+        pipelines.run_features(spark, job)
+        JOBS[name] = job
+    return JOBS[name]
+
+
+# What hangs on the order of payments of one day, which a hash of the row decides where the
+# files hold no other order.
+TIED = ("auto_renew_flag", "plan_downgrade_flag", "membership_expire_days")
+
+
+@register("exported_features")
+def exported_features(t: Tables) -> DataFrame:
+    """The whole mart on the change points that are found, from CSV files to the export."""
+    return readers.read_export(t.raw.spark, job_of(t).path("features_score")).drop(*TIED)
+
+
+@register("exported_train")
+def exported_train(t: Tables) -> DataFrame:
+    return readers.read_export(t.raw.spark, job_of(t).path("features_train")).drop(*TIED)
+
+
+@register("exported_change_points")
+def exported_change_points(t: Tables) -> DataFrame:
+    """Exported change points; a path without an export adds the rows of an empty table."""
+    spark, job = t.raw.spark, job_of(t)
+    found = readers.load_change_points(spark, job.path("change_points"))
+    return found.unionByName(readers.load_change_points(spark, job.path("not_there")))
+
+
+@register("exported_plan", stage=keep_mart)
+def exported_plan(t: Tables) -> DataFrame:
+    """The action plan after an export that replaces an earlier one."""
+    path = f"{shared_dir(t.raw.spark)}/{uuid.uuid4().hex}"
+    export(plan(t).limit(0), path)
+    export(plan(t), path)
+    return readers.read_export(t.raw.spark, path)
+
+
+@register("feature_load_report")
+def feature_load_report(t: Tables) -> DataFrame:
+    """What loading an export reports when half of its rows lack a key."""
+    spark = t.raw.spark
+    rows = t.raw["raw_members"]
+    blank = rows.withColumn("msno", F.when(F.length("msno") % 2 == 0, F.lit("  ")))
+    path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    export(rows.unionByName(blank), path)
+    kept, seen = readers.load_features(spark, path)
+    counted = (kept.count(), seen.get)
+    row = (counted[1]["rows_read"], counted[1]["rows_dropped"], counted[0])
+    return spark.createDataFrame([row], "rows_read bigint, rows_dropped bigint, rows_kept bigint")
+
+
+@register("exported_scores", stage=keep_marts)
+def exported_scores(t: Tables) -> DataFrame:
+    """Invariants of the scoring run's export, with models stored and loaded as one set."""
+    spark, job = t.raw.spark, job_of(t)
+    names = ("churn_classifier", "uplift_treatment", "uplift_control")
+    models.save_models(job.model_dir, dict(zip(names, stored_models(t))))
+    scored_users = pipelines.score(spark, job)
+    first = explain.attribution_columns(scored_users)[0]
+    return scored_users.selectExpr(
+        "msno",
+        f"(churn_flag = 1) = (churn_prob >= {CFG.churn_threshold}D) AS flag_fits",
+        "churn_prob > 0 AND churn_prob < 1 AS is_probability",
+        f"(churn_flag = 1) = ({first} IS NOT NULL) AS explained_where_flagged",
+        "(churn_flag = 1) = (uplift_score IS NOT NULL) AS uplift_where_flagged",
+    )

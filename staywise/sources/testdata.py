@@ -242,11 +242,11 @@ class RawTables(Mapping):
     """The raw tables by name, each built when it is first asked for."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self._spark, self.sf_dir, self._built = spark, sf_dir, {}
+        self.spark, self.sf_dir, self._built = spark, sf_dir, {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
-            self._built[name] = RAW_BUILDERS[name](self._spark, self.sf_dir)
+            self._built[name] = RAW_BUILDERS[name](self.spark, self.sf_dir)
         return self._built[name]
 
     def __iter__(self):
