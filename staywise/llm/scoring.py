@@ -30,7 +30,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
 from staywise.functions.shipping import shipped
 
@@ -274,22 +273,36 @@ def gathered(counts: DataFrame, words: int = WORDS, spellings: int = SPELLINGS)
     return Counts(total or 0, distinct or 0, head, units, unit_total, unit_distinct, spellings)
 
 
-class Units:
-    """Units of words; remembers a bounded number of words."""
+class Lookup:
+    """Units and counts of words; remembers a bounded number of words."""
 
     def __init__(self, counts: Counts, bound: int = 300_000) -> None:
         self.counts, self.bound = counts, bound
-        self.known: dict[bytes, int] = {}
+        self._clear()
 
-    def of(self, lists: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-        """Units of all words of the lists, and where each list ends."""
+    def _clear(self) -> None:
+        self.place: dict[bytes, int] = {}
+        self.words: list[bytes] = []
+        self.units, self.n = np.zeros(1024, np.int32), np.zeros(1024, np.int64)
+
+    def places(self, lists: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        """Places of all words of the lists in ``words``, ``units`` and ``n``, and where each list ends.
+
+        ``n`` is the training count of a frequent word, -1 for others. Places hold until the next call.
+        """
         flat = [w for words in lists for w in words]
-        new = set(flat).difference(self.known)
-        if len(self.known) + len(new) > self.bound:
-            self.known.clear()
+        new = set(flat).difference(self.place)
+        if len(self.place) + len(new) > self.bound:
+            self._clear()
             new = set(flat)
-        self.known.update((w, self.counts.unit(w)) for w in new)
-        return np.fromiter(map(self.known.__getitem__, flat), np.int32, len(flat)), np.cumsum([len(w) for w in lists])
+        begin, end = len(self.words), len(self.words) + len(new)
+        while end > len(self.units):
+            self.units, self.n = np.resize(self.units, 2 * len(self.units)), np.resize(self.n, 2 * len(self.n))
+        self.words += new
+        self.units[begin:end] = [self.counts.unit(w) for w in self.words[begin:]]
+        self.n[begin:end] = [self.counts.head.get(w, -1) for w in self.words[begin:]]
+        self.place.update(zip(self.words[begin:], range(begin, end), strict=True))
+        return np.fromiter(map(self.place.__getitem__, flat), np.int64, len(flat)), np.cumsum([len(w) for w in lists])
 
 
 def _averaged(copies: DataFrame) -> np.ndarray | None:
@@ -357,29 +370,29 @@ def in_units(rows: DataFrame, counts: Counts) -> DataFrame:
     load = shipped(rows.sparkSession, counts)
     kind = rows.schema["doc_id"].dataType
     names = ["doc_id", "out", "slice", "units", "known", "base", "spelled", "words", "times"]
-    types = [to_arrow_type(kind), pa.bool_(), pa.int32(), pa.list_(pa.int32()), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         facts = load()
-        units, head = Units(facts), facts.head.get
+        known = Lookup(facts)
         for batch, lists in _blocks(batches, 3):
-            found, ends = units.of(lists)
-            begins = np.r_[0, ends[:-1]]
-            counted = [[head(w, -1) for w in words] for words in lists]
-            flat = np.fromiter((c for row in counted for c in row), np.int64, len(found))
-            logs = np.log10(np.maximum(flat, 0) + 1.0)
-            rest = [Counter(w for w, c in zip(words, row, strict=True) if c < 0) for words, row in zip(lists, counted, strict=True)]
-            offsets = pa.array(np.r_[0, ends].astype(np.int32))
+            at, ends = known.places(lists)
+            begins, units, n = np.r_[0, ends[:-1]], known.units[at], known.n[at]
+            logs = np.log10(np.maximum(n, 0) + 1.0)
+            # The other words: distinct ones of each row, and how often they occur.
+            rare = np.flatnonzero(n < 0)
+            keys, times = np.unique((np.searchsorted(ends, rare, "right") << 32) | at[rare], return_counts=True)
+            bounds = pa.array(np.searchsorted(keys >> 32, np.arange(len(lists) + 1)).astype(np.int32))
+            rare_words = pa.array(list(map(known.words.__getitem__, (keys & 0xFFFFFFFF).tolist())), pa.binary())
             columns = [
                 *(batch.column(k) for k in range(3)),
-                pa.ListArray.from_arrays(offsets, pa.array(found, pa.int32())),
-                np.add.reduceat(flat > 0, begins, dtype=np.int64),
-                np.add.reduceat(logs, begins),
-                np.add.reduceat(np.where(found >= len(facts.units), logs, 0.0), begins),
-                [list(r) for r in rest],
-                [list(r.values()) for r in rest],
+                pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(units)),
+                pa.array(np.add.reduceat(n > 0, begins, dtype=np.int64)),
+                pa.array(np.add.reduceat(logs, begins)),
+                pa.array(np.add.reduceat(np.where(units >= len(facts.units), logs, 0.0), begins)),
+                pa.ListArray.from_arrays(bounds, rare_words),
+                pa.ListArray.from_arrays(bounds, pa.array(times, pa.int64())),
             ]
-            yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     return rows.select(*names[:3], "text").mapInArrow(
         run, f"doc_id {kind.simpleString()}, out boolean, slice int, units array<int>, known long, base double, spelled double, words array<binary>, times array<long>"
@@ -424,7 +437,8 @@ def scored(documents: DataFrame) -> DataFrame:
     own = unit_scores(found, counts, trained(found, counts))
     # None of these words is a hot key: each makes up less than 1 / HEAD of all words.
     rare = found.select("row", F.inline(F.arrays_zip("words", "times"))).withColumnRenamed("words", "word")
-    joined = rare.join(table.where("n > 0").select("word", "n"), "word")
+    # Counts are spread evenly over their words: a partition of them fits a hash table.
+    joined = rare.join(table.where("n > 0").select("word", "n").hint("shuffle_hash"), "word")
     # Words without a training count add log10(1).
     sums = joined.groupBy("row").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("n") + F.lit(1.0))).alias("rare"))
     whole = found.select("row", "doc_id", "out", "known", "base", "spelled").join(own, "row").join(sums, "row", "left")

@@ -75,10 +75,26 @@ def made(texts):
     return train, facts
 
 
+def units_of(facts, lists):
+    known = scoring.Lookup(facts)
+    at, ends = known.places(lists)
+    return known.units[at], ends
+
+
+def test_remembered_words_are_bounded():
+    _, facts = made([prose(k, 80) for k in range(30)])
+    small, large = scoring.Lookup(facts, 40), scoring.Lookup(facts)
+    for k in range(30):
+        lists = [words(prose(k, 30)), words(None)]
+        (a, _), (b, _) = small.places(lists), large.places(lists)
+        assert [small.words[i] for i in a] == [large.words[i] for i in b] and small.units[a].tolist() == large.units[b].tolist()
+        assert len(small.place) <= 40
+
+
 def test_probabilities_add_up_to_one():
     train, facts = made([prose(k, 80) for k in range(30)])
     trainer = scoring.Trainer(scoring.started(facts), scoring.noise_of(facts), 1)
-    found, ends = scoring.Units(facts).of([words(prose(k, 80)) for k in range(30)])
+    found, ends = units_of(facts, [words(prose(k, 80)) for k in range(30)])
     contexts = scoring.contexts_of(found, ends, len(trainer.model.target), scoring.CONTEXT)
     trainer.text(contexts, found, 64)
     for context in contexts[::400]:
@@ -98,7 +114,7 @@ def test_slopes_by_differences():
     """The batch's step follows the slope of the contrastive loss."""
     _, facts = made([prose(k, 20) for k in range(6)])
     noise = scoring.noise_of(facts)
-    found, ends = scoring.Units(facts).of([words(prose(3, 40))])
+    found, ends = units_of(facts, [words(prose(3, 40))])
     begun = scoring.started(facts)
     contexts = scoring.contexts_of(found, ends, len(begun.target), scoring.CONTEXT)
     trainer = scoring.Trainer(begun, noise, 5, drawn=6)
