@@ -25,6 +25,7 @@ def cap_days(column: str) -> str:
     return f"least(180, {column})"
 
 
+# Limits and names of cohorts and tiers, in the order they are tested.
 def behavioral_cohort(decay: str) -> str:
     return f"""CASE WHEN sessions_last_30d >= 20 AND {decay} > -0.2D THEN 'power_user'
                     WHEN sessions_last_30d >= 10 THEN 'regular'
@@ -42,18 +43,20 @@ def risk_tier(decay: str) -> str:
 
 # Columns of the churn mart in order.
 CHURN_MART_COLUMNS = (
-    "msno is_churn usage_decay_30d usage_decay_60d usage_decay_90d sessions_last_30d "
-    "sessions_last_60d sessions_last_90d avg_session_duration_30d completion_rate_avg_30d "
-    "skip_rate_avg_30d login_days_last_30d login_gap_days_avg login_gap_days_max "
-    "login_streak_max login_streak_current days_since_last_login ticket_count_30d "
-    "ticket_count_90d ticket_velocity pct_negative_sentiment unresolved_ticket_count "
-    "has_cancellation_inquiry cancellation_inquiry_30d auto_renew_flag plan_downgrade_flag "
-    "payment_failure_count_90d days_since_last_txn membership_expire_days avg_discount_rate "
-    "cancellation_count unique_features_used_30d feature_diversity_score "
-    "days_since_last_feature_use change_point_detected days_since_change_point "
-    "usage_slope_post_change pct_usage_change gender_male_flag city_encoded "
-    "age_bucket_encoded tenure_days behavioral_cohort risk_tier split"
-).split()
+    "msno", "is_churn", "usage_decay_30d", "usage_decay_60d", "usage_decay_90d",
+    "sessions_last_30d", "sessions_last_60d", "sessions_last_90d",
+    "avg_session_duration_30d", "completion_rate_avg_30d", "skip_rate_avg_30d",
+    "login_days_last_30d", "login_gap_days_avg", "login_gap_days_max", "login_streak_max",
+    "login_streak_current", "days_since_last_login", "ticket_count_30d", "ticket_count_90d",
+    "ticket_velocity", "pct_negative_sentiment", "unresolved_ticket_count",
+    "has_cancellation_inquiry", "cancellation_inquiry_30d", "auto_renew_flag",
+    "plan_downgrade_flag", "payment_failure_count_90d", "days_since_last_txn",
+    "membership_expire_days", "avg_discount_rate", "cancellation_count",
+    "unique_features_used_30d", "feature_diversity_score", "days_since_last_feature_use",
+    "change_point_detected", "days_since_change_point", "usage_slope_post_change",
+    "pct_usage_change", "gender_male_flag", "city_encoded", "age_bucket_encoded",
+    "tenure_days", "behavioral_cohort", "risk_tier", "split",
+)
 
 
 def churn_mart(master: DataFrame, cfg: EngineConfig) -> DataFrame:
@@ -81,16 +84,17 @@ def churn_mart(master: DataFrame, cfg: EngineConfig) -> DataFrame:
 
 # Mart columns carried into the treatment results, in order.
 TREATMENT_FEATURES = (
-    "usage_decay_30d usage_decay_60d usage_decay_90d sessions_last_30d sessions_last_60d "
-    "sessions_last_90d avg_session_duration_30d login_days_last_30d login_gap_days_avg "
-    "login_streak_max days_since_last_login ticket_count_30d ticket_count_90d "
-    "ticket_velocity pct_negative_sentiment unresolved_ticket_count "
-    "has_cancellation_inquiry auto_renew_flag plan_downgrade_flag payment_failure_count_90d "
-    "days_since_last_txn avg_discount_rate unique_features_used_30d feature_diversity_score "
-    "days_since_last_feature_use change_point_detected days_since_change_point "
-    "usage_slope_post_change gender_male_flag city_encoded age_bucket_encoded tenure_days "
-    "behavioral_cohort risk_tier"
-).split()
+    "usage_decay_30d", "usage_decay_60d", "usage_decay_90d", "sessions_last_30d",
+    "sessions_last_60d", "sessions_last_90d", "avg_session_duration_30d",
+    "login_days_last_30d", "login_gap_days_avg", "login_streak_max",
+    "days_since_last_login", "ticket_count_30d", "ticket_count_90d", "ticket_velocity",
+    "pct_negative_sentiment", "unresolved_ticket_count", "has_cancellation_inquiry",
+    "auto_renew_flag", "plan_downgrade_flag", "payment_failure_count_90d",
+    "days_since_last_txn", "avg_discount_rate", "unique_features_used_30d",
+    "feature_diversity_score", "days_since_last_feature_use", "change_point_detected",
+    "days_since_change_point", "usage_slope_post_change", "gender_male_flag",
+    "city_encoded", "age_bucket_encoded", "tenure_days", "behavioral_cohort", "risk_tier",
+)
 
 
 def latest_per_treatment(interventions: DataFrame) -> DataFrame:
