@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from staywise.functions.columns import columns
-from staywise.operators.ranking import running_totals
+from staywise.operators.ranking import SLICE_ROWS, running_totals
 
 
 def class_weight(labelled: DataFrame, label: str = "is_churn") -> DataFrame:
@@ -15,7 +15,12 @@ def class_weight(labelled: DataFrame, label: str = "is_churn") -> DataFrame:
 
 
 def stratified_split(
-    labelled: DataFrame, draw: str, label: str = "is_churn", key: str = "msno", share: float = 0.2
+    labelled: DataFrame,
+    draw: str,
+    label: str = "is_churn",
+    key: str = "msno",
+    share: float = 0.2,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Tag an exact share of each class as validation rows (``is_validation``).
 
@@ -36,10 +41,12 @@ def stratified_split(
     clear = placed.filter("__draw <> __cut").selectExpr(
         key, label, "__draw < __cut AS is_validation"
     )
-    # Rows sharing the draw value at the cut are told apart by their key.
-    order = f"row_number() OVER (PARTITION BY {label} ORDER BY {key})"
-    tied = placed.filter("__draw = __cut").selectExpr(
-        key, label, f"{order} <= __room AS is_validation"
+    # Rows sharing the draw value at the cut are told apart by their key. A draw of few values
+    # leaves many of them, so they are ranked in key ranges, not in one window of a class.
+    at_cut = placed.filter("__draw = __cut").groupBy(label, key)
+    copies = at_cut.agg(*columns({"n": "count(*)", "__room": "max(__room)"}))
+    tied = running_totals(copies, key, ["n"], label, slice_rows=slice_rows).selectExpr(
+        key, label, "explode(transform(sequence(1L, n), i -> cum_n - n + i <= __room)) AS is_validation"
     )
     return clear.unionByName(tied)
 

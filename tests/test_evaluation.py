@@ -76,6 +76,18 @@ def test_split_takes_an_exact_share_of_each_class(spark):
         assert sum(r["is_validation"] for r in out if r["is_churn"] == 0) == 36
 
 
+def test_ties_at_the_cut_are_ranked_in_ranges(spark):
+    """One draw for all: the first keys of each class are taken, whatever the ranges; copies count each."""
+    rows = [(f"u{i:05d}", int(i % 3 == 0)) for i in range(3000)] + [("u00000", 1)] * 3
+    frame = spark.createDataFrame(rows, "msno string, is_churn int").repartition(5)
+    out = evaluation.stratified_split(frame, "7L", slice_rows=100).collect()
+    assert len(out) == len(rows)
+    for label in (0, 1):
+        keys = sorted(k for k, y in rows if y == label)
+        taken = sorted(r["msno"] for r in out if r["is_churn"] == label and r["is_validation"])
+        assert taken == keys[: -(-len(keys) // 5)]
+
+
 def test_class_weight(spark):
     frame = spark.createDataFrame([(0,), (0,), (0,), (1,), (None,)], "is_churn int")
     assert evaluation.class_weight(frame).first()[0] == 3.0
