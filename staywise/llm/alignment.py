@@ -32,8 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from . import tokens
 from .common import written
+from .tokens import load
 
 #: Texts of more bytes are dealt out to tasks in ranges of this size.
 RANGE_BYTES = 1 << 16
@@ -138,7 +138,7 @@ class Aligner:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the work
         import sentencepiece
 
-        self.a, _ = tokens.load(path_a)
+        self.a, _ = load(path_a)
         self.a.encode_special_tokens = True  # their strings in a text are plain text
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         byte_of, vocabulary = _byte_of(), self.a.get_vocab()
