@@ -26,6 +26,7 @@ print("all ran")
 @pytest.mark.skipif(not Path(SMALL).exists(), reason="no test tables")
 def test_from_another_folder(tmp_path):
     names = ["change_points", "forest_attributions", "op6_toxicity_chain", "op5_language_mixture", "op8_quality_scores", "op3_nearest_vectors", "op10_simhash_components"]
+    names += ["op11_whitened_vectors", "op12_log_bilinear_scores", "op13_token_alignment"]
     script = SCRIPT.format(root=str(ROOT), names=names, small=SMALL)
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
