@@ -51,3 +51,24 @@ def test_groups_by_brute_force(spark):
     assert close > 30  # what the contract of the op10 query does not reach
     kept = near_copies.one_row_of_each(documents(spark, [(i, t, "s") for i, t in texts.items()])).collect()
     assert sorted(r.doc_id for r in kept) == sorted(set(root.values()))
+
+
+def test_common_passage_makes_no_pairs(spark, monkeypatch):
+    """One passage in 3,000 otherwise different texts: no table grows with the square, copies of them link."""
+    passage = prose(7, 40)
+    rows = [(i, passage + " " + prose(10_000 + i, 40), "s") for i in range(3000)]
+    rows += [(3000 + i, rows[i][1] + " end", "s") for i in range(50)]
+    sizes = []
+    real = near_copies.written
+    monkeypatch.setattr(near_copies, "written", lambda frame: sizes.append((out := real(frame)).count()) or out)
+    kept = near_copies.one_row_of_each(documents(spark, rows)).collect()
+    assert sorted(r.doc_id for r in kept) == list(range(3000))
+    assert max(sizes) < 10 * len(rows)
+
+
+def test_result_does_not_depend_on_parts_and_frequent_shingles(spark, monkeypatch):
+    rows = [(i, prose(900 + i // 3, 50) + " x" * (i % 3), "s") for i in range(90)]
+    wanted = sorted(tuple(r) for r in near_copies.groups(documents(spark, rows)).collect())
+    monkeypatch.setattr(near_copies, "PART_BYTES", 2000)
+    monkeypatch.setattr(near_copies, "OFTEN", 2)
+    assert wanted and sorted(tuple(r) for r in near_copies.groups(documents(spark, rows)).collect()) == wanted
