@@ -72,3 +72,13 @@ def test_result_does_not_depend_on_parts_and_frequent_shingles(spark, monkeypatc
     monkeypatch.setattr(near_copies, "PART_BYTES", 2000)
     monkeypatch.setattr(near_copies, "OFTEN", 2)
     assert wanted and sorted(tuple(r) for r in near_copies.groups(documents(spark, rows)).collect()) == wanted
+
+
+def test_columns_with_clashing_names(spark):
+    rows = [(1, prose(1, 30), "a"), (2, prose(1, 30), "b"), (1, prose(1, 30), "a"), (3, prose(2, 30), "c")]
+    docs = documents(spark, rows)
+    for name in ("_id", "_row", "_copies", "_key", "node", "root", "r"):
+        docs = docs.selectExpr("*", f"concat('{name}', doc_id) as {name}")
+    kept = near_copies.one_row_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r._id, r._key, r.root) for r in kept.collect()) == [(1, "_id1", "_key1", "root1"), (3, "_id3", "_key3", "root3")]
