@@ -73,6 +73,14 @@ def id_sets(column) -> list[np.ndarray]:
     return sets
 
 
+def free_names(frame: DataFrame, *names: str) -> list[str]:
+    """Column names like these that no column of the table begins with."""
+    mark = "_"
+    while any(c.lower().startswith(mark) for c in frame.columns):
+        mark += "_"
+    return [mark + name for name in names]
+
+
 def remainder(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 5: 0 marks the held-out rows."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 5
