@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -82,7 +83,11 @@ def psi_by_feature(reference: DataFrame, current: DataFrame, cfg: EngineConfig)
     the denominator. Text columns are listed without an index and never drift.
     """
     numeric, text = drift_columns(reference, current)
-    counts = bin_counts(reference, current, numeric, cfg.psi_bins)
+    return _stability(bin_counts(reference, current, numeric, cfg.psi_bins), text, cfg)
+
+
+def _stability(counts: DataFrame, text: list[str], cfg: EngineConfig) -> DataFrame:
+    """The index of the numeric columns from their counts per side and bin, and the text ones."""
     bins = range(cfg.psi_bins)
 
     def rows(condition: str) -> str:
@@ -106,7 +111,7 @@ def psi_by_feature(reference: DataFrame, current: DataFrame, cfg: EngineConfig)
         .selectExpr("*", f"psi > {cfg.psi_threshold}D AS drifted")
     )
     if text:
-        listed = reference.sparkSession.createDataFrame(
+        listed = counts.sparkSession.createDataFrame(
             [(c, None, False) for c in text], "feature string, psi double, drifted boolean"
         )
         result = result.unionByName(listed)
@@ -119,10 +124,14 @@ def ks_by_feature(reference: DataFrame, current: DataFrame) -> DataFrame:
     Drift is called beyond the asymptotic 5 % critical value.
     """
     numeric, _ = drift_columns(reference, current)
-    sides = (
-        long_values(reference, numeric)
-        .selectExpr("*", "1 AS r", "0 AS c")
-        .unionByName(long_values(current, numeric).selectExpr("*", "0 AS r", "1 AS c"))
+    known = long_values(reference, numeric).selectExpr("*", "1L AS n")
+    return _distance(known, long_values(current, numeric))
+
+
+def _distance(known: DataFrame, values: DataFrame) -> DataFrame:
+    """The statistic between counted reference values and single current ones."""
+    sides = known.selectExpr("feature", "value", "n AS r", "0L AS c").unionByName(
+        values.selectExpr("feature", "value", "0L AS r", "1L AS c")
     )
     sums = columns({"r": "sum(r)", "c": "sum(c)"})
     counts = sides.groupBy("feature", "value").agg(*sums)
@@ -135,6 +144,79 @@ def ks_by_feature(reference: DataFrame, current: DataFrame) -> DataFrame:
     )
 
 
+# ---- a stored reference ----------------------------------------------------------------
+
+
+def reference_profile(reference: DataFrame) -> DataFrame:
+    """How often each value of each compared column occurs: (feature, value, n).
+
+    Text columns have one row without a value. All that the index and the distance need of the
+    reference is in here, so reports read the current side only. Profiles of parts of a
+    reference add up (``merged_profiles``). It has a row per distinct value, so at most as many
+    as the reference has cells, and far fewer where features are counts.
+    """
+    numeric, text = drift_columns(reference, reference)
+    counted = (
+        long_values(reference, numeric).groupBy("feature", "value").agg(*columns({"n": "count(*)"}))
+    )
+    if not text:
+        return counted
+    names = [(c, None, None) for c in text]
+    return counted.unionByName(
+        reference.sparkSession.createDataFrame(names, "feature string, value double, n bigint")
+    )
+
+
+def merged_profiles(*profiles: DataFrame) -> DataFrame:
+    """Profile of all rows that the given profiles describe."""
+    rows = reduce(DataFrame.unionByName, profiles)
+    return rows.groupBy("feature", "value").agg(*columns({"n": "sum(n)"}))
+
+
+def _profiled(profile: DataFrame, current: DataFrame) -> tuple[list[tuple[str, float, float]], list[str]]:
+    """Ranges of the numeric columns that both have, and the text ones: a row per column."""
+    ends = columns({"low": "min(value)", "high": "max(value)"})
+    facts = {r["feature"]: r for r in profile.groupBy("feature").agg(*ends).collect()}
+    shared = [c for c in current.columns if c in facts]
+    ranges = []
+    for name in shared:
+        low, high = facts[name]["low"], facts[name]["high"]
+        if low is not None:
+            flat = 0.5 if low == high else 0.0
+            ranges.append((name, low - flat, high + flat))
+    return ranges, [c for c in shared if facts[c]["low"] is None]
+
+
+def psi_against(profile: DataFrame, current: DataFrame, cfg: EngineConfig) -> DataFrame:
+    """``psi_by_feature`` against a stored profile; columns that it lacks are not compared."""
+    ranges, text = _profiled(profile, current)
+    spark = current.sparkSession
+    spans = spark.createDataFrame(ranges, "feature string, lo double, hi double")
+    values = current.limit(0).selectExpr("'' AS feature", "0D AS value")
+    if ranges:
+        values = long_values(current, [name for name, *_ in ranges])
+    sides = (
+        profile.filter("value IS NOT NULL")
+        .selectExpr("feature", "value", "n", "true AS is_ref")
+        .unionByName(values.selectExpr("feature", "value", "1L AS n", "false AS is_ref"))
+    )
+    counts = (
+        sides.join(F.broadcast(spans), "feature")
+        .selectExpr("feature", "is_ref", f"{bin_of(cfg.psi_bins)} AS bin", "n")
+        .groupBy("feature", "is_ref", "bin")
+        .agg(*columns({"n": "sum(n)"}))
+    )
+    return _stability(counts, text, cfg)
+
+
+def ks_against(profile: DataFrame, current: DataFrame) -> DataFrame:
+    """``ks_by_feature`` against a stored profile."""
+    ranges, _ = _profiled(profile, current)
+    names = [name for name, *_ in ranges]
+    known = profile.filter(F.col("feature").isin(names))
+    return _distance(known, long_values(current, names))
+
+
 def drift_summary(by_feature: DataFrame, cfg: EngineConfig) -> DataFrame:
     """One-row report; drift of the data set means that too large a share of columns drifted."""
     share = "coalesce(try_divide(count_if(drifted), count(*)), 0D)"

@@ -13,11 +13,11 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession
 
 from staywise.config import EngineConfig
-from staywise.operators import actions, changepoint, drift, evaluation, explain, models
+from staywise.operators import actions, changepoint, drift, evaluation, explain, models, narration
 from staywise.plans.tables import Tables
 from staywise.sources import readers
 from staywise.sources.schemas import RAW_TABLES
-from staywise.sources.writers import export, register_views, replace_stage
+from staywise.sources.writers import committed, export, read_stage, register_views, replace_stage
 
 log = logging.getLogger(__name__)
 
@@ -38,6 +38,11 @@ class Job:
     params: models.BoostingParams = models.BoostingParams()
     # Most users a narrator is asked about, None for all flagged ones.
     narrated: int | None = None
+    # Where replies are kept between runs, None to ask for all of them each time; how many
+    # prompts go to the narrator at a time, and how often a batch is tried.
+    reply_store: str | None = None
+    narration_batch: int = 10_000
+    narration_attempts: int = 3
     # Folds of the cross-validation in training, 0 for none.
     folds: int = 5
     # Format of the exports for other tools, next to the Parquet ones: "csv" or None.
@@ -85,8 +90,10 @@ def run_features(spark: SparkSession, job: Job) -> Tables:
     Change points are detected before the wide table, so they are among its features.
     """
     tables = build_tables(spark, job, ingest(spark, job))
-    export(tables.change_points, job.path("change_points"))
+    export(tables.change_points, job.path("change_points"), key="msno")
     export(tables.mart.filter("split = 'train'"), job.path("features_train"))
+    trained_on = readers.read_export(spark, job.path("features_train"))
+    replace_stage(drift.reference_profile(trained_on), job.path("reference_profile"), run=job.run)
     export(tables.mart, job.path("features_score"))
     export(tables.intervention_mart, job.path("intervention_results"))
     hand_off(spark, job, "change_points", "features_train", "features_score")
@@ -140,7 +147,7 @@ def score(spark: SparkSession, job: Job) -> DataFrame:
     if pair is None:
         log.warning("no uplift models, uplift stays NULL")
     features, seen = readers.load_features(spark, job.path("features_score"))
-    export(models.score_and_explain(features, churn, job.cfg, pair), job.path("scored_users"))
+    export(models.score_and_explain(features, churn, job.cfg, pair), job.path("scored_users"), key="msno")
     if seen.get["rows_dropped"]:
         log.warning("left out rows without a key: %s", seen.get)
     return readers.read_export(spark, job.path("scored_users"))
@@ -156,6 +163,14 @@ def narrate(spark: SparkSession, job: Job, scored: DataFrame, narrator: Narrator
     shifts = readers.load_change_points(spark, job.path("change_points"))
     if narrator is None:
         return explain.template_narrative(flagged, shifts)
+    if job.reply_store:
+        service = narrator
+
+        def narrator(asked: DataFrame) -> DataFrame:
+            return narration.replies_to(
+                asked, service, job.reply_store, job.narration_batch, job.narration_attempts
+            )
+
     context = readers.read_export(spark, job.path("features_score"))
     if job.narrated is None:
         return explain.parse_replies(narrator(explain.prompts(flagged, shifts, context, job.cfg)))
@@ -187,7 +202,14 @@ def run_full(spark: SparkSession, job: Job, narrator: Narrator | None = None) ->
 def drift_report(
     spark: SparkSession, job: Job, reference_path: str | None = None, current_path: str | None = None
 ) -> DataFrame:
-    """Drift of one export against another, by default of the scored against the training users."""
+    """Drift of one export against another, by default of the scored against the training users.
+
+    Of the training users the profile stored with their export is read, if there is one.
+    """
+    if reference_path is None and committed(spark, job.path("reference_profile")):
+        profile = read_stage(spark, job.path("reference_profile"))
+        current = readers.read_export(spark, current_path or job.path("features_score"))
+        return drift.drift_summary(drift.psi_against(profile, current, job.cfg), job.cfg)
     reference = readers.read_export(spark, reference_path or job.path("features_train"))
     current = readers.read_export(spark, current_path or job.path("features_score"))
     return drift.drift_summary(drift.psi_by_feature(reference, current, job.cfg), job.cfg)
@@ -211,8 +233,10 @@ def segment_tables(spark: SparkSession, job: Job) -> dict[str, DataFrame]:
 
 def lookup(spark: SparkSession, job: Job, users: DataFrame) -> DataFrame:
     """Risk records for a table of keys (``msno``) from a run's exports."""
-    scored = readers.read_export(spark, job.path("scored_users"))
-    shifts = readers.load_change_points(spark, job.path("change_points"))
+    scored = readers.rows_of_keys(readers.read_export(spark, job.path("scored_users")), users)
+    shifts = readers.rows_of_keys(
+        readers.load_change_points(spark, job.path("change_points")), users
+    )
     return actions.risk_lookup(users, scored, explain.template_narrative(scored, shifts), shifts)
 
 

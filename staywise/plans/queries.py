@@ -19,6 +19,7 @@ from staywise.operators import (
     explain,
     features,
     models,
+    narration,
     profile,
     scoring,
     sessions,
@@ -230,6 +231,44 @@ def prompts(t: Tables) -> DataFrame:
     return explain.prompts(flagged, t.change_points, context, CFG)
 
 
+def _breaking_off(after: int) -> Callable[[DataFrame], DataFrame]:
+    """A narrator that fails once it has answered so many batches."""
+    answered = []
+
+    def narrator(asked: DataFrame) -> DataFrame:
+        if len(answered) == after:
+            raise ConnectionError("no answer")
+        answered.append(asked)
+        return _repeating(asked)
+
+    return narrator
+
+
+def _repeating(asked: DataFrame) -> DataFrame:
+    """Replies that repeat the second line of the prompt."""
+    line = "get(split(prompt, '\\n'), 1)"
+    fields = f"'explanation', {line}, 'recommended_action', 'no_action', 'action_justification', 'repeated'"
+    return asked.selectExpr("msno", f"to_json(map({fields})) AS reply")
+
+
+@register(
+    "resumed_replies",
+    """SELECT msno, string_split(prompt, chr(10))[2] AS explanation, 'no_action' AS recommended_action,
+              'repeated' AS action_justification FROM prompts""",
+    stage=keep_mart,
+)
+def resumed_replies(t: Tables) -> DataFrame:
+    """Narratives after a run that broke off between batches and a second one for the rest."""
+    store = f"{shared_dir(t.mart.sparkSession)}/{uuid.uuid4().hex}"
+    asked = settle(prompts(t))
+    rows = max(1, asked.count() // 8)
+    try:
+        narration.replies_to(asked, _breaking_off(3), store, rows, attempts=1)
+    except ConnectionError:
+        pass
+    return explain.parse_replies(narration.replies_to(asked, _repeating, store, rows))
+
+
 register("template_narrative", stage=keep_mart)(lambda t: explain.template_narrative(scored(t), t.change_points))
 register("parsed_replies")(lambda t: explain.parse_replies(replies(t)))
 register("action_plan", stage=keep_mart)(plan)
@@ -325,6 +364,20 @@ def ks_by_feature(t: Tables) -> DataFrame:
     return _rounded(drift.ks_by_feature(*train_and_score(t)), 9, "ks_statistic")
 
 
+@register("psi_from_profile", oracle.BLOCKS["psi_by_feature"], stage=keep_mart)
+def psi_from_profile(t: Tables) -> DataFrame:
+    """The index against a profile that was stored in two parts."""
+    train, score = train_and_score(t)
+    parts = [settle(drift.reference_profile(train.filter(f"hash(msno) % 2 {sign} 0"))) for sign in ("=", "<>")]
+    return _rounded(drift.psi_against(drift.merged_profiles(*parts), score, CFG), 9, "psi")
+
+
+@register("ks_from_profile", oracle.BLOCKS["ks_by_feature"], stage=keep_mart)
+def ks_from_profile(t: Tables) -> DataFrame:
+    train, score = train_and_score(t)
+    return _rounded(drift.ks_against(settle(drift.reference_profile(train)), score), 9, "ks_statistic")
+
+
 register("drift_summary", stage=keep_mart)(
     lambda t: drift.drift_summary(drift.psi_by_feature(*train_and_score(t), CFG), CFG)
 )

@@ -15,6 +15,8 @@ CLUSTER_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Lists of keys reach the readers' Bloom filters and statistics as they are.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
 }
 
 

@@ -175,6 +175,23 @@ def rows_of_users(rows: DataFrame, users: DataFrame) -> DataFrame:
     return rows.join(users.select("msno"), "msno", "left_semi")
 
 
+# Most keys that are handed to the readers as a list; more of them are joined.
+LISTED_KEYS = 1_000
+
+
+def rows_of_keys(rows: DataFrame, keys: DataFrame, key: str = "msno") -> DataFrame:
+    """Rows with one of the keys.
+
+    Few keys are a filter that Parquet readers check against statistics and Bloom filters, so
+    only the files and pages that may hold them are read. Many are a semi-join.
+    """
+    wanted = keys.select(key).distinct()
+    listed = [r[0] for r in wanted.limit(LISTED_KEYS + 1).collect()]
+    if len(listed) > LISTED_KEYS:
+        return rows.join(wanted, key, "left_semi")
+    return rows.filter(F.col(key).isin([k for k in listed if k is not None]))
+
+
 def run_sql(spark: SparkSession, sql: str, args: dict | list | None = None, **frames) -> DataFrame:
     """Ad-hoc SQL with bound parameters; frames passed by name are usable as ``{name}``."""
     return spark.sql(sql, args=args, **frames)

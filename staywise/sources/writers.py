@@ -40,9 +40,12 @@ def _file_system(spark: SparkSession, path: str):
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
-def export(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+def export(df: DataFrame, path: str, fmt: str = "parquet", key: str | None = None) -> None:
     """Replace the export at ``path``; CSV carries a header line.
 
+    With a ``key``, Parquet files are sorted by it and carry Bloom filters of it, so that a lookup
+    of a few keys skips most files by their footers. That adds no shuffle.
+
     The new files are written beside the old ones and take their place when all are there, so
     a write that fails leaves the old export as it was.
     """
@@ -53,8 +56,13 @@ def export(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     fresh, former = f"{path}.new-{mark}", f"{path}.old-{mark}"
     files, place = _file_system(spark, path)
     new, old = (_file_system(spark, p)[1] for p in (fresh, former))
+    if key and fmt == "parquet":
+        df = df.sortWithinPartitions(key)
+    out = df.write.option("header", True)
+    if key:
+        out = out.option(f"parquet.bloom.filter.enabled#{key}", "true")
     try:
-        df.write.option("header", True).csv(fresh) if fmt == "csv" else df.write.parquet(fresh)
+        out.csv(fresh) if fmt == "csv" else out.parquet(fresh)
         if files.exists(place):
             files.rename(place, old)
         files.rename(new, place)

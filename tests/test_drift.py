@@ -85,3 +85,23 @@ def test_retraining_decision(spark):
     assert drift.should_retrain(missing)
     with pytest.raises(ValueError):
         drift.should_retrain(broken)
+
+
+def test_a_stored_profile_gives_the_same_report(spark, pair):
+    _, _, reference, current = pair
+    parts = [drift.reference_profile(reference.filter(f"abs(hash(msno)) % 3 {sign} 0")) for sign in ("=", "<>")]
+    stored = drift.merged_profiles(*parts)
+    for ours, direct in (
+        (drift.psi_against(stored, current, CFG), drift.psi_by_feature(reference, current, CFG)),
+        (drift.ks_against(stored, current), drift.ks_by_feature(reference, current)),
+    ):
+        assert ours.columns == direct.columns
+        assert {r[0]: r[1:] for r in ours.collect()} == {r[0]: r[1:] for r in direct.collect()}
+
+
+def test_profiles_compare_shared_columns_only(spark, pair):
+    _, _, reference, current = pair
+    stored = drift.reference_profile(reference.drop("a"))
+    assert {r[0] for r in drift.psi_against(stored, current.drop("b"), CFG).collect()} == {"c", "flat", "name"}
+    assert drift.psi_against(stored.limit(0), current, CFG).count() == 0
+    assert drift.psi_against(stored, current.limit(0), CFG).count() == 4

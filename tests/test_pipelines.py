@@ -211,3 +211,34 @@ def drift_needed(spark, job):
     from staywise.operators.drift import should_retrain
 
     return should_retrain(lambda: pipelines.drift_report(spark, job))
+
+
+def scanned_rows(frame):
+    """Rows that the scans of an executed plan gave out."""
+    plan = frame._jdf.queryExecution().executedPlan()
+    plan.executeCollect()
+    nodes, total = [plan], 0
+    while nodes:
+        node = nodes.pop()
+        if "Scan" in node.nodeName():
+            total += node.metrics().apply("numOutputRows").value()
+        children = node.children()
+        nodes += [children.apply(i) for i in range(children.size())]
+    return total
+
+
+def test_lookup_reads_what_may_hold_the_keys(spark, tmp_path):
+    """Sorted files with Bloom filters: few keys read few rows, many keys are joined."""
+    users = spark.range(200_000, numPartitions=8).selectExpr("CAST(xxhash64(id) AS STRING) AS msno", "id AS value")
+    export(users, str(tmp_path / "users"), key="msno")
+    stored = readers.read_export(spark, str(tmp_path / "users"))
+    keys = users.filter("value % 100000 = 7").select("msno").union(spark.createDataFrame([("nobody",), (None,)], "msno string"))
+    found = readers.rows_of_keys(stored, keys)
+    assert sorted(r["value"] for r in found.collect()) == [7, 100_007]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert scanned_rows(readers.rows_of_keys(stored, keys)) <= 50_000  # two files of eight at most
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    many = users.filter("value < 3000").select("msno")
+    assert readers.rows_of_keys(stored, many).count() == 3000
