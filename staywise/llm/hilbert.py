@@ -79,7 +79,7 @@ def sharded(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
 
     Null languages and sources share the lowest level; a null text has one byte. Copies of a
     row may change places with each other, nothing else is left open. Columns of these names
-    are replaced. An empty table gives an empty result.
+    are replaced, others may have any name. An empty table gives an empty result.
     """
     docs = documents.drop("shard", "slot", "curve")
     axes = ["_lang", "_source", "_size"]
@@ -101,15 +101,17 @@ def sharded(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
     runs = runs.join(F.broadcast(begin), F.col("curve") == F.col("_curve"))
     runs = written(runs.select(F.col("curve").alias("_curve"), F.col("_part").alias("_p"), (F.col("_begin") + F.col("_inside")).alias("_first"), "_total"))
 
-    rows = docs.withColumns(places | {"_size": size, "_mark": mark}).join(F.broadcast(grid.drop("_count")), axes).withColumn("_part", part).drop("_parts", *axes)
-    order = Window.partitionBy("curve", "_part").orderBy("_mark", *[c for c in ("doc_id", "lang", "source")])
+    # The columns travel as one, so that none of their names meets those used here.
+    whole = docs.select(F.struct(*docs.columns).alias("_row"), *[c.alias(n) for n, c in places.items()], size.alias("_size"), mark.alias("_mark"))
+    rows = whole.join(F.broadcast(grid.drop("_count")), axes).withColumn("_part", part).drop("_parts", *axes)
+    order = Window.partitionBy("curve", "_part").orderBy("_mark", *[f"_row.{c}" for c in ("doc_id", "lang", "source")])
     rows = rows.withColumn("_r", F.row_number().over(order) - 1)
     rows = rows.join(runs, (F.col("curve") == F.col("_curve")) & (F.col("_part") == F.col("_p")))
     rank = F.col("_first") + F.col("_r")
     rows = rows.withColumn("_rank", rank).withColumn("shard", F.expr(f"cast(_rank * {shards} div _total as int)"))
     # The first rank of shard s is the least r with r * shards div total = s.
     slot = F.col("_rank") - F.expr(f"(cast(shard as bigint) * _total + {shards - 1}) div {shards}")
-    return rows.withColumn("slot", slot.cast("long")).select(*docs.columns, "shard", "slot", "curve")
+    return rows.withColumn("slot", slot.cast("long")).select("_row.*", "shard", "slot", "curve")
 
 
 def write_shards(placed: DataFrame, path: str) -> None:

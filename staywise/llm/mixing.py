@@ -116,17 +116,20 @@ def mixed(documents: DataFrame, total_share: float = 1.0, seed: int = 7) -> Data
 
     A document is whole: it comes as often as taken / size rounds to, so only the one at the end
     of a shard's quota differs from the word counts. Texts without words are not taken.
-    Rows with equal doc_id, source and text share what the mix takes of them evenly.
+    Rows with equal doc_id, source and text share what the mix takes of them evenly. Columns may
+    have any names. An empty table gives an empty result.
     """
     mix = mixture(documents, total_share, seed, keep_columns=True)
     keys = ["doc_id", "source", "_text"]
     counts = mix.groupBy(*keys).agg(F.sum(F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(0)).alias("_times"), F.count("*").alias("_rows"))
     counts = written(counts.where("_times > 0").select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_times", "_rows"))
-    same = F.col("doc_id").eqNullSafe(F.col("_k0")) & F.col("source").eqNullSafe(F.col("_k1")) & (F.xxhash64("text") == F.col("_k2"))
-    rows = documents.join(counts, same)
+    # The columns travel as one, so that none of their names meets those used here.
+    whole = documents.select(F.struct(*documents.columns).alias("_row"))
+    same = F.col("_row.doc_id").eqNullSafe(F.col("_k0")) & F.col("_row.source").eqNullSafe(F.col("_k1")) & (F.xxhash64("_row.text") == F.col("_k2"))
+    rows = whole.join(counts, same)
     single = rows.where("_rows = 1").withColumn("_n", F.col("_times"))
-    nth = F.row_number().over(Window.partitionBy("_k0", "_k1", "_k2").orderBy(*documents.columns))
+    nth = F.row_number().over(Window.partitionBy("_k0", "_k1", "_k2").orderBy("_row"))
     several = rows.where("_rows > 1").withColumn("_nth", nth)
     several = several.withColumn("_n", F.floor(F.col("_times") / F.col("_rows")) + (F.col("_nth") <= F.col("_times") % F.col("_rows")).cast("int"))
-    both = single.select(*documents.columns, "_n").unionByName(several.select(*documents.columns, "_n")).where("_n > 0")
-    return both.select(*documents.columns, F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))).alias("_turn")).drop("_turn")
+    both = single.select("_row", "_n").unionByName(several.select("_row", "_n")).where("_n > 0")
+    return both.select("_row", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int")))).select("_row.*")
