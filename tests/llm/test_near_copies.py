@@ -72,6 +72,10 @@ def test_result_does_not_depend_on_parts_and_frequent_shingles(spark, monkeypatc
     monkeypatch.setattr(near_copies, "PART_BYTES", 2000)
     monkeypatch.setattr(near_copies, "OFTEN", 2)
     assert wanted and sorted(tuple(r) for r in near_copies.groups(documents(spark, rows)).collect()) == wanted
+    # Copies in many runs of gathered texts change nothing either.
+    monkeypatch.setattr(near_copies, "GATHERED", 300)
+    rows += [(1000 + i, rows[i % 2][1], "s") for i in range(400)]
+    assert sorted(tuple(r) for r in near_copies.groups(documents(spark, rows).repartition(7)).collect()) == wanted
 
 
 def test_columns_with_clashing_names(spark):
