@@ -156,13 +156,29 @@ def load_features(
     return rows.filter(usable_key()), seen
 
 
+# Samples up to this size are merged in one task.
+MERGED_SAMPLE = 100_000
+
+
 def sample_users(users: DataFrame, n: int, seed: int = 42) -> DataFrame:
     """Exactly ``n`` users (all when there are fewer), drawn by the hash of their key.
 
-    Top-n on a hash needs no full sort and picks the same users on every run.
+    The same users on every run. Small samples are a top-n on the hash. Of larger ones counts per
+    leading 16 bits of the hash tell where the sample ends: all rows before that range are taken
+    where they are, only those of the range are ordered.
     """
     draw = F.xxhash64(F.col("msno"), F.lit(seed))
-    return users.orderBy(draw, "msno").limit(n)
+    if n <= MERGED_SAMPLE:
+        return users.orderBy(draw, "msno").limit(n)
+    span = F.shiftright(draw, 48)
+    counts = users.groupBy(span.alias("span")).count().collect()  # 65,536 rows at most
+    taken = 0
+    for at, rows in sorted(map(tuple, counts)):
+        if taken + rows > n:
+            last = users.filter(span == at).orderBy(draw, "msno").limit(n - taken)
+            return users.filter(span < at).unionByName(last)
+        taken += rows
+    return users
 
 
 def sample_user_share(users: DataFrame, draw: Column, buckets: int, keep: int) -> DataFrame:

@@ -242,3 +242,16 @@ def test_lookup_reads_what_may_hold_the_keys(spark, tmp_path):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     many = users.filter("value < 3000").select("msno")
     assert readers.rows_of_keys(stored, many).count() == 3000
+
+
+def test_large_samples_are_exact(spark, monkeypatch):
+    """Cut by ranges of the hash or merged in one task: the same users, also where all tie."""
+    users = spark.range(30_000).selectExpr("CAST(id % 20000 AS STRING) AS msno")
+    for n in (0, 1, 777, 15_000, 29_999, 30_000, 40_000):
+        merged = sorted(r[0] for r in readers.sample_users(users, n).collect())
+        monkeypatch.setattr(readers, "MERGED_SAMPLE", -1)
+        assert sorted(r[0] for r in readers.sample_users(users, n).collect()) == merged and len(merged) == min(n, 30_000)
+        monkeypatch.undo()
+    monkeypatch.setattr(readers, "MERGED_SAMPLE", -1)
+    assert readers.sample_users(users.selectExpr("'same' AS msno"), 12_345).count() == 12_345
+    assert readers.sample_users(users.limit(0), 5).count() == 0
