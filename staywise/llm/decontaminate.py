@@ -21,10 +21,6 @@ from .common import free_names, written
 
 #: Offsets that count, of three masks of weight six.
 MASKS = ((0, 1, 2, 4, 7, 8), (0, 1, 4, 6, 8, 9), (0, 2, 3, 7, 9, 10))
-#: Three more masks for items of up to MIDDLE words, which the others miss too often: of the
-#: largest allowed numbers of other words, all six find at least 0.93 of the places at each length.
-MIDDLE_MASKS = ((0, 1, 3, 4, 5, 6), (0, 1, 2, 5, 10, 11), (0, 2, 6, 7, 8, 9))
-MIDDLE = 24
 #: Items from this size on are looked up.
 SHORTEST = 5
 #: Items of up to so many words have masks of their own, by length: they find every item with
@@ -57,10 +53,10 @@ def _short_masks(n: int) -> set[tuple[int, ...]]:
 
 
 def masks_for(lengths) -> list[tuple[tuple[int, ...], list[int]]]:
-    """Masks and the lengths of the short and middle items they serve; none for the masks of all longer ones."""
+    """Masks and the lengths of the short items they serve; none for the masks of all longer ones."""
     serves: dict[tuple[int, ...], list[int]] = {}
     for n in sorted(lengths):
-        for mask in sorted(_short_masks(n)) if n <= SHORT else MIDDLE_MASKS:
+        for mask in sorted(_short_masks(n)):
             serves.setdefault(mask, []).append(n)
     return [*[(m, []) for m in MASKS], *serves.items()]
 
@@ -94,7 +90,7 @@ def overlaps(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     items = benchmark.select("item_id", hashed_words(F.coalesce("text", F.lit(""))).alias("ih"))
     items = written(items.where(F.size("ih") >= SHORTEST).groupBy("ih").agg(F.collect_set(F.struct("item_id")).alias("item_ids")).withColumn("item", F.xxhash64("ih")))
-    total, short = items.agg(F.sum(F.size("ih")), F.collect_set(F.when(F.size("ih") <= MIDDLE, F.size("ih")))).first()
+    total, short = items.agg(F.sum(F.size("ih")), F.collect_set(F.when(F.size("ih") <= SHORT, F.size("ih")))).first()
     serving = masks_for(short)
     masks = [mask for mask, _ in serving]
     # Masks of short items serve only items of those very lengths.
@@ -116,7 +112,7 @@ def overlaps(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     # Of hits that follow each other on a diagonal, the first speaks for all.
     before = F.lit(False)
-    for k, mask in enumerate(masks[: len(MASKS)]):
+    for k, mask in enumerate(masks):
         same = F.lit(True)
         for o in mask:
             same = same & (F.get("wh", F.col("pos") - 1 + o) == F.get("ih", F.col("ipos") - 1 + o))

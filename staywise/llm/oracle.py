@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from .decontaminate import COST, MASKS, MIDDLE, MIN_EQUAL, SCORE, SHORTEST, masks_for
+from .decontaminate import COST, MASKS, MIN_EQUAL, SCORE, SHORT, SHORTEST, masks_for
 
-_MASK_ROWS = ", ".join(f"({k}, {list(mask)}, {lengths or [0]})" for k, (mask, lengths) in enumerate(masks_for(range(SHORTEST, MIDDLE + 1))))
+_MASK_ROWS = ", ".join(f"({k}, {list(mask)}, {lengths or [0]})" for k, (mask, lengths) in enumerate(masks_for(range(SHORTEST, SHORT + 1))))
 
 #: Every diagonal that a seed hits is walked whole; running sums and their least value so far
 #: give the best stretch that ends at each word, the first sum as low as the one at a word the
