@@ -25,6 +25,7 @@ from staywise.config import (
     EngineConfig,
 )
 from staywise.functions.columns import columns
+from staywise.operators.boosting import fit_all
 from staywise.operators.evaluation import class_weight
 from staywise.operators.scoring import churn_flag, feature_columns
 from staywise.operators.treeshap import leaves_of, tree_attributions
@@ -75,11 +76,7 @@ T = TypeVar("T")
 
 
 def at_once(*fits: Callable[[], T]) -> list[T]:
-    """Results of fits that run side by side.
-
-    A fit is a chain of short jobs, one per tree level, between which the cluster waits for the
-    driver; several chains fill the gaps of each other.
-    """
+    """Results of calls that run side by side; their jobs fill the gaps of each other."""
     spark = SparkSession.active()
     with ThreadPoolExecutor(max(len(fits), 1)) as pool:
         return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(fit)) for fit in fits]]
@@ -101,13 +98,26 @@ def _pipeline(features: tuple[str, ...], params: BoostingParams) -> Pipeline:
     return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), booster])
 
 
+#: Training rows and the features to train on.
+Fit = tuple[DataFrame, tuple[str, ...]]
+
+
+def trained(fits: list[Fit], params: BoostingParams) -> list[TrainedModel]:
+    """A model for each of the fits; a tree level of all of them is one job."""
+    pipelines = [_pipeline(names, params) for _, names in fits]
+    return [TrainedModel(f, names) for f, (_, names) in zip(fit_all(fits, pipelines, params), fits)]
+
+
+def churn_fit(mart: DataFrame, features: tuple[str, ...] = CHURN_FEATURES) -> Fit:
+    return training_rows(mart, "is_churn", features), features
+
+
 def train_churn(
     mart: DataFrame,
     params: BoostingParams = BoostingParams(),
     features: tuple[str, ...] = CHURN_FEATURES,
 ) -> TrainedModel:
-    fitted = _pipeline(features, params).fit(training_rows(mart, "is_churn", features))
-    return TrainedModel(fitted, features)
+    return trained([churn_fit(mart, features)], params)[0]
 
 
 def cross_validate(
@@ -120,18 +130,21 @@ def cross_validate(
     """Mean and spread of the area under the precision-recall curve over the folds.
 
     A user's fold is a hash of the key, whatever the table's partitions are. All folds are
-    fitted at once over the same written rows.
+    fitted together over the same written rows.
     """
     fold = f"CAST(pmod(xxhash64(msno, {params.seed}), {folds}) AS INT)"
     rows = settle(training_rows(mart, "is_churn", features).withColumn("fold", F.expr(fold)))
     measure = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderPR")
 
-    def area(depth: int, k: int) -> float:
-        fitted = _pipeline(features, replace(params, depth=depth)).fit(rows.filter(f"fold <> {k}"))
-        return measure.evaluate(fitted.transform(rows.filter(f"fold = {k}")))
+    def area(model: TrainedModel, k: int) -> float:
+        return measure.evaluate(model.pipeline.transform(rows.filter(f"fold = {k}")))
 
     grid = depths or (params.depth,)
-    areas = at_once(*[partial(area, depth, k) for depth in grid for k in range(folds)])
+    fits = [(rows.filter(f"fold <> {k}"), features) for k in range(folds)]
+    areas = []
+    for depth in grid:
+        fitted = trained(fits, replace(params, depth=depth))
+        areas += at_once(*[partial(area, model, k) for k, model in enumerate(fitted)])
     found = np.array(areas).reshape(len(grid), folds)
     rows_out = [(d, folds, float(a.mean()), float(a.std())) for d, a in zip(grid, found)]
     schema = "max_depth int, folds int, mean_auc_pr double, std_auc_pr double"
@@ -161,6 +174,16 @@ def score_users(mart: DataFrame, model: TrainedModel, cfg: EngineConfig) -> Data
 TREATMENT = "intervention_type_encoded"
 
 
+def uplift_fits(treatments: DataFrame, features: tuple[str, ...] = UPLIFT_FEATURES) -> list[Fit]:
+    """Treated and untreated users with the features of their models."""
+
+    def rows(condition: str, names: tuple[str, ...]) -> Fit:
+        chosen = treatments.filter(f"intervention_type {condition} 'no_treatment'")
+        return training_rows(chosen, "observed_churn", names), names
+
+    return [rows("<>", features), rows("=", tuple(f for f in features if f != TREATMENT))]
+
+
 def train_uplift(
     treatments: DataFrame,
     params: BoostingParams = BoostingParams(),
@@ -170,14 +193,7 @@ def train_uplift(
 
     The treated model also sees which treatment it was; among the untreated that is constant.
     """
-
-    def fit(condition: str, names: tuple[str, ...]) -> TrainedModel:
-        rows = treatments.filter(f"intervention_type {condition} 'no_treatment'")
-        fitted = _pipeline(names, params).fit(training_rows(rows, "observed_churn", names))
-        return TrainedModel(fitted, names)
-
-    untreated = tuple(f for f in features if f != TREATMENT)
-    treated, control = at_once(lambda: fit("<>", features), lambda: fit("=", untreated))
+    treated, control = trained(uplift_fits(treatments, features), params)
     return treated, control
 
 

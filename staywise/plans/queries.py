@@ -428,15 +428,12 @@ register("cv_metrics", stage=keep_marts)(lambda t: models.cross_validate(t.mart,
 
 
 def stored_models(t: Tables) -> tuple[models.TrainedModel, ...]:
-    """Churn, treated and control model of the published size, fitted side by side."""
+    """Churn, treated and control model of the published size, fitted together."""
     spark = t.mart.sparkSession
     name = (spark.sparkContext.applicationId, t.raw.sf_dir)
     if name not in STORED:
-        churn, pair = models.at_once(
-            lambda: models.train_churn(t.mart, PARAMS),
-            lambda: models.train_uplift(t.intervention_mart, PARAMS),
-        )
-        STORED[name] = (churn, *pair)
+        fits = [models.churn_fit(t.mart), *models.uplift_fits(t.intervention_mart)]
+        STORED[name] = tuple(models.trained(fits, PARAMS))
     return STORED[name]
 
 
