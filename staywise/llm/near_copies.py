@@ -12,8 +12,11 @@ bounded size; shingles that a large share of all texts hold are known beforehand
 out of them. Every candidate is checked on the sets themselves, so no link is lost and none
 made up.
 
-Texts of one key are first compared with one of them. Only keys whose texts are not in one
-group after that are compared across groups, as far as their positions allow a link.
+SimHash comes first: the fingerprints of the texts' shingles are compared bit-sliced, and what
+is close there is checked on the sets. The filter brings the links that lie outside
+SimHash's radius: texts of one key are compared with one of them unless fingerprints have put
+them in one group already, and only keys whose texts are not in one group after that are
+compared across groups, as far as their positions allow a link.
 
 Rows are told apart by their texts, not by doc_id: ids may be null or repeated.
 """
@@ -31,6 +34,7 @@ from pyspark.sql import functions as F
 from ..functions.shipping import shipped
 from .common import byte_strings, written
 from .components import components
+from .simhash import near_duplicates
 
 WIDTH = 5
 #: Numerator and denominator of the least share of common shingles.
@@ -318,9 +322,22 @@ def _grouped(shared: DataFrame, links: DataFrame) -> DataFrame:
     return written(placed.join(mixed, "key"))
 
 
+def fingerprint_links(documents: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of texts that SimHash puts in one component and whose sets share enough.
+
+    Each text of a component is checked against its least one, so no component makes more pairs
+    than it has texts. A text that links to another one of them only is left to the filter.
+    """
+    found = near_duplicates(documents.select(text_key().alias("doc_id"), "text"), WIDTH)
+    close = found.where("doc_id <> component_id").select(_ordered("doc_id", "component_id")).select("p.*").distinct()
+    return linked(texts, written(close))
+
+
 def groups(documents: DataFrame) -> DataFrame:
     """``node`` (the key of a text) and ``root`` (the least key of its group), for linked texts."""
     texts = prefixes(documents)
+    close = fingerprint_links(documents, texts)
+    placed = written(components(close))
     shared = texts.select("node", "n", F.explode("keys").alias("k")).select("k.key", "node", "n", "k.pos")
     # A text that is the smaller one of a link has the key among its first ninth; it can lead.
     # Of these the one with the fewest rarer shingles leads: the one that others are copies of.
@@ -330,8 +347,12 @@ def groups(documents: DataFrame) -> DataFrame:
     leads = shared.groupBy("key").agg(F.min(F.when(can_lead, text)).alias("lead"), F.count("*").alias("texts"))
     shared = written(shared.join(leads.where("texts > 1 and lead is not null").select("key", "lead"), "key"))
     star = shared.withColumn("own", text).where("node <> lead.node").where(_may_link("lead", "own") | _may_link("own", "lead"))
-    tried = written(star.select(_ordered("lead.node", "node")).select("p.*").distinct())
-    links = linked(texts, tried)
+    star = star.select(F.col("lead.node").alias("first"), "node").distinct()
+    for side in ("first", "node"):
+        star = star.join(placed.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root")), side, "left")
+    apart = "coalesce(first_root, first) <> coalesce(node_root, node)"
+    tried = written(star.where(apart).select(_ordered("first", "node")).select("p.*").distinct())
+    links = written(linked(texts, tried).unionByName(close))
     # Keys with several groups: pairs of groups that sizes and positions allow, then of their texts.
     rest = _grouped(shared.drop("lead"), links)
     bounds = [F.min("n").alias("low"), F.max("n").alias("high"), F.max(left).alias("left")]
@@ -344,7 +365,7 @@ def groups(documents: DataFrame) -> DataFrame:
     across = across.join(rest.select("key", F.col("root").alias("rb"), text.alias("y")), ["key", "rb"]).where(_may_link("x", "y"))
     smaller = F.struct(F.col("x.n"), F.col("x.node")) < F.struct(F.col("y.n"), F.col("y.node"))
     pairs = across.where(smaller).select(_ordered("x.node", "y.node")).select("p.*").distinct()
-    more = linked(texts, written(pairs.join(tried, ["a", "b"], "left_anti")))
+    more = linked(texts, written(pairs.join(tried.unionByName(close), ["a", "b"], "left_anti")))
     return components(links.unionByName(more))
 
 

@@ -3,6 +3,8 @@
 import itertools
 import random
 
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 from test_operators import ODD, documents, prose
 
 from staywise.llm import near_copies, simhash
@@ -86,3 +88,25 @@ def test_columns_with_clashing_names(spark):
     kept = near_copies.one_row_of_each(docs)
     assert kept.columns == docs.columns
     assert sorted((r.doc_id, r._id, r._key, r.root) for r in kept.collect()) == [(1, "_id1", "_key1", "root1"), (3, "_id3", "_key3", "root3")]
+
+
+def test_fingerprints_come_first(spark, monkeypatch):
+    """Texts that SimHash puts together are checked there; what is close only there makes no link."""
+    base = prose(77, 400).split()
+    rows = [(i, " ".join([*base[: 399 - i], "swapped", *base[400 - i :]]), "s") for i in range(12)]
+    rows += [(100 + i, prose(300 + i, 60), "s") for i in range(5)]
+    asked = []
+    real = near_copies.near_duplicates
+
+    def near_duplicates(texts, width):
+        asked.append((width, sorted(r.text for r in texts.collect())))
+        return real(texts, width)
+
+    monkeypatch.setattr(near_copies, "near_duplicates", near_duplicates)
+    texts = near_copies.prefixes(documents(spark, rows))
+    close = near_copies.fingerprint_links(documents(spark, rows), texts).collect()
+    assert close and asked == [(5, sorted(r[1] for r in rows))]
+    # Components that join texts without a common shingle change no result.
+    wanted = sorted(tuple(r) for r in near_copies.groups(documents(spark, rows)).collect())
+    monkeypatch.setattr(near_copies, "near_duplicates", lambda texts, width: real(texts, width).withColumn("component_id", F.min("doc_id").over(Window.partitionBy())))
+    assert len({r[1] for r in wanted}) == 1 and sorted(tuple(r) for r in near_copies.groups(documents(spark, rows)).collect()) == wanted
