@@ -1,7 +1,7 @@
 """Behavioral change points: where a user's daily usage shifted for good.
 
-Only the segmentation itself runs in Python, once per user on an array that holds at most
-one value per calendar day. All statistics around the change are Spark aggregates.
+Only the segmentation itself runs in Python, on arrays that hold at most one value per calendar
+day, for many users at a time. All statistics around the change are Spark aggregates.
 """
 
 from __future__ import annotations
@@ -15,6 +15,9 @@ from staywise.functions.columns import columns
 
 # Kernel distances are kept inside this range.
 DISTANCE_RANGE = (1e-2, 1e2)
+# Values of all series that are segmented at a time, and pairs of values that are held at a time.
+BLOCK_CELLS = 1 << 16
+PAIR_CELLS = 1 << 20
 
 
 def median_squared_gap(values: np.ndarray) -> float:
@@ -46,61 +49,112 @@ def median_squared_gap(values: np.ndarray) -> float:
     return (low**2 + high**2) / 2
 
 
-def last_breakpoint(values: np.ndarray, cfg: EngineConfig) -> int | None:
-    """Last change of the optimal penalised segmentation (PELT; Killick et al. 2012).
-
-    The segment cost is the within-segment scatter under a Gaussian kernel whose width
-    follows the median heuristic (Arlot et al. 2019). Segment ends lie on a grid. The
-    kernel sums of all open segments grow block by block, so memory stays linear in the
-    series length.
+def median_squared_gaps(rows: np.ndarray) -> np.ndarray:
+    """``median_squared_gap`` of each row; short rows compare all pairs, a bounded block at a time."""
+    n = rows.shape[1]
+    pairs = n * (n - 1) // 2
+    if not pairs or pairs > PAIR_CELLS:
+        return np.array([median_squared_gap(r) for r in rows])
+    i, j = np.triu_indices(n, 1)
+    ranks = [(pairs - 1) // 2, pairs // 2]
+    found = []
+    for part in np.array_split(rows, -(-len(rows) * pairs // PAIR_CELLS)):
+        low, high = np.partition(np.abs(part[:, i] - part[:, j]), ranks, axis=1)[:, ranks].T
+        found.append((low**2 + high**2) / 2)
+    return np.concatenate(found)
+
+
+def _last_breakpoints(values: np.ndarray, sizes: np.ndarray, cfg: EngineConfig) -> np.ndarray:
+    """Last change, 0 for none, of each row's first ``sizes`` values; ``sizes`` fall.
+
+    Changes of the optimal penalised segmentation (PELT; Killick et al. 2012). The segment cost
+    is the within-segment scatter under a Gaussian kernel whose width follows the median heuristic
+    (Arlot et al. 2019). Segment ends lie on a grid. The kernel sums of all open segments grow
+    block by block, so memory stays linear in the length of the series.
     """
-    n = len(values)
-    spread = median_squared_gap(values)
-    gamma = 1.0 / spread if spread else 1.0
+    rows, longest = values.shape
+    spread = np.concatenate([median_squared_gaps(values[sizes == n, :n]) for n in -np.unique(-sizes)])
+    gamma = 1.0 / np.where(spread == 0.0, 1.0, spread)[:, None, None]
     grid, smallest = cfg.cp_grid, cfg.cp_min_size
-    ends = [t for t in range(grid, n, grid) if t >= smallest] + [n]
-
-    best = {0: 0.0}  # cost of the best segmentation of the first t values
-    came_from: dict[int, int] = {}
-    starts: list[int] = []
-    kernel_sum = np.zeros(n)  # kernel_sum[s]: kernel total over values[s:done]
+    ends = [t for t in range(grid, longest, grid) if t >= smallest] + [longest]
+    places = np.arange(0, longest, grid)
+
+    best = np.full((rows, len(places)), np.inf)  # cost of the best segmentation up to a place
+    best[:, 0] = 0.0
+    is_start = np.zeros(best.shape, dtype=bool)
+    kernel_sum = np.zeros(values.shape)  # kernel_sum[:, s]: kernel total over values[:, s:done]
+    last = np.zeros(rows, dtype=int)
     done = 0
     for end in ends:
-        block = values[done:end]
-        distance = np.clip(gamma * (values[:end, None] - block[None, :]) ** 2, *DISTANCE_RANGE)
+        live = int((sizes > done).sum())
+        x, ended = values[:live, :end], np.minimum(sizes[:live], end)
+        inside = np.arange(done, end) < ended[:, None]
+        distance = np.clip(gamma[:live] * (x[:, :, None] - x[:, None, done:]) ** 2, *DISTANCE_RANGE)
         kernel = np.exp(-distance)
-        kernel[np.arange(done, end), np.arange(end - done)] = 1.0
+        kernel[:, np.arange(done, end), np.arange(end - done)] = 1.0
+        kernel *= inside[:, None, :]
+        kernel[:, done:] *= inside[:, :, None]
         # Pairs (earlier, new) count twice, pairs inside the new block once per order.
-        rows = kernel.sum(axis=1)
-        tail = np.cumsum(rows[::-1])[::-1]
-        kernel_sum[:done] += 2.0 * (tail[:done] - tail[done]) + tail[done]
+        tail = np.cumsum(kernel.sum(axis=2)[:, ::-1], axis=1)[:, ::-1]
+        fresh = tail[:, done : done + 1]
+        sums = kernel_sum[:live]
+        sums[:, :done] += 2.0 * (tail[:, :done] - fresh) + fresh
         for s in range(done, end):
-            kernel_sum[s] = kernel[s:end, s - done :].sum()
+            sums[:, s] = kernel[:, s:, s - done :].sum(axis=(1, 2))
         done = end
 
-        newest = (end - smallest) // grid * grid
-        if newest in best and (not starts or starts[-1] != newest):
-            starts.append(newest)
-        s = np.array(starts)
-        cost = (end - s) - kernel_sum[s] / (end - s)
-        reach = np.array([best[t] for t in starts]) + cost
-        pick = int(np.argmin(reach))
-        best[end] = float(reach[pick]) + cfg.cp_penalty
-        came_from[end] = starts[pick]
-        starts = [t for t, r in zip(starts, reach) if r <= best[end]]
+        newest = (ended - smallest) // grid
+        row = np.flatnonzero(newest >= 0)
+        is_start[row, newest[row]] |= np.isfinite(best[row, newest[row]])
+        at = places[places < end]
+        open_ = is_start[:live, : len(at)]
+        length = np.maximum(ended[:, None] - at, 1)
+        cost = length - sums[:, at] / length
+        reach = np.where(open_, best[:live, : len(at)] + cost, np.inf)
+        pick = reach.argmin(axis=1)
+        total = reach[np.arange(live), pick] + cfg.cp_penalty
+        final = sizes[:live] <= end
+        last[:live][final] = at[pick[final]]
+        if end < longest:
+            best[:live, end // grid] = np.where(final, np.inf, total)
+        open_ &= reach <= total[:, None]
+    return last
+
+
+def last_breakpoints(series: list[np.ndarray], cfg: EngineConfig) -> list[int | None]:
+    """Last change of each series, None for none; series of like length are segmented together."""
+    found: list[int | None] = [None] * len(series)
+    order = sorted(range(len(series)), key=lambda k: -len(series[k]))
+    while order:
+        width = len(series[order[0]])
+        some = order[: max(1, BLOCK_CELLS // max(width, 1))]
+        order = order[len(some) :]
+        values = np.zeros((len(some), width))
+        for row, k in zip(values, some):
+            row[: len(series[k])] = series[k]
+        sizes = np.array([len(series[k]) for k in some])
+        for k, at in zip(some, _last_breakpoints(values, sizes, cfg)):
+            found[k] = int(at) or None
+    return found
+
 
-    return came_from[n] or None
+def last_breakpoint(values: np.ndarray, cfg: EngineConfig) -> int | None:
+    return last_breakpoints([values], cfg)[0]
 
 
-def change_index(values: np.ndarray, cfg: EngineConfig) -> int | None:
-    """Accepted change of one user's series, away from both of its ends."""
-    if len(values) < cfg.cp_min_days:
-        return None
-    found = last_breakpoint(values.astype(float), cfg)
+def change_indexes(series: list[np.ndarray | None], cfg: EngineConfig) -> list[int | None]:
+    """Accepted change of each user's series, away from both of its ends; None without one."""
+    found: list[int | None] = [None] * len(series)
+    long = [k for k, v in enumerate(series) if v is not None and len(v) >= cfg.cp_min_days]
     margin = cfg.cp_min_days // 2
-    if found is not None and margin < found < len(values) - margin:
-        return found
-    return None
+    for k, at in zip(long, last_breakpoints([np.asarray(series[k], dtype=float) for k in long], cfg)):
+        if at is not None and margin < at < len(series[k]) - margin:
+            found[k] = at
+    return found
+
+
+def change_index(values: np.ndarray, cfg: EngineConfig) -> int | None:
+    return change_indexes([values], cfg)[0]
 
 
 def user_series(rollup: DataFrame) -> DataFrame:
@@ -124,8 +178,7 @@ def with_breakpoints(series: DataFrame, cfg: EngineConfig) -> DataFrame:
 
     @F.pandas_udf("int")
     def locate(batch: pd.Series) -> pd.Series:
-        found = [None if v is None else change_index(np.asarray(v), cfg) for v in batch]
-        return pd.Series(found, dtype="Int32")
+        return pd.Series(change_indexes(list(batch), cfg), dtype="Int32")
 
     long_enough = F.expr(f"CASE WHEN size(secs) >= {cfg.cp_min_days} THEN secs END")
     return series.withColumn("cp_idx", locate(long_enough))

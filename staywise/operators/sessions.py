@@ -87,18 +87,17 @@ def session_gaps(session_rows: DataFrame) -> DataFrame:
 
 
 def _cadence(cfg: EngineConfig) -> dict[str, str]:
-    """Login cadence of a user as aggregates over sessions, the latest one included."""
-    idle_now = days_ago(cfg.ref_date, "max(session_end)")
-    mean_gap = ratio("sum(gap_before_session)", "count(gap_before_session)")
+    """Login cadence of a user as aggregates over active days (``_days``), the latest one included."""
+    idle_now = days_ago(cfg.ref_date, "max(log_date)")
+    mean_gap = ratio("sum(gap_before)", "count(gap_before)")
     return {
-        "login_days_last_30d": "sum(days_30)",
-        "login_days_last_60d": "sum(days_60)",
+        "login_days_last_30d": "count_if(age <= 30)",
+        "login_days_last_60d": "count_if(age <= 60)",
         "login_gap_days_avg": round_to(f"coalesce({mean_gap}, 0D)", 2),
-        "login_gap_days_max": "coalesce(max(gap_before_session), 0)",
-        "login_gap_days_recent": "coalesce(max_by(gap_before_session, session_id), 0)",
-        "login_streak_max": "max(session_length_days)",
-        "login_streak_current": f"CASE WHEN {idle_now} <= 3 "
-        "THEN max_by(session_length_days, session_id) ELSE 0 END",
+        "login_gap_days_max": "coalesce(max(gap_before), 0)",
+        "login_gap_days_recent": "coalesce(max_by(gap_before, first_day), 0)",
+        "login_streak_max": "max(streak)",
+        "login_streak_current": f"CASE WHEN {idle_now} <= 3 THEN max_by(streak, log_date) ELSE 0 END",
         "days_since_last_login": idle_now,
     }
 
@@ -107,22 +106,29 @@ def _age(cfg: EngineConfig) -> str:
     return f"{days_ago(cfg.ref_date, 'log_date')} AS age"
 
 
-def _sessions_with(rollup: DataFrame, cfg: EngineConfig, extra: dict[str, str]) -> DataFrame:
-    metrics = {
-        "session_start": "min(log_date)",
-        "session_end": "max(log_date)",
-        "session_length_days": "count(*)",
-        "days_30": "count_if(age <= 30)",
-        "days_60": "count_if(age <= 60)",
-        **extra,
-    }
-    tagged = with_session_ids(rollup.selectExpr("*", _age(cfg)))
-    return session_gaps(tagged.groupBy("msno", "session_id").agg(*columns(metrics)))
+def _days(rollup: DataFrame, cfg: EngineConfig) -> DataFrame:
+    """Active days with what a session shows on each of them, so that sessions need no rows of their own.
+
+    The days of a session follow each other, so ``streak``, the days since its first one, ends as
+    its length. ``gap_before`` and ``first_day`` are those of sessions and set on their first days.
+    """
+    order = "OVER (PARTITION BY msno ORDER BY log_date"
+    gap = "datediff(log_date, prev_log_date)"
+    started = f"max(first_day) {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    return (
+        rollup.selectExpr("*", _age(cfg), f"lag(log_date) {order}) AS prev_log_date")
+        .selectExpr(
+            "*",
+            f"CASE WHEN prev_log_date IS NULL OR {gap} > 1 THEN log_date END AS first_day",
+            f"CASE WHEN {gap} > 1 THEN {gap} END AS gap_before",
+        )
+        .selectExpr("*", f"CAST(datediff(log_date, {started}) + 1 AS BIGINT) AS streak")
+    )
 
 
 def login_frequency(rollup: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """Login cadence per user in one pass: windows and both aggregates share one exchange."""
-    return _sessions_with(rollup, cfg, {}).groupBy("msno").agg(*columns(_cadence(cfg)))
+    """Login cadence per user in one pass: windows and aggregate share one exchange."""
+    return _days(rollup, cfg).groupBy("msno").agg(*columns(_cadence(cfg)))
 
 
 # ---- usage decay -----------------------------------------------------------------------
@@ -191,24 +197,17 @@ def activity_features(
 ) -> DataFrame:
     """Login cadence and usage decay of every user from a single pass over the roll-up.
 
-    The usage sums ride along through the session aggregate, so the wide feature table
-    scans and shuffles the log once instead of once per feature family. Users without
-    activity in the longest window have NULL usage columns, as a left join would give.
-    ``with_series`` also carries the user's ordered ``days`` and ``secs``, from which the
-    change point is found without another shuffle.
+    Both are aggregates over a user's active days, so the wide feature table scans and shuffles
+    the log once instead of once per feature family. Users without activity in the longest window
+    have NULL usage columns, as a left join would give. ``with_series`` also carries the user's
+    ordered ``days`` and ``secs``, from which the change point is found without another shuffle.
     """
-    pieces, cadence = _window_sums(cfg), _cadence(cfg)
-    extra = {"series": "collect_list(struct(log_date, day_secs))"} if with_series else {}
-    merged = {n: f"sum({n})" for n in pieces}
+    metrics = {**_cadence(cfg), **_window_sums(cfg)}
     if with_series:
-        merged["series"] = "array_sort(flatten(collect_list(series)))"
-    per_user = (
-        _sessions_with(rollup, cfg, {**pieces, **extra})
-        .groupBy("msno")
-        .agg(*columns({**cadence, **merged}))
-    )
+        metrics["series"] = "sort_array(collect_list(struct(log_date, day_secs)))"
+    per_user = _days(rollup, cfg).groupBy("msno").agg(*columns(metrics))
     active = f"w{cfg.windows[-1][0]}_days > 0"
     usage = {n: f"CASE WHEN {active} THEN {sql} END" for n, sql in _usage(cfg).items()}
     if with_series:
         usage |= {"days": "series.log_date", "secs": "series.day_secs"}
-    return per_user.select("msno", *cadence, *columns(usage))
+    return per_user.select("msno", *_cadence(cfg), *columns(usage))

@@ -38,6 +38,22 @@ def test_equals_brute_force(seed, penalty):
     assert cp.last_breakpoint(values, cfg) == brute_force(values, cfg)
 
 
+def test_series_segmented_together(monkeypatch):
+    """Blocks of many users, of one and of few; lengths that end inside a grid step; medians in blocks."""
+    rng = np.random.default_rng(5)
+    series = [rng.integers(0, 4, 5).repeat(n)[: n - n % 3] * 500.0 for n in (3, 14, 15, 16, 20, 21, 40, 40)]
+    series = [v + rng.normal(0, 90, len(v)) for v in series] + [np.full(30, 7.0)]
+    cfg = EngineConfig(cp_penalty=1.0)
+    alone = [brute_force(v, cfg) if len(v) > 3 else None for v in series]
+    assert any(alone)
+    for cells, pairs in ((1 << 16, 1 << 20), (1, 1 << 20), (100, 500), (100, 1)):
+        monkeypatch.setattr(cp, "BLOCK_CELLS", cells)
+        monkeypatch.setattr(cp, "PAIR_CELLS", pairs)
+        assert cp.last_breakpoints(series, cfg) == alone
+    assert cp.last_breakpoints([], cfg) == cp.change_indexes([], cfg) == []
+    assert cp.change_indexes([None, step(80, 40), step(13, 6)], CFG) == [None, cp.change_index(step(80, 40), CFG), None]
+
+
 def step(n, at, low=100.0, high=9000.0):
     rng = np.random.default_rng(1)
     return np.where(np.arange(n) < at, low, high) + rng.normal(0, 20, n)

@@ -1,6 +1,8 @@
 from datetime import date, timedelta
+from functools import reduce
 
 import pytest
+from pyspark.sql import DataFrame, functions as F
 
 from staywise.config import EngineConfig
 from staywise.operators import features, marts, sessions, staging
@@ -68,6 +70,26 @@ def test_one_pass_equals_separate_features(spark):
     assert sorted(map(repr, fused.collect())) == sorted(map(repr, apart.select(fused.columns).collect()))
 
 
+def test_activity_is_one_aggregate_over_days(spark):
+    """Cadence is that of the sessions, which take no rows and no aggregate of their own."""
+    cfg = EngineConfig(ref_date=REF)
+    days = {"a": (0, 1, 2, 9, 12, 13), "b": (3, 4), "c": (50,), "d": (-1, 0, 2, 5, 6, 7, 8, 30)}
+    rollup = reduce(DataFrame.unionByName, [log_rows(spark, [REF - timedelta(days=d) for d in n], u) for u, n in days.items()])
+    rows = sessions.session_gaps(sessions.sessions(rollup)).groupBy("msno").agg(
+        F.max("session_length_days"), F.sum("gap_before_session"), F.max_by("gap_before_session", "session_id")
+    )
+    found = sessions.activity_features(rollup, cfg, with_series=True)
+    assert {r[0]: (r[1], r[2] or 0, r[3] or 0) for r in rows.collect()} == {
+        "a": (3, 10, 7), "b": (2, 0, 0), "c": (1, 0, 0), "d": (4, 27, 2),
+    }
+    kept = ("login_streak_max", "login_gap_days_avg", "login_gap_days_recent", "login_streak_current")
+    assert {r[0]: tuple(r)[1:] for r in found.select("msno", *kept).collect()} == {
+        "a": (3, 5.0, 7, 3), "b": (2, 0.0, 0, 2), "c": (1, 0.0, 0, 0), "d": (4, 9.0, 2, 2),
+    }
+    plan = sessions.activity_features(log_rows(spark, march(1, 2)), cfg, with_series=True)
+    assert plan._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == 2
+
+
 def test_ticket_velocity(spark):
     def tickets(user, ages):
         return [
