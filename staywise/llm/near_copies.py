@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from ..functions.shipping import shipped
 from .common import byte_strings, written
-from .components import components
+from .components import components, extended
 from .simhash import near_duplicates
 
 WIDTH = 5
@@ -46,6 +46,9 @@ GATHERED = 1 << 20
 OFTEN = 4
 #: Bytes of shingles of one part of the hash range.
 PART_BYTES = 24 << 20
+#: A part is sorted in slices by the first bits of its shingles, so that a task needs little more
+#: than the part itself.
+SLICE_BITS = 3
 
 
 def text_key(text: str = "text") -> Column:
@@ -175,6 +178,11 @@ def _sent_home(homes: int, nodes: np.ndarray, counts: np.ndarray, sizes: np.ndar
     return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], ["home", "nodes", "counts", "sizes", "hashes", "held"])
 
 
+def _values(blob: pa.Scalar, kind: type) -> np.ndarray:
+    """The numbers of a binary value, without copying them."""
+    return np.frombuffer(blob.as_buffer(), kind) if len(blob.as_buffer()) else np.zeros(0, kind)
+
+
 def _repeated(parts: int):
     """Rows sorted by part: the shingles of texts that other texts hold too, with how many do.
 
@@ -182,18 +190,24 @@ def _repeated(parts: int):
     part and home.
     """
 
-    def part_rows(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        nodes = np.repeat(np.frombuffer(b"".join(r[0] for r in rows), np.int64), np.frombuffer(b"".join(r[1] for r in rows), np.int64))
-        hashes = np.frombuffer(b"".join(r[2] for r in rows), np.uint64)
+    def slice_rows(rows: list[tuple], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Texts, shingles and numbers of texts for the shingles of a slice, sorted by shingle."""
+        inside = [hashes >> np.uint64(64 - SLICE_BITS) == np.uint64(k) for _, _, hashes in rows]
+        nodes = np.concatenate([np.repeat(nodes, counts)[own] for (nodes, counts, _), own in zip(rows, inside, strict=True)])
+        hashes = np.concatenate([hashes[own] for (_, _, hashes), own in zip(rows, inside, strict=True)])
         order = np.lexsort((nodes, hashes))
         nodes, hashes = nodes[order], hashes[order]
         new = np.ones(len(nodes), bool)  # copies of a text count once
         new[1:] = (nodes[1:] != nodes[:-1]) | (hashes[1:] != hashes[:-1])
         nodes, hashes = nodes[new], hashes[new]
-        _, place, n = np.unique(hashes, return_inverse=True, return_counts=True)
-        held = n[place]
+        runs = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])) if len(hashes) else np.zeros(0, np.int64)
+        n = np.diff(np.append(runs, len(hashes)))
+        held = np.repeat(n, n)
         several = held > 1
-        nodes, hashes, held = nodes[several], hashes[several], held[several]
+        return nodes[several], hashes[several], held[several]
+
+    def part_rows(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        nodes, hashes, held = (np.concatenate(c) for c in zip(*[slice_rows(rows, k) for k in range(1 << SLICE_BITS)], strict=True))
         order = np.argsort(nodes, kind="stable")
         nodes, hashes, held = nodes[order], hashes[order], held[order]
         if len(nodes):
@@ -204,10 +218,10 @@ def _repeated(parts: int):
         rows: list[tuple] = []
         at = None
         for batch in batches:
-            for part, nodes, counts, sizes, hashes in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            for i, part in enumerate(batch.column(0).to_pylist()):
+                nodes, counts, hashes = (_values(batch.column(c)[i], kind) for c, kind in ((1, np.int64), (2, np.int64), (4, np.uint64)))
                 if part >= parts:
-                    found = np.frombuffer(hashes, np.uint64)
-                    yield _sent_home(parts, *[np.frombuffer(x, np.int64) for x in (nodes, counts, sizes)], found, np.full(len(found), _LAST))
+                    yield _sent_home(parts, nodes, counts, _values(batch.column(3)[i], np.int64), hashes, np.full(len(hashes), _LAST))
                     continue
                 if part != at and rows:
                     yield from part_rows(rows)
@@ -315,9 +329,9 @@ def _ordered(x: str, y: str) -> Column:
     return F.struct(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).alias("p")
 
 
-def _grouped(shared: DataFrame, links: DataFrame) -> DataFrame:
+def _grouped(shared: DataFrame, joined: DataFrame) -> DataFrame:
     """Rows of keys whose texts are not yet in one group, with the ``root`` of each text's group."""
-    placed = written(shared.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node")))
+    placed = written(shared.join(joined, "node", "left").withColumn("root", F.coalesce("root", "node")))
     mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
     return written(placed.join(mixed, "key"))
 
@@ -325,8 +339,8 @@ def _grouped(shared: DataFrame, links: DataFrame) -> DataFrame:
 def fingerprint_links(documents: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs (a, b) of texts that SimHash puts in one component and whose sets share enough.
 
-    Each text of a component is checked against its least one, so no component makes more pairs
-    than it has texts. A text that links to another one of them only is left to the filter.
+    Each text of a component is checked against its least one, ``a``, so no component makes more
+    pairs than it has texts. A text that links to another one of them only is left to the filter.
     """
     found = near_duplicates(documents.select(text_key().alias("doc_id"), "text"), WIDTH)
     close = found.where("doc_id <> component_id").select(_ordered("doc_id", "component_id")).select("p.*").distinct()
@@ -337,7 +351,8 @@ def groups(documents: DataFrame) -> DataFrame:
     """``node`` (the key of a text) and ``root`` (the least key of its group), for linked texts."""
     texts = prefixes(documents)
     close = fingerprint_links(documents, texts)
-    placed = written(components(close))
+    # Stars around the least text of a component of fingerprints: no rounds are needed to place them.
+    placed = close.select(F.col("b").alias("node"), F.col("a").alias("root")).unionByName(close.select(F.col("a").alias("node"), F.col("a").alias("root"))).distinct()
     shared = texts.select("node", "n", F.explode("keys").alias("k")).select("k.key", "node", "n", "k.pos")
     # A text that is the smaller one of a link has the key among its first ninth; it can lead.
     # Of these the one with the fewest rarer shingles leads: the one that others are copies of.
@@ -352,9 +367,9 @@ def groups(documents: DataFrame) -> DataFrame:
         star = star.join(placed.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root")), side, "left")
     apart = "coalesce(first_root, first) <> coalesce(node_root, node)"
     tried = written(star.where(apart).select(_ordered("first", "node")).select("p.*").distinct())
-    links = written(linked(texts, tried).unionByName(close))
+    joined = components(linked(texts, tried).unionByName(close))
     # Keys with several groups: pairs of groups that sizes and positions allow, then of their texts.
-    rest = _grouped(shared.drop("lead"), links)
+    rest = _grouped(shared.drop("lead"), joined)
     bounds = [F.min("n").alias("low"), F.max("n").alias("high"), F.max(left).alias("left")]
     small = rest.where(can_lead).groupBy("key", F.col("root").alias("ra")).agg(F.struct(*bounds).alias("x"))
     large = rest.groupBy("key", F.col("root").alias("rb")).agg(F.struct(*bounds).alias("y"))
@@ -366,7 +381,7 @@ def groups(documents: DataFrame) -> DataFrame:
     smaller = F.struct(F.col("x.n"), F.col("x.node")) < F.struct(F.col("y.n"), F.col("y.node"))
     pairs = across.where(smaller).select(_ordered("x.node", "y.node")).select("p.*").distinct()
     more = linked(texts, written(pairs.join(tried.unionByName(close), ["a", "b"], "left_anti")))
-    return components(links.unionByName(more))
+    return extended(joined, more)
 
 
 def one_row_of_each(documents: DataFrame) -> DataFrame:

@@ -2,12 +2,15 @@
 
 import itertools
 import random
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from test_operators import ODD, documents, prose
 
-from staywise.llm import near_copies, simhash
+from staywise.llm import components, near_copies, simhash
 
 
 def test_rows_are_told_apart_by_text(spark):
@@ -110,3 +113,68 @@ def test_fingerprints_come_first(spark, monkeypatch):
     wanted = sorted(tuple(r) for r in near_copies.groups(documents(spark, rows)).collect())
     monkeypatch.setattr(near_copies, "near_duplicates", lambda texts, width: real(texts, width).withColumn("component_id", F.min("doc_id").over(Window.partitionBy())))
     assert len({r[1] for r in wanted}) == 1 and sorted(tuple(r) for r in near_copies.groups(documents(spark, rows)).collect()) == wanted
+
+
+def jobs_of(spark, run):
+    """How many Spark jobs a function starts, each of which costs the driver memory."""
+    group = f"jobs-{random.random()}"
+    spark.sparkContext.setJobGroup(group, "counted")
+    try:
+        run()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_stars_take_no_rounds(spark):
+    """Pairs and stars are components already; a chain is not, and is still found."""
+    stars = spark.createDataFrame([(1, i) for i in range(2, 40)] + [(100, 101), (100, 101), (7000, 7000), (203, 201)], "a long, b long")
+    found = {}
+    assert jobs_of(spark, lambda: found.update((r.node, r.root) for r in components.components(stars).collect())) <= 10
+    assert found == {**dict.fromkeys(range(1, 40), 1), 100: 100, 101: 100, 201: 201, 203: 201}
+    two = spark.createDataFrame([(5, 1), (5, 2)], "a long, b long")
+    assert {r.node: r.root for r in components.components(two).collect()} == {1: 1, 2: 1, 5: 1}
+
+
+def test_components_extended(spark):
+    rng = random.Random(8)
+    for n in (0, 3, 60, 200):
+        old, more = ([(rng.randrange(150), rng.randrange(150)) for _ in range(k)] for k in (60, n))
+        placed = components.components(spark.createDataFrame(old, "a long, b long"))
+        found = components.extended(placed, spark.createDataFrame(more, "a long, b long")).collect()
+        whole = components.components(spark.createDataFrame(old + more, "a long, b long")).collect()
+        assert sorted(found) == sorted(whole)
+        assert len({r.node for r in found}) == len(found)
+
+
+def test_few_jobs_for_the_driver(spark):
+    """Families of copies, near copies and chains; the driver's memory grows with the jobs."""
+    rows = []
+    for i in range(40):
+        base = prose(3000 + i, 80).split()
+        for k in range(4):
+            rows.append((len(rows), " ".join([*base[: 80 - k], *prose(9000 + 4 * i + k, k + 1).split()]), "a"))
+    docs = documents(spark, rows)
+    kept = []
+    assert jobs_of(spark, lambda: kept.extend(near_copies.one_row_of_each(docs).collect())) <= 150
+    assert sorted(r.doc_id for r in kept) == list(range(0, 160, 4))
+
+
+def test_memory_of_a_part():
+    """Counting the texts of each shingle needs little more than the part, and counts right."""
+    rng = np.random.default_rng(5)
+    nodes = np.arange(1, 4001)
+    hashes = [np.unique(rng.integers(0, 1 << 24, 200)).astype(np.uint64) << np.uint64(40) for _ in nodes]
+    sizes = np.array([len(h) for h in hashes])
+    rows = [(0, nodes[a : a + 500].tobytes(), sizes[a : a + 500].tobytes(), None, np.concatenate(hashes[a : a + 500]).tobytes()) for a in range(0, 4000, 500)]
+    kinds = [pa.int64()] + [pa.binary()] * 4
+    part = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["part", "nodes", "counts", "sizes", "hashes"])
+    tracemalloc.start()
+    out = [*near_copies._repeated(1)(iter([part]))]
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 4 * 8 * sizes.sum()
+    found = np.frombuffer(out[0].column("hashes")[0].as_py(), np.uint64)
+    held = np.frombuffer(out[0].column("held")[0].as_py(), np.int64)
+    keys, n = np.unique(np.concatenate(hashes), return_counts=True)
+    assert (held == n[np.searchsorted(keys, found)]).all() and len(found) == n[n > 1].sum()
