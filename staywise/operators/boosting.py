@@ -19,7 +19,7 @@ from __future__ import annotations
 import json
 import math
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -38,13 +38,19 @@ BINS = 32
 #: Rows that thresholds are taken from, as in Spark ML; all rows are trained on.
 THRESHOLD_ROWS = 10_000
 #: Fewest and most rows of a partition.
-LEAST_ROWS, MOST_ROWS = 16_384, 524_288
+LEAST_ROWS, MOST_ROWS = 65_536, 1_048_576
+#: Models of up to so many rows, which fit a partition, grow in a task each.
+ALONE_ROWS = 1_048_576
+#: Bits of the number that holds the bins of a group of features.
+CODE_BITS = 10
+#: Rows of so many kinds (label and weight) are counted kind by kind instead of adding up weights.
+FEW_KINDS = 2
 #: Trees between two checkpoints, which bound what a lost executor costs.
 CHECKPOINT = 25
 #: Partitions whose histograms the driver adds up itself.
 DIRECT = 48
 #: Rows that are added to histograms in one go.
-CHUNK = 32_768
+CHUNK = 65_536
 
 
 def thresholds(values: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -70,10 +76,27 @@ def begins_of(cuts: list[np.ndarray]) -> np.ndarray:
     return np.concatenate([[0], np.cumsum([len(c) + 1 for c in cuts])])
 
 
-# Rows of one model in one partition lie in Spark as a plain tuple of arrays, since workers cannot import
-# classes of this package and code that travels with every job should be small:
-# bins (features, rows), numbered through all features; sign, the label as -1 or 1; weight; draw;
-# margin; slope, what the current tree fits; seen, the rows that the current tree is fitted on.
+# Workers cannot import classes of this package, and code that travels with every job should be small: what
+# goes to them is plain tuples of arrays.
+# Where the bins of each feature are: the first one among those of all, the group whose code they are
+# part of, the bits they take there, and from which on; last, the number of groups.
+Layout = tuple
+
+
+def layout_of(cuts: list[np.ndarray]) -> Layout:
+    bits = np.array([len(c).bit_length() for c in cuts])
+    group, shift, used = np.zeros(len(cuts), int), np.zeros(len(cuts), int), [0]
+    for f in np.argsort(-bits, kind="stable"):
+        free = [g for g, n in enumerate(used) if n + bits[f] <= CODE_BITS]
+        if not free:
+            free, used = [len(used)], [*used, 0]
+        group[f], shift[f] = free[0], used[free[0]]
+        used[free[0]] += bits[f]
+    return begins_of(cuts), group, bits, shift, len(used)
+
+
+# Rows of one model in one partition: codes (groups, rows); kind, a place in kinds (label as -1 or 1,
+# weight); draw; margin; seen, the rows that the current tree is fitted on.
 Block = tuple
 
 
@@ -94,16 +117,30 @@ class Tree:
         return cls(np.full(n, -1), np.zeros(n, int), np.zeros(n), np.full(n, -1.0), np.zeros(n), np.zeros((n, 4)))
 
 
-def nodes_of(bins: np.ndarray, feature: np.ndarray, cut: np.ndarray) -> np.ndarray:
-    """The node that each row has reached."""
-    rows = np.arange(bins.shape[1])
-    node = np.zeros(len(rows), np.int64)
-    while True:
-        on = feature[node]
-        if not (on >= 0).any():
-            return node
-        down = 2 * node + 1 + (bins[on, rows] > cut[node])
-        node = np.where(on >= 0, down, node)
+def routes(feature: np.ndarray, cut: np.ndarray, layout: Layout) -> tuple[np.ndarray, np.ndarray, int]:
+    """The group that each node looks at, the next node by (node, code), and the number of steps."""
+    begins, groups, bits, shift, _ = layout
+    inner = np.flatnonzero(feature >= 0)
+    nodes = 2 * int(inner.max(initial=-1)) + 3
+    group = np.zeros(nodes, np.int64)
+    after = np.repeat(np.arange(nodes, dtype=np.int32)[:, None], 1 << CODE_BITS, axis=1)
+    f = feature[inner]
+    group[inner] = groups[f]
+    code = np.arange(1 << CODE_BITS)
+    place = code >> shift[f][:, None] & ((1 << bits[f]) - 1)[:, None]
+    after[inner] = 2 * inner[:, None] + 1 + (place > (cut[inner] - begins[f])[:, None])
+    return group, after.ravel(), int(inner.max(initial=-1) + 1).bit_length()
+
+
+def nodes_of(codes: np.ndarray, ways: tuple[np.ndarray, np.ndarray, int], part: slice) -> np.ndarray:
+    """The nodes that the rows of a part have reached."""
+    group, after, steps = ways
+    rows = np.arange(*part.indices(codes.shape[1]))
+    node, flat = np.zeros(len(rows), np.int64), codes.ravel()
+    row = group * codes.shape[1]
+    for _ in range(steps):
+        node = after.take((node << CODE_BITS) + flat.take(row.take(node) + rows)).astype(np.int64)
+    return node
 
 
 def seen_rows(draw: np.ndarray, tree: int, seed: int, share: float) -> np.ndarray:
@@ -117,38 +154,71 @@ def seen_rows(draw: np.ndarray, tree: int, seed: int, share: float) -> np.ndarra
     return mixed < np.uint64(min(int(share * 2.0**64), (1 << 64) - 1))
 
 
-def stepped(blocks: list[Block], last: list[tuple], tree: int, seed: int, share: float) -> list[Block]:
+def slopes(sign: np.ndarray, margin: np.ndarray, tree: int) -> np.ndarray:
+    """What a tree fits: the labels first, then the slopes of the log loss."""
+    if not tree:
+        return sign
+    with np.errstate(over="ignore"):
+        return 4 * sign / (1 + np.exp(2 * sign * margin))
+
+
+def stepped(blocks: list[Block], last: list[tuple], layouts: list[Layout], tree: int, seed: int, share: float) -> list[Block]:
     """The blocks before a tree, with the tree before it (feature, cut, weighted value) added."""
     out = []
-    for (bins, sign, weight, draw, margin, _, _), (feature, cut, value) in zip(blocks, last or [(None,) * 3] * len(blocks)):
-        slope = sign
+    for (codes, kind, kinds, draw, margin, _), (feature, cut, value), layout in zip(blocks, last or [(None,) * 3] * len(blocks), layouts):
         if tree:
-            margin = margin + value[nodes_of(bins, feature, cut)]
-            with np.errstate(over="ignore"):
-                slope = 4 * sign / (1 + np.exp(2 * sign * margin))
-        out.append((bins, sign, weight, draw, margin, slope, seen_rows(draw, tree, seed, share)))
+            ways, margin = routes(feature, cut, layout), margin.copy()
+            for begin in range(0, len(margin), CHUNK):
+                part = slice(begin, begin + CHUNK)
+                margin[part] += value.take(nodes_of(codes, ways, part))
+        out.append((codes, kind, kinds, draw, margin, seen_rows(draw, tree, seed, share)))
     return out
 
 
-def histograms(block: Block, feature: np.ndarray, cut: np.ndarray, wanted: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows, weight and weighted slope by (node, place of the bin), and each node's weighted square."""
-    all_bins, _, weights, _, _, slopes, seen = block
-    out, square = np.zeros((3, len(wanted) * size)), np.zeros(len(wanted))
-    slot = np.full(len(feature), -1)
-    slot[wanted] = np.arange(len(wanted))
-    for begin in range(0, len(seen) if len(wanted) else 0, CHUNK):
+def histograms(block: Block, feature: np.ndarray, cut: np.ndarray, wanted: np.ndarray, layout: Layout, number: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows, weight and weighted slope by (node, place of the bin), and each node's weighted square.
+
+    ``number``: which tree it is.
+    """
+    codes, kind, kinds, _, margin, seen = block
+    asked, size, few = len(wanted), int(layout[0][-1]), kinds.shape[1] <= FEW_KINDS
+    out, square = np.zeros((3, asked, size)), np.zeros(asked)
+    if not asked or not len(seen):
+        return out, square
+    ways = routes(feature, cut, layout)
+    slot = np.full(max(len(feature), len(ways[0])), -1)
+    slot[wanted] = np.arange(asked)
+    # One plane for each kind, or rows and weight; the last one adds up weighted slopes.
+    cells = asked << CODE_BITS
+    joint = np.zeros((layout[-1], (kinds.shape[1] if few else 2) + 1, cells))
+    for begin in range(0, len(seen), CHUNK):
         part = slice(begin, begin + CHUNK)
-        bins = all_bins[:, part]
-        at = slot[nodes_of(bins, feature, cut)]
+        at = slot.take(nodes_of(codes, ways, part))
         rows = np.flatnonzero(seen[part] & (at >= 0))
-        at, weight, slope = at[rows], weights[part][rows], slopes[part][rows]
+        at, own = at.take(rows), kind[part].take(rows)
+        sign, weight = kinds[:, own]
+        slope = slopes(sign, margin[part].take(rows), number)
         pull = weight * slope
-        square += np.bincount(at, weights=pull * slope, minlength=len(wanted))
-        place = (bins[:, rows] + (at * size)[None, :]).ravel()
-        for plane, values in zip(out, (None, weight, pull)):
-            tiled = None if values is None else np.tile(values, len(bins))
-            plane += np.bincount(place, weights=tiled, minlength=out.shape[1])
-    return out.reshape(3, len(wanted), size), square
+        square += np.bincount(at, weights=pull * slope, minlength=asked)
+        at <<= CODE_BITS
+        apart = own * np.int64(cells) if few else None
+        for planes, codes_of in zip(joint, codes):
+            place = at + codes_of[part].take(rows)
+            planes[-1] += np.bincount(place, weights=pull, minlength=cells)
+            if few:
+                planes[:-1] += np.bincount(place + apart, minlength=planes[:-1].size).reshape(-1, cells)
+            else:
+                planes[0] += np.bincount(place, minlength=cells)
+                planes[1] += np.bincount(place, weights=weight, minlength=cells)
+    for begin, end, group, bits, shift in zip(layout[0], layout[0][1:], *layout[1:4]):
+        planes = joint[group].reshape(-1, asked, 1 << (CODE_BITS - bits - shift), 1 << bits, 1 << shift).sum(axis=(2, 4))[..., : end - begin]
+        out[2, :, begin:end] = planes[-1]
+        if few:
+            out[0, :, begin:end] = planes[:-1].sum(axis=0)
+            out[1, :, begin:end] = np.tensordot(kinds[1], planes[:-1], 1)
+        else:
+            out[:2, :, begin:end] = planes[:-1]
+    return out, square
 
 
 def subset_size(subset: str, k: int) -> int:
@@ -168,7 +238,8 @@ class Growing:
     def __init__(self, cuts: list[np.ndarray]) -> None:
         self.cuts = cuts
         self.trees: list[Tree] = []
-        self.begins = begins_of(cuts)
+        self.layout = layout_of(cuts)
+        self.begins = self.layout[0]
         self.size = int(self.begins[-1])
         bins = np.arange(self.size)
         self.feature = np.repeat(np.arange(len(cuts)), np.diff(self.begins))
@@ -240,6 +311,7 @@ def _binned(cuts):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = cuts()
+        layouts = [layout_of(c) for c in known]
         parts: list[list[tuple]] = [[] for _ in known]
         for batch in batches:
             model, label, weight, draw = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
@@ -248,38 +320,49 @@ def _binned(cuts):
             for m in np.unique(model).tolist():
                 rows = np.flatnonzero(model == m)
                 values = flat[ends[rows][:, None] + np.arange(len(known[m]))]
-                begins = begins_of(known[m])
-                bins = np.stack([(begins[f] + np.searchsorted(c, values[:, f])).astype(np.uint16) for f, c in enumerate(known[m])])
-                parts[m].append((bins, label[rows], weight[rows], draw[rows]))
+                _, group, _, shift, groups = layouts[m]
+                codes = np.zeros((groups, len(rows)), np.uint16)
+                for f, c in enumerate(known[m]):
+                    codes[group[f]] |= (np.searchsorted(c, values[:, f]) << shift[f]).astype(np.uint16)
+                parts[m].append((codes, label[rows], weight[rows], draw[rows]))
         for m, part in enumerate(parts):
             if part:
-                bins = np.concatenate([p[0] for p in part], axis=1)
+                codes = np.concatenate([p[0] for p in part], axis=1)
                 arrays = [np.concatenate([p[i] for p in part]) for i in (1, 2, 3)]
-                row = [m, bins.tobytes(), *[a.tobytes() for a in arrays]]
-                yield pa.RecordBatch.from_pylist([dict(zip(("model", "bins", "label", "weight", "draw"), row))], schema=_PACKED)
+                row = [m, codes.tobytes(), *[a.tobytes() for a in arrays]]
+                yield pa.RecordBatch.from_pylist([dict(zip(("model", "codes", "label", "weight", "draw"), row))], schema=_PACKED)
 
     return run
 
 
-_PACKED = pa.schema([("model", pa.int64()), *[(n, pa.binary()) for n in ("bins", "label", "weight", "draw")]])
+_PACKED = pa.schema([("model", pa.int64()), *[(n, pa.binary()) for n in ("codes", "label", "weight", "draw")]])
+_PACKED_SQL = "model long, codes binary, label binary, weight binary, draw binary"
+
 
+def _blocks(groups: list[int]):
+    def block(r, count: int) -> Block:
+        label, weight, draw = (np.frombuffer(r[n]) for n in ("label", "weight", "draw"))
+        kinds, kind = np.unique(2 * label - 1 + 1j * weight, return_inverse=True)
+        codes = np.frombuffer(r["codes"], np.uint16).reshape(count, -1)
+        kind = kind.ravel().astype(np.min_scalar_type(len(kinds)))
+        return codes, kind, np.stack([kinds.real, kinds.imag]), draw.view(np.uint64), np.zeros(len(label)), np.zeros(len(label), bool)
 
-def _blocks(features: list[int]):
     def run(rows: Iterator) -> Iterator[list[Block]]:
-        found = [(np.zeros((k, 0), np.uint16), *[np.zeros(0)] * 2, np.zeros(0, np.uint64), *[np.zeros(0)] * 2, np.zeros(0, bool)) for k in features]
-        for r in rows:
-            label, weight = np.frombuffer(r["label"]), np.frombuffer(r["weight"])
-            bins = np.frombuffer(r["bins"], np.uint16).reshape(features[r["model"]], -1)
-            zero = np.zeros(len(label))
-            found[r["model"]] = (bins, 2 * label - 1, weight, np.frombuffer(r["draw"], np.uint64), zero, zero, zero > 0)
-        yield found
+        none = {n: b"" for n in ("codes", "label", "weight", "draw")}
+        found = {r["model"]: r for r in rows}
+        yield [block(found.get(m, none), count) for m, count in enumerate(groups)]
 
     return run
 
 
+def _asked(growing: list[Growing]) -> list[tuple]:
+    """What ``histograms`` needs to know of each model."""
+    return [(g.trees[-1].feature, g.trees[-1].cut, g.asked, g.layout, len(g.trees) - 1) for g in growing]
+
+
 def _level(rdd: RDD, growing: list[Growing]) -> list[tuple[np.ndarray, np.ndarray]]:
     """Histograms of the asked nodes of all models, added up over the partitions."""
-    asked = [(g.trees[-1].feature, g.trees[-1].cut, g.asked, g.size) for g in growing]
+    asked = _asked(growing)
 
     def run(blocks: list[Block]) -> list[tuple]:
         return [histograms(b, *a) for b, a in zip(blocks, asked)]
@@ -299,39 +382,73 @@ def _removed(paths: list[str]) -> None:
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def grown(blocks: RDD, cuts: list[list[np.ndarray]], params) -> list[list[Tree]]:
-    """All trees of all models."""
-    growing = [Growing(c) for c in cuts]
-    now, last, kept, saved = blocks, [], [], []
+def grow(growing: list[Growing], params, step: Callable, level: Callable) -> None:
+    """All trees of the models. ``step`` adds a tree to the rows' margins, ``level`` adds up histograms."""
+    last: list[tuple] = []
     for tree in range(params.trees):
-        def step(b, last=last, tree=tree):
-            return stepped(b, last, tree, params.seed, params.subsample)
-
-        now = now.map(step).persist(StorageLevel.MEMORY_AND_DISK)
-        if tree % CHECKPOINT == 0:
-            now.checkpoint()
+        step(tree, last)
         for g in growing:
             g.begin(params.depth)
-        for level in range(params.depth):
+        for depth in range(params.depth):
             if not any(len(g.asked) for g in growing):
                 break
-            for g, found in zip(growing, _level(now, growing)):
-                g.split(*found, level, params)
+            for g, found in zip(growing, level(growing)):
+                g.split(*found, depth, params)
         rate = params.rate if tree else 1.0
         last = [(g.trees[-1].feature, g.trees[-1].cut, rate * g.trees[-1].value) for g in growing]
+
+
+def grown(blocks: RDD, cuts: list[list[np.ndarray]], params) -> list[list[Tree]]:
+    """All trees of all models, a job for each level."""
+    growing, kept, saved = [Growing(c) for c in cuts], [blocks], []
+    layouts = [g.layout for g in growing]
+
+    def step(tree: int, last: list[tuple]) -> None:
+        def add(b, seed=params.seed, share=params.subsample):
+            return stepped(b, last, layouts, tree, seed, share)
+
+        now = kept[-1].map(add).persist(StorageLevel.MEMORY_AND_DISK)
         kept.append(now)
-        if len(kept) > 1:
-            kept.pop(0).unpersist()
+        if len(kept) > 3:
+            kept.pop(1).unpersist()
         if tree % CHECKPOINT == 0:
-            saved.append(now.getCheckpointFile())
+            now.checkpoint()
+        if (path := kept[-2].getCheckpointFile()) and path not in saved:
+            saved.append(path)
             _removed(saved[:-1])
-            saved = saved[-1:]
-    for rdd in kept:
+            del saved[:-1]
+
+    grow(growing, params, step, lambda models: _level(kept[-1], models))
+    for rdd in kept[1:]:
         rdd.unpersist()
-    _removed(saved)
+    _removed([path for rdd in kept[1:] if (path := rdd.getCheckpointFile())] + saved)
     return [g.trees for g in growing]
 
 
+def grown_alone(blocks: RDD, cuts: list[list[np.ndarray]], params) -> list[list[Tree]]:
+    """All trees of all models, each where its rows are: a partition holds all rows of a model."""
+    spark = SparkSession.active()
+    load = shipped(spark, (cuts, params))
+
+    def run(blocks: list[Block]) -> list[tuple]:
+        known, settings = load()
+        out = []
+        for m, block in enumerate(blocks):
+            if not len(block[-1]):
+                continue
+            growing, now = [Growing(known[m])], [block]
+
+            def step(tree, last):
+                now[:] = stepped(now, last, [growing[0].layout], tree, settings.seed, settings.subsample)
+
+            grow(growing, settings, step, lambda models: [histograms(b, *a) for b, a in zip(now, _asked(models))])
+            out.append((m, [tuple(vars(t).values()) for t in growing[0].trees]))
+        return out
+
+    found = dict(blocks.flatMap(run).collect())
+    return [[Tree(*t) for t in found[m]] for m in range(len(cuts))]
+
+
 def fit_all(sets: list[tuple[DataFrame, tuple[str, ...]]], pipelines: list[Pipeline], params) -> list[PipelineModel]:
     """A fitted pipeline for each set of training rows (``label``, ``weight``, features).
 
@@ -356,11 +473,16 @@ def fit_all(sets: list[tuple[DataFrame, tuple[str, ...]]], pipelines: list[Pipel
         weights = np.array(found.column("weight"))
         cuts.append([thresholds(values[:, f], weights) for f in range(len(features))])
     total = sum(r["n"] for r in counts.values())
-    # No more partitions than cores, unless they would hold too much.
-    spread = min(spark.sparkContext.defaultParallelism, -(-total // LEAST_ROWS))
-    packed = rows.repartition(max(spread, -(-total // MOST_ROWS), 1)).mapInArrow(_binned(shipped(spark, cuts)), "model long, bins binary, label binary, weight binary, draw binary")
-    blocks = packed.rdd.mapPartitions(_blocks([len(f) for _, f in sets]))
-    trees = grown(blocks, cuts, params)
+    alone = max(r["n"] for r in counts.values()) <= ALONE_ROWS
+    if alone:
+        dealt = rows.repartitionById(len(sets), F.col("model").cast("int"))
+    else:  # no more partitions than cores, unless they would hold too much
+        cores = spark.sparkContext.defaultParallelism
+        spread = max(min(cores, -(-total // LEAST_ROWS)), -(-total // MOST_ROWS), 1)
+        dealt = rows.repartition(spread if spread <= cores else -(-spread // cores) * cores)
+    packed = dealt.mapInArrow(_binned(shipped(spark, cuts)), _PACKED_SQL)
+    blocks = packed.rdd.mapPartitions(_blocks([layout_of(c)[-1] for c in cuts]))
+    trees = (grown_alone if alone else grown)(blocks, cuts, params)
     return [_stored(spark, p, c, t, params) for p, c, t in zip(pipelines, cuts, trees)]
 
 

@@ -51,6 +51,65 @@ def test_models_grown_together_equal_single_ones(mart, monkeypatch):
         assert np.allclose(probs(one.pipeline, mart), probs(other.pipeline, mart), atol=1e-9)
 
 
+def jobs_of(spark, name, run):
+    spark.sparkContext.setJobGroup(name, name)
+    run()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+
+def test_small_models_grow_without_a_job_a_level(spark, mart, monkeypatch):
+    """Models that fit a partition grow in a task each, to the trees that jobs for each level give."""
+    drawn = models.BoostingParams(trees=8, depth=4, rate=0.3, min_rows=5, feature_subset="0.5")
+    fits = [models.churn_fit(mart.filter(f"d <> {k}"), FEATURES) for k in (0, 1)]
+    found = []
+    alone = jobs_of(spark, "alone", lambda: found.append(models.trained(fits, drawn)))
+    monkeypatch.setattr(boosting, "ALONE_ROWS", 0)
+    monkeypatch.setattr(boosting, "LEAST_ROWS", 100)
+    monkeypatch.setattr(boosting, "CHECKPOINT", 3)
+    spread = jobs_of(spark, "spread", lambda: found.append(models.trained(fits, drawn)))
+    assert spread - alone >= 8 * 2
+    for one, other in zip(*found):
+        assert [t.numNodes for t in one.booster.trees] == [t.numNodes for t in other.booster.trees]
+        assert np.allclose(probs(one.pipeline, mart), probs(other.pipeline, mart), atol=1e-9)
+
+
+def test_one_job_a_level_for_all_folds_of_any_size(spark, mart, monkeypatch):
+    monkeypatch.setattr(boosting, "ALONE_ROWS", 0)
+    test_one_job_a_level_for_all_folds(spark, mart)
+
+
+@pytest.mark.parametrize("weights", [(1.0, 3.5), tuple(range(1, 40))])
+def test_histograms_are_sums_by_bin(weights):
+    """Joint histograms of groups of features against sums by feature, for few and many kinds of rows."""
+    rng = np.random.default_rng(3)
+    n, sizes = 700, [0, 1, 31, 31, 2, 12, 5, 31, 7, 1]
+    cuts = [np.arange(k) + 0.5 for k in sizes]
+    bins = np.stack([rng.integers(0, k + 1, n) for k in sizes])
+    layout = boosting.layout_of(cuts)
+    begins, group, bits, shift, groups = layout
+    assert groups < len(cuts) and max(bits[group == g].sum() for g in range(groups)) <= boosting.CODE_BITS
+    codes = np.zeros((groups, n), np.uint16)
+    for f, values in enumerate(bins):
+        codes[group[f]] |= (values << shift[f]).astype(np.uint16)
+    sign, weight, margin, seen = rng.choice([-1.0, 1.0], n), rng.choice(weights, n), rng.normal(size=n), rng.random(n) < 0.8
+    kinds, kind = np.unique(sign + 1j * weight, return_inverse=True)
+    block = codes, kind, np.stack([kinds.real, kinds.imag]), np.zeros(n, np.uint64), margin, seen
+    # The root asks feature 2, its left child feature 5; nodes 2, 3 and 4 are reached.
+    feature, cut = np.full(31, -1), np.zeros(31, int)
+    feature[:2], cut[:2] = (2, 5), (begins[2] + 14, begins[5] + 3)
+    node = np.where(bins[2] > 14, 2, np.where(bins[5] > 3, 4, 3))
+    found, square = boosting.histograms(block, feature, cut, np.array([2, 4]), layout, 1)
+    pull = weight * 4 * sign / (1 + np.exp(2 * sign * margin))
+    for k, at in enumerate((2, 4)):
+        rows = seen & (node == at)
+        assert np.isclose(square[k], (pull * pull / weight)[rows].sum())
+        for f, values in enumerate(bins):
+            for plane, amounts in enumerate((np.ones(n), weight, pull)):
+                want = np.bincount(values[rows], weights=amounts[rows], minlength=sizes[f] + 1)
+                assert np.allclose(found[plane, k, begins[f] : begins[f + 1]], want)
+
+
 def test_one_job_a_level_for_all_folds(spark, mart):
     """Jobs grow with trees and levels, not with the number of models."""
     tracker = spark.sparkContext.statusTracker()
