@@ -6,9 +6,10 @@ and its share of training rows when unknown. The Shapley value of such a game is
 integral over [0, 1] of a polynomial, which Gauss-Legendre quadrature evaluates exactly
 with half as many nodes as the path has features.
 
-A row enters only by which of the path's features it passes. So the values of all patterns
-of a leaf are worked out once, and rows look theirs up: blocks of rows and leaves are
-evaluated together. Paths of more than ``TABLED`` features are integrated for each row.
+A row enters only by which of the path's features it passes, which a few comparisons with
+thresholds say. Neighbouring leaves of a tree share most of these, so leaves are put into groups of at most
+``TABLED`` comparisons; what a group gives to each feature is worked out once for every pattern of
+them, and rows look theirs up. Leaves that ask for more are integrated for each row.
 
 The leaves come out of the booster's stored node table: Spark joins nodes with their children
 level by level, intersecting the intervals on the way down.
@@ -97,10 +98,10 @@ def leaves_of(model: GBTClassificationModel, scale: float = 2.0) -> list[Leaf]:
     return leaves
 
 
-#: Longest path whose patterns are tabled: 2**TABLED rows of values per leaf.
+#: Conditions of a group of leaves whose patterns are tabled: at most 2**TABLED of them, numbered in a byte.
 TABLED = 8
-#: Rows and leaves that are evaluated together.
-ROWS, LEAVES = 512, 512
+#: Rows that are evaluated together, and leaves that are integrated together.
+ROWS, LEAVES = 4096, 512
 
 
 def _game(value: np.ndarray, share: np.ndarray, passes: np.ndarray) -> np.ndarray:
@@ -114,59 +115,129 @@ def _game(value: np.ndarray, share: np.ndarray, passes: np.ndarray) -> np.ndarra
     return value * out * (passes - share)
 
 
-@dataclass(frozen=True)
-class Block:
-    """Leaves of the same path length as arrays, with the values of all patterns if they are tabled."""
+def _by_depth(leaves: list[Leaf]) -> Iterator[tuple[list[int], np.ndarray, list[np.ndarray]]]:
+    """Leaves of the same path length in batches: their places, their values and the arrays of their paths."""
+    depths = np.array([len(f.features) for f in leaves])
+    for depth in np.unique(depths).tolist():
+        same = np.flatnonzero(depths == depth).tolist()
+        for at in range(0, len(same) if depth else 0, LEAVES):
+            some = same[at : at + LEAVES]
+            yield some, np.array([leaves[i].value for i in some]), [np.stack([getattr(leaves[i], n) for i in some]) for n in ("features", "above", "upto", "share")]
 
-    value: np.ndarray  # (leaves,)
-    features: np.ndarray  # (leaves, depth)
-    above: np.ndarray
-    upto: np.ndarray
-    share: np.ndarray
-    table: np.ndarray | None  # (leaves, 2**depth, depth)
 
+def _conditions(leaf: Leaf) -> dict[tuple[int, float], None]:
+    """The comparisons (feature, threshold) that say which of its features a row passes."""
+    bounds = zip(leaf.features.tolist() * 2, [*leaf.above.tolist(), *leaf.upto.tolist()])
+    return dict.fromkeys(b for b in bounds if np.isfinite(b[1]))
 
-def blocks_of(leaves: list[Leaf]) -> list[Block]:
-    """Leaves sorted by path length and cut into blocks."""
-    out = []
-    for depth in sorted({len(f.features) for f in leaves} - {0}):
-        same = [f for f in leaves if len(f.features) == depth]
-        for at in range(0, len(same), LEAVES):
-            some = same[at : at + LEAVES]
-            arrays = [np.stack([getattr(f, n) for f in some]) for n in ("features", "above", "upto", "share")]
-            value = np.array([f.value for f in some])
-            table = None
-            if depth <= TABLED:
-                patterns = (np.arange(1 << depth)[:, None] >> np.arange(depth) & 1).astype(float)
-                table = _game(value[:, None, None], arrays[3][:, None, :], patterns)
-            out.append(Block(value, *arrays, table))
-    return out
 
+@dataclass(frozen=True)
+class Group:
+    """Leaves that ask for few conditions: what they give to their features for every pattern of these."""
+
+    conditions: list[tuple[int, float]]  # the first one is the highest bit of a pattern
+    features: list[int]
+    table: np.ndarray  # (features, 2**conditions)
+
+
+def _group(leaves: list[Leaf], tables: list[np.ndarray], asked: list[tuple[int, float]]) -> Group:
+    place = {c: i for i, c in enumerate(asked)}
+    features = sorted({f for leaf in leaves for f in leaf.features.tolist()})
+    row = {f: i for i, f in enumerate(features)}
+    # Two more conditions, one that always holds and one that never does, stand for missing bounds.
+    holds = np.arange(1 << len(asked))[:, None] >> np.arange(len(asked))[::-1] & 1
+    holds = np.concatenate([holds, np.ones((len(holds), 1), int), np.zeros((len(holds), 1), int)], axis=1)
+    out = np.zeros((len(features), len(holds)))
+    for leaf, table in zip(leaves, tables):
+        names = leaf.features.tolist()
+        above = [place.get(c, len(asked)) for c in zip(names, leaf.above.tolist())]
+        upto = [place.get(c, len(asked) + 1) for c in zip(names, leaf.upto.tolist())]
+        passes = holds[:, above] & ~holds[:, upto]
+        out[[row[f] for f in names]] += table[passes @ (1 << np.arange(len(names)))].T
+    return Group(asked, features, out)
 
-def block_attributions(rows: np.ndarray, blocks: list[Block]) -> np.ndarray:
-    """Attribution of every column for every row of a (rows x features) matrix."""
+
+@dataclass(frozen=True)
+class Forest:
+    """Leaves as groups of tabled patterns; those that ask for too much, and all of them, as they are."""
+
+    groups: list[Group]
+    single: list[Leaf]
+    leaves: list[Leaf]
+
+
+def forest_of(leaves: list[Leaf]) -> Forest:
+    """Neighbouring leaves, which share most of their conditions, as groups of at most ``TABLED`` conditions."""
+    asked = [_conditions(leaf) for leaf in leaves]
+    short = [i for i, leaf in enumerate(leaves) if len(leaf.features) and max(len(asked[i]), len(leaf.features)) <= TABLED]
+    tables: dict[int, np.ndarray] = {}
+    for some, value, (_, _, _, share) in _by_depth([leaves[i] for i in short]):
+        depth = share.shape[1]
+        patterns = (np.arange(1 << depth)[:, None] >> np.arange(depth) & 1).astype(float)
+        tables |= zip([short[i] for i in some], _game(value[:, None, None], share[:, None, :], patterns))
+    groups: list[Group] = []
+    some: list[int] = []
+    known: dict[tuple[int, float], None] = {}
+    for i in [*short, None]:
+        both = {} if i is None else known | asked[i]
+        if some and (i is None or len(both) > TABLED):
+            groups.append(_group([leaves[k] for k in some], [tables[k] for k in some], list(known)))
+            some, both = [], {} if i is None else asked[i]
+        some, known = [*some, i], both
+    kept = set(short)
+    return Forest(groups, [leaf for i, leaf in enumerate(leaves) if i not in kept], leaves)
+
+
+def _integrated(rows: np.ndarray, leaves: list[Leaf]) -> np.ndarray:
+    """Attributions by integrating for each row and leaf."""
     out = np.zeros_like(rows, dtype=float)
-    for block in blocks:
-        size, depth = block.features.shape
+    for _, value, (features, above, upto, share) in _by_depth(leaves):
+        size, depth = features.shape
         # Adds up what the leaves give to each column.
         collect = np.zeros((size * depth, rows.shape[1]))
-        collect[np.arange(size * depth), block.features.ravel()] = 1.0
-        step = max(1, ROWS * LEAVES // (size * depth)) if block.table is None else ROWS
+        collect[np.arange(size * depth), features.ravel()] = 1.0
+        step = max(1, ROWS * LEAVES // (8 * size * depth))
         for at in range(0, len(rows), step):
-            values = rows[at : at + step][:, block.features]
-            passes = (values > block.above) & (values <= block.upto)
-            if block.table is None:
-                found = _game(block.value[:, None], block.share, passes.astype(float))
-            else:
-                pattern = passes @ (1 << np.arange(depth))
-                found = block.table[np.arange(size), pattern]
-            out[at : at + step] += found.reshape(len(values), -1) @ collect
+            values = rows[at : at + step][:, features]
+            passes = (values > above) & (values <= upto)
+            out[at : at + step] += _game(value[:, None], share, passes.astype(float)).reshape(len(values), -1) @ collect
+    return out
+
+
+def _tabled(rows: np.ndarray, groups: list[Group]) -> np.ndarray:
+    """Attributions by looking up the patterns of conditions; all values are finite."""
+    every = sorted({c for g in groups for c in g.conditions})
+    place = {c: i for i, c in enumerate(every)}
+    asked = [[place[c] for c in g.conditions] for g in groups]
+    out = np.zeros((rows.shape[1], len(rows)))
+    for at in range(0, len(rows), ROWS):
+        x, sums = np.ascontiguousarray(rows[at : at + ROWS].T), out[:, at : at + ROWS]
+        holds = np.empty((len(every), x.shape[1]), np.uint8)
+        for i, (feature, threshold) in enumerate(every):
+            holds[i] = x[feature] > threshold
+        for conditions, group in zip(asked, groups):
+            pattern = np.zeros(x.shape[1], np.uint8)
+            for i in conditions:
+                pattern += pattern
+                pattern |= holds[i]
+            pattern = pattern.astype(np.intp)
+            for feature, values in zip(group.features, group.table):
+                sums[feature] += values.take(pattern)
+    return out.T
+
+
+def forest_attributions(rows: np.ndarray, forest: Forest) -> np.ndarray:
+    """Attribution of every column for every row of a (rows x features) matrix."""
+    finite = np.isfinite(rows).all(axis=1)
+    out = np.zeros_like(rows, dtype=float)
+    out[finite] = _tabled(rows[finite], forest.groups) + _integrated(rows[finite], forest.single)
+    out[~finite] = _integrated(rows[~finite], forest.leaves)
     return out
 
 
 def attributions(rows: np.ndarray, leaves: list[Leaf]) -> np.ndarray:
     """Attribution of every column for every row of a (rows x features) matrix."""
-    return block_attributions(rows, blocks_of(leaves))
+    return forest_attributions(rows, forest_of(leaves))
 
 
 def base_value(leaves: list[Leaf]) -> float:
@@ -182,10 +253,11 @@ def tree_attributions(
     names = [f"shap_{f}" for f in features]
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        blocks = blocks_of(load())
+        known = None
         for batch in batches:
+            known = known or forest_of(load())
             matrix = batch[list(features)].to_numpy(dtype=float)
-            shares = pd.DataFrame(block_attributions(matrix, blocks), columns=names)
+            shares = pd.DataFrame(forest_attributions(matrix, known), columns=names)
             kept = batch[list(keep)].reset_index(drop=True)
             yield pd.concat([kept, shares], axis=1)
 

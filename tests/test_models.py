@@ -94,6 +94,19 @@ def test_blocks_equal_single_leaves(mart, model, monkeypatch):
     assert treeshap.attributions(x, [treeshap.Leaf(1.0, *[np.zeros(0, int)] + [np.zeros(0)] * 3)]).any() == 0
 
 
+def test_neighbouring_leaves_share_lookups(mart, model):
+    """Groups ask few conditions for several leaves each; values that are no numbers pass nothing."""
+    x, _ = raw_scores(mart, model)
+    leaves = treeshap.leaves_of(model.booster)
+    forest = treeshap.forest_of(leaves)
+    assert 0 < 2 * len(forest.groups) <= len(leaves) - len(forest.single)
+    assert all(len(g.conditions) <= treeshap.TABLED for g in forest.groups)
+    odd = x.copy()
+    odd[::3, 0], odd[1::3, -1], odd[2::3, 1] = np.nan, np.inf, -np.inf
+    for rows in (odd, x[:0]):
+        assert np.allclose(treeshap.attributions(rows, leaves), leaf_by_leaf(rows, leaves), atol=1e-12)
+
+
 def test_leaves_come_from_the_node_table(model):
     """Every leaf of the model once, with the interval and shares of its path."""
     leaves = treeshap.leaves_of(model.booster)
