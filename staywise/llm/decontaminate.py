@@ -68,7 +68,9 @@ def _seed(k: int, mask: tuple[int, ...], hashes: str, at: str) -> Column:
 def _windows(frame: DataFrame, masks: list[tuple[int, ...]], hashes: str, at: str) -> DataFrame:
     """A row per window and mask, with ``mask`` and ``seed``; windows reach over no end."""
     last = F.size(hashes) - min(mask[-1] + 1 for mask in masks)
-    rows = frame.where(last >= 0).withColumn("_i", F.explode(F.sequence(F.lit(0), (last + 1) * len(masks) - 1)))
+    # A filter on the size would move below the hashing of the words, which would then run twice.
+    numbers = F.when(last >= 0, F.sequence(F.lit(0), (last + 1) * len(masks) - 1))
+    rows = frame.withColumn("_i", F.explode(numbers))
     rows = rows.withColumn(at, F.expr(f"_i div {len(masks)}").cast("int")).withColumn("mask", F.expr(f"_i % {len(masks)}")).drop("_i")
     span, seed = F.lit(None).cast("int"), F.lit(None).cast("long")
     for k, mask in reversed(list(enumerate(masks))):

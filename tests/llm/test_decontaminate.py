@@ -106,3 +106,13 @@ def test_null_ids_and_clashing_columns(spark):
     kept = decontaminate.decontaminated(docs, bench)
     assert kept.columns == docs.columns and [(r.doc_id, r._id, r._Key) for r in kept.collect()] == [(2, 7, "k")]
     assert decontaminate.decontaminated(docs, bench.limit(0)).count() == 2 and decontaminate.decontaminated(docs.limit(0), bench).count() == 0
+
+
+def test_words_of_a_document_are_hashed_once(spark):
+    """No filter repeats the splitting of texts; documents too short for a window go without one."""
+    item = prose(500, 20)
+    bench = spark.createDataFrame([(0, item)], "item_id long, text string")
+    docs = documents(spark, [(0, inside(item, 510), "s"), (1, "too short", "s"), (2, None, "s"), (3, item, "s")])
+    found = decontaminate.overlaps(docs, bench)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+    assert sorted(r.doc_id for r in found.collect()) == [0, 3]
