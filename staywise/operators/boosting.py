@@ -38,7 +38,7 @@ BINS = 32
 #: Rows that thresholds are taken from, as in Spark ML; all rows are trained on.
 THRESHOLD_ROWS = 10_000
 #: Fewest and most rows of a partition.
-LEAST_ROWS, MOST_ROWS = 65_536, 1_048_576
+LEAST_ROWS, MOST_ROWS = 16_384, 1_048_576
 #: Models of up to so many rows, which fit a partition, grow in a task each.
 ALONE_ROWS = 1_048_576
 #: Bits of the number that holds the bins of a group of features.
@@ -51,6 +51,8 @@ CHECKPOINT = 25
 DIRECT = 48
 #: Rows that are added to histograms in one go.
 CHUNK = 65_536
+#: Up to so many rows, joint histograms have more cells than they save: rows are added feature by feature.
+PLAIN_ROWS = 32_768
 
 
 def thresholds(values: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -188,6 +190,18 @@ def histograms(block: Block, feature: np.ndarray, cut: np.ndarray, wanted: np.nd
     ways = routes(feature, cut, layout)
     slot = np.full(max(len(feature), len(ways[0])), -1)
     slot[wanted] = np.arange(asked)
+    if len(seen) <= PLAIN_ROWS:
+        at = slot.take(nodes_of(codes, ways, slice(None)))
+        rows = np.flatnonzero(seen & (at >= 0))
+        at = at[rows]
+        sign, weight = kinds[:, kind[rows]]
+        slope = slopes(sign, margin[rows], number)
+        pull = weight * slope
+        for begin, end, group, bits, shift in zip(layout[0], layout[0][1:], *layout[1:4]):
+            place = at * (end - begin) + (codes[group][rows] >> shift & ((1 << bits) - 1))
+            for plane, values in zip(out, (None, weight, pull)):
+                plane[:, begin:end] = np.bincount(place, weights=values, minlength=asked * (end - begin)).reshape(asked, -1)
+        return out, np.bincount(at, weights=pull * slope, minlength=asked)
     # One plane for each kind, or rows and weight; the last one adds up weighted slopes.
     cells = asked << CODE_BITS
     joint = np.zeros((layout[-1], (kinds.shape[1] if few else 2) + 1, cells))
@@ -474,7 +488,9 @@ def fit_all(sets: list[tuple[DataFrame, tuple[str, ...]]], pipelines: list[Pipel
         cuts.append([thresholds(values[:, f], weights) for f in range(len(features))])
     total = sum(r["n"] for r in counts.values())
     alone = max(r["n"] for r in counts.values()) <= ALONE_ROWS
-    if alone:
+    if alone and total <= LEAST_ROWS:  # a task is enough
+        dealt = rows.repartition(1)
+    elif alone:
         dealt = rows.repartitionById(len(sets), F.col("model").cast("int"))
     else:  # no more partitions than cores, unless they would hold too much
         cores = spark.sparkContext.defaultParallelism

@@ -79,9 +79,11 @@ def test_one_job_a_level_for_all_folds_of_any_size(spark, mart, monkeypatch):
     test_one_job_a_level_for_all_folds(spark, mart)
 
 
+@pytest.mark.parametrize("plain", [0, 1000])
 @pytest.mark.parametrize("weights", [(1.0, 3.5), tuple(range(1, 40))])
-def test_histograms_are_sums_by_bin(weights):
-    """Joint histograms of groups of features against sums by feature, for few and many kinds of rows."""
+def test_histograms_are_sums_by_bin(weights, plain, monkeypatch):
+    """Joint histograms of groups of features, for few and many kinds of rows, and those of few rows."""
+    monkeypatch.setattr(boosting, "PLAIN_ROWS", plain)
     rng = np.random.default_rng(3)
     n, sizes = 700, [0, 1, 31, 31, 2, 12, 5, 31, 7, 1]
     cuts = [np.arange(k) + 0.5 for k in sizes]
